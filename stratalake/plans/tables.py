@@ -57,7 +57,7 @@ DEFINITIONS = {
         "doctor_key long!, doctor_id text(50)!, doctor_name text(255), department text(100), " + _LINEAGE
     ),
     (CLEAN, "fact_patient_visits"): (
-        "visit_key long!, visit_id text(50)!, patient_key long, doctor_key long, department_key long, "
+        "visit_key long!, visit_id text(50)!, patient_key long, doctor_key long, "
         "visit_date date, total_charges decimal(10,2), " + _LINEAGE
     ),
 }

@@ -169,7 +169,6 @@ class VisitWarehouse:
                 self.store.create(layer, table, schema, buckets=self.buckets, bucket_keys=[MERGE_KEYS[table]])
             else:
                 self.store.create(layer, table, schema)
-        self.store.drop_column(CLEAN, "fact_patient_visits", "department_key")
 
     def table(self, layer: str, name: str) -> DataFrame:
         """Current content, without layout columns."""

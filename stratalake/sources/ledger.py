@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.sources.csv_layer import read_csv_layer
 from stratalake.sources.store import TableStore
 
-LEDGER_SCHEMA = "path string, length long, modified timestamp, target string, load_timestamp timestamp"
 _FILE = ["path", "length", "modified"]
+LEDGER_SCHEMA = (
+    T.StructType()
+    .add("path", "string")
+    .add("length", "long")
+    .add("modified", "timestamp")
+    .add("target", "string")
+    .add("load_timestamp", "timestamp")
+)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +30,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     try:
         found = kind.load(path)
     except AnalysisException:
-        return spark.createDataFrame([], "path string, length long, modified timestamp")
+        return spark.createDataFrame([], T.StructType(LEDGER_SCHEMA.fields[:3]))
     return found.select("path", "length", F.col("modificationTime").alias("modified"))
 
 

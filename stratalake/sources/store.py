@@ -25,6 +25,8 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("bucket_keys", T.StringType()),
         T.StructField("partition_by", T.StringType()),
         T.StructField("source_watermark", T.LongType()),  # microseconds
+        T.StructField("writer", T.StringType()),  # stream and micro-batch that wrote the version
+        T.StructField("batch", T.LongType()),
     ]
 )
 
@@ -46,9 +48,9 @@ class TableStore:
         commit = self._commit(layer, table)
         return commit.version if commit else 0
 
-    def read(self, layer: str, table: str, before: int | None = None) -> DataFrame:
-        """The current content, or that of the newest version below ``before``."""
-        commit = self._commit(layer, table, before)
+    def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
+        """The current content, or that of an older version."""
+        commit = self._commit(layer, table, version)
         if commit is None:
             raise LookupError(f"no table {layer}.{table} in {self.root}")
         return self._open(layer, table, commit)
@@ -58,13 +60,19 @@ class TableStore:
         commit = self._commit(layer, table)
         return commit.source_watermark if commit else None
 
+    def has_batch(self, layer: str, table: str, writer: str, batch: int) -> bool:
+        """Whether a stream's micro-batch has been committed already."""
+        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
+        return not commits.where((F.col("writer") == writer) & (F.col("batch") == batch)).isEmpty()
+
     # -- writing ---------------------------------------------------------
 
     def create(
-        self, layer: str, table: str, schema: T.StructType | str, partition_by: Sequence[str] = (), **layout
+        self, layer: str, table: str, schema: T.StructType, partition_by: Sequence[str] = (), **layout
     ) -> None:
         """Create the table, or replace it by an empty one."""
-        empty = self.spark.createDataFrame([], schema)
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        empty = self.spark.range(0, 0, 1, 1).select(*blank)
         self.publish(layer, table, empty, partition_by=partition_by, **layout)
 
     def publish(
@@ -76,25 +84,27 @@ class TableStore:
         bucket_keys: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         aligned: bool = False,
-        version: int | None = None,
         source_watermark: int | None = None,
+        writer: str | None = None,
+        batch: int | None = None,
     ) -> int:
         """Write ``df`` as the next version and make it current.
 
         ``buckets`` hash-splits the files by ``bucket_keys``: a later join on
         those keys reads them without a shuffle. ``aligned`` says that ``df``
-        comes out of such a join and is already split that way. ``version`` pins
-        the number, so a repeated write replaces its own earlier attempt.
+        comes out of such a join and is already split that way. An attempt that
+        died before its commit leaves a directory the next one replaces.
+        ``writer`` and ``batch`` note a stream's micro-batch for :meth:`has_batch`.
         """
-        version = version or self.version(layer, table) + 1
+        version = self.version(layer, table) + 1
         path = self._path(layer, table, version)
         if buckets:
             keys = list(bucket_keys)
             rows = df if aligned else df.repartition(buckets, *keys)
             name = self._bucketed_name(layer, table, version)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            writer = rows.write.format("parquet").mode("overwrite").option("path", path)
-            writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+            out = rows.write.format("parquet").mode("overwrite").option("path", path)
+            out.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
         else:
             df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         row = (
@@ -104,13 +114,15 @@ class TableStore:
             ",".join(bucket_keys) or None,
             ",".join(partition_by) or None,
             source_watermark,
+            writer,
+            batch,
         )
         self._note(layer, table, row)
         return version
 
     def _note(self, layer: str, table: str, row: tuple) -> None:
-        commit = self.spark.createDataFrame([row], COMMIT_SCHEMA)
-        commit.coalesce(1).write.mode("append").parquet(self._commits(layer, table))
+        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, COMMIT_SCHEMA.fields, strict=True)]
+        self.spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(self._commits(layer, table))
 
     def append(self, layer: str, table: str, df: DataFrame, source_watermark: int | None = None) -> None:
         """Add rows, matched by name, to the current version."""
@@ -124,7 +136,7 @@ class TableStore:
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         rows.write.mode("append").partitionBy(*parts).parquet(self._path(layer, table, commit.version))
         if source_watermark is not None:
-            self._note(layer, table, (*commit[:-1], source_watermark))
+            self._note(layer, table, (*commit[:5], source_watermark, None, None))
 
     def layout(self, layer: str, table: str) -> dict:
         """The ``publish`` arguments that keep the table's present file layout."""
@@ -158,13 +170,13 @@ class TableStore:
     def _path(self, layer: str, table: str, version: int) -> str:
         return f"{self.root}/{layer}/{table}/v{version:08d}"
 
-    def _commit(self, layer: str, table: str, before: int | None = None):
+    def _commit(self, layer: str, table: str, version: int | None = None):
         try:
             commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
         except AnalysisException:
             return None
-        if before is not None:
-            commits = commits.where(F.col("version") < before)
+        if version is not None:
+            commits = commits.where(F.col("version") == version)
         return commits.orderBy(F.desc("version"), F.desc_nulls_last("source_watermark")).first()
 
     def _open(self, layer: str, table: str, commit) -> DataFrame:

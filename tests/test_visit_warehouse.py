@@ -90,14 +90,14 @@ def put(directory, name, text):
     (directory / name).write_text(text.replace("\n", "\r\n") + "\r\n", newline="")
 
 
-@pytest.fixture(scope="module", params=[None, 4], ids=["plain", "bucketed"])
-def loaded(request, spark, tmp_path_factory):
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("load")
     files = base / "files"
     files.mkdir()
     for name, text in FILES.items():
         put(files, name, text)
-    wh = VisitWarehouse(spark, str(base / "warehouse"), clock=Clock(), buckets=request.param)
+    wh = VisitWarehouse(spark, str(base / "warehouse"), clock=Clock())
     wh.create_tables()
     wh.run(str(files))
     return wh, files
