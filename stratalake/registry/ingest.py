@@ -1,2 +1,189 @@
-QUERIES = {}
-ORACLE = {}
+"""File ingestion and table-store queries. The files are written from the given tables first."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratalake.functions.values import amount
+from stratalake.registry.roles import MONEY, table
+from stratalake.session import work_dir
+from stratalake.sources.csv_layer import physical_schema, read_csv_layer
+from stratalake.sources.ledger import FileLoader, list_files
+from stratalake.sources.store import TableStore
+
+COLUMNS = ["bill_id", "patient_id", "bill_amount", "bill_date", "note"]
+FILE_SCHEMA = physical_schema(COLUMNS, padding=2)
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField("bill_id", T.StringType()),
+        T.StructField("patient_id", T.StringType()),
+        T.StructField("bill_amount", T.DecimalType(12, 2)),
+        T.StructField("bill_date", T.StringType()),
+        T.StructField("note", T.StringType()),
+        T.StructField("file_name", T.StringType()),
+        T.StructField("load_timestamp", T.TimestampType()),
+    ]
+)
+
+
+def loaded_columns():
+    """The amount is typed on the way in, the rest stays text."""
+    return {**dict.fromkeys(COLUMNS), "bill_amount": amount("bill_amount", 12, 2)}
+
+
+def stamp():
+    return F.lit("2024-06-01 00:00:00").cast("timestamp")
+
+
+def _bills(spark, d):
+    """Orders as delivered text: a comma in the text, padding, null tokens, two unnamed columns."""
+    priority = F.col("o_orderpriority")
+    note = (
+        F.when(priority == "1-URGENT", F.lit("null"))
+        .when(priority == "2-HIGH", F.lit("high, very"))
+        .when(priority == "3-MEDIUM", F.lit(""))
+        .otherwise(F.concat(F.lit("  "), priority, F.lit(" ")))
+    )
+    money = F.when(F.col("o_orderstatus") == "P", F.lit("NULL")).otherwise(
+        F.col("o_totalprice").cast(MONEY).cast("string")
+    )
+    return table(spark, d, "orders").select(
+        F.concat(F.lit("B"), F.col("o_orderkey").cast("string")).alias("bill_id"),
+        F.col("o_custkey").cast("string").alias("patient_id"),
+        money.alias("bill_amount"),
+        F.date_format("o_orderdate", "dd-MM-yyyy").alias("bill_date"),
+        note.alias("note"),
+        F.lit(None).cast("string").alias("_x1"),
+        F.lit(None).cast("string").alias("_x2"),
+        "o_orderstatus",
+    )
+
+
+def _write_csv(rows, folder: str) -> str:
+    """CSV files with a header line each and CRLF line ends; padding is kept."""
+    out = rows.write.option("header", True).option("lineSep", "\r\n")
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return folder
+
+
+def bill_files(spark, d, label: str) -> str:
+    return _write_csv(_bills(spark, d).drop("o_orderstatus"), work_dir(spark, label))
+
+
+def _files_with_short_lines(spark, d) -> list[str]:
+    """Open orders are delivered with their first two fields only."""
+    folder = work_dir(spark, "bills-short")
+    is_open = F.col("o_orderstatus") == "O"
+    whole = _bills(spark, d).where(~is_open).drop("o_orderstatus")
+    short = _bills(spark, d).where(is_open).select("bill_id", "patient_id")
+    return [_write_csv(whole, f"{folder}/whole"), _write_csv(short, f"{folder}/short")]
+
+
+def csv_ingest_roundtrip(spark, d):
+    good, _ = read_csv_layer(spark, bill_files(spark, d, "bills"), FILE_SCHEMA, loaded_columns(), stamp())
+    named = F.col("file_name").endswith(".csv").alias("from_csv")
+    return good.select(*COLUMNS, named, F.col("load_timestamp").cast("timestamp_ntz").alias("load_timestamp"))
+
+
+def csv_ingest_skip_bad_rows(spark, d):
+    return read_csv_layer(spark, _files_with_short_lines(spark, d), FILE_SCHEMA, loaded_columns(), stamp())[0].select(*COLUMNS)
+
+
+def csv_ingest_rejected_lines(spark, d):
+    return read_csv_layer(spark, _files_with_short_lines(spark, d), FILE_SCHEMA, loaded_columns(), stamp())[1].select("line")
+
+
+def csv_ingest_pad_short_rows(spark, d):
+    paths = _files_with_short_lines(spark, d)
+    return read_csv_layer(spark, paths, FILE_SCHEMA, loaded_columns(), stamp(), short_lines="pad")[0].select(*COLUMNS)
+
+
+def _load(spark, d, label: str, force: bool):
+    """The same files offered to a raw table twice."""
+    folder = bill_files(spark, d, label)
+    store = TableStore(spark, work_dir(spark, f"{label}-store"))
+    store.create("raw", "bills", RAW_SCHEMA)
+    loader = FileLoader(store)
+    for _ in range(2):
+        loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp(), force=force)
+    return store.read("raw", "bills")
+
+
+def csv_load_once(spark, d):
+    return _load(spark, d, "once", False).select("bill_id", "bill_amount")
+
+
+def csv_force_reload(spark, d):
+    return _load(spark, d, "forced", True).groupBy("bill_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def staged_file_list(spark, d):
+    """The given tables themselves, as staged files."""
+    listed = list_files(spark, f"{d}/orders.parquet").unionByName(list_files(spark, f"{d}/lineitem.parquet"))
+    name = F.regexp_extract("path", r"/([a-z]+)\.parquet", 1).alias("table_name")
+    return listed.groupBy(name).agg((F.sum("length") > 0).alias("has_bytes"))
+
+
+def _customer_store(spark, d, label: str) -> TableStore:
+    store = TableStore(spark, work_dir(spark, label))
+    customers = table(spark, d, "customer")
+    store.create("raw", "customer", customers.schema)
+    store.append("raw", "customer", customers.where("c_acctbal >= 0"))
+    store.append("raw", "customer", customers.where("c_acctbal < 0"))
+    return store
+
+
+def table_append(spark, d):
+    return _customer_store(spark, d, "append").read("raw", "customer")
+
+
+def table_drop_column(spark, d):
+    store = _customer_store(spark, d, "drop")
+    store.drop_column("raw", "customer", "c_mktsegment")
+    return store.read("raw", "customer")
+
+
+def table_truncate(spark, d):
+    """Row counts before and after; the version before stays readable."""
+    store = _customer_store(spark, d, "truncate")
+    full = store.version("raw", "customer")
+    store.truncate("raw", "customer")
+    before = store.read("raw", "customer", version=full).agg(F.count(F.lit(1)).alias("rows_before"))
+    return before.withColumn("rows_after", F.lit(store.read("raw", "customer").count()))
+
+
+_BILLS_SQL = """(SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS bill_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+    CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS bill_amount,
+    strftime(o_orderdate, '%d-%m-%Y') AS bill_date, CASE o_orderpriority WHEN '1-URGENT' THEN NULL
+    WHEN '2-HIGH' THEN 'high, very' WHEN '3-MEDIUM' THEN NULL ELSE o_orderpriority END AS note, o_orderstatus FROM orders)"""
+
+QUERIES = {
+    "csv_ingest_roundtrip": csv_ingest_roundtrip,
+    "csv_ingest_skip_bad_rows": csv_ingest_skip_bad_rows,
+    "csv_ingest_rejected_lines": csv_ingest_rejected_lines,
+    "csv_ingest_pad_short_rows": csv_ingest_pad_short_rows,
+    "csv_load_once": csv_load_once,
+    "csv_force_reload": csv_force_reload,
+    "staged_file_list": staged_file_list,
+    "table_append": table_append,
+    "table_drop_column": table_drop_column,
+    "table_truncate": table_truncate,
+}
+
+ORACLE = {
+    "csv_ingest_roundtrip": f"""SELECT * EXCLUDE (o_orderstatus), true AS from_csv,
+        TIMESTAMP '2024-06-01 00:00:00' AS load_timestamp FROM {_BILLS_SQL}""",
+    "csv_ingest_skip_bad_rows": f"SELECT * EXCLUDE (o_orderstatus) FROM {_BILLS_SQL} WHERE o_orderstatus <> 'O'",
+    "csv_ingest_rejected_lines": f"SELECT bill_id || ',' || patient_id AS line FROM {_BILLS_SQL} WHERE o_orderstatus = 'O'",
+    "csv_ingest_pad_short_rows": f"""SELECT bill_id, patient_id,
+        CASE WHEN o_orderstatus <> 'O' THEN bill_amount END AS bill_amount,
+        CASE WHEN o_orderstatus <> 'O' THEN bill_date END AS bill_date,
+        CASE WHEN o_orderstatus <> 'O' THEN note END AS note FROM {_BILLS_SQL}""",
+    "csv_load_once": f"SELECT bill_id, bill_amount FROM {_BILLS_SQL}",
+    "csv_force_reload": f"SELECT bill_id, CAST(2 AS BIGINT) AS copies FROM {_BILLS_SQL}",
+    "staged_file_list": "SELECT unnest(['orders', 'lineitem']) AS table_name, true AS has_bytes",
+    "table_append": "SELECT * FROM customer",
+    "table_drop_column": "SELECT * EXCLUDE (c_mktsegment) FROM customer",
+    "table_truncate": "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM customer",
+}

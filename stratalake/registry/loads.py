@@ -1,2 +1,438 @@
-QUERIES = {}
-ORACLE = {}
+"""Incremental, dedup, upsert, star-load and lookup queries.
+
+First loads and deltas are cut from the tables by their own dates, states and
+balances, as a feed would: orders before a day are the earlier load, orders in
+some states come again changed, and so on.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stratalake.functions.rules import BAD, VALIDATED, validate_struct
+from stratalake.functions.values import amount
+from stratalake.operators.incremental import dedup_latest, incremental_filter, watermark
+from stratalake.operators.quality import require
+from stratalake.operators.star import DimRef, load_dimension, load_fact, orphans, resolve_keys, with_match
+from stratalake.operators.upsert import assign_keys, upsert
+from stratalake.plans import kpi
+from stratalake.plans.tables import RAW
+from stratalake.plans.visits import AMOUNTS, LOAD_DAY, VISIT_CHECK, VisitWarehouse
+from stratalake.registry.roles import DOCTOR_SQL, MONEY, RAW_SQL, STATUS_SQL, amount_sql, date_sql, doctor_dim
+from stratalake.registry.roles import missing_sql, raw_visits, sum_sql, table
+from stratalake.session import work_dir
+
+# -- dedup and watermark ---------------------------------------------------
+
+_LINE = ["l_orderkey", "l_linenumber"]
+_LINE_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_REST += ["l_returnflag", "l_linestatus"]
+
+
+def dedup_lines(spark, d):
+    return dedup_latest(table(spark, d, "lineitem"), _LINE, "l_shipdate", _LINE_REST)
+
+
+def dedup_events(spark, d):
+    return dedup_latest(table(spark, d, "events"), ["user_id"], "ts", ["event_id"])
+
+
+def dedup_hot_key(spark, d):
+    """A handful of keys share all the rows."""
+    return dedup_latest(table(spark, d, "events"), ["event_type"], "ts", ["event_id"])
+
+
+def dedup_trimmed_key(spark, d):
+    rows = raw_visits(spark, d).withColumn("visit_id", F.trim("visit_id")).select("visit_id", "visit_date", "lab_cost")
+    return dedup_latest(rows, ["visit_id"], "visit_date")
+
+
+def new_events(spark, d):
+    events = table(spark, d, "events")
+    loaded = events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    return incremental_filter(events, "ts", watermark(loaded, "ts"))
+
+
+def new_events_empty_target(spark, d):
+    events = table(spark, d, "events")
+    loaded = events.where(F.col("value") < 0)
+    return incremental_filter(events, "ts", watermark(loaded, "ts"))
+
+
+# -- upsert ----------------------------------------------------------------
+
+_EARLY = "1999-01-01"
+
+
+def _orders(spark, d):
+    return table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast(MONEY).alias("price"), "o_orderdate"
+    )
+
+
+def _loaded_orders(spark, d):
+    return _orders(spark, d).where(F.col("o_orderdate") < F.lit(_EARLY).cast("timestamp_ntz"))
+
+
+def _order_delta(spark, d):
+    changed = _orders(spark, d).where(F.col("o_orderstatus") != "F")
+    return changed.withColumn("price", (F.col("price") + 100).cast(MONEY))
+
+
+def upsert_orders(spark, d):
+    return upsert(_loaded_orders(spark, d), _order_delta(spark, d), ["o_orderkey"])
+
+
+def upsert_orders_large(spark, d):
+    """The path for a delta too large to broadcast."""
+    return upsert(_loaded_orders(spark, d), _order_delta(spark, d), ["o_orderkey"], broadcast_keys=0)
+
+
+def _some_columns(spark, d, **how):
+    delta = _order_delta(spark, d).withColumn("o_orderstatus", F.lit("X")).drop("o_custkey")
+    return upsert(_loaded_orders(spark, d), delta, ["o_orderkey"], update=["price"], **how)
+
+
+def upsert_some_columns(spark, d):
+    return _some_columns(spark, d)
+
+
+def upsert_some_columns_large(spark, d):
+    return _some_columns(spark, d, broadcast_keys=0)
+
+
+def upsert_twice(spark, d):
+    delta = _order_delta(spark, d)
+    return upsert(upsert(_loaded_orders(spark, d), delta, ["o_orderkey"]), delta, ["o_orderkey"])
+
+
+def merge_visits(spark, d):
+    """Filter, rank, keep one, upsert: delivered visits onto those shipped before a day."""
+    rows = require(raw_visits(spark, d), ["visit_id", "patient_id"])
+    rows = rows.withColumn("v", validate_struct(VISIT_CHECK)).where(F.col("v.status") != BAD)
+    shaped = rows.select(
+        F.trim("visit_id").alias("visit_id"),
+        F.trim("patient_id").alias("patient_id"),
+        F.col("v.visit_date").alias("visit_date"),
+        *[amount(c).alias(c) for c in AMOUNTS],
+        F.col("v.total_charges").alias("total_charges"),
+        F.col("v.status").alias("billing_status"),
+    )
+    latest = dedup_latest(shaped, ["visit_id"], "visit_date")
+    before = latest.where(F.col("visit_date") < F.lit(_EARLY).cast("date")).withColumn("billing_status", F.lit("OLD"))
+    return upsert(before, latest.where(F.col("billing_status") == "INVALID"), ["visit_id"])
+
+
+# -- star ------------------------------------------------------------------
+
+
+def _customers(spark, d):
+    return table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+
+
+def _customer_dim(spark, d):
+    """Customers with money in the account, loaded earlier under an old name."""
+    early = _customers(spark, d).where(F.col("c_acctbal") > 0).withColumn("c_name", F.lit("old"))
+    return assign_keys(early, "c_custkey", "customer_key").select("customer_key", "c_custkey", "c_name", "c_mktsegment")
+
+
+def _reloaded_dim(spark, d):
+    dim = _customer_dim(spark, d)
+    return load_dimension(
+        dim, _customers(spark, d), "c_custkey", "customer_key", ["c_name"], promote_if=F.col("c_mktsegment") != "MACHINERY"
+    )
+
+
+def dimension_load(spark, d):
+    return _reloaded_dim(spark, d).select("c_custkey", "c_name", "c_mktsegment")
+
+
+def surrogate_key_properties(spark, d):
+    k = F.col("customer_key")
+    return assign_keys(_customers(spark, d), "c_custkey", "customer_key", start_after=100).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.countDistinct(k).alias("keys"),
+        F.min(k).alias("lowest"),
+        F.max(k).alias("highest"),
+    )
+
+
+def surrogate_key_stable(spark, d):
+    """Keys held before a second load against the same customers' keys after it, and the new ones."""
+    held = _customer_dim(spark, d).select("c_custkey", F.col("customer_key").alias("before"))
+    both = _reloaded_dim(spark, d).join(held, "c_custkey", "left")
+    known = F.col("before").isNotNull()
+    return both.agg(
+        F.count_if(known & (F.col("before") != F.col("customer_key"))).alias("changed_keys"),
+        F.count_if(~known).alias("new_keys"),
+        (F.max("customer_key") - F.max("before")).alias("key_growth"),
+        F.countDistinct("customer_key").alias("keys"),
+    )
+
+
+def _part_dim(spark, d):
+    """Parts above a size: visits to the smaller ones find no patient."""
+    parts = table(spark, d, "part").where(F.col("p_size") > 10)
+    return assign_keys(parts.select("p_partkey", "p_brand"), "p_partkey", "patient_key")
+
+
+def _supplier_dim(spark, d):
+    rows = table(spark, d, "supplier").where(F.col("s_acctbal") >= 0)
+    return assign_keys(rows.select("s_suppkey", "s_name"), "s_suppkey", "doctor_key")
+
+
+def _visits(spark, d):
+    return (
+        table(spark, d, "lineitem")
+        .select(
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("visit_id"),
+            "l_partkey",
+            "l_suppkey",
+            F.col("l_extendedprice").cast(MONEY).alias("total_charges"),
+            F.col("l_shipdate").cast("date").alias("visit_date"),
+        )
+        .transform(lambda v: dedup_latest(v, ["visit_id"], "visit_date"))
+    )
+
+
+def _dim_refs(spark, d):
+    return [
+        DimRef(_part_dim(spark, d), "p_partkey", "patient_key", "l_partkey"),
+        DimRef(_supplier_dim(spark, d), "s_suppkey", "doctor_key", "l_suppkey"),
+    ]
+
+
+def _natural(spark, d, keyed):
+    """Surrogate keys turned back into the natural ones, to compare with plain SQL."""
+    return (
+        keyed.join(_part_dim(spark, d).select("patient_key", "p_partkey"), "patient_key", "left")
+        .join(_supplier_dim(spark, d).select("doctor_key", "s_suppkey"), "doctor_key", "left")
+        .select("visit_id", "p_partkey", "s_suppkey", "total_charges", "visit_date")
+    )
+
+
+def resolve_dimension_keys(spark, d):
+    return _natural(spark, d, resolve_keys(_visits(spark, d), _dim_refs(spark, d)))
+
+
+def resolve_dimension_keys_large(spark, d):
+    """The path for dimensions too large to broadcast; a supplier above 1/50 of the rows counts as hot."""
+    return _natural(
+        spark, d, resolve_keys(_visits(spark, d), _dim_refs(spark, d), broadcast_rows=0, hot_share=50)
+    )
+
+
+def fact_load(spark, d):
+    """Visits before a day, then all of them, into one fact."""
+    visits = _visits(spark, d)
+    first = visits.where(F.col("visit_date") < F.lit(_EARLY).cast("date"))
+    empty = (
+        assign_keys(resolve_keys(first, _dim_refs(spark, d)), "visit_id", "visit_key")
+        .select("visit_key", "visit_id", "patient_key", "doctor_key", "visit_date", "total_charges")
+        .withColumn("total_charges", F.lit(0).cast(MONEY))
+    )
+    fact = load_fact(
+        empty, visits, _dim_refs(spark, d), "visit_id", "visit_key", ["visit_date", "total_charges"], trusted=True
+    )
+    return _natural(spark, d, fact)
+
+
+def lookup_orphans(spark, d):
+    return orphans(table(spark, d, "orders"), _solvent(spark, d), "o_custkey", "c_custkey")
+
+
+def lookup_valid(spark, d):
+    return with_match(table(spark, d, "orders"), _solvent(spark, d), "o_custkey", "c_custkey")
+
+
+def lookup_orphans_large(spark, d):
+    return orphans(table(spark, d, "orders"), _solvent(spark, d), "o_custkey", "c_custkey", broadcast_rows=0)
+
+
+def lookup_valid_large(spark, d):
+    return with_match(table(spark, d, "orders"), _solvent(spark, d), "o_custkey", "c_custkey", broadcast_rows=0)
+
+
+def _solvent(spark, d):
+    return table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+
+
+# -- all layers ------------------------------------------------------------
+
+
+def visit_layers(spark, d):
+    """Delivered text -> raw -> validated and quarantine -> star -> department report."""
+    wh = VisitWarehouse(spark, work_dir(spark, "visit-layers"))
+    wh.create_tables()
+    stamp = F.lit("2024-06-01 00:00:00").cast("timestamp")
+
+    def put(name, df):
+        lineage = {"file_name": F.lit("feed"), "load_timestamp": stamp, LOAD_DAY: stamp.cast("date")}
+        wh.store.append(RAW, name, df.withColumns(lineage))
+
+    put("raw_patient_visits", raw_visits(spark, d).withColumn("total_bill", F.lit(None).cast("string")))
+    parts = table(spark, d, "part")
+    put(
+        "raw_dim_patient",
+        parts.select(
+            F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("patient_id"),
+            F.col("p_name").alias("full_name"),
+            F.col("p_type").alias("city"),
+        ),
+    )
+    doctors = doctor_dim(spark, d)
+    put("raw_dim_doctor", doctors.withColumn("doctor_id", F.concat(F.lit("D"), F.col("doctor_key").cast("string"))))
+    for feed in ("patients", "doctors"):
+        wh.validate(feed)
+    wh.quarantine()
+    wh.validate("visits")
+    wh.load_dims()
+    wh.load_visits_fact()
+    bad = wh.table("validated", "bad_patient_data").agg(
+        F.lit("(quarantine)").alias("department"),
+        F.count(F.lit(1)).alias("total_visits"),
+        F.sum("total_charges").cast("decimal(18,2)").alias("total_revenue"),
+    )
+    return wh.department_performance().unionByName(bad)
+
+
+# -- SQL -------------------------------------------------------------------
+
+
+def _latest_sql(source: str, keys: str, order: str, cols: str = "*") -> str:
+    return f"""SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS pos
+        FROM {source}) WHERE pos = 1"""
+
+
+def _desc(*cols: str) -> str:
+    return ", ".join(f"{c} DESC NULLS FIRST" for c in cols)
+
+
+_ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS price, o_orderdate
+    FROM orders"""
+_OLD_SQL = f"(SELECT * FROM ({_ORDERS_SQL}) WHERE o_orderdate < TIMESTAMP '{_EARLY}')"
+_DELTA_SQL = f"""(SELECT * REPLACE (CAST(price + 100 AS DECIMAL(12,2)) AS price) FROM ({_ORDERS_SQL})
+    WHERE o_orderstatus <> 'F')"""
+_UPSERT_SQL = f"""SELECT * FROM {_OLD_SQL} o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_DELTA_SQL})
+    UNION ALL SELECT * FROM {_DELTA_SQL}"""
+_SOME_SQL = f"""SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_custkey AS o_custkey,
+    CASE WHEN t.o_orderkey IS NULL THEN 'X' ELSE t.o_orderstatus END AS o_orderstatus,
+    coalesce(s.price, t.price) AS price, coalesce(t.o_orderdate, s.o_orderdate) AS o_orderdate
+    FROM {_OLD_SQL} t FULL JOIN {_DELTA_SQL} s ON t.o_orderkey = s.o_orderkey"""
+
+_LINES_SQL = """(SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS visit_id, l_partkey,
+    l_suppkey, CAST(l_extendedprice AS DECIMAL(12,2)) AS total_charges, CAST(l_shipdate AS DATE) AS visit_date
+    FROM lineitem)"""
+_VISITS_SQL = _latest_sql(
+    _LINES_SQL,
+    "visit_id",
+    _desc("visit_date", "l_partkey", "l_suppkey", "total_charges"),
+    "visit_id, l_partkey, l_suppkey, total_charges, visit_date",
+)
+_RESOLVED_SQL = f"""SELECT visit_id, p_partkey, s_suppkey, total_charges, visit_date FROM ({_VISITS_SQL})
+    LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON l_partkey = p_partkey
+    LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) ON l_suppkey = s_suppkey"""
+
+_MONEY_COLS = ", ".join(f"{amount_sql(c)} AS {c}" for c in AMOUNTS)
+_SHAPED_SQL = f"""(SELECT trim(visit_id) AS visit_id, trim(patient_id) AS patient_id, trim(doctor_id) AS doctor_id,
+    trim(department_id) AS department_id, {date_sql('visit_date')} AS visit_date, {_MONEY_COLS},
+    {sum_sql()} AS total_charges, {STATUS_SQL} AS status
+    FROM {RAW_SQL} WHERE NOT {missing_sql('patient_id')})"""
+_MERGED_SQL = _latest_sql(
+    _SHAPED_SQL,
+    "visit_id",
+    _desc("visit_date", "patient_id", *AMOUNTS, "total_charges", "status"),
+    f"visit_id, patient_id, visit_date, {', '.join(AMOUNTS)}, total_charges, status AS billing_status",
+)
+_LAYERS_LATEST_SQL = _latest_sql(
+    _SHAPED_SQL,
+    "visit_id",
+    _desc(
+        "patient_id",
+        "doctor_id",
+        "department_id",
+        "visit_date",
+        *AMOUNTS,
+        "total_charges",
+        "(CASE WHEN status = 'INVALID' THEN 'INVALID' ELSE 'VALID' END)",
+    ),
+)
+_REST = "c_custkey, c_name, c_mktsegment"
+
+QUERIES = {
+    "dedup_latest": dedup_lines,
+    "dedup_latest_events": dedup_events,
+    "dedup_latest_hot_key": dedup_hot_key,
+    "dedup_latest_trimmed_key": dedup_trimmed_key,
+    "incremental_filter": new_events,
+    "incremental_filter_empty_target": new_events_empty_target,
+    "upsert_update_insert": upsert_orders,
+    "upsert_large_delta": upsert_orders_large,
+    "upsert_some_columns": upsert_some_columns,
+    "upsert_some_columns_large_delta": upsert_some_columns_large,
+    "upsert_idempotent": upsert_twice,
+    "merge_visits": merge_visits,
+    "dimension_load": dimension_load,
+    "surrogate_key_properties": surrogate_key_properties,
+    "surrogate_key_stable": surrogate_key_stable,
+    "resolve_dimension_keys": resolve_dimension_keys,
+    "resolve_dimension_keys_large": resolve_dimension_keys_large,
+    "fact_load_resolve_keys": fact_load,
+    "lookup_validation_orphans": lookup_orphans,
+    "lookup_validation_valid": lookup_valid,
+    "lookup_validation_orphans_large": lookup_orphans_large,
+    "lookup_validation_valid_large": lookup_valid_large,
+    "visit_layers_end_to_end": visit_layers,
+}
+
+_LINE_COLS = ", ".join([*_LINE, *_LINE_REST, "l_shipdate"])
+_EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+_ORPHANS_SQL = "SELECT * FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)"
+_FOUND_SQL = "SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)"
+
+ORACLE = {
+    "dedup_latest": _latest_sql("lineitem", ", ".join(_LINE), _desc("l_shipdate", *_LINE_REST), _LINE_COLS),
+    "dedup_latest_events": _latest_sql("events", "user_id", "ts DESC, event_id DESC", _EVENT_COLS),
+    "dedup_latest_hot_key": _latest_sql("events", "event_type", "ts DESC, event_id DESC", _EVENT_COLS),
+    "dedup_latest_trimmed_key": _latest_sql(
+        f"(SELECT trim(visit_id) AS visit_id, visit_date, lab_cost FROM {RAW_SQL})",
+        "visit_id",
+        _desc("visit_date", "lab_cost"),
+        "visit_id, visit_date, lab_cost",
+    ),
+    "incremental_filter": """SELECT * FROM events
+        WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16')""",
+    "incremental_filter_empty_target": "SELECT * FROM events",
+    "upsert_update_insert": _UPSERT_SQL,
+    "upsert_large_delta": _UPSERT_SQL,
+    "upsert_some_columns": _SOME_SQL,
+    "upsert_some_columns_large_delta": _SOME_SQL,
+    "upsert_idempotent": _UPSERT_SQL,
+    "merge_visits": f"""WITH m AS ({_MERGED_SQL})
+        SELECT * FROM m WHERE billing_status = 'INVALID' UNION ALL
+        SELECT * REPLACE ('OLD' AS billing_status) FROM m
+        WHERE billing_status <> 'INVALID' AND visit_date < DATE '{_EARLY}'""",
+    "dimension_load": f"""SELECT {_REST} FROM (SELECT c_custkey, c_acctbal, c_mktsegment AS seg,
+        CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name ELSE 'old' END AS c_name,
+        CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS c_mktsegment FROM customer)
+        WHERE c_acctbal > 0 OR seg <> 'MACHINERY'""",
+    "surrogate_key_properties": """SELECT count(*) AS row_count, count(DISTINCT c_custkey) AS keys, CAST(101 AS BIGINT) AS lowest,
+        100 + count(*) AS highest FROM customer""",
+    "surrogate_key_stable": """SELECT CAST(0 AS BIGINT) AS changed_keys,
+        count(*) FILTER (c_acctbal <= 0 AND c_mktsegment <> 'MACHINERY') AS new_keys,
+        count(*) FILTER (c_acctbal <= 0 AND c_mktsegment <> 'MACHINERY') AS key_growth,
+        count(*) FILTER (c_acctbal > 0 OR c_mktsegment <> 'MACHINERY') AS keys FROM customer""",
+    "resolve_dimension_keys": _RESOLVED_SQL,
+    "resolve_dimension_keys_large": _RESOLVED_SQL,
+    "fact_load_resolve_keys": _RESOLVED_SQL,
+    "lookup_validation_orphans": _ORPHANS_SQL,
+    "lookup_validation_valid": _FOUND_SQL,
+    "lookup_validation_orphans_large": _ORPHANS_SQL,
+    "lookup_validation_valid_large": _FOUND_SQL,
+    "visit_layers_end_to_end": f"""SELECT department, count(*) AS total_visits,
+        CAST(sum(total_charges) AS DECIMAL(18,2)) AS total_revenue
+        FROM ({_LAYERS_LATEST_SQL}) v JOIN {DOCTOR_SQL} d ON v.doctor_id = 'D' || CAST(d.doctor_key AS VARCHAR)
+        GROUP BY department
+        UNION ALL SELECT '(quarantine)', count(*), CAST(sum({sum_sql()}) AS DECIMAL(18,2))
+        FROM {RAW_SQL} WHERE {missing_sql('patient_id')}""",
+}
