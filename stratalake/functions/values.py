@@ -5,11 +5,12 @@ Everything here is safe under ANSI mode: text that does not parse gives NULL.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.text import _col
@@ -18,9 +19,30 @@ from stratalake.functions.text import _col
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd")
 
 
+_PARTS = {"yyyy": r"\d{4}", "MM": r"(?:0[1-9]|1[0-2])", "dd": r"(?:0[1-9]|[12]\d|3[01])"}
+_PART = re.compile("yyyy|MM|dd")
+
+
+def parse_date(c: Column | str, fmt: str) -> Column:
+    """The date in ``c`` under one format, NULL if it does not fit it exactly.
+
+    A format with one two-digit day, one two-digit month and one four-digit year
+    is matched by pattern and cast from ISO order. The general parser raises an
+    exception inside for each text that does not fit, which costs far more, and
+    texts of another format are the normal case here.
+    """
+    c = _col(c)
+    if sorted(_PART.findall(fmt)) != sorted(_PARTS) or re.search("[A-Za-z']", _PART.sub("", fmt)):
+        return F.try_to_date(c, fmt)
+    literals = iter([re.escape(x) for x in _PART.split(fmt)])
+    pattern = next(literals) + "".join(_PARTS[p] + next(literals) for p in _PART.findall(fmt))
+    pieces = [F.substring(c, fmt.index(p) + 1, len(p)) for p in ("yyyy", "MM", "dd")]
+    return F.when(c.rlike(rf"\A{pattern}\z"), F.concat_ws("-", *pieces).try_cast("date"))
+
+
 def std_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
     """The date under the first format that fits, else NULL."""
-    return F.coalesce(*[F.try_to_date(_col(c), f) for f in formats])
+    return F.coalesce(*[parse_date(c, f) for f in formats])
 
 
 def amount(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
@@ -28,6 +50,11 @@ def amount(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
+def parse_amounts(df: DataFrame, cols: Iterable[str], precision: int = 10, scale: int = 2) -> DataFrame:
+    """Text amounts replaced by decimals, once; :func:`amount` of such a column costs nothing."""
+    return df.withColumns({c: amount(c, precision, scale) for c in cols})
+
+
 def total(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Column:
     """Sum of the readable components; a missing or unreadable one counts as zero."""
     parts = [F.coalesce(amount(c, precision, scale), F.lit(0).cast(f"decimal({precision},{scale})")) for c in cols]

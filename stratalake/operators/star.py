@@ -63,13 +63,14 @@ def resolve_keys(
     hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Add each dimension's surrogate key; NULL where the dimension has no such row."""
+    given = rows
     for ref in dims:
         fact_col = ref.fact_col or ref.natural_key
         pairs = ref.dim.select(F.col(ref.natural_key).alias(fact_col), ref.key_col)
         if pairs.count() <= broadcast_rows:
             rows = rows.join(F.broadcast(pairs), fact_col, "left")
         else:
-            rows = _lookup_large(rows, pairs, fact_col, ref.key_col, hot_share)
+            rows = _lookup_large(rows, pairs, fact_col, ref.key_col, hot_keys(given, fact_col, hot_share))
     return rows
 
 
@@ -79,20 +80,25 @@ def hot_keys(rows: DataFrame, col: str, share: int = HOT_SHARE) -> list:
     return [r[0] for r in counts.where(F.col("__n") > rows.count() / share).select(col).collect()]
 
 
-def _lookup_large(rows: DataFrame, pairs: DataFrame, col: str, value_col: str, share: int) -> DataFrame:
+def _lookup_large(rows: DataFrame, pairs: DataFrame, col: str, value_col: str, hot_values: list) -> DataFrame:
     """Left join with a large unique lookup that no hot or NULL key can pile up in one task.
 
-    Hot keys take their value from a broadcast of fewer than ``share`` pairs.
-    Those rows, and rows without a key, pass the shuffle join under scattered
-    slots that match nothing; all others use slot 0, where the lookup sits. The
-    slot is a hash of the row, so a lost task places its rows the same way again.
+    Hot keys (see :func:`hot_keys`, so a short list) take their value from a
+    broadcast. The shuffle join runs on key and slot. Lookup and ordinary rows
+    use the slot their key hashes to; rows already settled, and rows without a
+    key, get one from a hash of the whole row, outside that range: they scatter
+    and match nothing. A lost task places its rows the same way again.
     """
-    hot = F.col(col).isin(hot_keys(rows, col, share))
+    hot = F.col(col).isin(hot_values)
     hot_pairs = pairs.where(hot).withColumnRenamed(value_col, "__hot")
-    scatter = F.lit(1) + F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int")
+
+    def slot(*cols):
+        return F.pmod(F.xxhash64(*cols), F.lit(SPREAD)).cast("int")
+
     settled = F.col(col).isNull() | hot
-    marked = rows.withColumn("__slot", F.when(settled, scatter).otherwise(0)).join(F.broadcast(hot_pairs), col, "left")
-    joined = marked.join(pairs.withColumn("__slot", F.lit(0)), [col, "__slot"], "left")
+    placed = F.when(settled, slot(*rows.columns) + SPREAD).otherwise(slot(col))
+    marked = rows.withColumn("__slot", placed).join(F.broadcast(hot_pairs), col, "left")
+    joined = marked.join(pairs.withColumn("__slot", slot(col)), [col, "__slot"], "left")
     return joined.select(*rows.columns, F.coalesce("__hot", value_col).alias(value_col))
 
 
@@ -137,6 +143,6 @@ def _by_presence(rows, dim, key, dim_key, broadcast_rows, present: bool) -> Data
     if known.count() <= broadcast_rows:
         return rows.join(F.broadcast(known), key, "left_semi" if present else "left_anti").select(*rows.columns)
     known = known.where(F.col(key).isNotNull()).distinct().withColumn("__known", F.lit(True))
-    marked = _lookup_large(rows, known, key, "__known", HOT_SHARE)
+    marked = _lookup_large(rows, known, key, "__known", hot_keys(rows, key))
     wanted = F.col("__known").isNotNull() if present else F.col("__known").isNull()
     return marked.where(wanted).select(*rows.columns)

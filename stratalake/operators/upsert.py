@@ -63,6 +63,9 @@ def upsert(
     if set(update) - set(given):
         raise ValueError(f"source lacks {sorted(set(update) - set(given))}")
     rows = check_source(source, keys) if unique_rows is None else unique_rows
+    if target.isEmpty():  # first load: nothing to match
+        blank = [F.lit(None).alias(c) for c in rest if c not in given]
+        return source.select(*keys, *given, *blank).select(*[_typed(target, c, F.col(c)) for c in target.columns])
     if rows <= broadcast_keys:
         return _merge_small(target, source, keys, rest, given, update)
     return _merge_large(target, source, keys, rest, given, update)
@@ -140,9 +143,9 @@ def assign_keys(
     )
 
 
-def max_key(target: DataFrame, key_col: str) -> int:
-    """Highest surrogate key in use, 0 for an empty table."""
-    return target.agg(F.max(key_col)).first()[0] or 0
+def max_key(target: DataFrame, key_col: str) -> int | None:
+    """Highest surrogate key in use, None for an empty table."""
+    return target.agg(F.max(key_col)).first()[0]
 
 
 def with_surrogate_keys(
@@ -159,6 +162,9 @@ def with_surrogate_keys(
     fetch the keys in use, so the target is not shuffled; a large one is joined
     once and the outcome staged, as three later steps read it.
     """
+    top = max_key(target, key_col)
+    if top is None:  # first load: every row is new
+        return assign_keys(source, natural_key, key_col)
     held = target.select(natural_key, key_col)
     if rows <= broadcast_keys:
         held = held.join(F.broadcast(source.select(natural_key)), natural_key, "left_semi")
@@ -166,5 +172,5 @@ def with_surrogate_keys(
     else:
         joined = stage(source.join(held, natural_key, "left"), f"keys-{key_col}")
     fresh = joined.where(F.col(key_col).isNull()).drop(key_col)
-    numbered = assign_keys(fresh, natural_key, key_col, max_key(target, key_col))
+    numbered = assign_keys(fresh, natural_key, key_col, top)
     return joined.where(F.col(key_col).isNotNull()).unionByName(numbered)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions.rules import BAD, INVALID, VALID, VALIDATED, RowCheck, negative_status, validate_struct
 from stratalake.functions.rules import register_validation, text_status
-from stratalake.functions.values import amount, std_date
+from stratalake.functions.values import amount, parse_amounts, std_date
 from stratalake.operators.incremental import EPOCH, dedup_latest, incremental_filter, watermark
 from stratalake.operators.quality import Rule, assert_schema, conform, missing_id_rule, require, split_bad
 from stratalake.operators.star import DimRef, load_dimension, load_fact
@@ -242,7 +242,8 @@ class VisitWarehouse:
         fresh = self._new_raw(feed.source, feed.target)
         rows = require(fresh, feed.required)
         if feed_name == "visits":
-            rows = rows.withColumn("__v", validate_struct(VISIT_CHECK)).where(F.col("__v.status") != BAD)
+            rows = parse_amounts(rows, AMOUNTS).withColumn("__v", validate_struct(VISIT_CHECK))
+            rows = rows.where(F.col("__v.status") != BAD)
         shaped = rows.select(
             *[e.alias(c) for c, e in feed.columns.items()],
             F.col("file_name").alias("source_file_name"),
@@ -265,7 +266,7 @@ class VisitWarehouse:
             raw = self._new_raw("raw_patient_visits", target)
         else:
             raw = self.store.read(RAW, "raw_patient_visits")
-        _, bad = split_bad(raw, rules or [missing_id_rule("patient_id")])
+        _, bad = split_bad(parse_amounts(raw, AMOUNTS), rules or [missing_id_rule("patient_id")])
         v = validate_struct(VISIT_CHECK)
         rows = bad.select(
             "visit_id",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.functions.rules import BAD, VALIDATED, validate_struct
-from stratalake.functions.values import amount
+from stratalake.functions.values import amount, parse_amounts
 from stratalake.operators.incremental import dedup_latest, incremental_filter, watermark
 from stratalake.operators.quality import require
 from stratalake.operators.star import DimRef, load_dimension, load_fact, orphans, resolve_keys, with_match
@@ -21,6 +21,7 @@ from stratalake.plans.visits import AMOUNTS, LOAD_DAY, VISIT_CHECK, VisitWarehou
 from stratalake.registry.roles import DOCTOR_SQL, MONEY, RAW_SQL, STATUS_SQL, amount_sql, date_sql, doctor_dim
 from stratalake.registry.roles import missing_sql, raw_visits, sum_sql, table
 from stratalake.session import work_dir
+from stratalake.sources.staging import stage
 
 # -- dedup and watermark ---------------------------------------------------
 
@@ -109,7 +110,7 @@ def upsert_twice(spark, d):
 def merge_visits(spark, d):
     """Filter, rank, keep one, upsert: delivered visits onto those shipped before a day."""
     rows = require(raw_visits(spark, d), ["visit_id", "patient_id"])
-    rows = rows.withColumn("v", validate_struct(VISIT_CHECK)).where(F.col("v.status") != BAD)
+    rows = parse_amounts(rows, AMOUNTS).withColumn("v", validate_struct(VISIT_CHECK)).where(F.col("v.status") != BAD)
     shaped = rows.select(
         F.trim("visit_id").alias("visit_id"),
         F.trim("patient_id").alias("patient_id"),
@@ -118,7 +119,7 @@ def merge_visits(spark, d):
         F.col("v.total_charges").alias("total_charges"),
         F.col("v.status").alias("billing_status"),
     )
-    latest = dedup_latest(shaped, ["visit_id"], "visit_date")
+    latest = stage(dedup_latest(shaped, ["visit_id"], "visit_date"), "visits")
     before = latest.where(F.col("visit_date") < F.lit(_EARLY).cast("date")).withColumn("billing_status", F.lit("OLD"))
     return upsert(before, latest.where(F.col("billing_status") == "INVALID"), ["visit_id"])
 
@@ -133,18 +134,18 @@ def _customers(spark, d):
 def _customer_dim(spark, d):
     """Customers with money in the account, loaded earlier under an old name."""
     early = _customers(spark, d).where(F.col("c_acctbal") > 0).withColumn("c_name", F.lit("old"))
-    return assign_keys(early, "c_custkey", "customer_key").select("customer_key", "c_custkey", "c_name", "c_mktsegment")
+    keyed = assign_keys(early, "c_custkey", "customer_key")
+    return stage(keyed.select("customer_key", "c_custkey", "c_name", "c_mktsegment"), "customer-dim")
 
 
-def _reloaded_dim(spark, d):
-    dim = _customer_dim(spark, d)
+def _reloaded_dim(spark, d, dim):
     return load_dimension(
         dim, _customers(spark, d), "c_custkey", "customer_key", ["c_name"], promote_if=F.col("c_mktsegment") != "MACHINERY"
     )
 
 
 def dimension_load(spark, d):
-    return _reloaded_dim(spark, d).select("c_custkey", "c_name", "c_mktsegment")
+    return _reloaded_dim(spark, d, _customer_dim(spark, d)).select("c_custkey", "c_name", "c_mktsegment")
 
 
 def surrogate_key_properties(spark, d):
@@ -159,8 +160,9 @@ def surrogate_key_properties(spark, d):
 
 def surrogate_key_stable(spark, d):
     """Keys held before a second load against the same customers' keys after it, and the new ones."""
-    held = _customer_dim(spark, d).select("c_custkey", F.col("customer_key").alias("before"))
-    both = _reloaded_dim(spark, d).join(held, "c_custkey", "left")
+    dim = _customer_dim(spark, d)
+    held = dim.select("c_custkey", F.col("customer_key").alias("before"))
+    both = _reloaded_dim(spark, d, dim).join(held, "c_custkey", "left")
     known = F.col("before").isNotNull()
     return both.agg(
         F.count_if(known & (F.col("before") != F.col("customer_key"))).alias("changed_keys"),
@@ -173,12 +175,12 @@ def surrogate_key_stable(spark, d):
 def _part_dim(spark, d):
     """Parts above a size: visits to the smaller ones find no patient."""
     parts = table(spark, d, "part").where(F.col("p_size") > 10)
-    return assign_keys(parts.select("p_partkey", "p_brand"), "p_partkey", "patient_key")
+    return stage(assign_keys(parts.select("p_partkey", "p_brand"), "p_partkey", "patient_key"), "part-dim")
 
 
 def _supplier_dim(spark, d):
     rows = table(spark, d, "supplier").where(F.col("s_acctbal") >= 0)
-    return assign_keys(rows.select("s_suppkey", "s_name"), "s_suppkey", "doctor_key")
+    return stage(assign_keys(rows.select("s_suppkey", "s_name"), "s_suppkey", "doctor_key"), "supplier-dim")
 
 
 def _visits(spark, d):
@@ -191,7 +193,7 @@ def _visits(spark, d):
             F.col("l_extendedprice").cast(MONEY).alias("total_charges"),
             F.col("l_shipdate").cast("date").alias("visit_date"),
         )
-        .transform(lambda v: dedup_latest(v, ["visit_id"], "visit_date"))
+        .transform(lambda v: stage(dedup_latest(v, ["visit_id"], "visit_date"), "visits"))
     )
 
 
@@ -202,39 +204,34 @@ def _dim_refs(spark, d):
     ]
 
 
-def _natural(spark, d, keyed):
+def _natural(keyed, dims):
     """Surrogate keys turned back into the natural ones, to compare with plain SQL."""
-    return (
-        keyed.join(_part_dim(spark, d).select("patient_key", "p_partkey"), "patient_key", "left")
-        .join(_supplier_dim(spark, d).select("doctor_key", "s_suppkey"), "doctor_key", "left")
-        .select("visit_id", "p_partkey", "s_suppkey", "total_charges", "visit_date")
-    )
+    for ref in dims:
+        keyed = keyed.join(ref.dim.select(ref.key_col, ref.natural_key), ref.key_col, "left")
+    return keyed.select("visit_id", "p_partkey", "s_suppkey", "total_charges", "visit_date")
 
 
 def resolve_dimension_keys(spark, d):
-    return _natural(spark, d, resolve_keys(_visits(spark, d), _dim_refs(spark, d)))
+    dims = _dim_refs(spark, d)
+    return _natural(resolve_keys(_visits(spark, d), dims), dims)
 
 
 def resolve_dimension_keys_large(spark, d):
     """The path for dimensions too large to broadcast; a supplier above 1/50 of the rows counts as hot."""
-    return _natural(
-        spark, d, resolve_keys(_visits(spark, d), _dim_refs(spark, d), broadcast_rows=0, hot_share=50)
-    )
+    dims = _dim_refs(spark, d)
+    return _natural(resolve_keys(_visits(spark, d), dims, broadcast_rows=0, hot_share=50), dims)
 
 
 def fact_load(spark, d):
     """Visits before a day, then all of them, into one fact."""
-    visits = _visits(spark, d)
+    dims, visits = _dim_refs(spark, d), _visits(spark, d)
     first = visits.where(F.col("visit_date") < F.lit(_EARLY).cast("date"))
-    empty = (
-        assign_keys(resolve_keys(first, _dim_refs(spark, d)), "visit_id", "visit_key")
-        .select("visit_key", "visit_id", "patient_key", "doctor_key", "visit_date", "total_charges")
-        .withColumn("total_charges", F.lit(0).cast(MONEY))
-    )
-    fact = load_fact(
-        empty, visits, _dim_refs(spark, d), "visit_id", "visit_key", ["visit_date", "total_charges"], trusted=True
+    held = assign_keys(resolve_keys(first, dims), "visit_id", "visit_key").select(
+        "visit_key", "visit_id", "patient_key", "doctor_key", "visit_date", F.lit(0).cast(MONEY).alias("total_charges")
     )
-    return _natural(spark, d, fact)
+    measures = ["visit_date", "total_charges"]
+    fact = load_fact(stage(held, "fact"), visits, dims, "visit_id", "visit_key", measures, trusted=True)
+    return _natural(fact, dims)
 
 
 def lookup_orphans(spark, d):

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions.rules import negative_status, register_validation, text_status, validate_struct
 from stratalake.functions.text import null_tokens, trim_columns
-from stratalake.functions.values import amount, std_date, total
+from stratalake.functions.values import amount, parse_amounts, std_date, total
 from stratalake.operators.quality import invalid_date_rule, missing_id_rule, quality_summary, require, split_bad
 from stratalake.operators.quality import violations
 from stratalake.plans.visits import AMOUNTS, VISIT_CHECK
@@ -16,7 +16,8 @@ from stratalake.registry.roles import missing_sql, raw_visits, sum_sql, table
 
 
 def validate_visits_struct(spark, d):
-    return raw_visits(spark, d).select("visit_id", validate_struct(VISIT_CHECK).alias("v")).select("visit_id", "v.*")
+    rows = parse_amounts(raw_visits(spark, d), AMOUNTS)
+    return rows.select("visit_id", validate_struct(VISIT_CHECK).alias("v")).select("visit_id", "v.*")
 
 
 def validate_visits_sql_function(spark, d):
@@ -78,12 +79,13 @@ def _quarantined(bad):
 
 
 def quarantine_bad_rows(spark, d):
-    return _quarantined(split_bad(raw_visits(spark, d), [missing_id_rule("patient_id")])[1])
+    rows = parse_amounts(raw_visits(spark, d), AMOUNTS)
+    return _quarantined(split_bad(rows, [missing_id_rule("patient_id")])[1])
 
 
 def quarantine_with_date_rule(spark, d):
     rules = [missing_id_rule("patient_id"), invalid_date_rule("visit_date")]
-    return _quarantined(split_bad(raw_visits(spark, d), rules)[1])
+    return _quarantined(split_bad(parse_amounts(raw_visits(spark, d), AMOUNTS), rules)[1])
 
 
 def good_rows(spark, d):
@@ -99,7 +101,7 @@ def clean_text(spark, d):
 
 
 def quality_summary_visits(spark, d):
-    v = raw_visits(spark, d).select(validate_struct(VISIT_CHECK).alias("v")).select("v.*")
+    v = parse_amounts(raw_visits(spark, d), AMOUNTS).select(validate_struct(VISIT_CHECK).alias("v")).select("v.*")
     return quality_summary(v, ["status", "lookup_status"])
 
 

@@ -54,7 +54,9 @@ def _typed(df: DataFrame, columns: Mapping[str, Column | None] | Sequence[str],
 
 
 def _split(rows: DataFrame, short_lines: str, limits: Mapping[str, int]) -> tuple[DataFrame, DataFrame]:
-    bad = F.col(CORRUPT).isNotNull()
+    # Always true, but names a data column: Spark refuses to read the marker alone.
+    anything = F.coalesce(F.length(F.to_csv(FIELDS)) >= 0, F.lit(True))
+    bad = F.col(CORRUPT).isNotNull() & anything
     if short_lines == "pad":
         # Only an unbalanced quote is an error; lines with too few or too many fields are kept.
         bad = bad & (F.length(F.regexp_replace(CORRUPT, '[^"]', "")) % 2 == 1)

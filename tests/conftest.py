@@ -3,14 +3,15 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_HERE), _HERE]
 
 from stratalake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cpus=8, **{"spark.driver.memory": "6g"})
+    session = build_session("tests", cpus=8, **{"spark.driver.memory": "6g", "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     yield session
     session.stop()
 
