@@ -8,10 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.operators.sizing import BROADCAST_ROWS, fits_broadcast
 from stratalake.operators.upsert import check_source, upsert, with_surrogate_keys
 
-# Up to this many (natural key, surrogate key) pairs a dimension is broadcast.
-BROADCAST_ROWS = 1_000_000
 # A key is hot above 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1000
 # Hot and keyless rows are spread over this many join slots.
@@ -67,7 +66,7 @@ def resolve_keys(
     for ref in dims:
         fact_col = ref.fact_col or ref.natural_key
         pairs = ref.dim.select(F.col(ref.natural_key).alias(fact_col), ref.key_col)
-        if pairs.count() <= broadcast_rows:
+        if fits_broadcast(pairs, broadcast_rows):
             rows = rows.join(F.broadcast(pairs), fact_col, "left")
         else:
             rows = _lookup_large(rows, pairs, fact_col, ref.key_col, hot_keys(given, fact_col, hot_share))
@@ -140,7 +139,7 @@ def with_match(
 
 def _by_presence(rows, dim, key, dim_key, broadcast_rows, present: bool) -> DataFrame:
     known = dim.select(F.col(dim_key or key).alias(key))
-    if known.count() <= broadcast_rows:
+    if fits_broadcast(known, broadcast_rows):
         return rows.join(F.broadcast(known), key, "left_semi" if present else "left_anti").select(*rows.columns)
     known = known.where(F.col(key).isNotNull()).distinct().withColumn("__known", F.lit(True))
     marked = _lookup_large(rows, known, key, "__known", hot_keys(rows, key))

@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from stratalake.operators.sizing import BROADCAST_ROWS, fits_broadcast
 from stratalake.sources.staging import stage
 
-# Up to this many keys a delta is broadcast (keys only, so some tens of MB).
-BROADCAST_KEYS = 1_000_000
 # Offsets table size in ``assign_keys``; the only thing broadcast there.
 KEY_BUCKETS = 4096
 
@@ -41,15 +40,17 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     update: Sequence[str] | None = None,
+    insert: Sequence[str] | None = None,
     unique_rows: int | None = None,
-    broadcast_keys: int = BROADCAST_KEYS,
+    broadcast_keys: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Target rows with matches updated and the other source rows added.
 
-    ``update`` lists the columns a match overwrites (default: all the source
-    has); the rest keep the target's value. A new row takes every source column
-    and NULL elsewhere. No row is deleted. ``unique_rows`` is the row count of a
-    source already known to hold each key once; without it that is checked here.
+    ``update`` lists the columns a match overwrites, ``insert`` those a new row
+    fills (default for both: all the source has). Elsewhere a match keeps the
+    target's value and a new row has NULL. No row is deleted. ``unique_rows`` is
+    the row count of a source already known to hold each key once; without it
+    that is checked here.
 
     A small delta (its size is counted first) is broadcast as bare keys: the
     target streams through an anti join and is not shuffled. A larger one is
@@ -59,43 +60,44 @@ def upsert(
     keys = list(keys)
     rest = [c for c in target.columns if c not in keys]
     given = [c for c in rest if c in source.columns]
-    update = given if update is None else [c for c in rest if c in update]
-    if set(update) - set(given):
-        raise ValueError(f"source lacks {sorted(set(update) - set(given))}")
+    for wanted in (update, insert):
+        if wanted is not None and set(wanted) - set(given) - set(keys):
+            raise ValueError(f"source lacks {sorted(set(wanted) - set(given) - set(keys))}")
+    overwrite = set(given if update is None else update)
+    fill = set(given if insert is None else insert)
     rows = check_source(source, keys) if unique_rows is None else unique_rows
     if target.isEmpty():  # first load: nothing to match
-        blank = [F.lit(None).alias(c) for c in rest if c not in given]
-        return source.select(*keys, *given, *blank).select(*[_typed(target, c, F.col(c)) for c in target.columns])
-    if rows <= broadcast_keys:
-        return _merge_small(target, source, keys, rest, given, update)
-    return _merge_large(target, source, keys, rest, given, update)
+        return source.select(*[_typed(target, c, F.col(c) if c in fill or c in keys else F.lit(None)) for c in target.columns])
+    if rows <= broadcast_keys and fits_broadcast(source.select(*keys), broadcast_keys):
+        return _merge_small(target, source, keys, rest, overwrite, fill)
+    return _merge_large(target, source, keys, given, overwrite, fill)
 
 
 def _typed(target: DataFrame, col: str, value: Column) -> Column:
     return value.cast(target.schema[col].dataType).alias(col)
 
 
-def _merge_small(target, source, keys, rest, given, update) -> DataFrame:
+def _merge_small(target, source, keys, rest, overwrite, fill) -> DataFrame:
     bare = F.broadcast(source.select(*keys))
     untouched = target.join(bare, keys, "left_anti").select(*target.columns)
-    held_cols = [c for c in rest if c not in update]
-    if held_cols:
+    mixed = [c for c in rest if c not in overwrite or c not in fill]
+    if mixed:
         # Only the rows that match come out of the second scan, so at most |source|.
         held = target.join(bare, keys, "left_semi").select(
-            *keys, *[F.col(c).alias(f"__t_{c}") for c in held_cols], F.lit(True).alias("__hit")
+            *keys, *[F.col(c).alias(f"__t_{c}") for c in mixed], F.lit(True).alias("__hit")
         )
         source = source.join(held, keys, "left")
 
     def value(c: str) -> Column:
-        if c in update or c in keys:
+        if c not in mixed:
             return F.col(c)
-        inserted = F.col(c) if c in given else F.lit(None)
-        return F.when(F.col("__hit"), F.col(f"__t_{c}")).otherwise(inserted)
+        matched = F.col(c) if c in overwrite else F.col(f"__t_{c}")
+        return F.when(F.col("__hit"), matched).otherwise(F.col(c) if c in fill else F.lit(None))
 
     return untouched.unionByName(source.select(*[_typed(target, c, value(c)) for c in target.columns]))
 
 
-def _merge_large(target, source, keys, rest, given, update) -> DataFrame:
+def _merge_large(target, source, keys, given, overwrite, fill) -> DataFrame:
     left = target.withColumn("__hit", F.lit(True))
     right = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__new"))
     both = left.join(right, keys, "full")
@@ -103,11 +105,9 @@ def _merge_large(target, source, keys, rest, given, update) -> DataFrame:
     def value(c: str) -> Column:
         if c in keys:
             return F.col(c)
-        if c in update:
-            return F.when(F.col("__new"), F.col(f"__s_{c}")).otherwise(F.col(c))
-        if c in given:
-            return F.when(F.col("__hit"), F.col(c)).otherwise(F.col(f"__s_{c}"))
-        return F.col(c)
+        matched = F.col(f"__s_{c}") if c in overwrite else F.col(c)
+        inserted = F.col(f"__s_{c}") if c in fill else F.lit(None)
+        return F.when(F.col("__hit") & F.col("__new"), matched).when(F.col("__new"), inserted).otherwise(F.col(c))
 
     return both.select(*[_typed(target, c, value(c)) for c in target.columns])
 
@@ -154,7 +154,7 @@ def with_surrogate_keys(
     natural_key: str,
     key_col: str,
     rows: int,
-    broadcast_keys: int = BROADCAST_KEYS,
+    broadcast_keys: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``source`` plus ``key_col``: the target's key where it has one, else a new one.
 
@@ -166,7 +166,7 @@ def with_surrogate_keys(
     if top is None:  # first load: every row is new
         return assign_keys(source, natural_key, key_col)
     held = target.select(natural_key, key_col)
-    if rows <= broadcast_keys:
+    if rows <= broadcast_keys and fits_broadcast(source.select(natural_key), broadcast_keys):
         held = held.join(F.broadcast(source.select(natural_key)), natural_key, "left_semi")
         joined = source.join(held, natural_key, "left")
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -158,9 +158,11 @@ class VisitWarehouse:
 
     # -- tables ----------------------------------------------------------
 
-    def create_tables(self) -> None:
-        """Create or replace every table, empty."""
+    def create_tables(self, only: Collection[str] | None = None) -> None:
+        """Create or replace every table, or the named ones, empty."""
         for layer, table in DEFINITIONS:
+            if only is not None and table not in only:
+                continue
             schema = schema_of(layer, table)
             if layer == RAW:
                 schema = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])

@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from stratalake.operators import quality
 from stratalake.operators.incremental import dedup_latest, incremental_filter, watermark
+from stratalake.operators.sizing import fits_broadcast
 from stratalake.operators.star import DimRef, hot_keys, load_dimension, load_fact, orphans, resolve_keys, with_match
 from stratalake.operators.upsert import assign_keys, check_source, upsert, with_surrogate_keys
 from stratalake.plans import kpi
 
-few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 row_lists = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3)), max_size=25)
 
 
@@ -62,6 +63,19 @@ def test_upsert_source_lacks_columns(spark):
     assert rows(upsert(t.where("false"), s, ["k"])) == [(1, "y", None), (2, "z", None)]
 
 
+def test_upsert_insert_list(spark):
+    t = spark.createDataFrame([(1, "x", 5)], "k int, a string, b int")
+    s = spark.createDataFrame([(1, "y", 6), (2, "z", 7)], "k int, a string, b int")
+    for limit in (0, 10):
+        assert rows(upsert(t, s, ["k"], update=["a"], insert=["b"], broadcast_keys=limit)) == [(1, "y", 5), (2, None, 7)]
+    assert rows(upsert(t.where("false"), s, ["k"], insert=["b"])) == [(1, None, 6), (2, None, 7)]
+
+
+def test_size_check_counts_rows_and_text(spark):
+    df = spark.range(10).select(F.repeat(F.lit("x"), 100).alias("s"), "id")
+    assert fits_broadcast(df, 10) and not fits_broadcast(df, 9) and not fits_broadcast(df, 10, 999)
+
+
 def test_upsert_two_keys(spark):
     t = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "k int, j string, v int")
     s = spark.createDataFrame([(1, "b", 9), (2, "a", 8)], "k int, j string, v int")

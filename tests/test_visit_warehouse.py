@@ -242,7 +242,7 @@ def test_second_load(loaded):
 def test_truncate_and_reload(spark, tmp_path):
     put(tmp_path, "RAW_PATIENT_VISITS.csv", VISITS)
     wh = VisitWarehouse(spark, str(tmp_path / "w"), clock=Clock(), watermark_policy="source_time")
-    wh.create_tables()
+    wh.create_tables(["raw_patient_visits", "validated_patient_visits"])
     wh.load_files("raw_patient_visits", str(tmp_path / "RAW_PATIENT_VISITS*"))
     wh.validate("visits")
     wh.truncate_raw()
@@ -252,13 +252,37 @@ def test_truncate_and_reload(spark, tmp_path):
     assert wh.validate("visits").count() == 10
 
 
+def test_quarantine_policies(spark, tmp_path):
+    head = VISITS.split("\n")[0]
+    for policy, marks, want in (("append", "merge_time", 2), ("incremental", "merge_time", 1), ("incremental", "source_time", 1)):
+        root = tmp_path / f"{policy}-{marks}"
+        root.mkdir()
+        put(root, "v.csv", f"{head}\nV1,,D1,X,01-01-2024,1,2,3,6\nV2,P2,D1,X,01-01-2024,1,2,3,6")
+        wh = VisitWarehouse(spark, str(root / "w"), marks, policy, Clock(), buckets=None)
+        wh.create_tables(["raw_patient_visits", "bad_patient_data"])
+        wh.load_files("raw_patient_visits", str(root / "v.csv"))
+        for _ in range(2):
+            wh.quarantine()
+        assert wh.table("validated", "bad_patient_data").count() == want
+
+
+def test_bucketed_tables(spark, tmp_path):
+    wh = VisitWarehouse(spark, str(tmp_path / "w"), clock=Clock(), buckets=4)
+    wh.create_tables(["raw_patient_visits", "validated_patient_visits"])
+    for i, text in enumerate((VISITS, VISITS.replace("V00", "W00"))):
+        put(tmp_path, f"{i}.csv", text)
+        wh.load_files("raw_patient_visits", str(tmp_path / f"{i}.csv"))
+        assert wh.validate("visits").count() == (10, 18)[i]
+    assert wh.store.layout("validated", "validated_patient_visits") == {"buckets": 4, "bucket_keys": ["visit_id"]}
+
+
 def test_source_time_watermark_keeps_late_rows(spark, tmp_path):
     """A raw row stamped before the last merge but seen after it: lost by merge time, kept by source time."""
     late = F.lit("2024-06-01 01:30:00").cast("timestamp")
     got = {}
     for policy in ("merge_time", "source_time"):
         wh = VisitWarehouse(spark, str(tmp_path / policy), watermark_policy=policy, clock=Clock())
-        wh.create_tables()
+        wh.create_tables(["raw_patient_visits", "validated_patient_visits"])
         put(tmp_path, "RAW_PATIENT_VISITS.csv", VISITS)
         wh.load_files("raw_patient_visits", str(tmp_path / "RAW_PATIENT_VISITS.csv"))  # stamped 01:00
         wh.validate("visits")  # merged 02:00
