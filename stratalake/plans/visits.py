@@ -22,7 +22,7 @@ from stratalake.plans.tables import CLEAN, CSV_PADDING, DEFINITIONS, RAW, VALIDA
 from stratalake.plans.tables import file_columns, schema_of
 from stratalake.sources.csv_layer import physical_schema
 from stratalake.sources.ledger import FileLoader, file_in, glob_for
-from stratalake.sources.staging import stage
+from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
 # The visit checks, their labels, and the alert limit.
@@ -134,6 +134,7 @@ class VisitWarehouse:
     ``append`` writes all bad raw rows on every run.
     ``clock`` gives one time per load step. ``buckets`` hash-splits the merged
     tables by natural key, so that a merge shuffles the new rows only.
+    ``keep_versions`` releases older versions of a table after each merge.
     """
 
     def __init__(
@@ -144,6 +145,7 @@ class VisitWarehouse:
         quarantine_policy: str = "incremental",
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
         buckets: int | None = None,
+        keep_versions: int | None = None,
     ):
         if watermark_policy not in ("merge_time", "source_time"):
             raise ValueError("watermark_policy is 'merge_time' or 'source_time'")
@@ -155,6 +157,7 @@ class VisitWarehouse:
         self.quarantine_policy = quarantine_policy
         self.clock = clock
         self.buckets = buckets
+        self.keep_versions = keep_versions
 
     # -- tables ----------------------------------------------------------
 
@@ -180,6 +183,8 @@ class VisitWarehouse:
     def _publish(self, layer: str, name: str, df: DataFrame, **more) -> DataFrame:
         """Next version in the same layout; a merge result already follows the target's buckets."""
         self.store.publish(layer, name, df, aligned=True, **self.store.layout(layer, name), **more)
+        if self.keep_versions:
+            self.store.expire(layer, name, self.keep_versions)
         return self.store.read(layer, name)
 
     def truncate_raw(self, table: str = "raw_patient_visits") -> None:
@@ -239,11 +244,13 @@ class VisitWarehouse:
         Order: required columns and watermark, then latest per trimmed key, then
         upsert. A later row that fails a filter never hides an earlier good one.
         """
-        feed = _feeds()[feed_name]
-        now = self._now()
+        with stage_scope(self.spark):
+            return self._validate(_feeds()[feed_name], feed_name == "visits", self._now())
+
+    def _validate(self, feed: Feed, checked: bool, now: Column) -> DataFrame:
         fresh = self._new_raw(feed.source, feed.target)
         rows = require(fresh, feed.required)
-        if feed_name == "visits":
+        if checked:
             rows = parse_amounts(rows, AMOUNTS).withColumn("__v", validate_struct(VISIT_CHECK))
             rows = rows.where(F.col("__v.status") != BAD)
         shaped = rows.select(
@@ -303,17 +310,18 @@ class VisitWarehouse:
         to rows merged since the dimension's own last load.
         """
         target = self.store.read(CLEAN, dim)
-        content = load_dimension(
-            target,
-            self._promotable(source, target, since_last),
-            natural_key,
-            key_col,
-            attrs,
-            promote_if=F.col("record_status") == VALID,
-            load_ts=self._now(),
-            trusted=True,
-        )
-        return self._publish(CLEAN, dim, content)
+        with stage_scope(self.spark):
+            content = load_dimension(
+                target,
+                self._promotable(source, target, since_last),
+                natural_key,
+                key_col,
+                attrs,
+                promote_if=F.col("record_status") == VALID,
+                load_ts=self._now(),
+                trusted=True,
+            )
+            return self._publish(CLEAN, dim, content)
 
     def load_dims(self, since_last: bool = False) -> None:
         patient = ["full_name", "city", "source_file_name"]
@@ -329,21 +337,22 @@ class VisitWarehouse:
         patient or doctor arrives later keeps its NULL key until a full run.
         """
         target = self.store.read(CLEAN, "fact_patient_visits")
-        content = load_fact(
-            target,
-            self._promotable("validated_patient_visits", target, since_last),
-            [
-                DimRef(self.store.read(CLEAN, "dim_patient"), "patient_id", "patient_key"),
-                DimRef(self.store.read(CLEAN, "dim_doctor"), "doctor_id", "doctor_key"),
-            ],
-            "visit_id",
-            "visit_key",
-            ["visit_date", "total_charges", "source_file_name"],
-            promote_if=F.col("record_status") == VALIDATED if promote_if is None else promote_if,
-            load_ts=self._now(),
-            trusted=True,
-        )
-        return self._publish(CLEAN, "fact_patient_visits", content)
+        with stage_scope(self.spark):
+            content = load_fact(
+                target,
+                self._promotable("validated_patient_visits", target, since_last),
+                [
+                    DimRef(self.store.read(CLEAN, "dim_patient"), "patient_id", "patient_key"),
+                    DimRef(self.store.read(CLEAN, "dim_doctor"), "doctor_id", "doctor_key"),
+                ],
+                "visit_id",
+                "visit_key",
+                ["visit_date", "total_charges", "source_file_name"],
+                promote_if=F.col("record_status") == VALIDATED if promote_if is None else promote_if,
+                load_ts=self._now(),
+                trusted=True,
+            )
+            return self._publish(CLEAN, "fact_patient_visits", content)
 
     def run(self, directory: str) -> None:
         """Everything from the delivered files to the star schema, in order."""

@@ -2,17 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.session import work_dir
 
+_scope: ContextVar[list[str] | None] = ContextVar("stage_scope", default=None)
+
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a parquet table in the shared work folder.
 
-    Reading it back costs a scan instead of another run of the plan, its row
-    count is in the file footers, and a lost executor takes nothing with it.
+    Reading it back costs a scan instead of another run of the plan, and a lost
+    executor takes nothing with it. Inside :func:`stage_scope` its files are
+    released at the end of the scope; elsewhere they stay, as the frame returned
+    may be read at any time.
     """
     path = work_dir(df.sparkSession, label)
+    paths = _scope.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Release what is staged inside, once the results have been written elsewhere.
+
+    Files are only reached through Spark, so releasing is overwriting by an
+    empty table. An inner scope leaves its stages to the outer one.
+    """
+    if _scope.get() is not None:
+        yield
+        return
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)

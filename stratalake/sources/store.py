@@ -27,6 +27,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("source_watermark", T.LongType()),  # microseconds
         T.StructField("writer", T.StringType()),  # stream and micro-batch that wrote the version
         T.StructField("batch", T.LongType()),
+        T.StructField("expired_through", T.LongType()),  # versions up to this one have no files any more
     ]
 )
 
@@ -53,6 +54,8 @@ class TableStore:
         commit = self._commit(layer, table, version)
         if commit is None:
             raise LookupError(f"no table {layer}.{table} in {self.root}")
+        if version is not None and version <= self._expired_through(layer, table):
+            raise LookupError(f"version {version} of {layer}.{table} has expired")
         return self._open(layer, table, commit)
 
     def source_watermark(self, layer: str, table: str) -> int | None:
@@ -116,6 +119,7 @@ class TableStore:
             source_watermark,
             writer,
             batch,
+            None,
         )
         self._note(layer, table, row)
         return version
@@ -136,7 +140,7 @@ class TableStore:
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         rows.write.mode("append").partitionBy(*parts).parquet(self._path(layer, table, commit.version))
         if source_watermark is not None:
-            self._note(layer, table, (*commit[:5], source_watermark, None, None))
+            self._note(layer, table, (*commit[:5], source_watermark, None, None, None))
 
     def layout(self, layer: str, table: str) -> dict:
         """The ``publish`` arguments that keep the table's present file layout."""
@@ -154,6 +158,25 @@ class TableStore:
             raise LookupError(f"no table {layer}.{table} in {self.root}")
         self.create(layer, table, T.StructType.fromJson(json.loads(commit.schema)), **self.layout(layer, table))
 
+    def expire(self, layer: str, table: str, keep: int = 2) -> int:
+        """Release the files of all but the newest ``keep`` versions; returns how many were released.
+
+        The list of commits says so first, so an expired version cannot be read
+        as an empty one.
+        """
+        commit = self._commit(layer, table)
+        if commit is None or keep < 1:
+            raise ValueError("keep at least the current version of an existing table")
+        gone = self._expired_through(layer, table)
+        last = commit.version - keep
+        if last <= gone:
+            return 0
+        self._note(layer, table, (*commit[:6], None, None, last))
+        for version in range(gone + 1, last + 1):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed_name(layer, table, version)}")
+            self.spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(self._path(layer, table, version))
+        return last - gone
+
     def drop_column(self, layer: str, table: str, col: str) -> None:
         """Rewrite the table without one column."""
         self.publish(layer, table, self.read(layer, table).drop(col), **self.layout(layer, table))
@@ -170,6 +193,10 @@ class TableStore:
     def _path(self, layer: str, table: str, version: int) -> str:
         return f"{self.root}/{layer}/{table}/v{version:08d}"
 
+    def _expired_through(self, layer: str, table: str) -> int:
+        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
+        return commits.agg(F.max("expired_through")).first()[0] or 0
+
     def _commit(self, layer: str, table: str, version: int | None = None):
         try:
             commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))

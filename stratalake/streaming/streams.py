@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stratalake.operators.incremental import dedup_latest
 from stratalake.operators.upsert import upsert
-from stratalake.sources.staging import stage
+from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
 
@@ -55,12 +55,13 @@ def stream_upsert(
     def merge(batch: DataFrame, batch_id: int) -> None:
         if store.has_batch(layer, table, checkpoint, batch_id):
             return
-        delta = stage(dedup_latest(batch.select(*columns), keys, order_col), f"{table}-batch")
-        rows = delta.count()
-        if rows:
-            merged = upsert(store.read(layer, table), delta, keys, unique_rows=rows)
-            layout = store.layout(layer, table)
-            store.publish(layer, table, merged, aligned=True, writer=checkpoint, batch=batch_id, **layout)
+        with stage_scope(batch.sparkSession):
+            delta = stage(dedup_latest(batch.select(*columns), keys, order_col), f"{table}-batch")
+            rows = delta.count()
+            if rows:
+                merged = upsert(store.read(layer, table), delta, keys, unique_rows=rows)
+                layout = store.layout(layer, table)
+                store.publish(layer, table, merged, aligned=True, writer=checkpoint, batch=batch_id, **layout)
 
     return _start(stream.writeStream.foreachBatch(merge), checkpoint, continuous)
 

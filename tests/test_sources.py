@@ -9,6 +9,7 @@ from stratalake.operators.upsert import upsert
 from stratalake.session import work_root
 from stratalake.sources.csv_layer import physical_schema, read_csv_layer
 from stratalake.sources.ledger import FileLoader, file_in, glob_for, list_files, new_files
+from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
 COLS = ["id", "name", "money"]
@@ -126,6 +127,29 @@ def test_a_write_that_died_is_replaced(spark, root):
     assert store.read("a", "t").count() == 3
 
 
+def test_expire(spark, root):
+    store = TableStore(spark, root)
+    for i in range(4):
+        store.publish("a", "t", spark.range(i + 1).select(F.col("id").alias("k")))
+    assert store.expire("a", "t", keep=2) == 2 and store.expire("a", "t", keep=2) == 0
+    assert store.read("a", "t").count() == 4 and store.read("a", "t", version=3).count() == 3
+    with pytest.raises(LookupError, match="expired"):
+        store.read("a", "t", version=2)
+    assert spark.read.schema("k long").parquet(f"{root}/a/t/v00000001").count() == 0
+    assert store.version("a", "t") == 4
+
+
+def test_stage_scope_releases_files(spark):
+    with stage_scope(spark):
+        inside = stage(spark.range(10), "s")
+        with stage_scope(spark):
+            inner = stage(inside, "s")
+        assert inside.count() == 10 and inner.count() == 10
+    assert spark.read.schema("id long").parquet(inner.inputFiles()[0].rsplit("/", 1)[0]).count() == 0
+    outside = stage(spark.range(3), "s")
+    assert outside.count() == 3
+
+
 def test_source_watermark(spark, root):
     store = TableStore(spark, root)
     store.create("a", "t", T.StructType().add("k", "long"))

@@ -267,7 +267,7 @@ def test_quarantine_policies(spark, tmp_path):
 
 
 def test_bucketed_tables(spark, tmp_path):
-    wh = VisitWarehouse(spark, str(tmp_path / "w"), clock=Clock(), buckets=4)
+    wh = VisitWarehouse(spark, str(tmp_path / "w"), clock=Clock(), buckets=4, keep_versions=1)
     wh.create_tables(["raw_patient_visits", "validated_patient_visits"])
     for i, text in enumerate((VISITS, VISITS.replace("V00", "W00"))):
         put(tmp_path, f"{i}.csv", text)
