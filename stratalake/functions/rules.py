@@ -14,7 +14,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.text import missing
-from stratalake.functions.values import DATE_FORMATS, any_negative, std_date, total
+from stratalake.functions.values import DATE_FORMATS, any_negative, date_sql, std_date, total
 
 # Status words.
 VALID, INVALID, BAD, VALIDATED, LOOKUP_OK = "VALID", "INVALID", "BAD", "VALIDATED", "OK"
@@ -68,7 +68,7 @@ def validate_struct(check: RowCheck) -> Column:
 
 def register_validation(spark: SparkSession, name: str, check: RowCheck) -> None:
     """Offer the same rules to SQL as ``name(<check.columns()>)``, a SQL-bodied function."""
-    dates = ", ".join(f"try_to_date({check.date_col}, '{f}')" for f in check.date_formats)
+    dates = ", ".join(date_sql(check.date_col, f) for f in check.date_formats)
     labels = "".join(f"if(trim(coalesce({c}, '')) = '', '{label}', NULL), " for c, label in check.lookups)
     money = [f"try_cast({c} AS DECIMAL(10,2))" for c in check.amounts]
     summed = " + ".join(f"coalesce({m}, 0BD)" for m in money)

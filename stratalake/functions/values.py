@@ -19,25 +19,44 @@ from stratalake.functions.text import _col
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd")
 
 
-_PARTS = {"yyyy": r"\d{4}", "MM": r"(?:0[1-9]|1[0-2])", "dd": r"(?:0[1-9]|[12]\d|3[01])"}
+_PARTS = {"yyyy": r"(\d{4})", "MM": r"(0[1-9]|1[0-2])", "dd": r"(0[1-9]|[12]\d|3[01])"}
 _PART = re.compile("yyyy|MM|dd")
 
 
+def iso_rewrite(fmt: str) -> tuple[str, str] | None:
+    """(pattern, replacement) that turns a text of this format into ``yyyy-MM-dd`` and any other into ``--``.
+
+    Only for formats made of one four-digit year, one two-digit month and one
+    two-digit day; None for the rest.
+    """
+    order = _PART.findall(fmt)
+    if sorted(order) != sorted(_PARTS) or re.search("[A-Za-z']", _PART.sub("", fmt)):
+        return None
+    literals = iter([re.escape(x) for x in _PART.split(fmt)])
+    wanted = next(literals) + "".join(_PARTS[p] + next(literals) for p in order)
+    groups = "-".join(f"${order.index(p) + 1}" for p in ("yyyy", "MM", "dd"))
+    return rf"(?s)\A(?:{wanted}|.*)\z", groups
+
+
 def parse_date(c: Column | str, fmt: str) -> Column:
     """The date in ``c`` under one format, NULL if it does not fit it exactly.
 
-    A format with one two-digit day, one two-digit month and one four-digit year
-    is matched by pattern and cast from ISO order. The general parser raises an
-    exception inside for each text that does not fit, which costs far more, and
-    texts of another format are the normal case here.
+    Digits-only formats are rewritten to ISO order and cast. The general parser
+    raises an exception inside for each text that does not fit, which costs far
+    more, and texts of another format are the normal case here.
     """
-    c = _col(c)
-    if sorted(_PART.findall(fmt)) != sorted(_PARTS) or re.search("[A-Za-z']", _PART.sub("", fmt)):
-        return F.try_to_date(c, fmt)
-    literals = iter([re.escape(x) for x in _PART.split(fmt)])
-    pattern = next(literals) + "".join(_PARTS[p] + next(literals) for p in _PART.findall(fmt))
-    pieces = [F.substring(c, fmt.index(p) + 1, len(p)) for p in ("yyyy", "MM", "dd")]
-    return F.when(c.rlike(rf"\A{pattern}\z"), F.concat_ws("-", *pieces).try_cast("date"))
+    rewrite = iso_rewrite(fmt)
+    if rewrite is None:
+        return F.try_to_date(_col(c), fmt)
+    return F.regexp_replace(_col(c), *rewrite).try_cast("date")
+
+
+def date_sql(c: str, fmt: str) -> str:
+    """:func:`parse_date` as SQL text."""
+    rewrite = iso_rewrite(fmt)
+    if rewrite is None:
+        return f"try_to_date({c}, '{fmt}')"
+    return f"try_cast(regexp_replace({c}, r'{rewrite[0]}', '{rewrite[1]}') AS DATE)"
 
 
 def std_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:

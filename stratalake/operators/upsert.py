@@ -16,6 +16,8 @@ from pyspark.sql.window import Window
 from stratalake.operators.sizing import BROADCAST_ROWS, fits_broadcast
 from stratalake.sources.staging import stage
 
+# A delta is small if the target is this many times larger.
+SMALL_FACTOR = 10
 # Offsets table size in ``assign_keys``; the only thing broadcast there.
 KEY_BUCKETS = 4096
 
@@ -43,6 +45,7 @@ def upsert(
     insert: Sequence[str] | None = None,
     unique_rows: int | None = None,
     broadcast_keys: int = BROADCAST_ROWS,
+    factor: int = SMALL_FACTOR,
 ) -> DataFrame:
     """Target rows with matches updated and the other source rows added.
 
@@ -52,7 +55,8 @@ def upsert(
     the row count of a source already known to hold each key once; without it
     that is checked here.
 
-    A small delta (its size is counted first) is broadcast as bare keys: the
+    A small delta (at most ``broadcast_keys`` rows and ``1/factor`` of the target;
+    both are counted first) is broadcast as bare keys: the
     target streams through an anti join and is not shuffled. A larger one is
     merged by one full outer join, which shuffles each side once, or only the
     delta when the target is bucketed by the same keys.
@@ -66,13 +70,19 @@ def upsert(
     overwrite = set(given if update is None else update)
     fill = set(given if insert is None else insert)
     rows = check_source(source, keys) if unique_rows is None else unique_rows
-    if target.isEmpty():  # first load: nothing to match
+    target_rows = target.count()
+    if target_rows == 0:  # first load: nothing to match
         return source.select(*[_typed(target, c, F.col(c) if c in fill or c in keys else F.lit(None)) for c in target.columns])
-    if rows <= broadcast_keys and fits_broadcast(source.select(*keys), broadcast_keys):
+    if _is_small(source, keys, rows, target_rows, broadcast_keys, factor):
         return _merge_small(target, source, keys, rest, overwrite, fill)
     return _merge_large(target, source, keys, given, overwrite, fill)
 
 
+def _is_small(source: DataFrame, keys: Sequence[str], rows: int, target_rows: int, limit: int, factor: int) -> bool:
+    """Whether sending the source's keys to every task beats joining the two tables."""
+    return rows <= limit and rows * factor <= target_rows and fits_broadcast(source.select(*keys), limit)
+
+
 def _typed(target: DataFrame, col: str, value: Column) -> Column:
     return value.cast(target.schema[col].dataType).alias(col)
 
@@ -155,6 +165,7 @@ def with_surrogate_keys(
     key_col: str,
     rows: int,
     broadcast_keys: int = BROADCAST_ROWS,
+    factor: int = SMALL_FACTOR,
 ) -> DataFrame:
     """``source`` plus ``key_col``: the target's key where it has one, else a new one.
 
@@ -166,7 +177,7 @@ def with_surrogate_keys(
     if top is None:  # first load: every row is new
         return assign_keys(source, natural_key, key_col)
     held = target.select(natural_key, key_col)
-    if rows <= broadcast_keys and fits_broadcast(source.select(natural_key), broadcast_keys):
+    if _is_small(source, [natural_key], rows, target.count(), broadcast_keys, factor):
         held = held.join(F.broadcast(source.select(natural_key)), natural_key, "left_semi")
         joined = source.join(held, natural_key, "left")
     else:

@@ -46,18 +46,18 @@ def test_upsert(spark, target, source, limit):
     new = {r[0]: r for r in source}
     t = spark.createDataFrame(list(old.values()), "k int, a int, b int")
     s = spark.createDataFrame(list(new.values()), "k int, a int, b int")
-    once = upsert(t, s, ["k"], broadcast_keys=limit)
+    once = upsert(t, s, ["k"], broadcast_keys=limit, factor=0)
     assert rows(once) == sorted({**old, **new}.values(), key=repr)
-    assert rows(upsert(once, s, ["k"], broadcast_keys=limit)) == rows(once)
+    assert rows(upsert(once, s, ["k"], broadcast_keys=limit, factor=0)) == rows(once)
     part = {k: (k, r[1], old[k][2]) if k in old else r for k, r in new.items()}
-    assert rows(upsert(t, s, ["k"], update=["a"], broadcast_keys=limit)) == sorted({**old, **part}.values(), key=repr)
+    assert rows(upsert(t, s, ["k"], update=["a"], broadcast_keys=limit, factor=0)) == sorted({**old, **part}.values(), key=repr)
 
 
 def test_upsert_source_lacks_columns(spark):
     t = spark.createDataFrame([(1, "x", 5)], "k int, a string, b int")
     s = spark.createDataFrame([(1, "y"), (2, "z")], "k int, a string")
     for limit in (0, 10):
-        assert rows(upsert(t, s, ["k"], broadcast_keys=limit)) == [(1, "y", 5), (2, "z", None)]
+        assert rows(upsert(t, s, ["k"], broadcast_keys=limit, factor=0)) == [(1, "y", 5), (2, "z", None)]
     with pytest.raises(ValueError):
         upsert(t, s, ["k"], update=["b"])
     assert rows(upsert(t.where("false"), s, ["k"])) == [(1, "y", None), (2, "z", None)]
@@ -67,7 +67,7 @@ def test_upsert_insert_list(spark):
     t = spark.createDataFrame([(1, "x", 5)], "k int, a string, b int")
     s = spark.createDataFrame([(1, "y", 6), (2, "z", 7)], "k int, a string, b int")
     for limit in (0, 10):
-        assert rows(upsert(t, s, ["k"], update=["a"], insert=["b"], broadcast_keys=limit)) == [(1, "y", 5), (2, None, 7)]
+        assert rows(upsert(t, s, ["k"], update=["a"], insert=["b"], broadcast_keys=limit, factor=0)) == [(1, "y", 5), (2, None, 7)]
     assert rows(upsert(t.where("false"), s, ["k"], insert=["b"])) == [(1, None, 6), (2, None, 7)]
 
 
@@ -80,7 +80,7 @@ def test_upsert_two_keys(spark):
     t = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "k int, j string, v int")
     s = spark.createDataFrame([(1, "b", 9), (2, "a", 8)], "k int, j string, v int")
     for limit in (0, 10):
-        assert rows(upsert(t, s, ["k", "j"], broadcast_keys=limit)) == [(1, "a", 1), (1, "b", 9), (2, "a", 8)]
+        assert rows(upsert(t, s, ["k", "j"], broadcast_keys=limit, factor=0)) == [(1, "a", 1), (1, "b", 9), (2, "a", 8)]
 
 
 def test_check_source(spark):
@@ -105,7 +105,7 @@ def test_with_surrogate_keys_both_paths(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "nk string, sk long")
     source = spark.createDataFrame([("b", 9), ("c", 8), ("d", 7)], "nk string, v int")
     for limit in (0, 10):
-        got = {r.nk: r.sk for r in with_surrogate_keys(source, target, "nk", "sk", 3, limit).collect()}
+        got = {r.nk: r.sk for r in with_surrogate_keys(source, target, "nk", "sk", 3, limit, factor=0).collect()}
         assert got["b"] == 2 and sorted([got["c"], got["d"]]) == [3, 4]
 
 
