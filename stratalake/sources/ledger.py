@@ -29,7 +29,9 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     kind = spark.read.format("binaryFile")
     try:
         found = kind.load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], T.StructType(LEDGER_SCHEMA.fields[:3]))
     return found.select("path", "length", F.col("modificationTime").alias("modified"))
 

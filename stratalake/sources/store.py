@@ -200,7 +200,9 @@ class TableStore:
     def _commit(self, layer: str, table: str, version: int | None = None):
         try:
             commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         if version is not None:
             commits = commits.where(F.col("version") == version)
