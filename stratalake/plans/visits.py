@@ -38,6 +38,14 @@ VISIT_CHECK = RowCheck(
     ),
 )
 ALERT_LIMIT = 1500
+# The delivered files, and whether a file is taken in again on every load.
+DELIVERY = {
+    "raw_patient_visits": ("RAW_PATIENT_VISITS", False),
+    "raw_diagnosis": ("RAW_DIAGNOSIS.csv", False),
+    "raw_billing": ("RAW_BILLING.csv", True),
+    "raw_dim_patient": ("RAW_DIM_PATIENT.csv", True),
+    "raw_dim_doctor": ("RAW_DIM_DOCTOR.csv", True),
+}
 MERGE_KEYS = {
     "validated_patient_visits": "visit_id",
     "validated_dim_patient": "patient_id",
@@ -216,14 +224,12 @@ class VisitWarehouse:
         return FileLoader(self.store).load(RAW, table, path, schema, columns, now, force, **options)
 
     def load_directory(self, directory: str) -> dict[str, int]:
-        """Load the five delivered files; bills and the two dimensions are always reloaded."""
-        return {
-            "raw_patient_visits": self.load_files("raw_patient_visits", glob_for(directory, "RAW_PATIENT_VISITS")),
-            "raw_diagnosis": self.load_files("raw_diagnosis", file_in(directory, "RAW_DIAGNOSIS.csv")),
-            "raw_billing": self.load_files("raw_billing", file_in(directory, "RAW_BILLING.csv"), force=True),
-            "raw_dim_patient": self.load_files("raw_dim_patient", file_in(directory, "RAW_DIM_PATIENT.csv"), force=True),
-            "raw_dim_doctor": self.load_files("raw_dim_doctor", file_in(directory, "RAW_DIM_DOCTOR.csv"), force=True),
-        }
+        """Load the five delivered files; a name without an ending stands for all files that start with it."""
+        loaded = {}
+        for table, (name, force) in DELIVERY.items():
+            path = file_in(directory, name) if "." in name else glob_for(directory, name)
+            loaded[table] = self.load_files(table, path, force)
+        return loaded
 
     # -- raw to validated ------------------------------------------------
 
