@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from stratalake.llm import substring
+from stratalake.llm import langid, minhash, packing, substring, suffix
 
-QUERIES = {"op4_substring_dedup": substring.op4_substring_dedup}
-ORACLE = {"op4_substring_dedup": substring.ORACLE}
+QUERIES = {
+    "op4_substring_dedup": substring.op4_substring_dedup,
+    "op5_minhash_near_dedup": minhash.op5_minhash_near_dedup,
+    "op7_suffix_array_dedup": suffix.op7_suffix_array_dedup,
+    "op9_language_id": langid.op9_language_id,
+    "op10_packing": packing.op10_packing,
+}
+ORACLE = {
+    "op4_substring_dedup": substring.ORACLE,
+    "op5_minhash_near_dedup": minhash.ORACLE,
+    "op7_suffix_array_dedup": suffix.ORACLE,
+}

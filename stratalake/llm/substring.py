@@ -55,7 +55,9 @@ class _Edges:
         at = np.arange(len(least))
         self.windows = at[words.doc[at] == words.doc[at + window - 1]] if n >= window else at[:0]
         chosen = least[self.windows]
-        self.at, self.of_window = np.unique(chosen, return_inverse=True)
+        new = np.ones(len(chosen), bool)
+        new[1:] = chosen[1:] != chosen[:-1]
+        self.at, self.of_window = chosen[new], np.cumsum(new) - 1
         self.edge = grams[self.at]
         self.doc = words.doc[self.at]
         self.opens = np.ones(len(self.at), bool)
