@@ -30,9 +30,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             break
         before = now
         both = _swap(pairs)
-        least = both.groupBy("lo").agg(F.least(F.col("lo"), F.min("hi")).alias("least"))
+        # written, so that Spark can split the other side of the join at a node with very many links
+        least = stage(both.groupBy("lo").agg(F.least(F.col("lo"), F.min("hi")).alias("least")), "least")
         wide = both.where("hi > lo").join(least, "lo").select(F.col("least").alias("lo"), "hi").distinct()
-        least = wide.groupBy("hi").agg(F.min("lo").alias("least"))
+        wide = stage(wide, "wide")
+        least = stage(wide.groupBy("hi").agg(F.min("lo").alias("least")), "least")
         narrow = wide.join(least, "hi").where("lo > least").select(F.col("least").alias("lo"), F.col("lo").alias("hi"))
         pairs = stage(narrow.union(least.select(F.col("least").alias("lo"), "hi")).distinct(), "links")
     hubs = pairs.select(F.col("lo").alias("id")).distinct()

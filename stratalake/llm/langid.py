@@ -123,36 +123,53 @@ def train(docs: DataFrame, bits: int = BITS, sample: int = SAMPLE) -> tuple[list
     return langs, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _predict(weights: np.ndarray, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the best language of each text (the number of languages if none) and its probability."""
+    bits, langs = int(weights.shape[0]).bit_length() - 1, weights.shape[1]
+    best, score = np.full(batch.num_rows, langs), np.zeros(batch.num_rows)
+    raw, offsets = arrays.utf8(batch.column("text"))
+    for lo, hi in arrays.slices(offsets) if langs else ():
+        grams, has_letter = features(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], bits)
+        total = np.zeros((hi - lo, langs))
+        for found, bounds in grams:
+            full = np.flatnonzero(np.diff(bounds))
+            if len(full):
+                for j in range(langs):
+                    total[full, j] += np.add.reduceat(weights[:, j][found], bounds[full])
+        top = total.argmax(axis=1)
+        share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        best[lo:hi] = np.where(has_letter, top, langs)
+        score[lo:hi] = np.where(has_letter, share, 0)
+    return best, score
+
+
 def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (the probability of that language) added."""
-    bits = int(matrix.shape[0]).bit_length() - 1
+    """``docs`` with ``lang_pred`` and ``score`` (the probability of that language), in place of columns so named."""
     model = docs.sparkSession.sparkContext.broadcast(matrix)
-    columns = docs.columns
+    docs = docs.drop("lang_pred", "score")
+    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def emit(batches: Iterator[pa.RecordBatch]):
-        weights, names = model.value, np.array([*langs, UNKNOWN], dtype=object)
+        names = np.array([*langs, UNKNOWN], dtype=object)
         for batch in batches:
-            best, score = np.full(batch.num_rows, len(langs)), np.zeros(batch.num_rows)
-            raw, offsets = arrays.utf8(batch.column("text"))
-            for lo, hi in arrays.slices(offsets) if langs else ():
-                grams, has_letter = features(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], bits)
-                total = np.zeros((hi - lo, len(langs)))
-                for found, bounds in grams:
-                    full = np.flatnonzero(np.diff(bounds))
-                    if len(full):
-                        for j in range(len(langs)):
-                            total[full, j] += np.add.reduceat(weights[:, j][found], bounds[full])
-                top = total.argmax(axis=1)
-                share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                best[lo:hi] = np.where(has_letter, top, len(langs))
-                score[lo:hi] = np.where(has_letter, share, 0)
-            more = [pa.array(names[best], pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + more, [*columns, "lang_pred", "score"])
+            best, score = _predict(model.value, batch)
+            columns = [*batch.columns, pa.array(names[best], pa.string()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return docs.mapInArrow(emit, schema)
 
 
+def in_known_language(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
+    """The documents, with all their columns, whose language can be told."""
+    model = docs.sparkSession.sparkContext.broadcast(matrix)
+
+    def emit(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            yield batch.filter(pa.array(_predict(model.value, batch)[0] < len(langs)))
+
+    return docs.mapInArrow(emit, docs.schema)
+
+
 def op9_language_id(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs.select("doc_id", "text", "lang"))

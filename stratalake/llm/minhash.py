@@ -165,6 +165,7 @@ def _hub_pairs(listed: DataFrame) -> DataFrame:
     """Each listed class with the hub of its bucket, if that is of another component."""
     hubs = listed.groupBy("key").agg(F.min(F.struct("component_id", "rep")).alias("hub"), F.max("component_id").alias("last"))
     hubs = hubs.where("hub.component_id < last").select("key", F.col("hub.component_id").alias("lo"), F.col("hub.rep").alias("x"))
+    hubs = stage(hubs, "hubs")
     return listed.join(hubs, "key").where("component_id > lo").select("x", F.col("rep").alias("y")).distinct()
 
 
@@ -215,7 +216,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
         labels = stage(components(links, "x", "y"), "labels")
 
     of_class = classes.select("a", "b", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    of_class = of_class.select("a", "b", "n", F.coalesce("component_id", "rep").alias("component_id"))
+    of_class = stage(of_class.select("a", "b", "n", F.coalesce("component_id", "rep").alias("component_id")), "of_class")
     known = known.select("doc_id", "n", "a", "b").join(of_class, ["a", "b", "n"])
     lone = sketch.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     rows = known.select("doc_id", "n", "component_id").union(lone)

@@ -29,6 +29,7 @@ from __future__ import annotations
 import heapq
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,26 +53,24 @@ _BYTE_SIGNS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PL
 _encoders: dict[str, WordEncoder] = {}
 
 
-class _Recent(dict):
-    """A dictionary that forgets what was not asked for lately: two generations of bounded size."""
+class _Recent:
+    """A lookup that forgets what was not asked for lately: two generations of bounded size."""
 
-    def __init__(self, size: int):
-        self._size, self._older = size, {}
+    def __init__(self, size: int, make):
+        self._size, self._make = size, make
+        self.now, self._before = {}, {}
 
-    def __missing__(self, key):
-        value = self._older[key]
-        self.add(key, value)
+    def __call__(self, key):
+        value = self.now.get(key)
+        if value is None:
+            value = self._before.get(key)
+            if value is None:
+                value = self._make(key)
+            if len(self.now) >= self._size:
+                self._before, self.now = self.now, {}
+            self.now[key] = value
         return value
 
-    def __contains__(self, key) -> bool:
-        return dict.__contains__(self, key) or key in self._older
-
-    def add(self, key, value) -> None:
-        if len(self) >= self._size:
-            self._older = dict(self)
-            self.clear()
-        self[key] = value
-
 
 class WordEncoder:
     """Token ids of whole texts, word by word, as the tokenizer's file defines them.
@@ -87,35 +86,27 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._words, self._parts = _Recent(CACHED_WORDS), _Recent(CACHED_WORDS)
+        self._words, self._parts = _Recent(CACHED_WORDS, self._word), _Recent(CACHED_WORDS, self._part)
         rule = json.loads(self._tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._split = regex.compile(rule).findall
 
     def _part(self, part: str) -> bytes:
         """Ids of a run of letters, a digit or a run of signs."""
-        if part not in self._parts:
-            signs = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_SIGNS)
-            ids = np.array([t.id for t in self._model.tokenize(signs)], np.uint32)
-            self._parts.add(part, ids.tobytes())
-        return self._parts[part]
+        signs = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return array("I", [t.id for t in self._model.tokenize(signs)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        if word not in self._words:
-            text = word.decode()
-            if "<|" in text or not _LATIN(text):
-                ids = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-            else:
-                ids = b"".join([self._part(p) for p in self._split(text.lower())])
-            self._words.add(word, ids)
-        return self._words[word]
+        text = word.decode()
+        if "<|" in text or not _LATIN(text):
+            return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self._parts, self._split(text.lower())))
 
     def encode(self, text: bytes) -> np.ndarray:
         """The ids of a text, with the end id."""
-        words, known = text.split(), self._words
-        try:
-            ids = [known[w] for w in words]
-        except KeyError:
-            ids = [self._word(w) for w in words]
+        words = text.split()
+        ids = list(map(self._words.now.get, words))
+        if None in ids:
+            ids = [self._words(w) if x is None else x for w, x in zip(words, ids)]
         return np.frombuffer(b"".join(ids) + _END_BYTES, np.uint32)
 
 

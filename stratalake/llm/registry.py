@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from stratalake.llm import langid, minhash, packing, substring, suffix
+from stratalake.llm import chat, decontaminate, embeddings, langid, minhash, packing, substring, suffix, toxicity, urls
 
 QUERIES = {
+    "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_url_reputation": urls.op3_url_reputation,
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_minhash_near_dedup": minhash.op5_minhash_near_dedup,
+    "op6_embedding_near_dedup": embeddings.op6_embedding_near_dedup,
     "op7_suffix_array_dedup": suffix.op7_suffix_array_dedup,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_language_id": langid.op9_language_id,
     "op10_packing": packing.op10_packing,
 }
+# The others are held against brute force, held-out labels or a round trip in tests/llm.
 ORACLE = {
+    "op1_chat_formatting": chat.ORACLE,
+    "op3_url_reputation": urls.ORACLE,
     "op4_substring_dedup": substring.ORACLE,
     "op5_minhash_near_dedup": minhash.ORACLE,
+    "op6_embedding_near_dedup": embeddings.ORACLE,
     "op7_suffix_array_dedup": suffix.ORACLE,
 }

@@ -151,7 +151,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     counts = stage(edge_counts(docs, window, k), "edges")
     spans = stage(compacted(docs, counts, window, k), "paths")
     first = spans.groupBy("a", "b").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last_id"))
-    first = first.where("source_id < last_id").drop("last_id")
+    # written, so that Spark can split the other side of the join at a passage that very many documents hold
+    first = stage(first.where("source_id < last_id").drop("last_id"), "sources")
     return spans.join(first, ["a", "b"]).where("source_id < doc_id").select("doc_id", "start", "n", "source_id")
 
 

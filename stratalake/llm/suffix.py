@@ -301,7 +301,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K, hot: int =
         F.min(F.struct("doc_id", "place")).alias("first"), F.max(F.struct("doc_id", "place")).alias("last")
     )
     first = stage(first, "firsts")
-    several = first.where("first < last").select("anchor", "content", "first")
+    several = stage(first.where("first < last").select("anchor", "content", "first"), "several")
     copies = segments.join(several, ["anchor", "content"]).where("struct(doc_id, place) > first").select("doc_id", "place", "n")
 
     contents = stage(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1"), "contents")
@@ -315,50 +315,68 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K, hot: int =
     earliest = windows.groupBy("a", "b").agg(
         F.min(F.struct("doc_id", "place")).alias("first"), F.max(F.struct("doc_id", "place")).alias("last")
     )
-    earliest = earliest.where("first < last").select("a", "b", "first")
+    # written, so that Spark can split the other side of the join at a window that very many documents hold
+    earliest = stage(earliest.where("first < last").select("a", "b", "first"), "earliest")
     again = windows.join(earliest, ["a", "b"]).where("struct(doc_id, place) > first")
     again = again.select("doc_id", "place", F.lit(window).alias("n"))
     return copies.union(_marked(blocks, window, block_bytes)).union(again)
 
 
+def _with_spans(docs: DataFrame, settings: dict) -> DataFrame:
+    """``docs`` and, as last column, the spans of each document."""
+    name = "spans"
+    while name in docs.columns:
+        name += "_"
+    spans = repeated_spans(docs, **settings).groupBy("doc_id").agg(F.collect_set(F.struct("place", "n")).alias(name))
+    return docs.join(spans, "doc_id", "left").select(*docs.columns, name)
+
+
+def _cut(batch: pa.RecordBatch) -> Iterator[tuple[bytes | None, int, int]]:
+    """Of each text the bytes left, how many were removed, in how many runs."""
+    for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.columns[-1].to_pylist()):
+        if text is None or not spans:
+            yield text, 0, 0
+        else:
+            yield arrays.cut_out(text, *(np.array([s[c] for s in spans]) for c in ("place", "n")))
+
+
 def remove_repeats(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with ``spans_removed``, ``bytes_removed`` and ``kept`` (the bytes that are left) added."""
-    spans = repeated_spans(docs, **settings)
-    per_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("place", "n")).alias("spans_"))
-    rows = docs.join(per_doc, "doc_id", "left")
-    columns = [c for c in rows.columns if c != "spans_"]
-    schema = rows.select(*columns, F.lit(0).cast("long").alias("bytes_removed"), F.lit(0).cast("long").alias("spans_removed"), F.col("text").cast("binary").alias("kept")).schema
+    """``(doc_id, n_bytes, n_removed, n_spans, kept)``: what was removed of each document, and the bytes that are left."""
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+
+    def emit(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            kept, removed, runs = zip(*_cut(batch)) if batch.num_rows else ((), (), ())
+            size = [len(k or b"") + n for k, n in zip(kept, removed)]
+            columns = [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (size, removed, runs))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([k or b"" for k in kept], pa.binary())], names)
+
+    rows = _with_spans(docs.select("doc_id", "text"), settings)
+    return rows.mapInArrow(emit, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def without_repeats(docs: DataFrame, **settings) -> DataFrame:
+    """The documents, with all their columns, without the repeats in ``text``; a character cut in two goes as a whole.
+
+    Documents that were not blank and are now are left out.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            removed, runs, kept = [], [], []
-            for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("spans_").to_pylist()):
-                text = text or b""
-                if spans:
-                    start, n = (np.array([s[c] for s in spans]) for c in ("place", "n"))
-                    text, gone, run = arrays.cut_out(text, start, n)
-                else:
-                    gone = run = 0
-                removed.append(gone)
-                runs.append(run)
-                kept.append(text)
-            more = [pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in columns] + more, [*columns, "bytes_removed", "spans_removed", "kept"]
-            )
-
-    return rows.mapInArrow(emit, schema)
+            texts, stays = [], []
+            for kept, removed, _ in _cut(batch):
+                texts.append(None if kept is None else kept.decode("utf-8", "ignore"))
+                stays.append(not removed or not kept.isspace() and len(kept) > 0)
+            at = batch.schema.get_field_index("text")
+            columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, docs.columns).filter(pa.array(stays, pa.bool_()))
+
+    return _with_spans(docs, settings).mapInArrow(emit, docs.schema)
 
 
 def op7_suffix_array_dedup(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs).select(
-        "doc_id",
-        F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long")).alias("n_bytes"),
-        F.col("bytes_removed").alias("n_removed"),
-        F.col("spans_removed").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
-    )
+    found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 ORACLE = f"""
