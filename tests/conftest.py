@@ -12,6 +12,7 @@ from stratalake.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", cpus=8, **{"spark.driver.memory": "6g", "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
+    session.sparkContext.environment["PYTHONPATH"] = os.path.dirname(_HERE)
     yield session
     session.stop()
 
