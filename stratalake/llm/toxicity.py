@@ -14,8 +14,9 @@ scored: an insult weighs less where it is denied or quoted, more where it is aim
 The evidence e of a text, summed over its clauses, gives the score 1 - exp(-RATE * e).
 
 Insults are learnt: the words, and word beginnings of four to six letters, that
-toxic documents hold at least ``LEAST_RATIO`` times as often as others, in ``LEAST_CONTEXTS``
-different neighbourhoods at least, so that copies of one text are no evidence.
+a share of toxic documents holds that is at least ``LEAST_RATIO`` times that of others. Of
+each document one neighbourhood of a word counts, and documents with the same one count
+once, so that copies of a text are no evidence; ``LEAST_CONTEXTS`` must be left.
 Each weighs its log ratio. Learning takes a sample (by a hash of the id) of at most
 about ``SAMPLE`` labelled documents of either kind that are not held out, with whole
 texts; the counts are made in Spark. The function words of the grammar are fixed.
@@ -44,7 +45,7 @@ SAMPLE = 4000
 LEAST_CONTEXTS = 6
 LEAST_RATIO = 20.0
 MOST_WEIGHT = 5.0
-RATE = 0.35
+RATE = 0.08
 THRESHOLD = 0.3
 STEMS = (4, 5, 6)
 # The function words and threats of the grammar, in the languages of the corpus.
@@ -122,12 +123,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str,
             rows = []
             for text, kind in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 words = _WORDS((text or "").lower())
-                around = zip(["", *words[:-1]], words, [*words[1:], ""])
-                if kind:
-                    found = {(f, zlib.crc32(f"{a} {b}".encode())) for a, w, b in around for f in _features(w)}
-                else:
-                    found = {(f, 0) for w in set(words) for f in _features(w)}
-                rows += [(f, near, int(kind)) for f, near in found]
+                found: dict[str, int] = {}
+                for a, w, b in zip(["", *words[:-1]], words, [*words[1:], ""]):
+                    near = zlib.crc32(f"{a} {b}".encode()) if kind else 0
+                    for f in _features(w):
+                        found[f] = min(near, found.get(f, near))
+                rows += [(f, near, int(kind)) for f, near in found.items()]
             if rows:
                 columns = [pa.array(x, k) for x, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["feature", "near", "toxic"])
