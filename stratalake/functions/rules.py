@@ -76,11 +76,11 @@ def register_validation(spark: SparkSession, name: str, check: RowCheck) -> None
     params = ", ".join(f"{c} STRING" for c in check.columns())
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}({params})
-        RETURNS STRUCT<visit_date: DATE, lookup_status: STRING, total_charges: DECIMAL(10,2), status: STRING>
+        RETURNS STRUCT<visit_date: DATE, lookup_status: STRING, total_charges: DECIMAL(12,2), status: STRING>
         RETURN named_struct(
             'visit_date', coalesce({dates}),
             'lookup_status', coalesce({labels}'{LOOKUP_OK}'),
-            'total_charges', try_cast({summed} AS DECIMAL(10,2)),
+            'total_charges', cast({summed} AS DECIMAL(12,2)),
             'status', if(trim(coalesce({check.id_col}, '')) = '', '{BAD}',
                          if({least} < 0, '{INVALID}', '{VALID}')))
     """)

@@ -75,9 +75,12 @@ def parse_amounts(df: DataFrame, cols: Iterable[str], precision: int = 10, scale
 
 
 def total(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Column:
-    """Sum of the readable components; a missing or unreadable one counts as zero."""
+    """Sum of the readable components; a missing or unreadable one counts as zero.
+
+    Two digits wider than the components, so that up to a hundred of them always fit.
+    """
     parts = [F.coalesce(amount(c, precision, scale), F.lit(0).cast(f"decimal({precision},{scale})")) for c in cols]
-    return reduce(add, parts).try_cast(f"decimal({precision},{scale})")
+    return reduce(add, parts).cast(f"decimal({precision + 2},{scale})")
 
 
 def any_negative(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Column:

@@ -28,14 +28,19 @@ def watermark(target: DataFrame, col: str = "load_ts", default: str = EPOCH) ->
     return F.lit(default if top is None else top).cast(kind)
 
 
+def utc_day(ts: Column) -> Column:
+    """The day of a timestamp in UTC, whatever the session's zone: writers and readers may differ in that."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / 86_400_000_000.0).cast("int"))
+
+
 def incremental_filter(src: DataFrame, ts_col: str, bound: Column, date_col: str | None = None) -> DataFrame:
     """Rows stamped after ``bound``.
 
-    ``date_col`` names a partition column holding ``to_date(ts_col)``; the same
-    bound on it lets the scan leave out whole directories.
+    ``date_col`` names a partition column holding the :func:`utc_day` of
+    ``ts_col``; the same bound on it lets the scan leave out whole directories.
     """
     newer = src.where(F.col(ts_col) > bound)
-    return newer if date_col is None else newer.where(F.col(date_col) >= bound.cast("date"))
+    return newer if date_col is None else newer.where(F.col(date_col) >= utc_day(bound))
 
 
 def dedup_latest(

@@ -33,9 +33,12 @@ def missing_id_rule(id_col: str) -> Rule:
     return Rule("missing_id", missing(id_col), MISSING_ID_REASON)
 
 
-def invalid_date_rule(date_col: str) -> Rule:
-    """Optional: also quarantine rows whose date is NULL or unreadable."""
-    return Rule("invalid_date", std_date(date_col).isNull(), BAD_DATE_REASON)
+def invalid_date_rule(date_col: str, parsed: Column | None = None) -> Rule:
+    """Optional: also quarantine rows whose date is NULL or unreadable.
+
+    ``parsed`` is the date where it has been read already, which saves reading it again.
+    """
+    return Rule("invalid_date", (std_date(date_col) if parsed is None else parsed).isNull(), BAD_DATE_REASON)
 
 
 def first_reason(rules: Sequence[Rule]) -> Column:

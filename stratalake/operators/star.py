@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from stratalake.operators.sizing import BROADCAST_ROWS, fits_broadcast
 from stratalake.operators.upsert import check_source, upsert, with_surrogate_keys
 
-# A key is hot above 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
-HOT_SHARE = 1000
-# Hot and keyless rows are spread over this many join slots.
-SPREAD = 4096
+# A key is hot above 1/share of all rows, so there are fewer than ``share`` hot keys. The share is
+# this many times the shuffle partitions: an ordinary key is then a small part of one of them.
+HOT_PER_PARTITION = 4
 
 
 @dataclass(frozen=True)
@@ -42,24 +41,39 @@ def load_dimension(
     ``source`` must hold each natural key once; that is checked unless it is
     ``trusted``. The result is the dimension's new content.
     """
+    rows, n = dimension_rows(dim, source, natural_key, key_col, attrs, promote_if, load_ts, trusted)
+    return upsert(dim, rows, [natural_key], unique_rows=n)
+
+
+def dimension_rows(
+    dim: DataFrame,
+    source: DataFrame,
+    natural_key: str,
+    key_col: str,
+    attrs: Sequence[str],
+    promote_if: Column | None = None,
+    load_ts: Column | None = None,
+    trusted: bool = False,
+) -> tuple[DataFrame, int]:
+    """The rows that :func:`load_dimension` merges, with their surrogate keys, and how many there are."""
     promoted = source if promote_if is None else source.where(promote_if)
     rows = promoted.select(natural_key, *attrs, *([load_ts.alias("load_ts")] if load_ts is not None else []))
-    return _keyed_upsert(dim, rows, promoted, natural_key, key_col, trusted)
+    return _keyed(dim, rows, promoted, natural_key, key_col, trusted)
 
 
-def _keyed_upsert(
+def _keyed(
     target: DataFrame, rows: DataFrame, source: DataFrame, natural_key: str, key_col: str, trusted: bool
-) -> DataFrame:
+) -> tuple[DataFrame, int]:
     """``source`` is what ``rows`` came from, one for one; it is the cheaper one to count."""
     n = source.count() if trusted else check_source(source, [natural_key])
-    return upsert(target, with_surrogate_keys(rows, target, natural_key, key_col, n), [natural_key], unique_rows=n)
+    return with_surrogate_keys(rows, target, natural_key, key_col, n), n
 
 
 def resolve_keys(
     rows: DataFrame,
     dims: Sequence[DimRef],
     broadcast_rows: int = BROADCAST_ROWS,
-    hot_share: int = HOT_SHARE,
+    hot_share: int | None = None,
 ) -> DataFrame:
     """Add each dimension's surrogate key; NULL where the dimension has no such row."""
     given = rows
@@ -73,8 +87,10 @@ def resolve_keys(
     return rows
 
 
-def hot_keys(rows: DataFrame, col: str, share: int = HOT_SHARE) -> list:
+def hot_keys(rows: DataFrame, col: str, share: int | None = None) -> list:
     """Values of ``col`` that more than ``1/share`` of the rows carry: fewer than ``share``."""
+    if share is None:
+        share = HOT_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = rows.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
     return [r[0] for r in counts.where(F.col("__n") > rows.count() / share).select(col).collect()]
 
@@ -82,23 +98,18 @@ def hot_keys(rows: DataFrame, col: str, share: int = HOT_SHARE) -> list:
 def _lookup_large(rows: DataFrame, pairs: DataFrame, col: str, value_col: str, hot_values: list) -> DataFrame:
     """Left join with a large unique lookup that no hot or NULL key can pile up in one task.
 
-    Hot keys (see :func:`hot_keys`, so a short list) take their value from a
-    broadcast. The shuffle join runs on key and slot. Lookup and ordinary rows
-    use the slot their key hashes to; rows already settled, and rows without a
-    key, get one from a hash of the whole row, outside that range: they scatter
-    and match nothing. A lost task places its rows the same way again.
+    Only ordinary rows are shuffled. Rows without a key match nothing, and rows
+    with a hot key (see :func:`hot_keys`, so a short list) take their value from
+    a broadcast: both stay where they are.
     """
     hot = F.col(col).isin(hot_values)
-    hot_pairs = pairs.where(hot).withColumnRenamed(value_col, "__hot")
-
-    def slot(*cols):
-        return F.pmod(F.xxhash64(*cols), F.lit(SPREAD)).cast("int")
-
-    settled = F.col(col).isNull() | hot
-    placed = F.when(settled, slot(*rows.columns) + SPREAD).otherwise(slot(col))
-    marked = rows.withColumn("__slot", placed).join(F.broadcast(hot_pairs), col, "left")
-    joined = marked.join(pairs.withColumn("__slot", slot(col)), [col, "__slot"], "left")
-    return joined.select(*rows.columns, F.coalesce("__hot", value_col).alias(value_col))
+    keyless = rows.where(F.col(col).isNull()).withColumn(value_col, F.lit(None).cast(pairs.schema[value_col].dataType))
+    ordinary = rows.where(F.col(col).isNotNull() & ~hot).join(pairs, col, "left")
+    joined = ordinary.select(*rows.columns, value_col).unionByName(keyless)
+    if not hot_values:
+        return joined
+    settled = rows.where(hot).join(F.broadcast(pairs.where(hot)), col, "left")
+    return joined.unionByName(settled.select(*rows.columns, value_col))
 
 
 def load_fact(
@@ -113,6 +124,22 @@ def load_fact(
     trusted: bool = False,
 ) -> DataFrame:
     """Resolve the dimension keys, then upsert on the natural key, keeping surrogate keys."""
+    rows, n = fact_rows(fact, source, dims, natural_key, key_col, measures, promote_if, load_ts, trusted)
+    return upsert(fact, rows, [natural_key], unique_rows=n)
+
+
+def fact_rows(
+    fact: DataFrame,
+    source: DataFrame,
+    dims: Sequence[DimRef],
+    natural_key: str,
+    key_col: str,
+    measures: Sequence[str],
+    promote_if: Column | None = None,
+    load_ts: Column | None = None,
+    trusted: bool = False,
+) -> tuple[DataFrame, int]:
+    """The rows that :func:`load_fact` merges, with all their keys, and how many there are."""
     promoted = source if promote_if is None else source.where(promote_if)
     rows = resolve_keys(promoted, dims).select(
         natural_key,
@@ -120,7 +147,7 @@ def load_fact(
         *measures,
         *([load_ts.alias("load_ts")] if load_ts is not None else []),
     )
-    return _keyed_upsert(fact, rows, promoted, natural_key, key_col, trusted)
+    return _keyed(fact, rows, promoted, natural_key, key_col, trusted)
 
 
 def orphans(

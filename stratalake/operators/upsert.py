@@ -1,7 +1,7 @@
 """Key-based upsert and surrogate keys.
 
 ``upsert`` returns the new content of the target as a DataFrame; the table
-store writes it as a new snapshot. Nothing is updated in place.
+store hands it the part of the table that the source's keys fall into.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from stratalake.sources.staging import stage
 
 # A delta is small if the target is this many times larger.
 SMALL_FACTOR = 10
-# Offsets table size in ``assign_keys``; the only thing broadcast there.
-KEY_BUCKETS = 4096
+# Rows that ``assign_keys`` sorts in one bucket, about, and the most buckets: their offsets are broadcast.
+BUCKET_ROWS = 200_000
+MOST_BUCKETS = 1 << 20
 
 
 def check_source(source: DataFrame, keys: Sequence[str]) -> int:
@@ -58,8 +59,7 @@ def upsert(
     A small delta (at most ``broadcast_keys`` rows and ``1/factor`` of the target;
     both are counted first) is broadcast as bare keys: the
     target streams through an anti join and is not shuffled. A larger one is
-    merged by one full outer join, which shuffles each side once, or only the
-    delta when the target is bucketed by the same keys.
+    merged by one full outer join, which shuffles each side once.
     """
     keys = list(keys)
     rest = [c for c in target.columns if c not in keys]
@@ -127,17 +127,19 @@ def assign_keys(
     natural_key: str | Sequence[str],
     key_col: str,
     start_after: int = 0,
-    buckets: int = KEY_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Number the rows ``start_after + 1 …`` without gaps, in parallel.
 
-    Rows are hashed to ``buckets`` by natural key and ranked inside each; a
-    running total over the bucket sizes (``buckets`` rows, the one small table
+    Rows are hashed to ``buckets`` (by default as many as their number asks
+    for) by natural key and ranked inside each; a running total over the bucket sizes (``buckets`` rows, the one small table
     that meets in a single task and is broadcast) shifts the ranks. The result
     depends on the natural keys alone, so a lost task recomputes the same
     numbers. Natural keys must be unique, which also keeps buckets even.
     """
     nk = [natural_key] if isinstance(natural_key, str) else list(natural_key)
+    if buckets is None:
+        buckets = key_buckets(rows.count())
     placed = rows.withColumn("__b", F.pmod(F.xxhash64(*nk), F.lit(buckets)).cast("int"))
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -153,6 +155,11 @@ def assign_keys(
     )
 
 
+def key_buckets(rows: int) -> int:
+    """How many buckets so many rows are numbered in."""
+    return min(max(16, rows // BUCKET_ROWS), MOST_BUCKETS)
+
+
 def max_key(target: DataFrame, key_col: str) -> int | None:
     """Highest surrogate key in use, None for an empty table."""
     return target.agg(F.max(key_col)).first()[0]
@@ -175,7 +182,7 @@ def with_surrogate_keys(
     """
     top = max_key(target, key_col)
     if top is None:  # first load: every row is new
-        return assign_keys(source, natural_key, key_col)
+        return assign_keys(source, natural_key, key_col, buckets=key_buckets(rows))
     held = target.select(natural_key, key_col)
     if _is_small(source, [natural_key], rows, target.count(), broadcast_keys, factor):
         held = held.join(F.broadcast(source.select(natural_key)), natural_key, "left_semi")
@@ -183,5 +190,5 @@ def with_surrogate_keys(
     else:
         joined = stage(source.join(held, natural_key, "left"), f"keys-{key_col}")
     fresh = joined.where(F.col(key_col).isNull()).drop(key_col)
-    numbered = assign_keys(fresh, natural_key, key_col, top)
+    numbered = assign_keys(fresh, natural_key, key_col, top, key_buckets(rows))
     return joined.where(F.col(key_col).isNotNull()).unionByName(numbered)

@@ -37,7 +37,7 @@ def group_kpi(
     sums = _per_key(fact, key, counted, amount).join(dim.select(key, by), key)
     aggs = [F.sum("__n").alias("total_visits")]
     if amount is not None:
-        aggs.append(F.sum("__sum").cast("decimal(18,2)").alias("total_revenue"))
+        aggs.append(F.sum("__sum").alias("total_revenue"))
     out = sums.groupBy(by).agg(*aggs)
     return out.orderBy(*[F.col(c).desc_nulls_first() for c in sort], F.col(by)) if sort else out
 

@@ -1,88 +1,169 @@
 """Columns of the visit warehouse, layer by layer.
 
 Fixed values: the table and column names, types and text lengths are those the
-reports and loads expect. A trailing ``!`` marks NOT NULL, ``(n)`` a text length.
+reports and loads expect.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import types as T
 
 RAW, VALIDATED, CLEAN = "raw", "validated", "clean"
 
-_LINEAGE_RAW = "file_name text(50), load_timestamp timestamp"
-_LINEAGE = "source_file_name text(255), load_ts timestamp"
+
+def _text(name: str, length: int, nullable: bool = True) -> T.StructField:
+    return T.StructField(name, T.StringType(), nullable, {"max_length": length})
+
+
+def _money(name: str, digits: int = 10) -> T.StructField:
+    return T.StructField(name, T.DecimalType(digits, 2))
+
+
+def _date(name: str) -> T.StructField:
+    return T.StructField(name, T.DateType())
+
+
+def _key(name: str, nullable: bool = True) -> T.StructField:
+    return T.StructField(name, T.LongType(), nullable)
+
+
+_LINEAGE_RAW = [_text("file_name", 50), T.StructField("load_timestamp", T.TimestampType())]
+_LINEAGE = [_text("source_file_name", 255), T.StructField("load_ts", T.TimestampType())]
 
 DEFINITIONS = {
-    (RAW, "raw_patient_visits"): (
-        "visit_id text(50), patient_id text(50), doctor_id text(50), department_id text(50), visit_date text(50), "
-        "consultation_fee text(50), medicine_cost text(50), lab_cost text(50), total_bill text(50), " + _LINEAGE_RAW
-    ),
-    (RAW, "raw_diagnosis"): (
-        "diagnosis_id text(50), visit_id text(50), diagnosis text(255), notes text(500), " + _LINEAGE_RAW
-    ),
-    (RAW, "raw_billing"): (
-        "bill_id text(50), visit_id text(50), bill_amount decimal(10,2), bill_date text(50), " + _LINEAGE_RAW
-    ),
-    (RAW, "raw_dim_patient"): "patient_id text(50), full_name text(255), city text(100), " + _LINEAGE_RAW,
-    (RAW, "raw_dim_doctor"): "doctor_id text(50), doctor_name text(255), department text(100), " + _LINEAGE_RAW,
-    (VALIDATED, "validated_patient_visits"): (
-        "visit_id text(50)!, patient_id text(50)!, doctor_id text(50), department_id text(50), visit_date date, "
-        "consultation_fee decimal(10,2), medicine_cost decimal(10,2), lab_cost decimal(10,2), "
-        "total_charges decimal(10,2), billing_status text(20), record_status text(30), " + _LINEAGE
-    ),
-    (VALIDATED, "validated_dim_patient"): (
-        "patient_id text(50)!, full_name text(255)!, city text(100), record_status text(30), " + _LINEAGE
-    ),
-    (VALIDATED, "validated_dim_doctor"): (
-        "doctor_id text(50)!, doctor_name text(255)!, department text(100), record_status text(30), " + _LINEAGE
-    ),
-    (VALIDATED, "validated_billing"): (
-        "bill_id text(50)!, visit_id text(50)!, bill_amount decimal(10,2), bill_date date, "
-        "billing_status text(20), record_status text(30), " + _LINEAGE
-    ),
-    (VALIDATED, "validated_diagnosis"): (
-        "diagnosis_id text(50)!, visit_id text(50)!, diagnosis text(255)!, notes text(500), "
-        "record_status text(30), " + _LINEAGE
-    ),
-    (VALIDATED, "bad_patient_data"): (
-        "visit_id text(50), patient_id text(50), doctor_id text(50), department_id text(50), visit_date_raw text(50), "
-        "visit_date_std date, consultation_fee decimal(10,2), medicine_cost decimal(10,2), lab_cost decimal(10,2), "
-        "total_charges decimal(10,2), error_reason text(255), record_status text(30), " + _LINEAGE
-    ),
-    (CLEAN, "dim_patient"): "patient_key long!, patient_id text(50)!, full_name text(255), city text(100), " + _LINEAGE,
-    (CLEAN, "dim_doctor"): (
-        "doctor_key long!, doctor_id text(50)!, doctor_name text(255), department text(100), " + _LINEAGE
-    ),
-    (CLEAN, "fact_patient_visits"): (
-        "visit_key long!, visit_id text(50)!, patient_key long, doctor_key long, "
-        "visit_date date, total_charges decimal(10,2), " + _LINEAGE
-    ),
+    (RAW, "raw_patient_visits"): [
+        _text("visit_id", 50),
+        _text("patient_id", 50),
+        _text("doctor_id", 50),
+        _text("department_id", 50),
+        _text("visit_date", 50),
+        _text("consultation_fee", 50),
+        _text("medicine_cost", 50),
+        _text("lab_cost", 50),
+        _text("total_bill", 50),
+        *_LINEAGE_RAW,
+    ],
+    (RAW, "raw_diagnosis"): [
+        _text("diagnosis_id", 50),
+        _text("visit_id", 50),
+        _text("diagnosis", 255),
+        _text("notes", 500),
+        *_LINEAGE_RAW,
+    ],
+    (RAW, "raw_billing"): [
+        _text("bill_id", 50),
+        _text("visit_id", 50),
+        _money("bill_amount"),
+        _text("bill_date", 50),
+        *_LINEAGE_RAW,
+    ],
+    (RAW, "raw_dim_patient"): [
+        _text("patient_id", 50),
+        _text("full_name", 255),
+        _text("city", 100),
+        *_LINEAGE_RAW,
+    ],
+    (RAW, "raw_dim_doctor"): [
+        _text("doctor_id", 50),
+        _text("doctor_name", 255),
+        _text("department", 100),
+        *_LINEAGE_RAW,
+    ],
+    (VALIDATED, "validated_patient_visits"): [
+        _text("visit_id", 50, nullable=False),
+        _text("patient_id", 50, nullable=False),
+        _text("doctor_id", 50),
+        _text("department_id", 50),
+        _date("visit_date"),
+        _money("consultation_fee"),
+        _money("medicine_cost"),
+        _money("lab_cost"),
+        _money("total_charges", 12),
+        _text("billing_status", 20),
+        _text("record_status", 30),
+        *_LINEAGE,
+    ],
+    (VALIDATED, "validated_dim_patient"): [
+        _text("patient_id", 50, nullable=False),
+        _text("full_name", 255, nullable=False),
+        _text("city", 100),
+        _text("record_status", 30),
+        *_LINEAGE,
+    ],
+    (VALIDATED, "validated_dim_doctor"): [
+        _text("doctor_id", 50, nullable=False),
+        _text("doctor_name", 255, nullable=False),
+        _text("department", 100),
+        _text("record_status", 30),
+        *_LINEAGE,
+    ],
+    (VALIDATED, "validated_billing"): [
+        _text("bill_id", 50, nullable=False),
+        _text("visit_id", 50, nullable=False),
+        _money("bill_amount"),
+        _date("bill_date"),
+        _text("billing_status", 20),
+        _text("record_status", 30),
+        *_LINEAGE,
+    ],
+    (VALIDATED, "validated_diagnosis"): [
+        _text("diagnosis_id", 50, nullable=False),
+        _text("visit_id", 50, nullable=False),
+        _text("diagnosis", 255, nullable=False),
+        _text("notes", 500),
+        _text("record_status", 30),
+        *_LINEAGE,
+    ],
+    (VALIDATED, "bad_patient_data"): [
+        _text("visit_id", 50),
+        _text("patient_id", 50),
+        _text("doctor_id", 50),
+        _text("department_id", 50),
+        _text("visit_date_raw", 50),
+        _date("visit_date_std"),
+        _money("consultation_fee"),
+        _money("medicine_cost"),
+        _money("lab_cost"),
+        _money("total_charges", 12),
+        _text("error_reason", 255),
+        _text("record_status", 30),
+        *_LINEAGE,
+    ],
+    (CLEAN, "dim_patient"): [
+        _key("patient_key", nullable=False),
+        _text("patient_id", 50, nullable=False),
+        _text("full_name", 255),
+        _text("city", 100),
+        *_LINEAGE,
+    ],
+    (CLEAN, "dim_doctor"): [
+        _key("doctor_key", nullable=False),
+        _text("doctor_id", 50, nullable=False),
+        _text("doctor_name", 255),
+        _text("department", 100),
+        *_LINEAGE,
+    ],
+    (CLEAN, "fact_patient_visits"): [
+        _key("visit_key", nullable=False),
+        _text("visit_id", 50, nullable=False),
+        _key("patient_key"),
+        _key("doctor_key"),
+        _date("visit_date"),
+        _money("total_charges", 12),
+        *_LINEAGE,
+    ],
 }
 
 # Unnamed columns after the named ones in the delivered files.
 CSV_PADDING = {"raw_patient_visits": 0, "raw_diagnosis": 2, "raw_billing": 2, "raw_dim_patient": 2, "raw_dim_doctor": 3}
 
-_TYPES = {
-    "text": T.StringType(),
-    "long": T.LongType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "decimal(10,2)": T.DecimalType(10, 2),
-}
-_FIELD = re.compile(r"(\w+) (text|long|date|timestamp|decimal\(10,2\))(?:\((\d+)\))?(!?)(?:, |$)")
-
 
 def schema_of(layer: str, table: str) -> T.StructType:
-    """The declared schema; text lengths are in the field metadata as ``max_length``."""
-    return T.StructType(
-        [
-            T.StructField(name, _TYPES[kind], not required, {"max_length": int(size)} if size else {})
-            for name, kind, size, required in _FIELD.findall(DEFINITIONS[layer, table])
-        ]
-    )
+    """The declared schema; text lengths are in the field metadata as ``max_length``.
+
+    ``total_charges`` is two digits wider than the amounts it adds up, so that no total is lost.
+    """
+    return T.StructType(DEFINITIONS[layer, table])
 
 
 def file_columns(table: str) -> list[str]:

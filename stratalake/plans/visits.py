@@ -13,15 +13,14 @@ from pyspark.sql import types as T
 from stratalake.functions.rules import BAD, INVALID, VALID, VALIDATED, RowCheck, negative_status, validate_struct
 from stratalake.functions.rules import register_validation, text_status
 from stratalake.functions.values import amount, parse_amounts, std_date
-from stratalake.operators.incremental import EPOCH, dedup_latest, incremental_filter, watermark
+from stratalake.operators.incremental import EPOCH, dedup_latest, incremental_filter, utc_day, watermark
 from stratalake.operators.quality import Rule, assert_schema, conform, missing_id_rule, require, split_bad
-from stratalake.operators.star import DimRef, load_dimension, load_fact
-from stratalake.operators.upsert import upsert
+from stratalake.operators.star import DimRef, dimension_rows, fact_rows
 from stratalake.plans import kpi
 from stratalake.plans.tables import CLEAN, CSV_PADDING, DEFINITIONS, RAW, VALIDATED as VALIDATED_LAYER
 from stratalake.plans.tables import file_columns, schema_of
 from stratalake.sources.csv_layer import physical_schema
-from stratalake.sources.ledger import FileLoader, file_in, glob_for
+from stratalake.sources.ledger import REJECT_SCHEMA, FileLoader, file_in, glob_for
 from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
@@ -56,6 +55,8 @@ MERGE_KEYS = {
     "dim_doctor": "doctor_id",
     "fact_patient_visits": "visit_id",
 }
+# Lines of any file that could not be loaded.
+REJECTS = "rejected_lines"
 # Layout only: raw tables are split by load day, so that the watermark skips whole directories.
 LOAD_DAY = "load_date"
 
@@ -136,13 +137,13 @@ class VisitWarehouse:
     """All loads and reports over one store.
 
     ``watermark_policy``: ``merge_time`` compares raw load times with the time
-    of the last merge; ``source_time`` with the newest raw load time that merge
-    took in, so a row that became visible late is still picked up.
+    of the last merge; ``source_time`` with the newest raw load time a merge has
+    taken in, so rows stamped before the last merge but after that time are still picked up.
     ``quarantine_policy``: ``incremental`` skips rows already quarantined,
     ``append`` writes all bad raw rows on every run.
-    ``clock`` gives one time per load step. ``buckets`` hash-splits the merged
-    tables by natural key, so that a merge shuffles the new rows only.
-    ``keep_versions`` releases older versions of a table after each merge.
+    ``clock`` gives one time per load step. The merged tables are split into
+    ``parts`` folders by natural key, and a merge rewrites only those its rows fall
+    into: choose so many that a folder is a few GB at most.
     """
 
     def __init__(
@@ -152,8 +153,7 @@ class VisitWarehouse:
         watermark_policy: str = "merge_time",
         quarantine_policy: str = "incremental",
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
-        buckets: int | None = None,
-        keep_versions: int | None = None,
+        parts: int = 8,
     ):
         if watermark_policy not in ("merge_time", "source_time"):
             raise ValueError("watermark_policy is 'merge_time' or 'source_time'")
@@ -164,13 +164,17 @@ class VisitWarehouse:
         self.watermark_policy = watermark_policy
         self.quarantine_policy = quarantine_policy
         self.clock = clock
-        self.buckets = buckets
-        self.keep_versions = keep_versions
+        self.parts = parts
 
     # -- tables ----------------------------------------------------------
 
     def create_tables(self, only: Collection[str] | None = None) -> None:
-        """Create or replace every table, or the named ones, empty."""
+        """Create or replace every table, or the named ones, empty; files load again into a new raw table."""
+        made = [f"{layer}.{table}" for layer, table in DEFINITIONS if layer == RAW and (only is None or table in only)]
+        if made:
+            FileLoader(self.store).forget(made)
+        if not self.store.exists(RAW, REJECTS):
+            self.store.create(RAW, REJECTS, REJECT_SCHEMA)
         for layer, table in DEFINITIONS:
             if only is not None and table not in only:
                 continue
@@ -178,8 +182,8 @@ class VisitWarehouse:
             if layer == RAW:
                 schema = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
                 self.store.create(layer, table, schema, [LOAD_DAY])
-            elif self.buckets and table in MERGE_KEYS:
-                self.store.create(layer, table, schema, buckets=self.buckets, bucket_keys=[MERGE_KEYS[table]])
+            elif table in MERGE_KEYS:
+                self.store.create(layer, table, schema, parts=self.parts, part_keys=[MERGE_KEYS[table]])
             else:
                 self.store.create(layer, table, schema)
 
@@ -188,15 +192,9 @@ class VisitWarehouse:
         df = self.store.read(layer, name)
         return df.drop(LOAD_DAY) if layer == RAW else df
 
-    def _publish(self, layer: str, name: str, df: DataFrame, **more) -> DataFrame:
-        """Next version in the same layout; a merge result already follows the target's buckets."""
-        self.store.publish(layer, name, df, aligned=True, **self.store.layout(layer, name), **more)
-        if self.keep_versions:
-            self.store.expire(layer, name, self.keep_versions)
-        return self.store.read(layer, name)
-
     def truncate_raw(self, table: str = "raw_patient_visits") -> None:
-        """Empty a raw table. Never part of a load: rows not yet merged would be lost."""
+        """Empty a raw table, so that its files load again. Never part of a load: rows not yet merged would be lost."""
+        FileLoader(self.store).forget([f"{RAW}.{table}"])
         self.store.truncate(RAW, table)
 
     def register_sql(self) -> None:
@@ -211,16 +209,19 @@ class VisitWarehouse:
     # -- files to raw ----------------------------------------------------
 
     def load_files(self, table: str, path: str, force: bool = False, **csv_options) -> int:
-        """Load CSV files into a raw table, each once unless forced; returns the number loaded."""
+        """Load CSV files into a raw table, each once unless forced; returns the number loaded.
+
+        Lines that cannot be loaded are kept in the raw table ``rejected_lines``.
+        """
         now = self._now()
         columns: dict[str, Column | None] = dict.fromkeys(file_columns(table))
         if table == "raw_billing":
             columns["bill_amount"] = amount("bill_amount")
-        columns[LOAD_DAY] = now.cast("date")
+        columns[LOAD_DAY] = utc_day(now)
         schema = physical_schema(file_columns(table), CSV_PADDING[table])
         limits = {f.name: f.metadata["max_length"] for f in schema_of(RAW, table).fields if "max_length" in f.metadata}
         limits = {c: n for c, n in limits.items() if c in file_columns(table)}
-        options = {"limits": limits, **csv_options}
+        options = {"limits": limits, "rejects": REJECTS, **csv_options}
         return FileLoader(self.store).load(RAW, table, path, schema, columns, now, force, **options)
 
     def load_directory(self, directory: str) -> dict[str, int]:
@@ -244,6 +245,10 @@ class VisitWarehouse:
             self.store.read(RAW, source), "load_timestamp", self._bound(target), LOAD_DAY
         )
 
+    def _checked(self, raw: DataFrame) -> DataFrame:
+        """Raw visits with their amounts read and the validation struct ``__v``, written once for all that reads it."""
+        return stage(parse_amounts(raw, AMOUNTS).withColumn("__v", validate_struct(VISIT_CHECK)), "checked")
+
     def validate(self, feed_name: str) -> DataFrame:
         """Merge the new raw rows of one feed into its validated table.
 
@@ -251,13 +256,13 @@ class VisitWarehouse:
         upsert. A later row that fails a filter never hides an earlier good one.
         """
         with stage_scope(self.spark):
-            return self._validate(_feeds()[feed_name], feed_name == "visits", self._now())
+            feed = _feeds()[feed_name]
+            fresh = self._new_raw(feed.source, feed.target)
+            return self._validate(feed, self._checked(fresh) if feed_name == "visits" else fresh, self._now())
 
-    def _validate(self, feed: Feed, checked: bool, now: Column) -> DataFrame:
-        fresh = self._new_raw(feed.source, feed.target)
+    def _validate(self, feed: Feed, fresh: DataFrame, now: Column) -> DataFrame:
         rows = require(fresh, feed.required)
-        if checked:
-            rows = parse_amounts(rows, AMOUNTS).withColumn("__v", validate_struct(VISIT_CHECK))
+        if "__v" in fresh.columns:
             rows = rows.where(F.col("__v.status") != BAD)
         shaped = rows.select(
             *[e.alias(c) for c, e in feed.columns.items()],
@@ -266,23 +271,25 @@ class VisitWarehouse:
         )
         delta = stage(dedup_latest(shaped, [feed.key], "__loaded"), feed.target)
         rows, newest = delta.agg(F.count(F.lit(1)), F.unix_micros(F.max("__loaded"))).first()
-        target = self.store.read(VALIDATED_LAYER, feed.target)
-        if rows == 0:
-            return target
-        source = assert_schema(delta.withColumn("load_ts", now), schema_of(VALIDATED_LAYER, feed.target))
-        merged = upsert(target, source, [feed.key], unique_rows=rows)
-        return self._publish(VALIDATED_LAYER, feed.target, merged, source_watermark=newest)
+        if rows:
+            source = assert_schema(delta.withColumn("load_ts", now), schema_of(VALIDATED_LAYER, feed.target))
+            self.store.merge(VALIDATED_LAYER, feed.target, source, [feed.key], unique_rows=rows, source_watermark=newest)
+        return self.store.read(VALIDATED_LAYER, feed.target)
 
     def quarantine(self, rules: Sequence[Rule] | None = None) -> DataFrame:
         """Copy bad raw visits, ids as delivered, beside what could be read from them."""
-        target = "bad_patient_data"
-        now = self._now()
+        with stage_scope(self.spark):
+            return self._quarantine(self._checked(self._to_quarantine()), self._now(), rules)
+
+    def _to_quarantine(self) -> DataFrame:
         if self.quarantine_policy == "incremental":
-            raw = self._new_raw("raw_patient_visits", target)
-        else:
-            raw = self.store.read(RAW, "raw_patient_visits")
-        _, bad = split_bad(parse_amounts(raw, AMOUNTS), rules or [missing_id_rule("patient_id")])
-        v = validate_struct(VISIT_CHECK)
+            return self._new_raw("raw_patient_visits", "bad_patient_data")
+        return self.store.read(RAW, "raw_patient_visits")
+
+    def _quarantine(self, raw: DataFrame, now: Column, rules: Sequence[Rule] | None = None) -> DataFrame:
+        target = "bad_patient_data"
+        _, bad = split_bad(raw, rules or [missing_id_rule("patient_id")])
+        v = F.col("__v")
         rows = bad.select(
             "visit_id",
             "patient_id",
@@ -290,7 +297,7 @@ class VisitWarehouse:
             "department_id",
             F.col("visit_date").alias("visit_date_raw"),
             v["visit_date"].alias("visit_date_std"),
-            *[amount(c).alias(c) for c in AMOUNTS],
+            *AMOUNTS,
             v["total_charges"].alias("total_charges"),
             "error_reason",
             F.lit(BAD).alias("record_status"),
@@ -301,6 +308,17 @@ class VisitWarehouse:
         self.store.append(VALIDATED_LAYER, target, conform(rows, schema_of(VALIDATED_LAYER, target)), newest)
         return self.store.read(VALIDATED_LAYER, target)
 
+    def _take_visits(self) -> None:
+        """:meth:`quarantine` and :meth:`validate` of the visits, which are read and parsed once for both."""
+        feed = _feeds()["visits"]
+        with stage_scope(self.spark):
+            since_bad = self._bound("bad_patient_data") if self.quarantine_policy == "incremental" else F.lit(EPOCH).cast("timestamp")
+            since_good = self._bound(feed.target)
+            raw = self.store.read(RAW, feed.source)
+            both = self._checked(incremental_filter(raw, "load_timestamp", F.least(since_bad, since_good), LOAD_DAY))
+            self._quarantine(incremental_filter(both, "load_timestamp", since_bad), self._now())
+            self._validate(feed, incremental_filter(both, "load_timestamp", since_good), self._now())
+
     # -- validated to star -----------------------------------------------
 
     def _promotable(self, source: str, target: DataFrame, since_last: bool) -> DataFrame:
@@ -317,7 +335,7 @@ class VisitWarehouse:
         """
         target = self.store.read(CLEAN, dim)
         with stage_scope(self.spark):
-            content = load_dimension(
+            rows, n = dimension_rows(
                 target,
                 self._promotable(source, target, since_last),
                 natural_key,
@@ -327,7 +345,8 @@ class VisitWarehouse:
                 load_ts=self._now(),
                 trusted=True,
             )
-            return self._publish(CLEAN, dim, content)
+            self.store.merge(CLEAN, dim, rows, [natural_key], unique_rows=n)
+            return self.store.read(CLEAN, dim)
 
     def load_dims(self, since_last: bool = False) -> None:
         patient = ["full_name", "city", "source_file_name"]
@@ -344,7 +363,7 @@ class VisitWarehouse:
         """
         target = self.store.read(CLEAN, "fact_patient_visits")
         with stage_scope(self.spark):
-            content = load_fact(
+            rows, n = fact_rows(
                 target,
                 self._promotable("validated_patient_visits", target, since_last),
                 [
@@ -358,15 +377,16 @@ class VisitWarehouse:
                 load_ts=self._now(),
                 trusted=True,
             )
-            return self._publish(CLEAN, "fact_patient_visits", content)
+            self.store.merge(CLEAN, "fact_patient_visits", rows, ["visit_id"], unique_rows=n)
+            return self.store.read(CLEAN, "fact_patient_visits")
 
     def run(self, directory: str) -> None:
         """Everything from the delivered files to the star schema, in order."""
         self.load_directory(directory)
         for feed in ("patients", "doctors"):
             self.validate(feed)
-        self.quarantine()
-        for feed in ("visits", "billing", "diagnoses"):
+        self._take_visits()
+        for feed in ("billing", "diagnoses"):
             self.validate(feed)
         self.load_dims()
         self.load_visits_fact()

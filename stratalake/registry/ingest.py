@@ -9,7 +9,7 @@ from stratalake.functions.values import amount
 from stratalake.registry.roles import MONEY, table
 from stratalake.session import work_dir
 from stratalake.sources.csv_layer import physical_schema, read_csv_layer
-from stratalake.sources.ledger import FileLoader, list_files
+from stratalake.sources.ledger import REJECT_SCHEMA, FileLoader, file_in, list_files
 from stratalake.sources.store import TableStore
 
 COLUMNS = ["bill_id", "patient_id", "bill_amount", "bill_date", "note"]
@@ -86,17 +86,47 @@ def csv_ingest_roundtrip(spark, d):
     return good.select(*COLUMNS, named, F.col("load_timestamp").cast("timestamp_ntz").alias("load_timestamp"))
 
 
+def _strictly(spark, d):
+    paths = _files_with_short_lines(spark, d)
+    return read_csv_layer(spark, paths, FILE_SCHEMA, loaded_columns(), stamp(), short_lines="reject")
+
+
 def csv_ingest_skip_bad_rows(spark, d):
-    return read_csv_layer(spark, _files_with_short_lines(spark, d), FILE_SCHEMA, loaded_columns(), stamp())[0].select(*COLUMNS)
+    return _strictly(spark, d)[0].select(*COLUMNS)
 
 
 def csv_ingest_rejected_lines(spark, d):
-    return read_csv_layer(spark, _files_with_short_lines(spark, d), FILE_SCHEMA, loaded_columns(), stamp())[1].select("line")
+    return _strictly(spark, d)[1].select("line")
 
 
 def csv_ingest_pad_short_rows(spark, d):
     paths = _files_with_short_lines(spark, d)
-    return read_csv_layer(spark, paths, FILE_SCHEMA, loaded_columns(), stamp(), short_lines="pad")[0].select(*COLUMNS)
+    return read_csv_layer(spark, paths, FILE_SCHEMA, loaded_columns(), stamp())[0].select(*COLUMNS)
+
+
+def csv_ingest_every_line(spark, d):
+    """Right, short, long and broken lines offered to one table: each is loaded or set aside."""
+    folder = work_dir(spark, "bills-mixed")
+    orders, status = table(spark, d, "orders"), F.col("o_orderstatus")
+    fields = F.concat_ws(",", F.concat(F.lit("B"), F.col("o_orderkey")), F.col("o_custkey"))
+    line = (
+        F.when(status == "O", fields)
+        .when(status == "P", F.concat(fields, F.lit(",1,d,n,,,more,fields")))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.concat(fields, F.lit(',1,d,"open')))
+        .otherwise(F.concat(fields, F.lit(",1,d,n,,")))
+    )
+    # one column without quoting: every line as it is, below a header of its own
+    lines = orders.select(line.alias(",".join([*COLUMNS, "", ""])))
+    lines.write.option("header", True).option("quote", "").option("sep", "\t").csv(folder)
+    store = TableStore(spark, work_dir(spark, "bills-mixed-store"))
+    store.create("raw", "bills", RAW_SCHEMA)
+    store.create("raw", "rejects", REJECT_SCHEMA)
+    loader = FileLoader(store)
+    loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp(), rejects="rejects")
+    bills, rejects = store.read("raw", "bills"), store.read("raw", "rejects")
+    loaded = bills.select("bill_id", F.col("note").isNotNull().alias("whole"), F.lit("loaded").alias("outcome"))
+    set_aside = rejects.select(F.split("line", ",")[0].alias("bill_id"), F.lit(False).alias("whole"), F.lit("rejected").alias("outcome"))
+    return loaded.unionByName(set_aside)
 
 
 def _load(spark, d, label: str, force: bool):
@@ -118,11 +148,44 @@ def csv_force_reload(spark, d):
     return _load(spark, d, "forced", True).groupBy("bill_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def csv_truncate_and_reload(spark, d):
+    """Emptied and made anew: the history goes with the rows, so every file loads again, once."""
+    folder = bill_files(spark, d, "reload")
+    store = TableStore(spark, work_dir(spark, "reload-store"))
+    store.create("raw", "bills", RAW_SCHEMA)
+    loader = FileLoader(store)
+    loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp())
+    before = store.read("raw", "bills").count()
+    store.truncate("raw", "bills")
+    loader.forget(["raw.bills"])
+    for _ in range(2):
+        loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp())
+    return store.read("raw", "bills").select("bill_id", F.lit(before).alias("rows_then"))
+
+
+def _bills_by_status(spark, d, label: str) -> str:
+    """A folder of files for each order status."""
+    folder = work_dir(spark, label)
+    out = _bills(spark, d).write.option("header", True).partitionBy("o_orderstatus")
+    out.csv(folder)
+    return folder
+
+
 def staged_file_list(spark, d):
-    """The given tables themselves, as staged files."""
-    listed = list_files(spark, f"{d}/orders.parquet").unionByName(list_files(spark, f"{d}/lineitem.parquet"))
-    name = F.regexp_extract("path", r"/([a-z]+)\.parquet", 1).alias("table_name")
-    return listed.groupBy(name).agg((F.sum("length") > 0).alias("has_bytes"))
+    """The files written for each status, found by listing."""
+    listed = list_files(spark, f"{_bills_by_status(spark, d, 'listed')}/o_orderstatus=*")
+    status = F.regexp_extract("path", r"/o_orderstatus=([^/]+)/", 1).alias("o_orderstatus")
+    return listed.groupBy(status).agg((F.sum("length") > 0).alias("has_bytes"))
+
+
+def csv_one_named_file(spark, d):
+    """One file of several: only its rows are loaded."""
+    folder = _bills_by_status(spark, d, "named")
+    store = TableStore(spark, work_dir(spark, "named-store"))
+    store.create("raw", "bills", RAW_SCHEMA)
+    path = file_in(folder, "o_orderstatus=F")
+    FileLoader(store).load("raw", "bills", path, FILE_SCHEMA, loaded_columns(), stamp())
+    return store.read("raw", "bills").select("bill_id", "bill_amount")
 
 
 def _customer_store(spark, d, label: str) -> TableStore:
@@ -145,12 +208,22 @@ def table_drop_column(spark, d):
 
 
 def table_truncate(spark, d):
-    """Row counts before and after; the version before stays readable."""
+    """Row counts before and after."""
     store = _customer_store(spark, d, "truncate")
-    full = store.version("raw", "customer")
+    before = store.read("raw", "customer").count()
     store.truncate("raw", "customer")
-    before = store.read("raw", "customer", version=full).agg(F.count(F.lit(1)).alias("rows_before"))
-    return before.withColumn("rows_after", F.lit(store.read("raw", "customer").count()))
+    after = store.read("raw", "customer").agg(F.count(F.lit(1)).alias("rows_after"))
+    return after.withColumn("rows_before", F.lit(before))
+
+
+def table_merge(spark, d):
+    """Customers in debt merged onto the others' table, which is split by key; only some folders are written."""
+    store = TableStore(spark, work_dir(spark, "merge"))
+    customers = table(spark, d, "customer")
+    store.create("clean", "customer", customers.schema, parts=8, part_keys=["c_custkey"])
+    store.merge("clean", "customer", customers.withColumn("c_name", F.lit("old")), ["c_custkey"])
+    store.merge("clean", "customer", customers.where("c_acctbal < 0"), ["c_custkey"])
+    return store.read("clean", "customer")
 
 
 _BILLS_SQL = """(SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS bill_id, CAST(o_custkey AS VARCHAR) AS patient_id,
@@ -165,10 +238,14 @@ QUERIES = {
     "csv_ingest_pad_short_rows": csv_ingest_pad_short_rows,
     "csv_load_once": csv_load_once,
     "csv_force_reload": csv_force_reload,
+    "csv_ingest_every_line": csv_ingest_every_line,
+    "csv_truncate_and_reload": csv_truncate_and_reload,
+    "csv_one_named_file": csv_one_named_file,
     "staged_file_list": staged_file_list,
     "table_append": table_append,
     "table_drop_column": table_drop_column,
     "table_truncate": table_truncate,
+    "table_merge": table_merge,
 }
 
 ORACLE = {
@@ -182,8 +259,14 @@ ORACLE = {
         CASE WHEN o_orderstatus <> 'O' THEN note END AS note FROM {_BILLS_SQL}""",
     "csv_load_once": f"SELECT bill_id, bill_amount FROM {_BILLS_SQL}",
     "csv_force_reload": f"SELECT bill_id, CAST(2 AS BIGINT) AS copies FROM {_BILLS_SQL}",
-    "staged_file_list": "SELECT unnest(['orders', 'lineitem']) AS table_name, true AS has_bytes",
+    "csv_ingest_every_line": """SELECT 'B' || o_orderkey AS bill_id, NOT broken AND o_orderstatus <> 'O' AS whole,
+        CASE WHEN broken THEN 'rejected' ELSE 'loaded' END AS outcome
+        FROM (SELECT *, o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' AS broken FROM orders)""",
+    "csv_truncate_and_reload": "SELECT 'B' || o_orderkey AS bill_id, (SELECT count(*) FROM orders) AS rows_then FROM orders",
+    "csv_one_named_file": f"SELECT bill_id, bill_amount FROM {_BILLS_SQL} WHERE o_orderstatus = 'F'",
+    "staged_file_list": "SELECT DISTINCT o_orderstatus, true AS has_bytes FROM orders",
     "table_append": "SELECT * FROM customer",
     "table_drop_column": "SELECT * EXCLUDE (c_mktsegment) FROM customer",
+    "table_merge": "SELECT * REPLACE (CASE WHEN c_acctbal < 0 THEN c_name ELSE 'old' END AS c_name) FROM customer",
     "table_truncate": "SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM customer",
 }

@@ -16,8 +16,7 @@ from stratalake.operators.quality import require
 from stratalake.operators.star import DimRef, load_dimension, load_fact, orphans, resolve_keys, with_match
 from stratalake.operators.upsert import assign_keys, upsert
 from stratalake.plans import kpi
-from stratalake.plans.tables import RAW
-from stratalake.plans.visits import AMOUNTS, LOAD_DAY, VISIT_CHECK, VisitWarehouse
+from stratalake.plans.visits import AMOUNTS, VISIT_CHECK, VisitWarehouse
 from stratalake.registry.roles import DOCTOR_SQL, MONEY, RAW_SQL, STATUS_SQL, amount_sql, date_sql, doctor_dim
 from stratalake.registry.roles import missing_sql, raw_visits, sum_sql, table
 from stratalake.session import work_dir
@@ -76,7 +75,9 @@ def _loaded_orders(spark, d):
 
 
 def _order_delta(spark, d):
-    changed = _orders(spark, d).where(F.col("o_orderstatus") != "F")
+    """Open orders changed, and all orders of the later days."""
+    late = F.col("o_orderdate") >= F.lit(_EARLY).cast("timestamp_ntz")
+    changed = _orders(spark, d).where((F.col("o_orderstatus") != "F") | late)
     return changed.withColumn("price", (F.col("price") + 100).cast(MONEY))
 
 
@@ -109,7 +110,7 @@ def upsert_twice(spark, d):
 
 
 def merge_visits(spark, d):
-    """Filter, rank, keep one, upsert: delivered visits onto those shipped before a day."""
+    """Filter, rank, keep one, upsert: visits of the later days, and negative ones again, onto those before a day."""
     rows = require(raw_visits(spark, d), ["visit_id", "patient_id"])
     rows = parse_amounts(rows, AMOUNTS).withColumn("v", validate_struct(VISIT_CHECK)).where(F.col("v.status") != BAD)
     shaped = rows.select(
@@ -122,7 +123,8 @@ def merge_visits(spark, d):
     )
     latest = stage(dedup_latest(shaped, ["visit_id"], "visit_date"), "visits")
     before = latest.where(F.col("visit_date") < F.lit(_EARLY).cast("date")).withColumn("billing_status", F.lit("OLD"))
-    return upsert(before, latest.where(F.col("billing_status") == "INVALID"), ["visit_id"])
+    undated_or_late = ~F.coalesce(F.col("visit_date") < F.lit(_EARLY).cast("date"), F.lit(False))
+    return upsert(before, latest.where((F.col("billing_status") == "INVALID") | undated_or_late), ["visit_id"])
 
 
 # -- star ------------------------------------------------------------------
@@ -258,40 +260,113 @@ def _solvent(spark, d):
 # -- all layers ------------------------------------------------------------
 
 
-def visit_layers(spark, d):
-    """Delivered text -> raw -> validated and quarantine -> star -> department report."""
-    wh = VisitWarehouse(spark, work_dir(spark, "visit-layers"))
-    wh.create_tables()
-    stamp = F.lit("2024-06-01 00:00:00").cast("timestamp")
-
-    def put(name, df):
-        lineage = {"file_name": F.lit("feed"), "load_timestamp": stamp, LOAD_DAY: stamp.cast("date")}
-        wh.store.append(RAW, name, df.withColumns(lineage))
-
-    put("raw_patient_visits", raw_visits(spark, d).withColumn("total_bill", F.lit(None).cast("string")))
-    parts = table(spark, d, "part")
-    put(
-        "raw_dim_patient",
-        parts.select(
-            F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("patient_id"),
-            F.col("p_name").alias("full_name"),
-            F.col("p_type").alias("city"),
-        ),
+def _deliver(rows, folder: str, name: str, padding: int) -> None:
+    """One delivered file (a folder of parts): the columns, then unnamed ones."""
+    blank = [F.lit(None).cast("string").alias(f"_x{i}") for i in range(padding)]
+    rows.select("*", *blank).write.option("header", True).csv(f"{folder}/{name}")
+
+
+def _first_delivery(spark, d):
+    """Visits of the first two lines of each order."""
+    return raw_visits(spark, d).where(F.trim("visit_id").rlike("-[12]$"))
+
+
+def _second_delivery(spark, d):
+    """Those of the other lines, and of the first ones again with another cost and department."""
+    visits = raw_visits(spark, d)
+    again = visits.where(F.trim("visit_id").rlike("-1$"))
+    again = again.withColumns({"lab_cost": F.lit("7"), "department_id": F.lit("DEP-X")})
+    return visits.where(~F.trim("visit_id").rlike("-[12]$")).unionByName(again)
+
+
+def _bills(spark, d):
+    """A bill for each order; those of one status are negative, and some have an unreadable date."""
+    day, price = F.col("o_orderdate"), F.col("o_totalprice").cast(MONEY)
+    text = F.when(F.col("o_orderstatus") == "F", F.date_format(day, "dd-MM-yyyy")).when(
+        F.col("o_orderpriority") == "5-LOW", F.lit("31-02-2020")
     )
-    doctors = doctor_dim(spark, d)
-    put("raw_dim_doctor", doctors.withColumn("doctor_id", F.concat(F.lit("D"), F.col("doctor_key").cast("string"))))
-    for feed in ("patients", "doctors"):
-        wh.validate(feed)
-    wh.quarantine()
-    wh.validate("visits")
-    wh.load_dims()
-    wh.load_visits_fact()
-    bad = wh.table("validated", "bad_patient_data").agg(
-        F.lit("(quarantine)").alias("department"),
-        F.count(F.lit(1)).alias("total_visits"),
-        F.sum("total_charges").cast("decimal(18,2)").alias("total_revenue"),
+    return table(spark, d, "orders").select(
+        F.concat(F.lit("B"), F.col("o_orderkey")).alias("bill_id"),
+        F.concat(F.col("o_orderkey"), F.lit("-1")).alias("visit_id"),
+        F.when(F.col("o_orderstatus") == "P", -price).otherwise(price).cast("string").alias("bill_amount"),
+        F.coalesce(text, F.date_format(day, "yyyy-MM-dd")).alias("bill_date"),
     )
-    return wh.department_performance().unionByName(bad)
+
+
+def _diagnoses(spark, d):
+    """A diagnosis for each order; some are missing."""
+    return table(spark, d, "orders").select(
+        F.concat(F.lit("G"), F.col("o_orderkey")).alias("diagnosis_id"),
+        F.concat(F.col("o_orderkey"), F.lit("-1")).alias("visit_id"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("diagnosis"),
+        F.col("o_orderstatus").alias("notes"),
+    )
+
+
+def _two_loads(spark, d) -> VisitWarehouse:
+    """Five feeds delivered as files, all layers; then a second delivery of visits, and all layers again."""
+    work = work_dir(spark, "visit-layers")
+    files = f"{work}/files"
+    parts = table(spark, d, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey")).alias("patient_id"), F.col("p_name").alias("full_name"), F.col("p_type").alias("city")
+    )
+    doctors = doctor_dim(spark, d).select(F.concat(F.lit("D"), F.col("doctor_key")).alias("doctor_id"), "doctor_name", "department")
+    _deliver(parts, files, "RAW_DIM_PATIENT.csv", 2)
+    _deliver(doctors, files, "RAW_DIM_DOCTOR.csv", 3)
+    _deliver(_bills(spark, d), files, "RAW_BILLING.csv", 2)
+    _deliver(_diagnoses(spark, d), files, "RAW_DIAGNOSIS.csv", 2)
+    wh = VisitWarehouse(spark, f"{work}/warehouse")
+    wh.create_tables()
+    for name, visits in (("RAW_PATIENT_VISITS_1", _first_delivery), ("RAW_PATIENT_VISITS_2", _second_delivery)):
+        _deliver(visits(spark, d).withColumn("total_bill", F.lit(None).cast("string")), files, f"{name}.csv", 0)
+        wh.run(files)
+    return wh
+
+
+def visit_layers(spark, d):
+    """Visits, quarantined rows, bills and diagnoses by group, after two loads."""
+    wh = _two_loads(spark, d)
+
+    def group(table_name, label, money):
+        return wh.table("validated", table_name).groupBy(label.alias("department")).agg(
+            F.count(F.lit(1)).alias("total_visits"), F.sum(money).cast("decimal(18,2)").alias("total_revenue")
+        )
+
+    report = wh.department_performance().withColumn("total_revenue", F.col("total_revenue").cast("decimal(18,2)"))
+    bad = group("bad_patient_data", F.lit("(quarantine)"), "total_charges")
+    bills = group("validated_billing", F.concat(F.lit("bills "), "billing_status"), "bill_amount")
+    notes = group("validated_diagnosis", F.concat(F.lit("diagnoses "), "notes"), F.lit(None).cast("decimal(10,2)"))
+    return report.unionByName(bad).unionByName(bills).unionByName(notes)
+
+
+def second_load_fact(spark, d):
+    """The fact after two loads, surrogate keys turned back into natural ones."""
+    wh = _two_loads(spark, d)
+    fact = wh.table("clean", "fact_patient_visits")
+    for dim, key, natural in (("dim_patient", "patient_key", "patient_id"), ("dim_doctor", "doctor_key", "doctor_id")):
+        fact = fact.join(wh.table("clean", dim).select(key, natural), key, "left")
+    return fact.select("visit_id", "patient_id", "doctor_id", "visit_date", "total_charges")
+
+
+def _one_feed(spark, d, raw: str, feed: str, rows):
+    """One feed from its file to its validated table."""
+    work = work_dir(spark, feed)
+    _deliver(rows, f"{work}/files", "feed.csv", 2)
+    wh = VisitWarehouse(spark, f"{work}/warehouse")
+    wh.create_tables([raw, f"validated_{feed}"])
+    wh.load_files(raw, f"{work}/files/feed.csv")
+    wh.validate("diagnoses" if feed == "diagnosis" else feed)
+    return wh.table("validated", f"validated_{feed}")
+
+
+def validated_billing(spark, d):
+    bills = _one_feed(spark, d, "raw_billing", "billing", _bills(spark, d))
+    return bills.select("bill_id", "visit_id", "bill_amount", "bill_date", "billing_status", "record_status")
+
+
+def validated_diagnoses(spark, d):
+    found = _one_feed(spark, d, "raw_diagnosis", "diagnosis", _diagnoses(spark, d))
+    return found.select("diagnosis_id", "visit_id", "diagnosis", "notes", "record_status")
 
 
 # -- SQL -------------------------------------------------------------------
@@ -310,7 +385,7 @@ _ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice
     FROM orders"""
 _OLD_SQL = f"(SELECT * FROM ({_ORDERS_SQL}) WHERE o_orderdate < TIMESTAMP '{_EARLY}')"
 _DELTA_SQL = f"""(SELECT * REPLACE (CAST(price + 100 AS DECIMAL(12,2)) AS price) FROM ({_ORDERS_SQL})
-    WHERE o_orderstatus <> 'F')"""
+    WHERE o_orderstatus <> 'F' OR o_orderdate >= TIMESTAMP '{_EARLY}')"""
 _UPSERT_SQL = f"""SELECT * FROM {_OLD_SQL} o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_DELTA_SQL})
     UNION ALL SELECT * FROM {_DELTA_SQL}"""
 _SOME_SQL = f"""SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_custkey AS o_custkey,
@@ -342,19 +417,25 @@ _MERGED_SQL = _latest_sql(
     _desc("visit_date", "patient_id", *AMOUNTS, "total_charges", "status"),
     f"visit_id, patient_id, visit_date, {', '.join(AMOUNTS)}, total_charges, status AS billing_status",
 )
+_TWICE_SQL = f"""(SELECT *, CASE WHEN regexp_matches(trim(visit_id), '-[12]$') THEN 1 ELSE 2 END AS load_no FROM {RAW_SQL}
+    UNION ALL SELECT * REPLACE ('7' AS lab_cost, 'DEP-X' AS department_id), 2 FROM {RAW_SQL} WHERE regexp_matches(trim(visit_id), '-1$'))"""
+_LAYERS_SQL = f"""(SELECT trim(visit_id) AS visit_id, trim(patient_id) AS patient_id,
+    CASE WHEN NOT {missing_sql('doctor_id')} THEN trim(doctor_id) END AS doctor_id, trim(department_id) AS department_id,
+    {date_sql('visit_date')} AS visit_date, {_MONEY_COLS}, {sum_sql()} AS total_charges, load_no,
+    CASE WHEN {STATUS_SQL} = 'INVALID' THEN 'INVALID' ELSE 'VALID' END AS status
+    FROM {_TWICE_SQL} WHERE NOT {missing_sql('patient_id')})"""
 _LAYERS_LATEST_SQL = _latest_sql(
-    _SHAPED_SQL,
+    _LAYERS_SQL,
     "visit_id",
-    _desc(
-        "patient_id",
-        "doctor_id",
-        "department_id",
-        "visit_date",
-        *AMOUNTS,
-        "total_charges",
-        "(CASE WHEN status = 'INVALID' THEN 'INVALID' ELSE 'VALID' END)",
-    ),
+    _desc("load_no", "patient_id", "doctor_id", "department_id", "visit_date", *AMOUNTS, "total_charges", "status"),
 )
+_BILLS_SQL = f"""(SELECT 'B' || o_orderkey AS bill_id, o_orderkey || '-1' AS visit_id,
+    CAST(CASE WHEN o_orderstatus = 'P' THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(10,2)) AS bill_amount,
+    CASE WHEN o_orderstatus = 'F' OR o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS bill_date,
+    CASE WHEN o_orderstatus = 'P' AND o_totalprice > 0 THEN 'INVALID' ELSE 'VALID' END AS billing_status,
+    'VALIDATED' AS record_status FROM orders)"""
+_DIAGNOSES_SQL = """(SELECT 'G' || o_orderkey AS diagnosis_id, o_orderkey || '-1' AS visit_id, o_orderpriority AS diagnosis,
+    o_orderstatus AS notes, 'VALID' AS record_status FROM orders WHERE o_orderpriority <> '5-LOW')"""
 _REST = "c_custkey, c_name, c_mktsegment"
 
 QUERIES = {
@@ -381,6 +462,9 @@ QUERIES = {
     "lookup_validation_orphans_large": lookup_orphans_large,
     "lookup_validation_valid_large": lookup_valid_large,
     "visit_layers_end_to_end": visit_layers,
+    "second_load_fact": second_load_fact,
+    "validated_billing": validated_billing,
+    "validated_diagnoses": validated_diagnoses,
 }
 
 _LINE_COLS = ", ".join([*_LINE, *_LINE_REST, "l_shipdate"])
@@ -407,9 +491,8 @@ ORACLE = {
     "upsert_some_columns_large_delta": _SOME_SQL,
     "upsert_idempotent": _UPSERT_SQL,
     "merge_visits": f"""WITH m AS ({_MERGED_SQL})
-        SELECT * FROM m WHERE billing_status = 'INVALID' UNION ALL
-        SELECT * REPLACE ('OLD' AS billing_status) FROM m
-        WHERE billing_status <> 'INVALID' AND visit_date < DATE '{_EARLY}'""",
+        SELECT * REPLACE (CASE WHEN billing_status <> 'INVALID' AND visit_date < DATE '{_EARLY}' THEN 'OLD'
+            ELSE billing_status END AS billing_status) FROM m""",
     "dimension_load": f"""SELECT {_REST} FROM (SELECT c_custkey, c_acctbal, c_mktsegment AS seg,
         CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name ELSE 'old' END AS c_name,
         CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS c_mktsegment FROM customer)
@@ -432,5 +515,10 @@ ORACLE = {
         FROM ({_LAYERS_LATEST_SQL}) v JOIN {DOCTOR_SQL} d ON v.doctor_id = 'D' || CAST(d.doctor_key AS VARCHAR)
         GROUP BY department
         UNION ALL SELECT '(quarantine)', count(*), CAST(sum({sum_sql()}) AS DECIMAL(18,2))
-        FROM {RAW_SQL} WHERE {missing_sql('patient_id')}""",
+        FROM {_TWICE_SQL} WHERE {missing_sql('patient_id')}
+        UNION ALL SELECT 'bills ' || billing_status, count(*), CAST(sum(bill_amount) AS DECIMAL(18,2)) FROM {_BILLS_SQL} GROUP BY 1
+        UNION ALL SELECT 'diagnoses ' || notes, count(*), NULL FROM {_DIAGNOSES_SQL} GROUP BY 1""",
+    "second_load_fact": f"""SELECT visit_id, patient_id, doctor_id, visit_date, total_charges FROM ({_LAYERS_LATEST_SQL})""",
+    "validated_billing": f"SELECT * FROM {_BILLS_SQL}",
+    "validated_diagnoses": f"SELECT * FROM {_DIAGNOSES_SQL}",
 }

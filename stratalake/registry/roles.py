@@ -119,7 +119,7 @@ def amount_sql(c: str) -> str:
 
 
 def sum_sql(cols=("consultation_fee", "medicine_cost", "lab_cost")) -> str:
-    return "CAST(" + " + ".join(f"coalesce({amount_sql(c)}, 0)" for c in cols) + " AS DECIMAL(10,2))"
+    return "CAST(" + " + ".join(f"coalesce({amount_sql(c)}, 0)" for c in cols) + " AS DECIMAL(12,2))"
 
 
 NEGATIVE_SQL = " OR ".join(f"coalesce({amount_sql(c)} < 0, false)" for c in ("consultation_fee", "medicine_cost", "lab_cost"))

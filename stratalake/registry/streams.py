@@ -36,14 +36,15 @@ def _back(df):
 
 
 def incremental_upsert(spark, d):
-    """Latest event per user, merged into a table."""
+    """Latest event per user, merged into a table from several files, the later events first, a file at a time."""
     work = work_dir(spark, "stream-upsert")
     store = TableStore(spark, f"{work}/store")
-    batch = table(spark, d, "events")
-    store.create("clean", "last_event", batch.withColumn("ts", as_event_time("ts")).schema)
-    stream_upsert(
-        _events(spark, d), store, "clean", "last_event", ["user_id"], "ts", f"{work}/checkpoint"
-    ).awaitTermination()
+    events = table(spark, d, "events")
+    events.repartitionByRange(4, F.desc("ts")).write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    stream = stream.withColumn("ts", as_event_time("ts"))
+    store.create("clean", "last_event", stream.schema, parts=4, part_keys=["user_id"])
+    stream_upsert(stream, store, "clean", "last_event", ["user_id"], "ts", f"{work}/checkpoint").awaitTermination()
     return _back(store.read("clean", "last_event"))
 
 
@@ -75,8 +76,8 @@ def csv_once(spark, d):
     """A file stream run twice over the same folder: the checkpoint keeps files from loading again."""
     folder = bill_files(spark, d, "stream-bills")
     work = work_dir(spark, "stream-csv")
-    for _ in range(2):
-        rows = stream_csv_layer(spark.readStream, folder, FILE_SCHEMA, loaded_columns(), load_ts=stamp())
+    for _run in range(2):
+        rows, _ = stream_csv_layer(spark.readStream, folder, FILE_SCHEMA, loaded_columns(), load_ts=stamp())
         sink = rows.writeStream.format("parquet").option("path", f"{work}/raw").trigger(availableNow=True)
         sink.option("checkpointLocation", f"{work}/checkpoint").start().awaitTermination()
     return spark.read.schema(RAW_SCHEMA).parquet(f"{work}/raw").select(*COLUMNS)

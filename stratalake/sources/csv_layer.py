@@ -77,7 +77,7 @@ def read_csv_layer(
     columns: Mapping[str, Column | None] | Sequence[str],
     load_ts: Column | None = None,
     tokens: Sequence[str] = NULL_TOKENS,
-    short_lines: str = "reject",
+    short_lines: str = "pad",
     multi_line: bool = False,
     limits: Mapping[str, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
@@ -86,10 +86,10 @@ def read_csv_layer(
     ``schema`` names every physical column by position; the header line is
     skipped, not read. ``columns`` picks the wanted ones, either by name or as
     ``{output: expression}`` for a cast while loading (``None`` keeps the text).
-    Both frames carry ``file_name`` and ``load_timestamp``. A bad line is set
-    aside and the load goes on: one that does not parse, has the wrong number of
-    fields (``short_lines="pad"`` keeps those), or exceeds a text length in
-    ``limits``.
+    Both frames carry ``file_name`` and ``load_timestamp``. A line with too few
+    fields is padded with NULL, and fields too many are ignored;
+    ``short_lines="reject"`` makes both bad lines. A bad line is set aside and the
+    load goes on: one that does not parse, or exceeds a text length in ``limits``.
     """
     stamp = F.current_timestamp() if load_ts is None else load_ts
     paths = [path] if isinstance(path, str) else list(path)
@@ -104,9 +104,14 @@ def stream_csv_layer(
     columns: Mapping[str, Column | None] | Sequence[str],
     tokens: Sequence[str] = NULL_TOKENS,
     load_ts: Column | None = None,
-    short_lines: str = "reject",
-) -> DataFrame:
-    """The good rows as a stream. Its checkpoint is the load history: each file is read once."""
+    short_lines: str = "pad",
+    multi_line: bool = False,
+    limits: Mapping[str, int] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_csv_layer` as two streams, (good rows, rejected lines).
+
+    The checkpoint of a query is its load history: each file is read once.
+    """
     stamp = F.current_timestamp() if load_ts is None else load_ts
-    raw = _options(reader, schema, False).csv(path)
-    return _split(_typed(raw, columns, tokens, stamp), short_lines, {})[0]
+    raw = _options(reader, schema, multi_line).csv(path)
+    return _split(_typed(raw, columns, tokens, stamp), short_lines, limits or {})

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.sources.csv_layer import read_csv_layer
+from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
 _FILE = ["path", "length", "modified"]
@@ -20,6 +23,8 @@ LEDGER_SCHEMA = (
     .add("load_timestamp", "timestamp")
 )
 
+REJECT_SCHEMA = T.StructType().add("line", "string").add("file_name", "string").add("load_timestamp", "timestamp").add("target", "string")
+
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """path, length and change time of each file under a directory, prefix glob or file.
@@ -55,6 +60,12 @@ class FileLoader:
     def history(self, target: str) -> DataFrame:
         return self.store.read(*self.ledger).where(F.col("target") == target)
 
+    def forget(self, targets: Collection[str]) -> None:
+        """Drop the history of tables that were emptied or made anew, so that their files load again."""
+        held = self.store.read(*self.ledger)
+        if not held.where(F.col("target").isin(*targets)).isEmpty():
+            self.store.publish(*self.ledger, held.where(~F.col("target").isin(*targets)))
+
     def load(
         self,
         layer: str,
@@ -70,23 +81,26 @@ class FileLoader:
         """Append the files' rows to ``layer.table`` and note the files; returns how many.
 
         ``path`` may be one file or a glob such as ``dir/visits*``. Rejected lines
-        go to the raw table ``rejects`` when one is named. The ledger is written
-        last: a load that dies half way is repeated, and the repeated rows fall
-        to the later dedup.
+        go to the raw table ``rejects`` (``REJECT_SCHEMA``) when one is named. The
+        ledger is written last: a load that dies half way is repeated, and the
+        repeated rows fall to the later dedup.
         """
+        with stage_scope(self.store.spark):
+            return self._load(layer, table, path, schema, columns, load_ts, force, rejects, csv_options)
+
+    def _load(self, layer, table, path, schema, columns, load_ts, force, rejects, csv_options) -> int:
         target = f"{layer}.{table}"
-        fresh = new_files(list_files(self.store.spark, path), self.history(target), force)
-        files = fresh.collect()  # file names and sizes only, which Spark's own listing holds as well
-        if not files:
+        fresh = stage(new_files(list_files(self.store.spark, path), self.history(target), force), "files")
+        # the reader takes the names as a list, as its own listing of a folder does
+        paths = [f.path for f in fresh.select("path").collect()]
+        if not paths:
             return 0
-        paths = [f.path for f in files]
         good, bad = read_csv_layer(self.store.spark, paths, schema, columns, load_ts, **csv_options)
         self.store.append(layer, table, good)
         if rejects is not None:
-            self.store.append(layer, rejects, bad)
-        noted = self.store.spark.createDataFrame(files, fresh.schema)
-        self.store.append(*self.ledger, noted.select("*", F.lit(target).alias("target"), load_ts.alias("load_timestamp")))
-        return len(files)
+            self.store.append(layer, rejects, bad.withColumn("target", F.lit(target)))
+        self.store.append(*self.ledger, fresh.select("*", F.lit(target).alias("target"), load_ts.alias("load_timestamp")))
+        return len(paths)
 
 
 def glob_for(directory: str, prefix: str) -> str:

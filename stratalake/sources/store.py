@@ -1,37 +1,43 @@
-"""Tables as versioned parquet snapshots below ``<root>/<layer>/<table>/``.
+"""Tables as parquet files below ``<root>/<layer>/<table>/``: create, read, append, merge, replace.
 
-Each version is a directory of its own. A version counts once its row is in the
-table's ``commits`` list, so readers see the old content until a write is
-complete, and a job can read a table and write its next version. Files are only
-reached through Spark, so any file system Spark knows will do.
+A table's present files are named by a pointer of two slots, written in turn: a
+writer that dies leaves the other slot, and so the old content, in place. Tables that
+are merged by key are split into folders by a hash of the key, and a merge writes only
+the folders its rows fall into. Files are only reached through Spark, so any file
+system Spark knows will do.
 """
 
 from __future__ import annotations
 
 import json
-import zlib
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMIT_SCHEMA = T.StructType(
+from stratalake.operators.upsert import upsert
+from stratalake.sources.staging import stage, stage_scope
+
+PART = "__part"
+POINTER_SCHEMA = T.StructType(
     [
-        T.StructField("version", T.LongType(), False),
+        T.StructField("turn", T.LongType(), False),
+        T.StructField("files", T.StringType(), False),
         T.StructField("schema", T.StringType(), False),
-        T.StructField("buckets", T.IntegerType()),
-        T.StructField("bucket_keys", T.StringType()),
+        T.StructField("parts", T.IntegerType()),
+        T.StructField("part_keys", T.StringType()),
         T.StructField("partition_by", T.StringType()),
         T.StructField("source_watermark", T.LongType()),  # microseconds
-        T.StructField("writer", T.StringType()),  # stream and micro-batch that wrote the version
-        T.StructField("batch", T.LongType()),
-        T.StructField("expired_through", T.LongType()),  # versions up to this one have no files any more
     ]
 )
 
 
+def _names(text: str | None) -> list[str]:
+    return text.split(",") if text else []
+
+
 class TableStore:
     """Create, read and write the tables of a layered warehouse."""
 
@@ -42,186 +48,162 @@ class TableStore:
     # -- reading ---------------------------------------------------------
 
     def exists(self, layer: str, table: str) -> bool:
-        return self._commit(layer, table) is not None
+        return self._pointer(layer, table) is not None
 
-    def version(self, layer: str, table: str) -> int:
-        """The current version, 0 before the first commit."""
-        commit = self._commit(layer, table)
-        return commit.version if commit else 0
+    def read(self, layer: str, table: str) -> DataFrame:
+        """The present content."""
+        pointer = self._known(layer, table)
+        return self._files(layer, table, pointer).select(*_schema(pointer).names)
 
-    def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
-        """The current content, or that of an older version."""
-        commit = self._commit(layer, table, version)
-        if commit is None:
-            raise LookupError(f"no table {layer}.{table} in {self.root}")
-        if version is not None and version <= self._expired_through(layer, table):
-            raise LookupError(f"version {version} of {layer}.{table} has expired")
-        return self._open(layer, table, commit)
+    def matching(self, layer: str, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows that hold a key of ``source``; of a table split by the keys only their folders are read."""
+        pointer = self._known(layer, table)
+        files = self._files(layer, table, pointer)
+        if pointer.parts and _names(pointer.part_keys) == list(keys):
+            files = files.where(F.col(PART).isin(_touched(source, keys, pointer.parts)))
+        return files.select(*_schema(pointer).names).join(source.select(*keys).distinct(), list(keys), "left_semi")
 
     def source_watermark(self, layer: str, table: str) -> int | None:
         """The newest source time (microseconds) the table has taken in, if it was recorded."""
-        commit = self._commit(layer, table)
-        return commit.source_watermark if commit else None
+        pointer = self._pointer(layer, table)
+        return pointer.source_watermark if pointer else None
 
-    def has_batch(self, layer: str, table: str, writer: str, batch: int) -> bool:
-        """Whether a stream's micro-batch has been committed already."""
-        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
-        return not commits.where((F.col("writer") == writer) & (F.col("batch") == batch)).isEmpty()
+    def register_view(self, layer: str, table: str, name: str | None = None) -> None:
+        """Offer the present content to SQL as a temporary view."""
+        self.read(layer, table).createOrReplaceTempView(name or f"{layer}_{table}")
 
     # -- writing ---------------------------------------------------------
 
     def create(
-        self, layer: str, table: str, schema: T.StructType, partition_by: Sequence[str] = (), **layout
-    ) -> None:
-        """Create the table, or replace it by an empty one."""
-        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        empty = self.spark.range(0, 0, 1, 1).select(*blank)
-        self.publish(layer, table, empty, partition_by=partition_by, **layout)
-
-    def publish(
         self,
         layer: str,
         table: str,
-        df: DataFrame,
-        buckets: int | None = None,
-        bucket_keys: Sequence[str] = (),
+        schema: T.StructType,
         partition_by: Sequence[str] = (),
-        aligned: bool = False,
-        source_watermark: int | None = None,
-        writer: str | None = None,
-        batch: int | None = None,
-    ) -> int:
-        """Write ``df`` as the next version and make it current.
-
-        ``buckets`` hash-splits the files by ``bucket_keys``: a later join on
-        those keys reads them without a shuffle. ``aligned`` says that ``df``
-        comes out of such a join and is already split that way. An attempt that
-        died before its commit leaves a directory the next one replaces.
-        ``writer`` and ``batch`` note a stream's micro-batch for :meth:`has_batch`.
+        parts: int | None = None,
+        part_keys: Sequence[str] = (),
+    ) -> None:
+        """Create the table, or replace it by an empty one.
+
+        ``partition_by`` splits the files by columns; ``parts`` into so many
+        folders by a hash of ``part_keys``, for a table that is merged by them.
         """
-        version = self.version(layer, table) + 1
-        path = self._path(layer, table, version)
-        if buckets:
-            keys = list(bucket_keys)
-            rows = df if aligned else df.repartition(buckets, *keys)
-            name = self._bucketed_name(layer, table, version)
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            out = rows.write.format("parquet").mode("overwrite").option("path", path)
-            out.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
-        else:
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        row = (
-            version,
-            df.schema.json(),
-            buckets,
-            ",".join(bucket_keys) or None,
-            ",".join(partition_by) or None,
-            source_watermark,
-            writer,
-            batch,
-            None,
-        )
-        self._note(layer, table, row)
-        return version
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        layout = (parts, ",".join(part_keys) or None, ",".join(partition_by) or None)
+        self._replace(layer, table, self.spark.range(0, 0, 1, 1).select(*blank), layout, None)
 
-    def _note(self, layer: str, table: str, row: tuple) -> None:
-        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, COMMIT_SCHEMA.fields, strict=True)]
-        self.spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(self._commits(layer, table))
+    def publish(self, layer: str, table: str, df: DataFrame, source_watermark: int | None = None) -> None:
+        """Replace the content, and the columns, in the same layout; ``df`` may read the table."""
+        pointer = self._known(layer, table)
+        mark = pointer.source_watermark if source_watermark is None else source_watermark
+        self._replace(layer, table, df, (pointer.parts, pointer.part_keys, pointer.partition_by), mark)
 
     def append(self, layer: str, table: str, df: DataFrame, source_watermark: int | None = None) -> None:
-        """Add rows, matched by name, to the current version."""
-        commit = self._commit(layer, table)
-        if commit is None:
-            raise LookupError(f"no table {layer}.{table} in {self.root}")
-        if commit.buckets:
-            raise ValueError("append to a bucketed table: publish a new version instead")
-        schema = T.StructType.fromJson(json.loads(commit.schema))
-        parts = commit.partition_by.split(",") if commit.partition_by else []
-        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        rows.write.mode("append").partitionBy(*parts).parquet(self._path(layer, table, commit.version))
+        """Add rows, matched by name; they appear when Spark commits the job's files."""
+        pointer = self._known(layer, table)
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in _schema(pointer).fields])
+        self._write(rows, self._path(layer, table, pointer.files), pointer.parts, pointer.part_keys, pointer.partition_by, "append")
         if source_watermark is not None:
-            self._note(layer, table, (*commit[:5], source_watermark, None, None, None))
-
-    def layout(self, layer: str, table: str) -> dict:
-        """The ``publish`` arguments that keep the table's present file layout."""
-        commit = self._commit(layer, table)
-        if commit is None:
-            return {}
-        if commit.buckets:
-            return {"buckets": commit.buckets, "bucket_keys": commit.bucket_keys.split(",")}
-        return {"partition_by": commit.partition_by.split(",")} if commit.partition_by else {}
+            self._point(layer, table, pointer, pointer.files, pointer.schema, source_watermark)
 
-    def truncate(self, layer: str, table: str) -> None:
-        """Empty the table; the version before stays on disk."""
-        commit = self._commit(layer, table)
-        if commit is None:
-            raise LookupError(f"no table {layer}.{table} in {self.root}")
-        self.create(layer, table, T.StructType.fromJson(json.loads(commit.schema)), **self.layout(layer, table))
-
-    def expire(self, layer: str, table: str, keep: int = 2) -> int:
-        """Release the files of all but the newest ``keep`` versions; returns how many were released.
+    def merge(
+        self,
+        layer: str,
+        table: str,
+        source: DataFrame,
+        keys: Sequence[str],
+        update: Sequence[str] | None = None,
+        insert: Sequence[str] | None = None,
+        unique_rows: int | None = None,
+        source_watermark: int | None = None,
+    ) -> None:
+        """Upsert ``source`` (see :func:`~stratalake.operators.upsert.upsert`).
 
-        The list of commits says so first, so an expired version cannot be read
-        as an empty one.
+        In a table split by the same keys only the folders that the source's
+        keys hash to are read and written again. A merge that dies half way has
+        replaced whole folders or none, and doing it again gives the same table.
         """
-        commit = self._commit(layer, table)
-        if commit is None or keep < 1:
-            raise ValueError("keep at least the current version of an existing table")
-        gone = self._expired_through(layer, table)
-        last = commit.version - keep
-        if last <= gone:
-            return 0
-        self._note(layer, table, (*commit[:6], None, None, last))
-        for version in range(gone + 1, last + 1):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed_name(layer, table, version)}")
-            self.spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(self._path(layer, table, version))
-        return last - gone
+        pointer = self._known(layer, table)
+        with stage_scope(self.spark):
+            source = stage(source, f"{table}-source")
+            if not pointer.parts or _names(pointer.part_keys) != list(keys):
+                self.publish(layer, table, upsert(self.read(layer, table), source, keys, update, insert, unique_rows), source_watermark)
+                return
+            touched = _touched(source, keys, pointer.parts)
+            held = self._files(layer, table, pointer).where(F.col(PART).isin(touched)).drop(PART)
+            merged = stage(upsert(held, source, keys, update, insert, unique_rows), f"{table}-merged")
+            path = self._path(layer, table, pointer.files)
+            self._write(merged, path, pointer.parts, pointer.part_keys, None, "overwrite")
+            if source_watermark is not None:
+                self._point(layer, table, pointer, pointer.files, pointer.schema, source_watermark)
+
+    def truncate(self, layer: str, table: str) -> None:
+        """Empty the table; its columns and layout stay."""
+        pointer = self._known(layer, table)
+        self.create(
+            layer, table, _schema(pointer), _names(pointer.partition_by), pointer.parts, _names(pointer.part_keys)
+        )
 
     def drop_column(self, layer: str, table: str, col: str) -> None:
         """Rewrite the table without one column."""
-        self.publish(layer, table, self.read(layer, table).drop(col), **self.layout(layer, table))
+        self.publish(layer, table, self.read(layer, table).drop(col))
 
-    def register_view(self, layer: str, table: str, name: str | None = None) -> None:
-        """Offer the current version to SQL as a temporary view."""
-        self.read(layer, table).createOrReplaceTempView(name or f"{layer}_{table}")
+    # -- files -----------------------------------------------------------
+
+    def _path(self, layer: str, table: str, name: str) -> str:
+        return f"{self.root}/{layer}/{table}/{name}"
 
-    # -- layout ----------------------------------------------------------
-
-    def _commits(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}/commits"
-
-    def _path(self, layer: str, table: str, version: int) -> str:
-        return f"{self.root}/{layer}/{table}/v{version:08d}"
-
-    def _expired_through(self, layer: str, table: str) -> int:
-        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
-        return commits.agg(F.max("expired_through")).first()[0] or 0
-
-    def _commit(self, layer: str, table: str, version: int | None = None):
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits(layer, table))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        if version is not None:
-            commits = commits.where(F.col("version") == version)
-        return commits.orderBy(F.desc("version"), F.desc_nulls_last("source_watermark")).first()
-
-    def _open(self, layer: str, table: str, commit) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(commit.schema))
-        path = self._path(layer, table, commit.version)
-        if not commit.buckets:
-            return self.spark.read.schema(schema).parquet(path).select(*schema.names)
-        name = self._bucketed_name(layer, table, commit.version)
-        if not self.spark.catalog.tableExists(name):  # written by another session
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            keys = ", ".join(f"`{k}`" for k in commit.bucket_keys.split(","))
-            self.spark.sql(
-                f"CREATE TABLE {name} ({cols}) USING parquet "
-                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {commit.buckets} BUCKETS LOCATION '{path}'"
-            )
-        return self.spark.table(name)
-
-    def _bucketed_name(self, layer: str, table: str, version: int) -> str:
-        return f"t{zlib.crc32(self.root.encode()):08x}_{layer}_{table}_v{version}"
+    def _known(self, layer: str, table: str) -> Row:
+        pointer = self._pointer(layer, table)
+        if pointer is None:
+            raise LookupError(f"no table {layer}.{table} in {self.root}")
+        return pointer
+
+    def _pointer(self, layer: str, table: str) -> Row | None:
+        found = []
+        for slot in (0, 1):
+            try:
+                found += self.spark.read.schema(POINTER_SCHEMA).parquet(self._path(layer, table, f"pointer-{slot}")).collect()
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        return max(found, key=lambda r: r.turn, default=None)
+
+    def _point(self, layer: str, table: str, before: Row | None, files: str, schema: str, mark: int | None, layout=None) -> None:
+        turn = before.turn + 1 if before else 0
+        layout = layout or (before.parts, before.part_keys, before.partition_by)
+        values = zip((turn, files, schema, *layout, mark), POINTER_SCHEMA.fields, strict=True)
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in values])
+        row.write.mode("overwrite").parquet(self._path(layer, table, f"pointer-{turn % 2}"))
+
+    def _replace(self, layer: str, table: str, df: DataFrame, layout: tuple, mark: int | None) -> None:
+        before = self._pointer(layer, table)
+        files = f"files-{before.turn + 1 if before else 0}"
+        self._write(df, self._path(layer, table, files), *layout, "overwrite")
+        self._point(layer, table, before, files, df.schema.json(), mark, layout)
+
+    def _write(self, df: DataFrame, path: str, parts: int | None, part_keys: str | None, partition_by: str | None, mode: str) -> None:
+        if not parts:
+            df.write.mode(mode).partitionBy(*_names(partition_by)).parquet(path)
+            return
+        split = df.withColumn(PART, _part(_names(part_keys), parts)).repartition(PART)
+        split.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+
+    def _files(self, layer: str, table: str, pointer: Row) -> DataFrame:
+        schema = _schema(pointer)
+        if pointer.parts:
+            schema = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(self._path(layer, table, pointer.files))
+
+
+def _schema(pointer: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(pointer.schema))
+
+
+def _touched(source: DataFrame, keys: Sequence[str], parts: int) -> list[int]:
+    """The folders the source's keys fall into: at most ``parts`` numbers."""
+    return [r[0] for r in source.select(_part(keys, parts)).distinct().collect()]
+
+
+def _part(keys: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias(PART)

@@ -7,15 +7,15 @@ folder holds what has been read, so a restarted query goes on where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stratalake.operators.incremental import dedup_latest
-from stratalake.operators.upsert import upsert
 from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
@@ -44,24 +44,30 @@ def stream_upsert(
     checkpoint: str,
     continuous: bool = False,
 ) -> StreamingQuery:
-    """Merge each micro-batch into an existing table; a later batch wins over an earlier one.
+    """Merge each micro-batch into an existing table; the row with the greatest ``order_col`` stays.
 
-    Inside a batch the greatest ``order_col`` wins. The commit of a version
-    names its micro-batch, so one that is replayed after a failure is skipped if
-    it got that far, and otherwise done again.
+    That holds within a batch, between batches and against what the table held
+    before, ties settled by the other columns; so files may come in any
+    order, and a batch that is replayed after a failure changes nothing. Rows with
+    a NULL in a key go to the table ``<table>_rejected``. In a table split by the
+    keys only the folders the batch falls into are read and written.
     """
     columns = store.read(layer, table).columns
+    rejected = f"{table}_rejected"
+    if not store.exists(layer, rejected):
+        store.create(layer, rejected, store.read(layer, table).schema)
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if store.has_batch(layer, table, checkpoint, batch_id):
-            return
         with stage_scope(batch.sparkSession):
-            delta = stage(dedup_latest(batch.select(*columns), keys, order_col), f"{table}-batch")
-            rows = delta.count()
-            if rows:
-                merged = upsert(store.read(layer, table), delta, keys, unique_rows=rows)
-                layout = store.layout(layer, table)
-                store.publish(layer, table, merged, aligned=True, writer=checkpoint, batch=batch_id, **layout)
+            batch = stage(batch.select(*columns), f"{table}-batch")
+            bad = batch.where(keyless)
+            if not bad.isEmpty():
+                store.append(layer, rejected, bad)
+            delta = stage(dedup_latest(batch.where(~keyless), keys, order_col), f"{table}-delta")
+            held = store.matching(layer, table, delta, keys)
+            latest = dedup_latest(held.select(*columns).unionByName(delta), keys, order_col)
+            store.merge(layer, table, latest, keys)
 
     return _start(stream.writeStream.foreachBatch(merge), checkpoint, continuous)
 
@@ -73,23 +79,6 @@ def stream_alerts(
     return _to_files(stream.where(F.col(amount) > threshold), out, checkpoint, continuous)
 
 
-def collapse_copies(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First row per key within each Arrow batch, before anything is shuffled.
-
-    Streaming dedup has no map-side step of its own, so all copies of one record
-    would travel to one task; this leaves one per batch of some thousand rows.
-    """
-    wanted = list(keys)
-
-    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbered = pa.table({**{k: batch.column(k) for k in wanted}, "__at": pa.array(range(batch.num_rows))})
-            firsts = numbered.group_by(wanted, use_threads=False).aggregate([("__at", "min")])
-            yield batch.take(firsts.column("__at_min").combine_chunks())
-
-    return stream.mapInArrow(first_rows, stream.schema)
-
-
 def stream_dedup(
     stream: DataFrame,
     keys: Sequence[str],
@@ -104,14 +93,17 @@ def stream_dedup(
     State is one entry per key for the length of the watermark delay. For "the
     latest wins" use :func:`stream_upsert`.
     """
-    once = collapse_copies(stream, keys).withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    once = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
     return _to_files(once, out, checkpoint, continuous)
 
 
 def stream_daily_counts(
     stream: DataFrame, event_time: str, delay: str, out: str, checkpoint: str, continuous: bool = False
 ) -> StreamingQuery:
-    """day, total_visits; a day is written once the watermark has passed its end."""
+    """day, total_visits; a day is written once the watermark has passed its end.
+
+    Days are UTC days, in any session zone.
+    """
     daily = (
         stream.withWatermark(event_time, delay)
         .groupBy(F.window(event_time, "1 day").alias("w"))

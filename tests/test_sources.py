@@ -1,14 +1,15 @@
 """CSV reading, load history and the table store."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions.values import amount
-from stratalake.operators.upsert import upsert
 from stratalake.session import work_root
 from stratalake.sources.csv_layer import physical_schema, read_csv_layer
-from stratalake.sources.ledger import FileLoader, file_in, glob_for, list_files, new_files
+from stratalake.sources.ledger import REJECT_SCHEMA, FileLoader, file_in, glob_for, list_files, new_files
 from stratalake.sources.staging import stage, stage_scope
 from stratalake.sources.store import TableStore
 
@@ -45,11 +46,11 @@ def test_cells(spark, tmp_path):
 
 def test_bad_lines(spark, tmp_path):
     write(tmp_path / "f", "a.csv", "1,a,5,,", "2,b", "3,c,5,,,,,", '4,"open,5,,', "5,much too long,5,,")
-    good, bad = read(spark, tmp_path / "f", limits={"name": 10})
+    good, bad = read(spark, tmp_path / "f", limits={"name": 10}, short_lines="reject")
     assert [r.id for r in good.collect()] == ["1"]
     assert sorted(r.line[0] for r in bad.collect()) == ["2", "3", "4", "5"]
     assert good.count() == 1 and good.select("file_name").count() == 1  # whatever columns are read
-    good, bad = read(spark, tmp_path / "f", short_lines="pad")
+    good, bad = read(spark, tmp_path / "f")
     assert sorted((r.id, r.name, r.money) for r in good.collect()) == [
         ("1", "a", "5"),
         ("2", "b", None),
@@ -75,7 +76,7 @@ def test_load_history(spark, tmp_path, root):
     write(folder, "other.csv", "9,z,5,,")
     store = TableStore(spark, root)
     store.create("raw", "v", RAW)
-    store.create("raw", "rejects", T.StructType(RAW.fields[-2:]).add("line", "string"))
+    store.create("raw", "rejects", REJECT_SCHEMA)
     loader = FileLoader(store)
 
     def load(path, **kw):
@@ -85,20 +86,25 @@ def test_load_history(spark, tmp_path, root):
     prefix = glob_for(str(folder), "visits")
     assert load(prefix) == (1, 1)
     assert load(prefix) == (0, 1)
-    write(folder, "visits_2.csv", "2,b,5,,", "bad")
+    write(folder, "visits_2.csv", "2,b,5,,", 'bad,"open,5,,')
     assert load(prefix) == (1, 2)
-    assert store.read("raw", "rejects").first().line == "bad"
+    assert store.read("raw", "rejects").first().line.startswith("bad") and store.read("raw", "rejects").first().target == "raw.v"
     assert load(prefix, force=True) == (2, 4)
     write(folder, "visits_1.csv", "1,a,5,,", "3,c,5,,")  # a changed file is a new file
     assert load(prefix) == (1, 6)
     assert load(file_in(str(folder), "other.csv")) == (1, 7)
     assert load(file_in(str(folder), "absent.csv")) == (0, 7)
     assert loader.history("raw.other").count() == 0
+    loader.forget(["raw.other"])
+    assert loader.history("raw.v").count() > 0
+    store.truncate("raw", "v")
+    loader.forget(["raw.v"])
+    assert load(prefix) == (2, 3) and load(prefix) == (0, 3)
     listing = list_files(spark, str(folder))
-    assert listing.count() == 3 and new_files(listing, loader.history("raw.v")).count() == 0
+    assert listing.count() == 3 and new_files(listing, loader.history("raw.v")).count() == 1  # not loaded since
 
 
-def test_versions(spark, root):
+def test_create_append_replace(spark, root):
     store = TableStore(spark, root)
     with pytest.raises(LookupError):
         store.read("a", "t")
@@ -107,36 +113,52 @@ def test_versions(spark, root):
     store.append("a", "t", spark.createDataFrame([("x", 1)], "v string, k int"))
     store.publish("a", "t", store.read("a", "t").withColumn("v", F.upper("v")))  # reads what it replaces
     assert store.read("a", "t").collect() == [(1, "X")]
-    assert store.read("a", "t", version=1).collect() == [(1, "x")]
     store.drop_column("a", "t", "v")
     assert store.read("a", "t").columns == ["k"]
     store.truncate("a", "t")
-    assert store.read("a", "t").count() == 0 and store.version("a", "t") == 4
+    assert store.read("a", "t").count() == 0
     store.register_view("a", "t")
     assert spark.sql("select * from a_t").columns == ["k"]
-    other = TableStore(spark, root)
-    assert other.version("a", "t") == 4
+    assert TableStore(spark, root).exists("a", "t") and not store.exists("a", "u")
 
 
-def test_a_write_that_died_is_replaced(spark, root):
+def test_a_write_that_died_leaves_the_old_content(spark, root):
     store = TableStore(spark, root)
     store.create("a", "t", T.StructType().add("k", "long"))
-    spark.range(5).select(F.col("id").alias("k")).write.parquet(f"{root}/a/t/v00000002")  # no commit followed
-    assert store.read("a", "t").count() == 0
+    store.publish("a", "t", spark.range(5).select(F.col("id").alias("k")))
+    spark.range(9).select(F.col("id").alias("k")).write.parquet(f"{root}/a/t/files-2")  # no pointer followed
+    spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(f"{root}/a/t/pointer-0")  # or the slot was just cleared
+    assert store.read("a", "t").count() == 5
     store.publish("a", "t", spark.range(3).select(F.col("id").alias("k")))
     assert store.read("a", "t").count() == 3
 
 
-def test_expire(spark, root):
+def _written(root):
+    return {p: p.stat().st_mtime_ns for p in Path(f"{root}/a/t").glob("files-*/__part=*/*.parquet")}
+
+
+def test_merge_writes_only_the_folders_it_touches(spark, root):
     store = TableStore(spark, root)
-    for i in range(4):
-        store.publish("a", "t", spark.range(i + 1).select(F.col("id").alias("k")))
-    assert store.expire("a", "t", keep=2) == 2 and store.expire("a", "t", keep=2) == 0
-    assert store.read("a", "t").count() == 4 and store.read("a", "t", version=3).count() == 3
-    with pytest.raises(LookupError, match="expired"):
-        store.read("a", "t", version=2)
-    assert spark.read.schema("k long").parquet(f"{root}/a/t/v00000001").count() == 0
-    assert store.version("a", "t") == 4
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("old").alias("v"))
+    store.create("a", "t", rows.schema, parts=400, part_keys=["k"])
+    store.merge("a", "t", rows, ["k"])
+    before = _written(root)
+    assert len(before) == 400  # a file each
+    delta = spark.range(19_950, 20_050).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("new").alias("v"))
+    store.merge("a", "t", delta, ["k"])
+    after = _written(root)
+    kept = [p for p in before if after.get(p) == before[p]]
+    touched = delta.select(F.pmod(F.xxhash64("k"), F.lit(400))).distinct().count()
+    assert len(after) == 400 and len(kept) == 400 - touched > 300
+    got = store.read("a", "t")
+    assert got.count() == 20_050 and got.where("v = 'new'").count() == 100
+    store.merge("a", "t", delta, ["k"])  # once more changes nothing
+    assert store.read("a", "t").count() == 20_050
+    plan = store.matching("a", "t", delta.limit(1), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(__part" in plan or "__part#" in plan.split("PartitionFilters")[1][:60]
+    large = spark.range(30_000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("all").alias("v"))
+    store.merge("a", "t", large, ["k"])
+    assert len(_written(root)) == 400 and store.read("a", "t").where("v = 'all'").count() == 30_000
 
 
 def test_stage_scope_releases_files(spark):
@@ -159,29 +181,6 @@ def test_source_watermark(spark, root):
     assert store.source_watermark("a", "t") == 7 and store.read("a", "t").count() == 2
 
 
-def test_bucketed_merge_shuffles_the_delta_only(spark, root):
-    store = TableStore(spark, root)
-    old = spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
-    store.publish("a", "t", old, buckets=8, bucket_keys=["k"])
-    delta = spark.range(900, 1100).select(F.col("id").alias("k"), F.lit("new").alias("v"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        merged = upsert(store.read("a", "t"), delta, ["k"], broadcast_keys=0)
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
-        store.publish("a", "t", merged, aligned=True, **store.layout("a", "t"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    again = store.read("a", "t")
-    assert again.count() == 1100 and again.where("v = 'new'").count() == 200
-    # another session finds the table by its commit alone
-    spark.sql(f"DROP TABLE {store._bucketed_name('a', 't', 2)}")
-    assert store.read("a", "t").count() == 1100
-    store.truncate("a", "t")
-    assert store.layout("a", "t") == {"buckets": 8, "bucket_keys": ["k"]}
-
-
 def test_work_root_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or work_root(spark) == shared.rstrip("/")
