@@ -6,8 +6,8 @@ A turn reads ``### role: text</turn>`` and a line end. As tokens it is
 
 where the three marks are reserved ids that no text can produce: each segment is
 encoded for itself, then spliced in. Inside roles and texts a backslash goes
-before every backslash, ``###`` and ``</turn>``, so the written form cannot be
-forged either, and taking the backslashes away gives the text back.
+before every backslash, ``#`` and ``</turn>``, so no ``###`` and no bare ``</turn>`` is
+left in the written form, and taking the backslashes away gives the text back.
 
 The loss mask covers the text ids of ``LOSS_ROLE`` turns. It is kept as the bounds
 of each turn and derived by prefix sums over +1 and -1 marks. The place of a turn in
@@ -44,7 +44,7 @@ TURN, TEXT, END = 50256, 50257, 50258
 MARKS = {TURN: "### ", TEXT: ": ", END: "</turn>\n"}
 # Longer texts are encoded in parts, so that no text is slow beyond its length.
 PART_CHARS = 1 << 16
-_CONTROL = re.compile(r"\\|###|</turn>")
+_CONTROL = re.compile(r"\\|#|</turn>")
 _ESCAPED = re.compile(r"\\(\\|#|<)")
 _codecs: dict[str, object] = {}
 
@@ -206,7 +206,7 @@ def op1_chat_formatting(spark, sf_dir):
 
 
 def _escaped_sql(column: str) -> str:
-    return f"replace(replace(replace({column}, '\\', '\\\\'), '###', '\\###'), '</turn>', '\\</turn>')"
+    return f"replace(replace(replace({column}, '\\', '\\\\'), '#', '\\#'), '</turn>', '\\</turn>')"
 
 
 ORACLE = f"""

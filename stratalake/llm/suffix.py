@@ -283,6 +283,8 @@ def _marked(rows: DataFrame, window: int, block_bytes: int) -> DataFrame:
                     elif block and len(block) - group_at == 1:
                         size -= len(block.pop()[3])
                     group, group_at = row[0], len(block)
+                elif block and row[:3] == block[-1][:3]:
+                    continue  # a document given twice
                 block.append(row)
                 size += len(row[3])
         if block and (found := spans(block)) is not None:
@@ -360,6 +362,7 @@ def without_repeats(docs: DataFrame, **settings) -> DataFrame:
 
     Documents that were not blank and are now are left out.
     """
+    names = docs.columns
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -369,7 +372,7 @@ def without_repeats(docs: DataFrame, **settings) -> DataFrame:
                 stays.append(not removed or not kept.isspace() and len(kept) > 0)
             at = batch.schema.get_field_index("text")
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns).filter(pa.array(stays, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(stays, pa.bool_()))
 
     return _with_spans(docs, settings).mapInArrow(emit, docs.schema)
 

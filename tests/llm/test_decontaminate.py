@@ -84,5 +84,5 @@ def test_all_fingerprints_within_the_radius():
 
 def test_empty(spark):
     none = spark.createDataFrame([], ITEMS)
-    assert d.contaminated(frame(spark, ["a b c d e f"]), none).count() == 0
+    assert d.contaminated(frame(spark, ["a b c d e f"] * 4), none).count() == 0
     assert d.contaminated(empty(spark), none).count() == 0

@@ -64,7 +64,7 @@ def score_of(text, weights):
 
 
 def test_grammar():
-    weights = {"fool": 5.0, "dum*": 4.0}
+    weights = {"fool": 5.0, "dumb*": 4.0}
     plain = score_of("what a fool", weights)
     assert plain == 5 and score_of("dumbest dumb", weights) == 8 and score_of("fools", weights) == 0
     assert score_of("you fool", weights) > plain > score_of("not a fool", weights) == score_of("x says: y. she", weights) + 2

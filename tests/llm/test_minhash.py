@@ -41,10 +41,10 @@ def plain(documents):
     return Counter((i, len(shingles(t)), part.get(i), i is None or part[i] == i) for i, t in documents)
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_against_all_pairs(spark, seed):
+@pytest.mark.parametrize("seed, popular", [(0, 32), (1, 2), (2, 1)])
+def test_against_all_pairs(spark, seed, popular):
     texts = corpus(seed)
-    got = Counter(map(tuple, minhash.near_copies(frame(spark, texts)).collect()))
+    got = Counter(map(tuple, minhash.near_copies(frame(spark, texts), popular=popular).collect()))
     assert got == plain([r[:2] for r in rows(texts)])
 
 
@@ -61,6 +61,37 @@ def test_chain_of_links(spark):
     assert {got[i] for i in range(12)} == {0}
 
 
+def test_a_passage_of_all_documents_makes_few_pairs(spark):
+    rng = random.Random(4)
+    passage = prose(rng, 60)
+    texts = [f"{prose(rng, 30)} {passage} {prose(rng, 30)}" for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    reps = docs.selectExpr("doc_id AS rep", "doc_id AS component_id")
+    assert minhash._component_pairs(minhash._prefixes(reps, docs, 5, 75, 32), 75).count() < 20
+    assert minhash.near_copies(docs).where("kept").count() == 120
+
+
+@pytest.mark.parametrize("popular", [1, 8])
+def test_the_rest_holds_every_link(spark, popular):
+    """Pairs left after the hubs, from singletons and from groups, against all pairs."""
+    rng = random.Random(11)
+    base, texts = prose(rng, 120).split(), []
+    for _ in range(50):
+        words = list(base)
+        for _ in range(rng.randint(0, 9)):
+            words[rng.randrange(len(words))] = prose(rng, 1)
+        texts.append(" ".join(words[: rng.randint(80, 120)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for group in (1, 5):
+        listed = docs.selectExpr("1L AS key", "doc_id AS rep", f"doc_id - doc_id % {group} AS component_id")
+        got = {tuple(r) for r in minhash._rest_pairs(listed, docs, 5, 75, popular).collect()}
+        sets = [shingles(t) for t in texts]
+        for x in range(50):
+            for y in range(x + 1, 50):
+                if x // group != y // group and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+                    assert (x, y) in got
+
+
 def test_keys_meet_within_the_radius():
     rng = np.random.default_rng(1)
     for _ in range(200):

@@ -52,6 +52,6 @@ def test_paths_are_compacted(spark):
 
 
 def test_digest_and_empty(spark):
-    row = substring.digest(substring.remove_repeats(frame(spark, ["a  b"]).where("doc_id = 0"))).first()
+    row = substring.digest(substring.remove_repeats(frame(spark, ["a  b"] * 4).where("doc_id = 0"))).first()
     assert tuple(row) == (0, 2, 0, hashlib.sha256(b"a b").hexdigest())
     assert substring.remove_repeats(empty(spark)).count() == 0
