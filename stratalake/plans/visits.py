@@ -273,7 +273,7 @@ class VisitWarehouse:
         rows, newest = delta.agg(F.count(F.lit(1)), F.unix_micros(F.max("__loaded"))).first()
         if rows:
             source = assert_schema(delta.withColumn("load_ts", now), schema_of(VALIDATED_LAYER, feed.target))
-            self.store.merge(VALIDATED_LAYER, feed.target, source, [feed.key], unique_rows=rows, source_watermark=newest)
+            self.store.merge(VALIDATED_LAYER, feed.target, source, [feed.key], unique_rows=rows, source_watermark=newest, staged=True)
         return self.store.read(VALIDATED_LAYER, feed.target)
 
     def quarantine(self, rules: Sequence[Rule] | None = None) -> DataFrame:

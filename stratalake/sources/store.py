@@ -39,11 +39,19 @@ def _names(text: str | None) -> list[str]:
 
 
 class TableStore:
-    """Create, read and write the tables of a layered warehouse."""
+    """Create, read and write the tables of a layered warehouse.
+
+    One writer at a time. A store remembers the pointers it has read or
+    written; :meth:`refresh` makes it look again for what another one wrote.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._pointers: dict[tuple[str, str], Row] = {}
+
+    def refresh(self) -> None:
+        self._pointers.clear()
 
     # -- reading ---------------------------------------------------------
 
@@ -116,16 +124,19 @@ class TableStore:
         insert: Sequence[str] | None = None,
         unique_rows: int | None = None,
         source_watermark: int | None = None,
+        staged: bool = False,
     ) -> None:
         """Upsert ``source`` (see :func:`~stratalake.operators.upsert.upsert`).
 
+        It is read several times, and so written out first unless it is ``staged`` already.
+
         In a table split by the same keys only the folders that the source's
         keys hash to are read and written again. A merge that dies half way has
         replaced whole folders or none, and doing it again gives the same table.
         """
         pointer = self._known(layer, table)
         with stage_scope(self.spark):
-            source = stage(source, f"{table}-source")
+            source = source if staged else stage(source, f"{table}-source")
             if not pointer.parts or _names(pointer.part_keys) != list(keys):
                 self.publish(layer, table, upsert(self.read(layer, table), source, keys, update, insert, unique_rows), source_watermark)
                 return
@@ -160,6 +171,8 @@ class TableStore:
         return pointer
 
     def _pointer(self, layer: str, table: str) -> Row | None:
+        if (layer, table) in self._pointers:
+            return self._pointers[layer, table]
         found = []
         for slot in (0, 1):
             try:
@@ -167,14 +180,19 @@ class TableStore:
             except AnalysisException as e:
                 if e.getCondition() != "PATH_NOT_FOUND":
                     raise
-        return max(found, key=lambda r: r.turn, default=None)
+        if not found:
+            return None
+        self._pointers[layer, table] = max(found, key=lambda r: r.turn)
+        return self._pointers[layer, table]
 
     def _point(self, layer: str, table: str, before: Row | None, files: str, schema: str, mark: int | None, layout=None) -> None:
         turn = before.turn + 1 if before else 0
         layout = layout or (before.parts, before.part_keys, before.partition_by)
-        values = zip((turn, files, schema, *layout, mark), POINTER_SCHEMA.fields, strict=True)
+        pointer = Row(*POINTER_SCHEMA.names)(turn, files, schema, *layout, mark)
+        values = zip(pointer, POINTER_SCHEMA.fields, strict=True)
         row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in values])
         row.write.mode("overwrite").parquet(self._path(layer, table, f"pointer-{turn % 2}"))
+        self._pointers[layer, table] = pointer
 
     def _replace(self, layer: str, table: str, df: DataFrame, layout: tuple, mark: int | None) -> None:
         before = self._pointer(layer, table)

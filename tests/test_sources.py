@@ -128,6 +128,7 @@ def test_a_write_that_died_leaves_the_old_content(spark, root):
     store.publish("a", "t", spark.range(5).select(F.col("id").alias("k")))
     spark.range(9).select(F.col("id").alias("k")).write.parquet(f"{root}/a/t/files-2")  # no pointer followed
     spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(f"{root}/a/t/pointer-0")  # or the slot was just cleared
+    store.refresh()
     assert store.read("a", "t").count() == 5
     store.publish("a", "t", spark.range(3).select(F.col("id").alias("k")))
     assert store.read("a", "t").count() == 3
