@@ -13,10 +13,12 @@ standard deviations off.
 1. Equal sets form one class, represented by its least ``doc_id``; copies are
    counted before the shuffle and never paired.
 2. Classes that share a key are candidates. A key's bucket is never expanded into
-   all pairs: first each member is compared with the bucket's hub only, links
-   found are joined to components, and this is repeated once; at last, within
-   each bucket, the members of different components are compared. Every
-   candidate pair is thus compared or already connected.
+   all pairs: each member is compared with the bucket's hub only, links found are
+   joined to components, and this is repeated once. What is left in different
+   components of a bucket (a passage that very many documents hold, an edited
+   copy) is compared if it shares one of its rarest shingles, which all links do
+   (the prefix filter), and if the distances to the components' hubs leave room
+   for a link (the triangle inequality). Neither filter loses a link.
 3. A candidate counts as a link if, on the full sets, 100 * shared >= 75 * all.
 
 A document without words (or null text) has an empty set and no links. A null
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays, membership
@@ -41,6 +43,8 @@ SHINGLE = 5
 PERCENT = 75
 SYMBOLS, CHUNK = 64, 4
 RADIUS = 2 * SYMBOLS // CHUNK - 1
+# Shingles that more classes than this hold are listed only where they make up most of a set.
+POPULAR = 32
 _rng = np.random.Generator(np.random.PCG64(5))
 _MULTIPLIER = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDEND = _rng.integers(0, 2**64, SYMBOLS, dtype=np.uint64)
@@ -142,8 +146,8 @@ def _texts(docs: DataFrame, wanted) -> DataFrame:
     return docs.mapInArrow(emit, docs.schema)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``(x, y)`` of ids whose full shingle sets share enough."""
+def overlaps(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``(x, y, shared, every)``: sizes of the intersection and union of the full shingle sets of each pair of ids."""
     of_x = texts.select(F.col("doc_id").alias("x"), F.col("text").alias("text_x"))
     of_y = texts.select(F.col("doc_id").alias("y"), F.col("text").alias("text_y"))
 
@@ -152,13 +156,20 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percen
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 (hx, nx), (hy, ny) = (shingle_sets(*arrays.utf8(part.column(c)), shingle) for c in ("text_x", "text_y"))
-                ex, ey, held = np.cumsum(nx), np.cumsum(ny), []
+                ex, ey, shared = np.cumsum(nx), np.cumsum(ny), np.zeros(part.num_rows, np.int64)
                 for i in range(part.num_rows):
-                    shared = len(np.intersect1d(hx[ex[i] - nx[i] : ex[i]], hy[ey[i] - ny[i] : ey[i]], assume_unique=True))
-                    held.append(100 * shared >= percent * (nx[i] + ny[i] - shared) > 0)
-                yield part.select(["x", "y"]).filter(pa.array(held, pa.bool_()))
+                    both = np.intersect1d(hx[ex[i] - nx[i] : ex[i]], hy[ey[i] - ny[i] : ey[i]], assume_unique=True)
+                    shared[i] = len(both)
+                columns = [part.column("x"), part.column("y"), pa.array(shared), pa.array(nx + ny - shared)]
+                yield pa.RecordBatch.from_arrays(columns, ["x", "y", "shared", "every"])
 
-    return pairs.join(of_x, "x").join(of_y, "y").select("x", "y", "text_x", "text_y").mapInArrow(emit, "x long, y long")
+    rows = pairs.join(of_x, "x").join(of_y, "y").select("x", "y", "text_x", "text_y")
+    return rows.mapInArrow(emit, "x long, y long, shared long, every long")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``(x, y)`` of ids whose full shingle sets share enough."""
+    return overlaps(pairs, texts, shingle).where(f"100 * shared >= {percent} * every").select("x", "y")
 
 
 def _hub_pairs(listed: DataFrame) -> DataFrame:
@@ -169,24 +180,96 @@ def _hub_pairs(listed: DataFrame) -> DataFrame:
     return listed.join(hubs, "key").where("component_id > lo").select("x", F.col("rep").alias("y")).distinct()
 
 
-def _cross_pairs(listed: DataFrame) -> DataFrame:
-    """All pairs of a bucket that are of different components."""
-    sides = listed.select("key", "component_id").distinct()
-    several = sides.groupBy("key").agg(F.count(F.lit(1)).alias("sides")).where("sides > 1").select("key")
-    sides = sides.join(several, "key")
-    between = sides.select("key", F.col("component_id").alias("cx")).join(
-        sides.select("key", F.col("component_id").alias("cy")), "key"
+def _prefixes(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
+    """``(key, component_id, n, common)``: the components of the classes ``(rep, component_id)`` by their rarest shingles.
+
+    Two sets that share enough also share one of the rarest n - ceil(percent / 100 * n) + 1 of
+    either, whatever order all follow; here it is how many of the classes hold
+    a shingle. A shingle that more than ``popular`` of them hold is listed for those
+    sets only of which such shingles make up ``percent`` at least: the other
+    sets' partners share a rarer one with them, so a passage that very many documents
+    hold brings few together. ``n`` is the least size of such a set of the component,
+    ``common`` the most popular shingles of one.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            raw, offsets = arrays.utf8(batch.column("text"))
+            for lo, hi in arrays.slices(offsets):
+                hashes, counts = shingle_sets(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], shingle)
+                of = pa.array(np.repeat(np.arange(lo, hi), counts))
+                columns = [pa.array(arrays.signed(hashes)), batch.column("component_id").take(of), batch.column("doc_id").take(of)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "component_id", "rep"])
+
+    wanted = texts.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "component_id", "text").distinct()
+    held = stage(wanted.mapInArrow(emit, "key long, component_id long, rep long"), "shingles")
+    often = held.groupBy("key").agg(F.count(F.lit(1)).alias("often"), F.min("component_id").alias("lo"), F.max("component_id").alias("hi"))
+    often = stage(often.where("often > 1"), "often")
+    own = Window.partitionBy("rep")
+    ranked = held.join(often, "key", "left").select(
+        "key",
+        "component_id",
+        (F.col("often") > popular).alias("popular"),
+        (F.col("lo") < F.col("hi")).alias("elsewhere"),
+        F.row_number().over(own.orderBy(F.coalesce("often", F.lit(1)), "key")).alias("place"),
+        F.count(F.lit(1)).over(own).alias("n"),
+        F.count_if(F.col("often") > popular).over(own).alias("common"),
     )
-    members = listed.select("key", "component_id", "rep")
-    pairs = (
-        between.where("cx < cy")
-        .join(members.select("key", F.col("component_id").alias("cx"), F.col("rep").alias("x")), ["key", "cx"])
-        .join(members.select("key", F.col("component_id").alias("cy"), F.col("rep").alias("y")), ["key", "cy"])
+    listed = ranked.where(F.col("elsewhere") & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+    listed = listed.where(~F.col("popular") | (100 * F.col("common") >= percent * F.col("n")))
+    return listed.groupBy("key", "component_id").agg(
+        F.min("n").alias("n"), F.max("common").alias("common"), F.first("popular").alias("popular")
     )
-    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def _component_pairs(listed: DataFrame, percent: int) -> DataFrame:
+    """``(cx, cy)``: different components that share a listed shingle.
+
+    With a popular one only if the popular parts of two sets of theirs could be enough.
+    """
+    several = listed.groupBy("key").agg(F.count(F.lit(1)).alias("sides")).where("sides > 1").select("key")
+    listed = stage(listed.join(several, "key"), "prefixes")
+    x, y = (listed.select("key", "popular", *[F.col(c).alias(c + s) for c in ("component_id", "n", "common")]) for s in "xy")
+    # shared >= t * (n + m - shared), so shared >= t / (1 + t) * (n + m)
+    enough = ~x["popular"] | ((100 + percent) * F.least("commonx", "commony") >= percent * (F.col("nx") + F.col("ny")))
+    pairs = x.join(y.drop("popular"), "key").where((F.col("component_idx") < F.col("component_idy")) & enough)
+    return pairs.select(F.col("component_idx").alias("cx"), F.col("component_idy").alias("cy")).distinct()
+
+
+def _rest_pairs(listed: DataFrame, texts: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
+    """What the hubs leave to compare: pairs of different components that can be links.
+
+    Components are paired by their rarest shingles, and those pairs' hubs (their least ids) are
+    compared. One minus the similarity is a distance, so members a and b of two
+    components are no nearer than their hubs less their own distances to these.
+    """
+    members = listed.select("rep", "component_id").distinct()
+    sides = listed.select("key", "component_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("sides"))
+    sides = stage(sides.where("sides > 1").select("key"), "sides")
+    reps = stage(listed.join(sides, "key").select("rep", "component_id").distinct(), "unsettled")
+    pairs = stage(_component_pairs(_prefixes(reps, texts, shingle, percent, popular), percent), "components")
+
+    apart = 1 - F.col("shared") / F.col("every")
+    hubs = overlaps(pairs.select(F.col("cx").alias("x"), F.col("cy").alias("y")), texts, shingle)
+    hubs = stage(hubs.select(F.col("x").alias("cx"), F.col("y").alias("cy"), apart.alias("apart")), "hubs-apart")
+    involved = hubs.select(F.explode(F.array("cx", "cy")).alias("component_id")).distinct()
+    own = members.join(involved, "component_id")
+    to_hub = overlaps(own.where("rep <> component_id").select(F.col("component_id").alias("x"), F.col("rep").alias("y")), texts, shingle)
+    to_hub = to_hub.select(F.col("x").alias("component_id"), F.col("y").alias("rep"), apart.alias("off"))
+    hub = involved.select("component_id", F.col("component_id").alias("rep"), F.lit(0.0).alias("off"))
+    own = stage(to_hub.union(hub), "to-hub")
+    most = 1 - percent / 100 + 1e-9
+    radius = own.groupBy("component_id").agg(F.max("off").alias("radius"))
+    of = lambda s: radius.select(F.col("component_id").alias(f"c{s}"), F.col("radius").alias(f"radius{s}"))
+    near = hubs.join(of("x"), "cx").join(of("y"), "cy").where(F.col("apart") <= most + F.col("radiusx") + F.col("radiusy"))
+    near = stage(near, "near")
+    x, y = (own.select(F.col("component_id").alias(f"c{s}"), F.col("rep").alias(s), F.col("off").alias(f"off{s}")) for s in "xy")
+    some = near.join(x, "cx").where(F.col("apart") <= most + F.col("offx") + F.col("radiusy"))
+    both = some.join(y, "cy").where(F.col("apart") <= most + F.col("offx") + F.col("offy"))
+    return both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, popular: int = POPULAR) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``: one document of each component is kept, its least id."""
     docs = docs.select("doc_id", "text")
     sketch = stage(sketches(docs, shingle), "sketches")
@@ -200,13 +283,13 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     texts = stage(_texts(docs.where("doc_id is not null"), wanted), "texts")
 
     links = compared = labels = None
-    for pairing in (_hub_pairs, _hub_pairs, _cross_pairs):
+    for step in range(3):
         if labels is None:
             labelled = listed.withColumn("component_id", F.col("rep"))
         else:
             labelled = listed.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
             labelled = labelled.withColumn("component_id", F.coalesce("component_id", "rep"))
-        pairs = pairing(labelled)
+        pairs = _hub_pairs(labelled) if step < 2 else _rest_pairs(labelled, texts, shingle, percent, popular)
         if compared is not None:
             pairs = pairs.join(compared, ["x", "y"], "left_anti")
         pairs = stage(pairs, "pairs")
