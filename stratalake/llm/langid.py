@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays
+from stratalake.operators.sizing import fits_broadcast
+from stratalake.sources.staging import stage
 
 BITS = 15
 SAMPLE = 2000
@@ -88,6 +90,9 @@ def training_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = counts.select("lang", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n")).alias("share"))
+    share = stage(share, "languages")
+    if fits_broadcast(share):  # a row per language: the texts stay where they are
+        share = F.broadcast(share)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     return labelled.join(share, "lang").where(draw < F.col("share")).select("text", "lang")
 

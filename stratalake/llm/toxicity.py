@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.langid import held_out
+from stratalake.operators.sizing import fits_broadcast
+from stratalake.sources.staging import stage
 
 SAMPLE = 4000
 LEAST_CONTEXTS = 6
@@ -116,7 +118,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str,
     if len(shares) < 2:
         return {}
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    drawn = docs.select("doc_id", "text").join(toxic.where(draw < F.coalesce(*shares)), "doc_id").select("text", "toxic")
+    wanted = stage(toxic.where(draw < F.coalesce(*shares)), "sample")
+    if fits_broadcast(wanted):  # a few thousand ids: the texts stay where they are
+        wanted = F.broadcast(wanted)
+    drawn = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "toxic")
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
