@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from stratalake.sources.staging import stage
 
 
-def _swap(pairs: DataFrame) -> DataFrame:
-    return pairs.union(pairs.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every node points to one lesser node, which points to none."""
+    ends = pairs.select(F.col("hi").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        pairs.select("lo", F.lit(0), F.lit(1))
+    )
+    sums = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -23,18 +28,13 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     pairs = links.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     pairs = stage(pairs, "links")
-    before = None
-    while True:
-        now = tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("lo", "hi"))).first())
-        if now == before or not now[0]:
-            break
-        before = now
-        both = _swap(pairs)
+    while not _stars(pairs):
+        both = pairs.union(pairs.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
         # written, so that Spark can split the other side of the join at a node with very many links
         least = stage(both.groupBy("lo").agg(F.least(F.col("lo"), F.min("hi")).alias("least")), "least")
         wide = both.where("hi > lo").join(least, "lo").select(F.col("least").alias("lo"), "hi").distinct()
         wide = stage(wide, "wide")
-        least = stage(wide.groupBy("hi").agg(F.min("lo").alias("least")), "least")
+        least = wide.groupBy("hi").agg(F.min("lo").alias("least"))
         narrow = wide.join(least, "hi").where("lo > least").select(F.col("least").alias("lo"), F.col("lo").alias("hi"))
         pairs = stage(narrow.union(least.select(F.col("least").alias("lo"), "hi")).distinct(), "links")
     hubs = pairs.select(F.col("lo").alias("id")).distinct()

@@ -13,12 +13,12 @@ standard deviations off.
 1. Equal sets form one class, represented by its least ``doc_id``; copies are
    counted before the shuffle and never paired.
 2. Classes that share a key are candidates. A key's bucket is never expanded into
-   all pairs: each member is compared with the bucket's hub only, links found are
-   joined to components, and this is repeated once. What is left in different
-   components of a bucket (a passage that very many documents hold, an edited
-   copy) is compared if it shares one of its rarest shingles, which all links do
-   (the prefix filter), and if the distances to the components' hubs leave room
-   for a link (the triangle inequality). Neither filter loses a link.
+   all pairs: each member is compared with the bucket's hub only, and links found
+   are joined to components. What is left in different components of a bucket (a
+   passage that very many documents hold, an edited copy) is compared if it
+   shares one of its rarest shingles, which all links do (the prefix filter),
+   and if the distances to the components' hubs leave room for a link (the
+   triangle inequality). Neither filter loses a link.
 3. A candidate counts as a link if, on the full sets, 100 * shared >= 75 * all.
 
 A document without words (or null text) has an empty set and no links. A null
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import arrays, membership
 from stratalake.llm.components import components
+from stratalake.llm.settle import settled
 from stratalake.sources.staging import stage
 
 SHINGLE = 5
@@ -271,6 +272,10 @@ def _rest_pairs(listed: DataFrame, texts: DataFrame, shingle: int, percent: int,
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, popular: int = POPULAR) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``: one document of each component is kept, its least id."""
+    return settled(docs.sparkSession, "near-copies", lambda: _near_copies(docs, shingle, percent, popular))
+
+
+def _near_copies(docs: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketch = stage(sketches(docs, shingle), "sketches")
     known = sketch.where("n > 0 and doc_id is not null")
@@ -283,13 +288,13 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     texts = stage(_texts(docs.where("doc_id is not null"), wanted), "texts")
 
     links = compared = labels = None
-    for step in range(3):
+    for step in range(2):
         if labels is None:
             labelled = listed.withColumn("component_id", F.col("rep"))
         else:
             labelled = listed.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
             labelled = labelled.withColumn("component_id", F.coalesce("component_id", "rep"))
-        pairs = _hub_pairs(labelled) if step < 2 else _rest_pairs(labelled, texts, shingle, percent, popular)
+        pairs = _hub_pairs(labelled) if step == 0 else _rest_pairs(labelled, texts, shingle, percent, popular)
         if compared is not None:
             pairs = pairs.join(compared, ["x", "y"], "left_anti")
         pairs = stage(pairs, "pairs")
