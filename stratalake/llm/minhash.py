@@ -182,15 +182,15 @@ def _hub_pairs(listed: DataFrame) -> DataFrame:
 
 
 def _prefixes(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
-    """``(key, component_id, n, common)``: the components of the classes ``(rep, component_id)`` by their rarest shingles.
+    """``(key, rep, component_id, n, common, popular)``: the classes ``(rep, component_id)`` by their rarest shingles.
 
     Two sets that share enough also share one of the rarest n - ceil(percent / 100 * n) + 1 of
     either, whatever order all follow; here it is how many of the classes hold
     a shingle. A shingle that more than ``popular`` of them hold is listed for those
     sets only of which such shingles make up ``percent`` at least: the other
     sets' partners share a rarer one with them, so a passage that very many documents
-    hold brings few together. ``n`` is the least size of such a set of the component,
-    ``common`` the most popular shingles of one.
+    hold brings few together. ``n`` is the size of the set, ``common`` how many popular
+    shingles it has.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]):
@@ -209,8 +209,9 @@ def _prefixes(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, pop
     own = Window.partitionBy("rep")
     ranked = held.join(often, "key", "left").select(
         "key",
+        "rep",
         "component_id",
-        (F.col("often") > popular).alias("popular"),
+        F.coalesce(F.col("often") > popular, F.lit(False)).alias("popular"),
         (F.col("lo") < F.col("hi")).alias("elsewhere"),
         F.row_number().over(own.orderBy(F.coalesce("often", F.lit(1)), "key")).alias("place"),
         F.count(F.lit(1)).over(own).alias("n"),
@@ -218,58 +219,68 @@ def _prefixes(reps: DataFrame, texts: DataFrame, shingle: int, percent: int, pop
     )
     listed = ranked.where(F.col("elsewhere") & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
     listed = listed.where(~F.col("popular") | (100 * F.col("common") >= percent * F.col("n")))
-    return listed.groupBy("key", "component_id").agg(
-        F.min("n").alias("n"), F.max("common").alias("common"), F.first("popular").alias("popular")
-    )
+    return listed.select("key", "rep", "component_id", "n", "common", "popular")
 
 
-def _component_pairs(listed: DataFrame, percent: int) -> DataFrame:
-    """``(cx, cy)``: different components that share a listed shingle.
+def _sharing_rare(listed: DataFrame) -> DataFrame:
+    """``(x, y)`` of different components that share a shingle few classes hold."""
+    x, y = (listed.where("not popular").select("key", *[F.col(c).alias(c + s) for c in ("rep", "component_id")]) for s in "xy")
+    pairs = x.join(y, "key").where("repx < repy and component_idx <> component_idy")
+    return pairs.select(F.col("repx").alias("x"), F.col("repy").alias("y")).distinct()
 
-    With a popular one only if the popular parts of two sets of theirs could be enough.
-    """
-    several = listed.groupBy("key").agg(F.count(F.lit(1)).alias("sides")).where("sides > 1").select("key")
-    listed = stage(listed.join(several, "key"), "prefixes")
-    x, y = (listed.select("key", "popular", *[F.col(c).alias(c + s) for c in ("component_id", "n", "common")]) for s in "xy")
-    # shared >= t * (n + m - shared), so shared >= t / (1 + t) * (n + m)
-    enough = ~x["popular"] | ((100 + percent) * F.least("commonx", "commony") >= percent * (F.col("nx") + F.col("ny")))
-    pairs = x.join(y.drop("popular"), "key").where((F.col("component_idx") < F.col("component_idy")) & enough)
-    return pairs.select(F.col("component_idx").alias("cx"), F.col("component_idy").alias("cy")).distinct()
 
+def _enough(percent: int, n: str, m: str, most: str, other: str):
+    """Whether the popular parts alone can make two sets a link: shared >= t * (n + m - shared)."""
+    return (100 + percent) * F.least(most, other) >= percent * (F.col(n) + F.col(m))
 
-def _rest_pairs(listed: DataFrame, texts: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
-    """What the hubs leave to compare: pairs of different components that can be links.
 
-    Components are paired by their rarest shingles, and those pairs' hubs (their least ids) are
-    compared. One minus the similarity is a distance, so members a and b of two
-    components are no nearer than their hubs less their own distances to these.
+def _sharing_popular(listed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``(x, y)`` of different components that popular shingles alone could make a link.
+
+    Components that share one are paired, and their hubs (their least ids) are compared. One
+    minus the similarity is a distance, so members of two components are no nearer
+    than their hubs less their own distances to these.
     """
-    members = listed.select("rep", "component_id").distinct()
-    sides = listed.select("key", "component_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("sides"))
-    sides = stage(sides.where("sides > 1").select("key"), "sides")
-    reps = stage(listed.join(sides, "key").select("rep", "component_id").distinct(), "unsettled")
-    pairs = stage(_component_pairs(_prefixes(reps, texts, shingle, percent, popular), percent), "components")
+    listed = listed.where("popular")
+    grouped = listed.groupBy("key", "component_id").agg(F.min("n").alias("n"), F.max("common").alias("common"))
+    grouped = stage(grouped, "popular")
+    x, y = (grouped.select("key", *[F.col(c).alias(c + s) for c in ("component_id", "n", "common")]) for s in "xy")
+    pairs = x.join(y, "key").where((F.col("component_idx") < F.col("component_idy")) & _enough(percent, "nx", "ny", "commonx", "commony"))
+    pairs = stage(pairs.select(F.col("component_idx").alias("cx"), F.col("component_idy").alias("cy")).distinct(), "components")
 
     apart = 1 - F.col("shared") / F.col("every")
     hubs = overlaps(pairs.select(F.col("cx").alias("x"), F.col("cy").alias("y")), texts, shingle)
     hubs = stage(hubs.select(F.col("x").alias("cx"), F.col("y").alias("cy"), apart.alias("apart")), "hubs-apart")
     involved = hubs.select(F.explode(F.array("cx", "cy")).alias("component_id")).distinct()
-    own = members.join(involved, "component_id")
+    own = listed.select("rep", "component_id", "n", "common").distinct().join(involved, "component_id")
+    own = stage(own, "members")
     to_hub = overlaps(own.where("rep <> component_id").select(F.col("component_id").alias("x"), F.col("rep").alias("y")), texts, shingle)
-    to_hub = to_hub.select(F.col("x").alias("component_id"), F.col("y").alias("rep"), apart.alias("off"))
-    hub = involved.select("component_id", F.col("component_id").alias("rep"), F.lit(0.0).alias("off"))
-    own = stage(to_hub.union(hub), "to-hub")
+    own = own.join(to_hub.select(F.col("y").alias("rep"), apart.alias("off")).distinct(), "rep", "left")
+    own = stage(own.withColumn("off", F.coalesce("off", F.lit(0.0))), "to-hub")
     most = 1 - percent / 100 + 1e-9
     radius = own.groupBy("component_id").agg(F.max("off").alias("radius"))
     of = lambda s: radius.select(F.col("component_id").alias(f"c{s}"), F.col("radius").alias(f"radius{s}"))
     near = hubs.join(of("x"), "cx").join(of("y"), "cy").where(F.col("apart") <= most + F.col("radiusx") + F.col("radiusy"))
     near = stage(near, "near")
-    x, y = (own.select(F.col("component_id").alias(f"c{s}"), F.col("rep").alias(s), F.col("off").alias(f"off{s}")) for s in "xy")
+    x, y = (
+        own.select(F.col("component_id").alias(f"c{s}"), F.col("rep").alias(s), *[F.col(c).alias(c + s) for c in ("off", "n", "common")])
+        for s in "xy"
+    )
     some = near.join(x, "cx").where(F.col("apart") <= most + F.col("offx") + F.col("radiusy"))
-    both = some.join(y, "cy").where(F.col("apart") <= most + F.col("offx") + F.col("offy"))
+    room = (F.col("apart") <= most + F.col("offx") + F.col("offy")) & _enough(percent, "nx", "ny", "commonx", "commony")
+    both = some.join(y, on=[some["cy"] == y["cy"], room])
     return both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
+def _rest_pairs(listed: DataFrame, texts: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
+    """What the hubs leave to compare: pairs of different components that can be links."""
+    sides = listed.select("key", "component_id").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("sides"))
+    sides = stage(sides.where("sides > 1").select("key"), "sides")
+    reps = stage(listed.join(sides, "key").select("rep", "component_id").distinct(), "unsettled")
+    listed = stage(_prefixes(reps, texts, shingle, percent, popular), "prefixes")
+    return _sharing_rare(listed).union(_sharing_popular(listed, texts, shingle, percent)).distinct()
+
+
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, popular: int = POPULAR) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``: one document of each component is kept, its least id."""
     return settled(docs.sparkSession, "near-copies", lambda: _near_copies(docs, shingle, percent, popular))

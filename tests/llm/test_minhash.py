@@ -67,7 +67,8 @@ def test_a_passage_of_all_documents_makes_few_pairs(spark):
     texts = [f"{prose(rng, 30)} {passage} {prose(rng, 30)}" for _ in range(120)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     reps = docs.selectExpr("doc_id AS rep", "doc_id AS component_id")
-    assert minhash._component_pairs(minhash._prefixes(reps, docs, 5, 75, 32), 75).count() < 20
+    listed = minhash._prefixes(reps, docs, 5, 75, 32)
+    assert minhash._sharing_rare(listed).count() + minhash._sharing_popular(listed, docs, 5, 75).count() < 20
     assert minhash.near_copies(docs).where("kept").count() == 120
 
 
