@@ -29,7 +29,7 @@ def plain(documents, window):
     return Counter(out)
 
 
-@pytest.mark.parametrize("seed, window, k", [(0, 50, 25), (1, 50, 25), (2, 10, 4), (3, 12, 11)])
+@pytest.mark.parametrize("seed, window, k", [(0, 50, 25), (2, 10, 4), (3, 12, 11)])
 def test_against_plain(spark, seed, window, k):
     texts = corpus(seed)
     got = Counter(map(tuple, substring.remove_repeats(frame(spark, texts), window, k).collect()))
