@@ -382,25 +382,3 @@ def without_repeats(docs: DataFrame, **settings) -> DataFrame:
 def op7_suffix_array_dedup(spark, sf_dir):
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-ORACLE = f"""
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-win AS (
-  SELECT doc_id, p, md5_number(substr(x, (2 * p + 1)::BIGINT, {2 * WINDOW})) AS h
-  FROM (SELECT doc_id, x, unnest(range(0, greatest(len(x) // 2 - {WINDOW - 1}, 0))) AS p FROM d)),
-mark AS (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) > 1 AS again FROM win),
-place AS (SELECT doc_id, x, unnest(range(0, len(x) // 2)) AS p FROM d),
-gone AS (
-  SELECT place.doc_id, place.p, substr(x, (2 * place.p + 1)::BIGINT, 2) AS b,
-         coalesce(bool_or(again) OVER (PARTITION BY place.doc_id ORDER BY place.p ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW), false) AS gone
-  FROM place LEFT JOIN mark ON place.doc_id = mark.doc_id AND place.p = mark.p),
-edge AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY p) AS begins FROM gone),
-sums AS (
-  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
-         coalesce(string_agg(b, '' ORDER BY p) FILTER (WHERE NOT gone), '') AS kept
-  FROM edge GROUP BY doc_id)
-SELECT d.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
-       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM d LEFT JOIN sums USING (doc_id)
-"""
