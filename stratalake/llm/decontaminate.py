@@ -9,7 +9,11 @@
    of 16 bits, and by the pigeonhole principle two within ``RADIUS`` = 15 bits agree in a
    block but for three bits at most. Each item stands under all such values of
    each of its blocks, so all fingerprints within the radius are found.
-3. A candidate counts if the weighted Jaccard similarity of the two shingle
+3. A similarity of 0.75 is 11 bits on average, so some such pairs lie beyond the
+   radius. A window similar to an item shares one of the item's rarest shingles
+   that make up over a quarter of its weight, and three quarters of its weight in
+   all: the pairs of which that holds are candidates too, so none is lost.
+4. A candidate counts if the weighted Jaccard similarity of the two shingle
    multisets is at least 0.75. A shingle weighs one over the number of items
    that hold it, one if none does.
 
@@ -43,6 +47,8 @@ RADIUS = BLOCKS * (ERRORS + 1) - 1
 BLOCK_ITEMS = 4096
 BLOCK_BYTES = 1 << 23
 _WIDTH = 64 // BLOCKS
+# Sums of weights in another order may differ by less.
+_SLACK = 1e-6
 SCHEMA = "doc_id long, item_id long, start long, n_words long, similarity double"
 
 
@@ -81,6 +87,20 @@ class ItemIndex:
         self.weights = 1 / uses
         self.low = np.zeros(1 << 20, bool)
         self.low[self.shingles & np.uint64((1 << 20) - 1)] = True
+        self.mass, rare = np.zeros(len(own)), []
+        for i, (x, n) in enumerate(self.items):
+            weight = self.weights[np.searchsorted(self.shingles, x)]
+            self.mass[i] = (weight * n).sum()
+            order = np.argsort(-weight, kind="stable")
+            # a window without these holds less than SIMILARITY of the item
+            enough = np.cumsum((weight * n)[order]) > (1 - SIMILARITY + _SLACK) * self.mass[i]
+            rare.append(x[order[: int(enough.argmax()) + 1]])
+        self.rare = {}
+        for length in self.lengths:
+            of = np.flatnonzero(self.words == length)
+            item, listed = np.repeat(of, [len(rare[i]) for i in of]), np.concatenate([rare[i] for i in of])
+            order = np.argsort(listed, kind="stable")
+            self.rare[int(length)] = listed[order], item[order]
         prints = [simhash(x, np.array([0]), np.array([len(x)])) for x in own]
         self.prints = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
         self.tables = []
@@ -114,6 +134,24 @@ class ItemIndex:
         found = np.unique(np.concatenate(pairs, axis=1), axis=1)
         return found[0], found[1], found[2]
 
+    def beyond_radius(self, grams: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(query, item)`` of all windows of ``length`` words that hold enough of an item, whatever their fingerprints."""
+        n = length - SHINGLE + 1
+        listed, owner = self.rare[length]
+        seen = np.unique(grams)
+        lo, hi = np.searchsorted(listed, seen), np.searchsorted(listed, seen, side="right")
+        lo, hi = lo[hi > lo], hi[hi > lo]
+        queries, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for item in np.unique(np.concatenate([owner[a:b] for a, b in zip(lo, hi)])) if len(lo) else ():
+            own = self.items[item][0]
+            place = np.searchsorted(own, grams).clip(max=len(own) - 1)
+            weight = np.where(own[place] == grams, self.weights[np.searchsorted(self.shingles, own)][place], 0)
+            sums = np.concatenate([[0], np.cumsum(weight)])
+            query = np.flatnonzero(sums[at + n] - sums[at] >= (SIMILARITY - _SLACK) * self.mass[item])
+            queries.append(query)
+            items.append(np.full(len(query), item))
+        return np.concatenate(queries), np.concatenate(items)
+
     def similarity(self, window: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of the window's shingles and the item's, as multisets."""
         own, own_n = self.items[item]
@@ -154,7 +192,11 @@ def _judge(index: ItemIndex, grams: np.ndarray, words: arrays.Words, start: np.n
     np.add.at(covered, start + n, -1)
     covered = np.flatnonzero(np.cumsum(covered[:-1]))
     at = np.searchsorted(covered, start)
-    query, item, distance = index.within_radius(simhash(grams[covered], at, at + n))
+    prints = simhash(grams[covered], at, at + n)
+    near = np.stack(index.within_radius(prints))
+    query, item = index.beyond_radius(grams[covered], at, length)
+    more = np.stack([query, item, np.bitwise_count(prints[query] ^ index.prints[item]).astype(np.int64)])
+    query, item, distance = np.unique(np.concatenate([near, more], axis=1), axis=1)
     order = np.lexsort((start[query], distance))
     for q, i in zip(query[order], item[order]):
         if index.words[i] != length:

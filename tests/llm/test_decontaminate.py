@@ -60,6 +60,34 @@ def test_against_all_windows(spark):
     assert d.without_contaminated(docs, table).columns == docs.columns
 
 
+def test_no_pair_similar_enough_is_lost(spark):
+    rng = random.Random(4)
+    texts, items, want = [], {}, set()
+    for i in range(150):
+        # as many words replaced as leave the item just similar enough
+        size, changed = [(39, [17]), (60, [20, 23]), (100, [40, 44, 48])][i % 3]
+        items[i] = prose(rng, size)
+        words = items[i].split()
+        for k in changed:
+            words[k] = "changed"
+        texts.append(f"{prose(rng, 8)} {' '.join(words)} {prose(rng, 8)}")
+        want |= {(i, i) for _ in plain(texts[-1:], {i: items[i]})}
+    assert len(want) == 150
+    # items that share shingles, which then weigh next to nothing
+    common, alike, mixed = prose(rng, 30).split(), {}, []
+    for i in range(150, 162):
+        own = prose(rng, 24).split()
+        alike[i] = " ".join(common[: rng.randint(10, 30)] + own)
+        mixed += [" ".join(common[8:] + own), " ".join(common[15:] + common[:10] + own)]
+    want |= {(len(texts) + doc, item) for doc, item in plain(mixed, alike)}
+    texts, items = texts + mixed, items | alike
+    table = spark.createDataFrame([(i, t, "x") for i, t in items.items()], ITEMS)
+    got = d.contaminated(frame(spark, texts), table).where("doc_id is not null and doc_id <> 3").collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {k for k in want if k[0] != 3}
+    clean = {r.doc_id for r in d.without_contaminated(frame(spark, texts), table).collect()}
+    assert not clean & {doc for doc, _ in want}
+
+
 def test_more_items_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(d, "BLOCK_ITEMS", 3)
     rng = random.Random(2)
