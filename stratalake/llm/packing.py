@@ -1,14 +1,15 @@
 """Packing documents into token windows by multiway differencing.
 
 Each task reads its documents as they come, turns them into token ids and packs
-them group by group; a group holds some ``GROUP_TOKENS`` tokens, so memory is
-bounded and nothing is shuffled. In a group
+them group by group; a group holds some ``GROUP_TOKENS`` tokens and at most
+``GROUP_DOCS`` documents, however short, so memory is bounded and nothing is
+shuffled. In a group
 
 1. documents of more than a window are cut: whole windows leave at once, the rest
    stays as one item;
 2. the items are divided among m = ceil(tokens / capacity) windows by the
    Karmarkar-Karp method: every item starts as a partition of its own (one window
-   filled, the others empty), and the two partitions of the largest imbalance
+   filled, the others empty and not held), and the two partitions of the largest imbalance
    merge, the fullest window of one with the emptiest of the other, until one is
    left. Its windows are nearly equal;
 3. what a window holds above the capacity is cut off and goes to windows with
@@ -41,6 +42,7 @@ from pyspark.sql import DataFrame
 CAPACITY = 4096
 END = 2
 GROUP_TOKENS = 1 << 20
+GROUP_DOCS = 1 << 17
 # Words, and parts of words, whose ids a worker remembers in each of two generations.
 CACHED_WORDS = 200_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -118,24 +120,29 @@ def encoder(path: str) -> WordEncoder:
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
-    """The items of each window, by Karmarkar-Karp differencing over ``windows`` windows."""
-    heap = []
-    for item, size in enumerate(sizes):
-        sums = np.zeros(windows, np.int64)
-        sums[0] = size
-        heap.append((-size, item, sums, [[item]] + [[] for _ in range(windows - 1)]))
+    """The items of each window, by Karmarkar-Karp differencing over ``windows`` windows.
+
+    A partition holds its filled windows only, the fullest first.
+    """
+    heap = [(-size, item, np.array([size], np.int64), [[item]]) for item, size in enumerate(sizes)]
     heapq.heapify(heap)
     count = len(sizes)
     while len(heap) > 1:
         _, _, sums, sets = heapq.heappop(heap)
         _, _, other, more = heapq.heappop(heap)
-        sums = sums + other[::-1]
-        sets = [a + b for a, b in zip(sets, reversed(more))]
+        both = max(len(sums) + len(other) - windows, 0)
+        alone, rest = len(sums) - both, len(other) - both
+        # the emptiest windows of one, and the other's in reverse, meet
+        sums = np.concatenate([sums, other[:rest][::-1]])
+        sums[alone : alone + both] += other[rest:][::-1]
+        sets = sets[:alone] + [a + b for a, b in zip(sets[alone:], reversed(more[rest:]))] + more[:rest][::-1]
         order = np.argsort(-sums, kind="stable")
         sums = sums[order]
-        heapq.heappush(heap, (-int(sums[0] - sums[-1]), count, sums, [sets[i] for i in order]))
+        least = int(sums[-1]) if len(sums) == windows else 0
+        heapq.heappush(heap, (least - int(sums[0]), count, sums, [sets[i] for i in order]))
         count += 1
-    return heap[0][3] if heap else [[] for _ in range(windows)]
+    sets = heap[0][3] if heap else []
+    return sets + [[] for _ in range(windows - len(sets))]
 
 
 def plan(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
@@ -174,7 +181,9 @@ def plan(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
     return full + [window for _, window in packed if window]
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_tokens: int = GROUP_TOKENS, group_docs: int = GROUP_DOCS
+) -> DataFrame:
     """One row per piece of a document, with its place in its document and in its window."""
 
     def emit(batches: Iterator[pa.RecordBatch]):
@@ -200,7 +209,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_tokens
                 ids.append(doc_id)
                 tokens.append(words.encode(text.as_py() or b""))
                 size += len(tokens[-1])
-                if size >= group_tokens:
+                if size >= group_tokens or len(tokens) >= group_docs:
                     yield packed()
         if tokens:
             yield packed()

@@ -1,6 +1,7 @@
 """Packing: the tokenizer's own ids, and every id in exactly one place."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -57,6 +58,23 @@ def test_differencing_is_nearly_even():
     assert packing.differencing([], 2) == [[], []]
 
 
+def test_differencing_holds_filled_windows_only():
+    tracemalloc.start()
+    parts = packing.differencing([20] * 20_000, 98)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6 and sorted(i for part in parts for i in part) == list(range(20_000))
+
+
+def test_long_run_of_null_texts(spark):
+    docs = spark.range(150_000).selectExpr("id AS doc_id", "cast(NULL AS string) AS text").coalesce(1)
+    got = packing.pack(docs, PATH).collect()
+    assert sorted(r.doc_id for r in got) == list(range(150_000)) and all(r.length == r.doc_tokens == 1 for r in got)
+    assert len({r.sequence_id for r in got}) == 37
+    few = packing.pack(docs.limit(2500).coalesce(1), PATH, group_docs=1000).collect()
+    assert len(few) == 2500 and len({r.sequence_id for r in few}) == 3
+
+
 def test_pack(spark):
     texts = corpus(3) + ["word " * 9000]
     got = packing.pack(frame(spark, texts), PATH, 256, 5000).collect()
