@@ -148,6 +148,13 @@ def _predict(weights: np.ndarray, batch: pa.RecordBatch) -> tuple[np.ndarray, np
     return best, score
 
 
+def _have_letter(batch: pa.RecordBatch) -> np.ndarray:
+    """Whether each text has a letter."""
+    raw, offsets = arrays.utf8(batch.column("text"))
+    own = lambda lo, hi: features(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], BITS)[1]
+    return np.concatenate([np.zeros(0, bool), *[own(lo, hi) for lo, hi in arrays.slices(offsets)]])
+
+
 def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the probability of that language), in place of columns so named."""
     model = docs.sparkSession.sparkContext.broadcast(matrix)
@@ -165,12 +172,13 @@ def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame
 
 
 def in_known_language(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
-    """The documents, with all their columns, whose language can be told."""
+    """The documents, with all their columns, whose language can be told; with nothing learnt, those with a letter."""
     model = docs.sparkSession.sparkContext.broadcast(matrix)
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            yield batch.filter(pa.array(_predict(model.value, batch)[0] < len(langs)))
+            told = _predict(model.value, batch)[0] < len(langs) if langs else _have_letter(batch)
+            yield batch.filter(pa.array(told))
 
     return docs.mapInArrow(emit, docs.schema)
 
