@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import chat, decontaminate, embeddings, langid, minhash, packing, substring, suffix, toxicity, urls, warc
+from stratalake.llm import chat, decontaminate, embeddings, langid, minhash, packing, substring, suffix, toxicity, trie, urls, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_language_id": langid.op9_language_id,
     "op10_packing": packing.op10_packing,
+    "op12_conversation_trie": trie.op12_conversation_trie,
     "op13_warc": warc.op13_warc,
 }
 # The others are held against brute force, held-out labels or a round trip in tests/llm; SQL for op7 would
@@ -25,5 +26,6 @@ ORACLE = {
     "op4_substring_dedup": substring.ORACLE,
     "op5_minhash_near_dedup": minhash.ORACLE,
     "op6_embedding_near_dedup": embeddings.ORACLE,
+    "op12_conversation_trie": trie.ORACLE,
     "op13_warc": warc.ORACLE,
 }
