@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import chat, decontaminate, embeddings, langid, minhash, packing, substring, suffix, toxicity, trie, urls, warc
+from stratalake.llm import chat, decontaminate, embeddings, langid, minhash, packing, repair, substring, suffix, toxicity, trie, urls, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_language_id": langid.op9_language_id,
     "op10_packing": packing.op10_packing,
+    "op11_conversation_repair": repair.op11_conversation_repair,
     "op12_conversation_trie": trie.op12_conversation_trie,
     "op13_warc": warc.op13_warc,
 }
@@ -26,6 +27,7 @@ ORACLE = {
     "op4_substring_dedup": substring.ORACLE,
     "op5_minhash_near_dedup": minhash.ORACLE,
     "op6_embedding_near_dedup": embeddings.ORACLE,
+    "op11_conversation_repair": repair.ORACLE,
     "op12_conversation_trie": trie.ORACLE,
     "op13_warc": warc.ORACLE,
 }
