@@ -44,11 +44,14 @@ END = 2
 GROUP_TOKENS = 1 << 20
 GROUP_DOCS = 1 << 17
 # Words, and parts of words, whose ids a worker remembers in each of two generations.
-CACHED_WORDS = 200_000
+CACHED_WORDS, CACHED_PARTS = 200_000, 400_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _END_BYTES = np.array([END], np.uint32).tobytes()
 # Visible signs and Latin letters, which lower-casing and normal form leave apart.
 _LATIN = regex.compile("[!-~\u00a1-\u024f]+").fullmatch
+_LAST_LATIN = "\u024f"
+# Signs that often end a word; a run of them is one part, and none begins another kind of part.
+_FINAL = b".,;:!?)\"-"
 # Byte-level vocabularies write a byte that is no visible Latin-1 sign as the next free code from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
@@ -64,13 +67,14 @@ class _Recent:
 
     def __call__(self, key):
         value = self.now.get(key)
+        if value is not None:
+            return value
+        value = self._before.get(key)
         if value is None:
-            value = self._before.get(key)
-            if value is None:
-                value = self._make(key)
-            if len(self.now) >= self._size:
-                self._before, self.now = self.now, {}
-            self.now[key] = value
+            value = self._make(key)
+        if len(self.now) >= self._size:
+            self._before, self.now = self.now, {}
+        self.now[key] = value
         return value
 
 
@@ -88,16 +92,22 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._words, self._parts = _Recent(CACHED_WORDS, self._word), _Recent(CACHED_WORDS, self._part)
+        self._words, self._parts = _Recent(CACHED_WORDS, self._word), _Recent(CACHED_PARTS, self._part)
         rule = json.loads(self._tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._split = regex.compile(rule).findall
 
     def _part(self, part: str) -> bytes:
-        """Ids of a run of letters, a digit or a run of signs."""
+        """Ids of a run of letters, a digit or a run of signs, in lower case."""
         signs = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_SIGNS)
         return array("I", [t.id for t in self._model.tokenize(signs)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        core = word.rstrip(_FINAL)
+        letters = core.decode().lower()
+        if letters.isalpha() and (letters.isascii() or max(letters) <= _LAST_LATIN):
+            # letters, then signs or nothing: what most words are, and no rule could split them further
+            ids = self._parts(letters)
+            return ids if len(core) == len(word) else ids + self._parts(word[len(core) :].decode())
         text = word.decode()
         if "<|" in text or not _LATIN(text):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
