@@ -1,35 +1,35 @@
 """Benchmark items found inside documents, by SimHash windows of each item's size.
 
 1. Words are runs of non-blank characters with A-Z lower-cased, shingles five of
-   them. A window with a similarity of 0.75 holds three benchmark shingles for
-   each other one, so all other windows are left out at once; none that could
-   count is lost.
-2. Of each such window of an item's size, a 64-bit SimHash of its shingles is
+   them; an item of fewer words is one shingle. A shingle an item holds weighs one over the number of different
+   texts in the whole benchmark that hold it (Spark counts them once, whatever the blocks); one that the item
+   lacks weighs one.
+2. A window similar to an item holds three of its shingles for each other one, so windows
+   with fewer benchmark shingles are left out at once; none that could count is lost.
+3. Of each such window of an item's size, a 64-bit SimHash of its shingles is
    taken, and looked up in a multi-index: fingerprints are split into four blocks
-   of 16 bits, and by the pigeonhole principle two within ``RADIUS`` = 15 bits agree in a
-   block but for three bits at most. Each item stands under all such values of
-   each of its blocks, so all fingerprints within the radius are found.
-3. A similarity of 0.75 is 11 bits on average, so some such pairs lie beyond the
-   radius. A window similar to an item shares one of the item's rarest shingles
-   that make up over a quarter of its weight, and three quarters of its weight in
-   all: the pairs of which that holds are candidates too, so none is lost.
+   of 16 bits, and by the pigeonhole principle two within ``RADIUS`` = 23 bits agree in a
+   block but for five bits at most. Each item stands under all values of each of its
+   blocks that differ by up to three bits, a window looks under all that differ from its own by two, so all fingerprints
+   within the radius are found, and only those are candidates. A similarity of 0.75 is 11 bits on average (15 in the worst case of weights) with a spread of 3, so
+   a few pairs in a thousand that are barely similar lie beyond; tests hold the recall against all windows.
 4. A candidate counts if the weighted Jaccard similarity of the two shingle
-   multisets is at least 0.75. A shingle weighs one over the number of items
-   that hold it, one if none does.
+   multisets is at least 0.75. Of several places of an item in a document the one of the nearest fingerprint is reported, then the first.
 
 Documents are read once and not shuffled for each block of at most about
 ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` of their texts; only one block is
-broadcast at a time, so a larger benchmark takes more passes, not more memory.
+broadcast at a time, so a larger benchmark takes more passes, not more memory. What is found does not depend on the blocks.
 
-Items of fewer than five words, or null, or with a null id, are no evidence and
-match nothing. A document that is null, empty or shorter than all items matches nothing. Repeated
-documents each give their rows; repeated items count once per ``item_id``. Other
-columns are ignored.
+Items that are null or have no word or a null id are no evidence and
+match nothing. Texts of one id are items of their own under that id. Items given twice, or under several ids, change no weight. A document that is null, empty or shorter than all items matches nothing. Repeated
+documents each give their rows. Long documents are worked on in slices of windows, in memory of their own size. Other
+columns are ignored; without documents or items there are no rows.
 """
 
 from __future__ import annotations
 
 import itertools
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,28 +39,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays
+from stratalake.sources.staging import stage
 
 SHINGLE = 5
 SIMILARITY = 0.75
-BLOCKS, ERRORS = 4, 3
-RADIUS = BLOCKS * (ERRORS + 1) - 1
+# Errors of a block of bits: those the items are listed under, and those the windows look under.
+BLOCKS, LISTED, PROBED = 4, 3, 2
+RADIUS = BLOCKS * (LISTED + PROBED + 1) - 1
+WINDOWS = 512
 BLOCK_ITEMS = 4096
 BLOCK_BYTES = 1 << 23
 _WIDTH = 64 // BLOCKS
-# Sums of weights in another order may differ by less.
-_SLACK = 1e-6
 SCHEMA = "doc_id long, item_id long, start long, n_words long, similarity double"
 
 
-def _near_values() -> np.ndarray:
-    """All changes of at most ``ERRORS`` bits of a block."""
-    masks = [sum(1 << b for b in bits) for e in range(ERRORS + 1) for bits in itertools.combinations(range(_WIDTH), e)]
+def _near_values(errors: int) -> np.ndarray:
+    """All changes of at most ``errors`` bits of a block."""
+    masks = [sum(1 << b for b in bits) for e in range(errors + 1) for bits in itertools.combinations(range(_WIDTH), e)]
     return np.array(masks, np.uint16)
 
 
-def _shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[arrays.Words, np.ndarray]:
-    words = arrays.Words(arrays.lower_ascii(raw), offsets)
-    return words, arrays.Rolling(words.codes()).grams(SHINGLE)
+def _values(prints: np.ndarray, block: int, errors: int) -> np.ndarray:
+    """One row per fingerprint: the block's values that differ from its own by at most ``errors`` bits."""
+    own = ((prints >> np.uint64(block * _WIDTH)) & np.uint64((1 << _WIDTH) - 1)).astype(np.uint16)
+    return own[:, None] ^ _near_values(errors)
+
+
+class _Text:
+    """The words of texts and the shingles of their windows."""
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+        self.words = arrays.Words(arrays.lower_ascii(raw), offsets)
+        self._rolling = arrays.Rolling(self.words.codes())
+        self._grams: dict[int, np.ndarray] = {}
+
+    def shingles(self, length: int) -> tuple[np.ndarray, int]:
+        """The shingles at all words for windows of ``length`` words, and how many a window has."""
+        size = min(length, SHINGLE)
+        if size not in self._grams:
+            self._grams[size] = self._rolling.grams(size)
+        return self._grams[size], length - size + 1
+
+    def of(self, doc: int) -> np.ndarray:
+        """All shingles of one text."""
+        length, first = int(self.words.counts[doc]), self.words.first[doc]
+        grams, n = self.shingles(length) if length else (np.zeros(0, np.uint64), 0)
+        return grams[first : first + n]
 
 
 def simhash(shingles: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -72,45 +96,39 @@ def simhash(shingles: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 class ItemIndex:
-    """The items of a block: shingles with weights, fingerprints, and the multi-index over them."""
+    """The items of a block: shingles with weights, fingerprints, and for each size of items the multi-index over them.
+
+    ``shared`` and ``uses`` are the shingles that several texts of the benchmark hold, in order, and how many hold each.
+    """
 
-    def __init__(self, ids: list[int], texts: list[str]):
-        words, grams = _shingles(*arrays.utf8(pa.array(texts, pa.string())))
-        judged = [i for i in range(len(ids)) if words.counts[i] >= SHINGLE]
+    def __init__(self, ids: list[int], texts: list[str], shared: np.ndarray, uses: np.ndarray):
+        text = _Text(*arrays.utf8(pa.array(texts, pa.string())))
+        judged = [i for i in range(len(ids)) if text.words.counts[i]]
         self.ids = np.array([ids[i] for i in judged], np.int64)
-        self.words = np.array([words.counts[i] for i in judged], np.int64)
-        self.lengths = np.unique(self.words)
-        own = [grams[words.first[i] : words.first[i + 1] - SHINGLE + 1] for i in judged]
+        self.words = np.array([text.words.counts[i] for i in judged], np.int64)
+        own = [text.of(i) for i in judged]
         self.items = [np.unique(x, return_counts=True) for x in own]
-        held = np.concatenate([x for x, _ in self.items]) if own else np.zeros(0, np.uint64)
-        self.shingles, uses = np.unique(held, return_counts=True)
-        self.weights = 1 / uses
+        self.weights = []
+        for x, _ in self.items:
+            at = np.searchsorted(shared, x).clip(max=max(len(shared) - 1, 0))
+            weight = np.ones(len(x))
+            if len(shared):
+                weight = np.where(shared[at] == x, 1 / uses[at], weight)
+            self.weights.append(weight)
+        self.shingles = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
         self.low = np.zeros(1 << 20, bool)
         self.low[self.shingles & np.uint64((1 << 20) - 1)] = True
-        self.mass, rare = np.zeros(len(own)), []
-        for i, (x, n) in enumerate(self.items):
-            weight = self.weights[np.searchsorted(self.shingles, x)]
-            self.mass[i] = (weight * n).sum()
-            order = np.argsort(-weight, kind="stable")
-            # a window without these holds less than SIMILARITY of the item
-            enough = np.cumsum((weight * n)[order]) > (1 - SIMILARITY + _SLACK) * self.mass[i]
-            rare.append(x[order[: int(enough.argmax()) + 1]])
-        self.rare = {}
-        for length in self.lengths:
-            of = np.flatnonzero(self.words == length)
-            item, listed = np.repeat(of, [len(rare[i]) for i in of]), np.concatenate([rare[i] for i in of])
-            order = np.argsort(listed, kind="stable")
-            self.rare[int(length)] = listed[order], item[order]
         prints = [simhash(x, np.array([0]), np.array([len(x)])) for x in own]
         self.prints = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
-        self.tables = []
-        near = _near_values()
-        for block in range(BLOCKS):
-            value = ((self.prints >> np.uint64(block * _WIDTH)) & np.uint64((1 << _WIDTH) - 1)).astype(np.uint16)
-            listed = (value[:, None] ^ near).ravel()
-            order = np.argsort(listed, kind="stable")
-            item = np.repeat(np.arange(len(value), dtype=np.int32), len(near))[order]
-            self.tables.append((np.searchsorted(listed[order], np.arange((1 << _WIDTH) + 1)), item))
+        self.tables: dict[int, list] = {}
+        for length in np.unique(self.words):
+            of = np.flatnonzero(self.words == length).astype(np.int32)
+            tables = []
+            for block in range(BLOCKS):
+                listed = _values(self.prints[of], block, LISTED)
+                order = np.argsort(listed, axis=None, kind="stable")
+                tables.append((listed.ravel()[order], np.repeat(of, listed.shape[1])[order]))
+            self.tables[int(length)] = tables
 
     def known(self, shingles: np.ndarray) -> np.ndarray:
         """Which shingles an item holds."""
@@ -120,102 +138,107 @@ class ItemIndex:
         held[at] = self.shingles[place] == shingles[at]
         return held
 
-    def within_radius(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(query, item, distance)`` of all pairs of fingerprints within the radius."""
+    def within_radius(self, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(query, item, distance)`` of all fingerprints of items of ``length`` words within the radius."""
         pairs = []
-        for block, (bounds, listed) in enumerate(self.tables):
-            value = ((prints >> np.uint64(block * _WIDTH)) & np.uint64((1 << _WIDTH) - 1)).astype(np.int64)
-            lo, n = bounds[value], bounds[value + 1] - bounds[value]
-            query = np.repeat(np.arange(len(prints)), n)
-            item = listed[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+        for block, (listed, owner) in enumerate(self.tables[length]):
+            value = _values(prints, block, PROBED)
+            lo = np.searchsorted(listed, value.ravel())
+            n = np.searchsorted(listed, value.ravel(), side="right") - lo
+            query = np.repeat(np.repeat(np.arange(len(prints)), value.shape[1]), n)
+            item = owner[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
             distance = np.bitwise_count(prints[query] ^ self.prints[item])
             near = distance <= RADIUS
             pairs.append(np.stack([query[near], item[near], distance[near].astype(np.int64)]))
         found = np.unique(np.concatenate(pairs, axis=1), axis=1)
         return found[0], found[1], found[2]
 
-    def beyond_radius(self, grams: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(query, item)`` of all windows of ``length`` words that hold enough of an item, whatever their fingerprints."""
-        n = length - SHINGLE + 1
-        listed, owner = self.rare[length]
-        seen = np.unique(grams)
-        lo, hi = np.searchsorted(listed, seen), np.searchsorted(listed, seen, side="right")
-        lo, hi = lo[hi > lo], hi[hi > lo]
-        queries, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for item in np.unique(np.concatenate([owner[a:b] for a, b in zip(lo, hi)])) if len(lo) else ():
-            own = self.items[item][0]
-            place = np.searchsorted(own, grams).clip(max=len(own) - 1)
-            weight = np.where(own[place] == grams, self.weights[np.searchsorted(self.shingles, own)][place], 0)
-            sums = np.concatenate([[0], np.cumsum(weight)])
-            query = np.flatnonzero(sums[at + n] - sums[at] >= (SIMILARITY - _SLACK) * self.mass[item])
-            queries.append(query)
-            items.append(np.full(len(query), item))
-        return np.concatenate(queries), np.concatenate(items)
-
     def similarity(self, window: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of the window's shingles and the item's, as multisets."""
         own, own_n = self.items[item]
         other, other_n = np.unique(window, return_counts=True)
-        every = np.union1d(own, other)
-        counts = np.zeros((2, len(every)))
-        counts[0, np.searchsorted(every, own)] = own_n
-        counts[1, np.searchsorted(every, other)] = other_n
-        weight = np.ones(len(every))
-        held = self.known(every)
-        weight[held] = self.weights[np.searchsorted(self.shingles, every[held])]
-        return float((weight * counts.min(axis=0)).sum() / (weight * counts.max(axis=0)).sum())
+        at = np.searchsorted(own, other).clip(max=len(own) - 1)
+        held = own[at] == other
+        both = np.zeros(len(own), np.int64)
+        both[at[held]] = other_n[held]
+        weight = self.weights[item]
+        every = (weight * np.maximum(own_n, both)).sum() + other_n[~held].sum()
+        return float((weight * np.minimum(own_n, both)).sum() / every)
 
 
 def _found(index: ItemIndex, raw: np.ndarray, offsets: np.ndarray):
     """``(document, item, start, words, similarity)`` of each item found in a slice of documents, at its best place."""
-    words, grams = _shingles(raw, offsets)
-    if not len(grams):
-        return
+    text = _Text(raw, offsets)
+    doc = text.words.doc
     best: dict[tuple[int, int], tuple] = {}
-    sums = np.concatenate([[0], np.cumsum(index.known(grams))])
-    for length in index.lengths:
-        n = int(length) - SHINGLE + 1
-        if len(grams) < n or not sums[-1]:
+    sums: dict[int, np.ndarray] = {}
+    for length in index.tables:
+        grams, n = text.shingles(length)
+        size = length - n + 1
+        if len(grams) < n:
             continue
-        start = np.flatnonzero((sums[n:] - sums[:-n]) >= SIMILARITY * n)
-        start = start[words.doc[start] == words.doc[start + length - 1]]
-        for lo in range(0, len(start), 4096):
-            _judge(index, grams, words, start[lo : lo + 4096], int(length), best)
-    yield from best.values()
+        if size not in sums:
+            sums[size] = np.concatenate([[0], np.cumsum(index.known(grams))])
+        known = sums[size]
+        if not known[-1]:
+            continue
+        start = np.flatnonzero((known[n:] - known[:-n]) >= SIMILARITY * n)
+        start = start[doc[start] == doc[start + length - 1]]
+        for lo in range(0, len(start), WINDOWS):
+            _judge(index, grams, n, text.words, start[lo : lo + WINDOWS], length, best)
+    for (document, item), (_, start, length, like) in best.items():
+        yield document, item, int(start - text.words.first[document]), length, like
 
 
-def _judge(index: ItemIndex, grams: np.ndarray, words: arrays.Words, start: np.ndarray, length: int, best: dict) -> None:
-    """Adds the items found in windows of one size to ``best``, the nearest fingerprints first."""
-    n = length - SHINGLE + 1
+def _judge(index: ItemIndex, grams: np.ndarray, n: int, words: arrays.Words, start: np.ndarray, length: int, best: dict) -> None:
+    """Adds the items found in windows of one size to ``best``: the nearest fingerprint, then the first place."""
     covered = np.zeros(len(grams) + 1, np.int32)
     np.add.at(covered, start, 1)
     np.add.at(covered, start + n, -1)
     covered = np.flatnonzero(np.cumsum(covered[:-1]))
     at = np.searchsorted(covered, start)
-    prints = simhash(grams[covered], at, at + n)
-    near = np.stack(index.within_radius(prints))
-    query, item = index.beyond_radius(grams[covered], at, length)
-    more = np.stack([query, item, np.bitwise_count(prints[query] ^ index.prints[item]).astype(np.int64)])
-    query, item, distance = np.unique(np.concatenate([near, more], axis=1), axis=1)
+    query, item, distance = index.within_radius(simhash(grams[covered], at, at + n), length)
     order = np.lexsort((start[query], distance))
-    for q, i in zip(query[order], item[order]):
-        if index.words[i] != length:
-            continue
+    for q, i, bits in zip(query[order], item[order], distance[order]):
         key = (int(words.doc[start[q]]), int(i))
-        if key not in best:
+        if key not in best or bits < best[key][0]:
             like = index.similarity(grams[start[q] : start[q] + n], i)
             if like >= SIMILARITY:
-                best[key] = (*key, int(start[q] - words.first[key[0]]), length, like)
+                best[key] = (int(bits), int(start[q]), length, like)
+
+
+def _each_shingle(texts: DataFrame) -> DataFrame:
+    """``shingle``: the different ones of each text."""
+
+    def emit(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            text = _Text(*arrays.utf8(batch.column("text")))
+            own = [np.unique(text.of(i)) for i in range(batch.num_rows)]
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(np.concatenate(own)))], ["shingle"])
+
+    return texts.select("text").mapInArrow(emit, "shingle long")
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
     """The index of each block of items, as it is needed."""
-    items = benchmark.where("text is not null and item_id is not null").select("item_id", "text")
+    spark = benchmark.sparkSession
+    # texts are told apart by their words
+    words = F.trim(F.regexp_replace(F.translate("text", string.ascii_uppercase, string.ascii_lowercase), "[ \t-\r]+", " "))
+    items = benchmark.where("text is not null and item_id is not null").select("item_id", words.alias("text"))
+    items = stage(items.where("text <> ''").distinct(), "items")
+    uses = _each_shingle(items.select("text").distinct()).groupBy("shingle").agg(F.count(F.lit(1)).alias("uses"))
+    uses = stage(uses.where("uses > 1"), "item-shingles")
     rows, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
     blocks = max(1, -(-rows // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
     for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(ItemIndex([r[0] for r in part], [r[1] for r in part]))
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        # of the counts, those of the block's own shingles
+        shared = uses.join(_each_shingle(part).distinct(), "shingle", "left_semi").toArrow()
+        shingles, counts = shared["shingle"].to_numpy().view(np.uint64), shared["uses"].to_numpy()
+        order = np.argsort(shingles)
+        part = part.orderBy("item_id", "text").collect()
+        yield spark.sparkContext.broadcast(ItemIndex([r[0] for r in part], [r[1] for r in part], shingles[order], counts[order]))
 
 
 def _hits(index: ItemIndex, batch: pa.RecordBatch) -> list[tuple]:
