@@ -28,6 +28,7 @@ columns are ignored; without documents or items there are no rows.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import string
 from collections.abc import Iterator
@@ -53,6 +54,7 @@ _WIDTH = 64 // BLOCKS
 SCHEMA = "doc_id long, item_id long, start long, n_words long, similarity double"
 
 
+@functools.cache
 def _near_values(errors: int) -> np.ndarray:
     """All changes of at most ``errors`` bits of a block."""
     masks = [sum(1 << b for b in bits) for e in range(errors + 1) for bits in itertools.combinations(range(_WIDTH), e)]
@@ -127,7 +129,9 @@ class ItemIndex:
             for block in range(BLOCKS):
                 listed = _values(self.prints[of], block, LISTED)
                 order = np.argsort(listed, axis=None, kind="stable")
-                tables.append((listed.ravel()[order], np.repeat(of, listed.shape[1])[order]))
+                held = np.zeros(1 << _WIDTH, bool)
+                held[listed] = True
+                tables.append((held, listed.ravel()[order], np.repeat(of, listed.shape[1])[order]))
             self.tables[int(length)] = tables
 
     def known(self, shingles: np.ndarray) -> np.ndarray:
@@ -141,17 +145,18 @@ class ItemIndex:
     def within_radius(self, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(query, item, distance)`` of all fingerprints of items of ``length`` words within the radius."""
         pairs = []
-        for block, (listed, owner) in enumerate(self.tables[length]):
+        for block, (held, listed, owner) in enumerate(self.tables[length]):
             value = _values(prints, block, PROBED)
-            lo = np.searchsorted(listed, value.ravel())
-            n = np.searchsorted(listed, value.ravel(), side="right") - lo
-            query = np.repeat(np.repeat(np.arange(len(prints)), value.shape[1]), n)
+            query, probe = np.nonzero(held[value])
+            value = value[query, probe]
+            lo = np.searchsorted(listed, value)
+            n = np.searchsorted(listed, value, side="right") - lo
             item = owner[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-            distance = np.bitwise_count(prints[query] ^ self.prints[item])
-            near = distance <= RADIUS
-            pairs.append(np.stack([query[near], item[near], distance[near].astype(np.int64)]))
-        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        return found[0], found[1], found[2]
+            pairs.append(np.repeat(query, n) * len(self.prints) + item)
+        query, item = np.divmod(np.unique(np.concatenate(pairs)), max(len(self.prints), 1))
+        distance = np.bitwise_count(prints[query] ^ self.prints[item]).astype(np.int64)
+        near = distance <= RADIUS
+        return query[near], item[near], distance[near]
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of the window's shingles and the item's, as multisets."""
@@ -192,10 +197,10 @@ def _found(index: ItemIndex, raw: np.ndarray, offsets: np.ndarray):
 
 def _judge(index: ItemIndex, grams: np.ndarray, n: int, words: arrays.Words, start: np.ndarray, length: int, best: dict) -> None:
     """Adds the items found in windows of one size to ``best``: the nearest fingerprint, then the first place."""
-    covered = np.zeros(len(grams) + 1, np.int32)
-    np.add.at(covered, start, 1)
-    np.add.at(covered, start + n, -1)
-    covered = np.flatnonzero(np.cumsum(covered[:-1]))
+    change = np.zeros(start[-1] - start[0] + n + 1, np.int32)
+    change[start - start[0]] += 1
+    change[start - start[0] + n] -= 1
+    covered = np.flatnonzero(np.cumsum(change)) + start[0]
     at = np.searchsorted(covered, start)
     query, item, distance = index.within_radius(simhash(grams[covered], at, at + n), length)
     order = np.lexsort((start[query], distance))
