@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import itertools
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -63,21 +64,55 @@ def quality_summary(df: DataFrame, status_cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*status_cols).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def violations(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per declared constraint with its number of offending rows.
+def quality_measures(statuses: Mapping[str, Sequence[str]]) -> dict[str, Column]:
+    """Aggregates that count the rows of each combination of status words, to be observed while rows are written.
 
-    Constraints come from the schema: ``nullable=False`` and, for text, the
-    ``max_length`` entry of the field metadata. All are counted in one pass.
+    ``statuses`` gives the words each status column may hold; any other value, or none, counts as its own word ``None``.
     """
+    return {f"q{i}": F.count_if(test) for i, (_, test) in enumerate(_combinations(statuses))}
+
+
+def quality_rows(statuses: Mapping[str, Sequence[str]], measured: Mapping) -> list[list]:
+    """The combinations that occurred, each with its number of rows, as :func:`quality_summary` gives them."""
+    counted = [[*words, measured[f"q{i}"]] for i, (words, _) in enumerate(_combinations(statuses))]
+    return [row for row in counted if row[-1]]
+
+
+def _combinations(statuses: Mapping[str, Sequence[str]]):
+    for words in itertools.product(*[[*words, None] for words in statuses.values()]):
+        tests = []
+        for (col, known), word in zip(statuses.items(), words):
+            other = F.coalesce(~F.col(col).isin(*known), F.lit(True))
+            tests.append(other if word is None else F.col(col) == word)
+        yield list(words), reduce(and_, tests)
+
+
+def _constraints(schema: T.StructType) -> list[tuple[str, str, Column]]:
+    """(column, rule, test of an offending row) of each declared constraint."""
     checks: list[tuple[str, str, Column]] = []
     for f in schema.fields:
         if not f.nullable:
             checks.append((f.name, "not_null", F.col(f.name).isNull()))
         if "max_length" in f.metadata:
             checks.append((f.name, "max_length", F.length(f.name) > f.metadata["max_length"]))
+    return checks
+
+
+def violation_measures(schema: T.StructType) -> dict[str, Column]:
+    """Aggregates that count the offending rows of each constraint, to be observed while rows are written."""
+    return {f"v{i}": F.count_if(test) for i, (_, _, test) in enumerate(_constraints(schema))}
+
+
+def violations(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per declared constraint with its number of offending rows.
+
+    Constraints come from the schema: ``nullable=False`` and, for text, the
+    ``max_length`` entry of the field metadata. All are counted in one pass.
+    """
+    checks = _constraints(schema)
     if not checks:
         return df.sparkSession.createDataFrame([], "column_name string, rule string, violations long")
-    counted = df.agg(*[F.count_if(test).alias(f"v{i}") for i, (_, _, test) in enumerate(checks)])
+    counted = df.agg(*[c.alias(name) for name, c in violation_measures(schema).items()])
     entries = [
         F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule"), F.col(f"v{i}").alias("violations"))
         for i, (c, r, _) in enumerate(checks)
@@ -85,11 +120,16 @@ def violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     return counted.select(F.inline(F.array(*entries)))
 
 
-def assert_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` cast and ordered to ``schema``; raises if a constraint is broken."""
-    broken = violations(df, schema).where("violations > 0").collect()  # at most two rows per column
+def assert_schema(df: DataFrame, schema: T.StructType, measured: Mapping | None = None) -> DataFrame:
+    """``df`` cast and ordered to ``schema``; raises if a constraint is broken.
+
+    ``measured`` is what :func:`violation_measures` counted where that was done on the way.
+    """
+    if measured is None:
+        measured = df.agg(*[c.alias(name) for name, c in violation_measures(schema).items()], F.lit(0).alias("_")).first().asDict()
+    broken = [(c, measured[f"v{i}"], r) for i, (c, r, _) in enumerate(_constraints(schema)) if measured[f"v{i}"]]
     if broken:
-        raise ValueError("; ".join(f"{r.column_name}: {r.violations} rows break {r.rule}" for r in broken))
+        raise ValueError("; ".join(f"{c}: {n} rows break {r}" for c, n, r in broken))
     return conform(df, schema)
 
 

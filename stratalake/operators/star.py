@@ -18,12 +18,16 @@ HOT_PER_PARTITION = 4
 
 @dataclass(frozen=True)
 class DimRef:
-    """A dimension to resolve: its frame, its natural key and its surrogate key."""
+    """A dimension to resolve: its frame, its natural key and its surrogate key.
+
+    With ``rows`` given nothing is counted: a quarter of ``BROADCAST_ROWS`` with keys of up to a thousand bytes fits.
+    """
 
     dim: DataFrame
     natural_key: str
     key_col: str
     fact_col: str | None = None  # the fact's column, if named otherwise
+    rows: int | None = None  # the size, if it is known and the natural keys are short
 
 
 def load_dimension(
@@ -80,7 +84,7 @@ def resolve_keys(
     for ref in dims:
         fact_col = ref.fact_col or ref.natural_key
         pairs = ref.dim.select(F.col(ref.natural_key).alias(fact_col), ref.key_col)
-        if fits_broadcast(pairs, broadcast_rows):
+        if ref.rows <= broadcast_rows // 4 if ref.rows is not None else fits_broadcast(pairs, broadcast_rows):
             rows = rows.join(F.broadcast(pairs), fact_col, "left")
         else:
             rows = _lookup_large(rows, pairs, fact_col, ref.key_col, hot_keys(given, fact_col, hot_share))

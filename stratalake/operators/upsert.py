@@ -7,6 +7,7 @@ store hands it the part of the table that the source's keys fall into.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stratalake.operators.sizing import BROADCAST_ROWS, fits_broadcast
-from stratalake.sources.staging import stage
+from stratalake.sources.staging import stage, stage_observed
 
 # A delta is small if the target is this many times larger.
 SMALL_FACTOR = 10
@@ -47,6 +48,7 @@ def upsert(
     unique_rows: int | None = None,
     broadcast_keys: int = BROADCAST_ROWS,
     factor: int = SMALL_FACTOR,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Target rows with matches updated and the other source rows added.
 
@@ -54,10 +56,9 @@ def upsert(
     fills (default for both: all the source has). Elsewhere a match keeps the
     target's value and a new row has NULL. No row is deleted. ``unique_rows`` is
     the row count of a source already known to hold each key once; without it
-    that is checked here.
+    that is checked here. ``target_rows`` is the target's size where it is known; it is counted otherwise.
 
-    A small delta (at most ``broadcast_keys`` rows and ``1/factor`` of the target;
-    both are counted first) is broadcast as bare keys: the
+    A small delta (at most ``broadcast_keys`` rows and ``1/factor`` of the target) is broadcast as bare keys: the
     target streams through an anti join and is not shuffled. A larger one is
     merged by one full outer join, which shuffles each side once.
     """
@@ -70,7 +71,7 @@ def upsert(
     overwrite = set(given if update is None else update)
     fill = set(given if insert is None else insert)
     rows = check_source(source, keys) if unique_rows is None else unique_rows
-    target_rows = target.count()
+    target_rows = target.count() if target_rows is None else target_rows
     if target_rows == 0:  # first load: nothing to match
         return source.select(*[_typed(target, c, F.col(c) if c in fill or c in keys else F.lit(None)) for c in target.columns])
     if _is_small(source, keys, rows, target_rows, broadcast_keys, factor):
@@ -140,6 +141,9 @@ def assign_keys(
     nk = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     if buckets is None:
         buckets = key_buckets(rows.count())
+    if buckets == 1:
+        number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*nk))
+        return rows.withColumn(key_col, (number + F.lit(start_after)).cast(T.LongType()))
     placed = rows.withColumn("__b", F.pmod(F.xxhash64(*nk), F.lit(buckets)).cast("int"))
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -156,8 +160,8 @@ def assign_keys(
 
 
 def key_buckets(rows: int) -> int:
-    """How many buckets so many rows are numbered in."""
-    return min(max(16, rows // BUCKET_ROWS), MOST_BUCKETS)
+    """How many buckets so many rows are numbered in: one if a task can sort them, else at least 16."""
+    return 1 if rows <= BUCKET_ROWS // 2 else min(max(16, rows // BUCKET_ROWS), MOST_BUCKETS)
 
 
 def max_key(target: DataFrame, key_col: str) -> int | None:
@@ -165,6 +169,54 @@ def max_key(target: DataFrame, key_col: str) -> int | None:
     return target.agg(F.max(key_col)).first()[0]
 
 
+@dataclass(frozen=True)
+class Merged:
+    """The rows of a merge, how many of them got a new key, and its ``changes``: old and new image per merged row."""
+
+    rows: DataFrame
+    new: int
+    changes: DataFrame
+
+
+def keyed_upsert(
+    target: DataFrame, source: DataFrame, natural_key: str, key_col: str, target_rows: int, source_rows: int, top: int = 0
+) -> Merged:
+    """Upsert of rows that hold each natural key once, with surrogate keys.
+
+    One full outer join gives the keys in use, the merged rows and what was there before; it is staged, and only its new rows are
+    numbered, from ``top + 1``. Columns that the source lacks keep their value. ``target`` may be a part of a table as long as it has all rows of the
+    source's keys. ``source_rows`` may be an upper bound. The images of the changes have all columns but the surrogate key.
+    """
+    plain = [c for c in target.columns if c != key_col]
+    if target_rows == 0:
+        numbered = assign_keys(source, natural_key, key_col, top, key_buckets(source_rows))
+        numbered, found = stage_observed(conform_to(numbered, target), f"first-{key_col}", rows=F.count(F.lit(1)))
+        image = F.struct(*plain)
+        return Merged(numbered, found["rows"], numbered.select(natural_key, F.when(F.lit(False), image).alias("old"), image.alias("new")))
+    given = [c for c in source.columns if c != natural_key]
+    new = source.select(natural_key, *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__new"))
+    held = target.withColumn("__old", F.struct(*plain))
+    both = held.join(new, natural_key, "full")
+
+    def value(c: str) -> Column:
+        merged = F.when(F.col("__new"), F.col(f"__s_{c}")).otherwise(F.col(c)) if c in given else F.col(c)
+        return merged.cast(target.schema[c].dataType).alias(c)
+
+    merged = both.select(*map(value, target.columns), "__old", F.coalesce("__new", F.lit(False)).alias("__new"))
+    merged, found = stage_observed(merged, f"keys-{key_col}", new=F.count_if(F.col(key_col).isNull()))
+    changes = merged.where("__new").select(natural_key, F.col("__old").alias("old"), F.struct(*plain).alias("new"))
+    rows = merged.select(*target.columns)
+    if found["new"]:
+        fresh = assign_keys(rows.where(F.col(key_col).isNull()).drop(key_col), natural_key, key_col, top, key_buckets(found["new"]))
+        rows = rows.where(F.col(key_col).isNotNull()).unionByName(fresh)
+    return Merged(rows, found["new"], changes)
+
+
+def conform_to(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's columns and types; those the rows lack are NULL."""
+    return rows.select(*[_typed(target, c, F.col(c) if c in rows.columns else F.lit(None)) for c in target.columns])
+
+
 def with_surrogate_keys(
     source: DataFrame,
     target: DataFrame,

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 
 def _per_key(fact: DataFrame, key: str, counted: str, amount: str | None) -> DataFrame:
-    aggs = [F.count(counted).alias("__n")]
+    """``key`` and its sums: ``visits`` and, with ``amount``, ``revenue`` and ``amounts``."""
+    aggs = [F.count(counted).alias("visits")]
     if amount is not None:
-        aggs += [F.sum(amount).alias("__sum"), F.count(amount).alias("__amounts")]
+        aggs += [F.sum(amount).alias("revenue"), F.count(amount).alias("amounts")]
     return fact.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
@@ -34,23 +35,34 @@ def group_kpi(
 
     Rows without a match in the dimension are left out. NULL amounts add nothing.
     """
-    sums = _per_key(fact, key, counted, amount).join(dim.select(key, by), key)
-    aggs = [F.sum("__n").alias("total_visits")]
-    if amount is not None:
-        aggs.append(F.sum("__sum").alias("total_revenue"))
-    out = sums.groupBy(by).agg(*aggs)
+    return group_sums(_per_key(fact, key, counted, amount), dim, key, by, amount is not None, sort)
+
+
+def group_sums(sums: DataFrame, dim: DataFrame, key: str, by: str, revenue: bool, sort: Sequence[str] = ()) -> DataFrame:
+    """:func:`group_kpi` from sums per ``key``: ``visits`` and, if asked for, ``revenue`` (NULL where no row has an amount)."""
+    named = sums.join(dim.select(key, by), key)
+    aggs = [F.sum("visits").alias("total_visits")]
+    if revenue:
+        # sums that were kept up to date are zero, not NULL, where the last amount was taken off
+        aggs.append(F.sum(F.when(F.col("amounts") > 0, F.col("revenue"))).alias("total_revenue"))
+    out = named.groupBy(by).agg(*aggs)
     return out.orderBy(*[F.col(c).desc_nulls_first() for c in sort], F.col(by)) if sort else out
 
 
+# Fixed value: an average of amounts has six digits more than the amounts.
+AVERAGE_DIGITS = 8
+
+
 def average_kpi(fact: DataFrame, dim: DataFrame, key: str, by: str, amount: str) -> DataFrame:
-    """``by`` and avg_revenue_per_visit, the sum over the number of non-NULL amounts.
+    """``by`` and avg_revenue_per_visit, the sum over the number of non-NULL amounts, as a decimal rounded half up.
 
     Joined on the surrogate key: joining the dimension's text id to it, as the
     original report does, cannot match.
     """
     sums = _per_key(fact, key, amount, amount).join(dim.select(key, by), key)
-    out = sums.groupBy(by).agg(F.sum("__sum").alias("__s"), F.sum("__amounts").alias("__c"))
-    mean = F.when(F.col("__c") > 0, F.col("__s").cast("double") / F.col("__c"))
+    out = sums.groupBy(by).agg(F.sum("revenue").alias("__s"), F.sum("amounts").alias("__c"))
+    exact = F.col("__s").cast("decimal(24,2)") / F.col("__c").cast("decimal(13,0)")
+    mean = F.when(F.col("__c") > 0, F.round(exact, AVERAGE_DIGITS).cast(f"decimal(30,{AVERAGE_DIGITS})"))
     return out.select(by, mean.alias("avg_revenue_per_visit"))
 
 

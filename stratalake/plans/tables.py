@@ -152,6 +152,8 @@ DEFINITIONS = {
         _money("total_charges", 12),
         *_LINEAGE,
     ],
+    # visits whose patient or doctor was not known when they were loaded
+    (CLEAN, "pending_keys"): [_text("visit_id", 50, nullable=False), _text("patient_id", 50), _text("doctor_id", 50)],
 }
 
 # Unnamed columns after the named ones in the delivered files.

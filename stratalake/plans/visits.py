@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -12,16 +13,21 @@ from pyspark.sql import types as T
 
 from stratalake.functions.rules import BAD, INVALID, VALID, VALIDATED, RowCheck, negative_status, validate_struct
 from stratalake.functions.rules import register_validation, text_status
+from stratalake.functions.text import present
 from stratalake.functions.values import amount, parse_amounts, std_date
-from stratalake.operators.incremental import EPOCH, dedup_latest, incremental_filter, utc_day, watermark
-from stratalake.operators.quality import Rule, assert_schema, conform, missing_id_rule, require, split_bad
-from stratalake.operators.star import DimRef, dimension_rows, fact_rows
+from stratalake.operators.changes import adjust, differing, net_changes
+from stratalake.operators.incremental import EPOCH, dedup_latest, incremental_filter, utc_day
+from stratalake.operators.quality import Rule, assert_schema, conform, missing_id_rule, quality_measures, require, split_bad
+from stratalake.operators.quality import quality_rows, violation_measures
+from stratalake.operators.sizing import BROADCAST_ROWS
+from stratalake.operators.star import DimRef, resolve_keys
+from stratalake.operators.upsert import keyed_upsert
 from stratalake.plans import kpi
 from stratalake.plans.tables import CLEAN, CSV_PADDING, DEFINITIONS, RAW, VALIDATED as VALIDATED_LAYER
 from stratalake.plans.tables import file_columns, schema_of
 from stratalake.sources.csv_layer import physical_schema
 from stratalake.sources.ledger import REJECT_SCHEMA, FileLoader, file_in, glob_for
-from stratalake.sources.staging import stage, stage_scope
+from stratalake.sources.staging import stage, stage_observed, stage_scope
 from stratalake.sources.store import TableStore
 
 # The visit checks, their labels, and the alert limit.
@@ -54,9 +60,22 @@ MERGE_KEYS = {
     "dim_patient": "patient_id",
     "dim_doctor": "doctor_id",
     "fact_patient_visits": "visit_id",
+    "pending_keys": "visit_id",
+}
+# The status columns of the validated tables, and the words they may hold.
+_RECORD, _BILLING = {"record_status": (VALID, INVALID, VALIDATED)}, {"billing_status": (VALID, INVALID)}
+STATUSES = {
+    "validated_patient_visits": {**_BILLING, **_RECORD},
+    "validated_dim_patient": _RECORD,
+    "validated_dim_doctor": _RECORD,
+    "validated_billing": {**_BILLING, **_RECORD},
+    "validated_diagnosis": _RECORD,
 }
 # Lines of any file that could not be loaded.
 REJECTS = "rejected_lines"
+# The dimensions of the fact: table, natural key, surrogate key.
+DIMENSIONS = (("dim_patient", "patient_id", "patient_key"), ("dim_doctor", "doctor_id", "doctor_key"))
+FACT, PENDING, CHANGES = "fact_patient_visits", "pending_keys", "fact_changes"
 # Layout only: raw tables are split by load day, so that the watermark skips whole directories.
 LOAD_DAY = "load_date"
 
@@ -72,6 +91,25 @@ class Feed:
     columns: Mapping[str, Column]
 
 
+def _kept() -> dict[str, tuple[str, dict[str, Column]]]:
+    """Reports kept up to date: what they are grouped by, and the sums over the fact's rows of a group."""
+    charges = F.col("total_charges")
+    return {
+        "visits_by_doctor": ("doctor_key", {"visits": F.lit(1), "revenue": charges, "amounts": charges.isNotNull().cast("long")}),
+        "visits_by_patient": ("patient_key", {"visits": F.lit(1)}),
+        "visits_by_day": ("visit_date", {"visits": F.lit(1)}),
+    }
+
+
+def _time(micros: int) -> Column:
+    return F.timestamp_micros(F.lit(micros))
+
+
+def _unresolved() -> Column:
+    """Whether a row names a patient or doctor whose key is not known."""
+    return F.coalesce(*[F.when(F.col(key).isNull() & present(natural), True) for _, natural, key in DIMENSIONS], F.lit(False))
+
+
 def _trimmed(*cols: str) -> dict[str, Column]:
     return {c: F.trim(F.col(c)) for c in cols}
 
@@ -138,12 +176,16 @@ class VisitWarehouse:
 
     ``watermark_policy``: ``merge_time`` compares raw load times with the time
     of the last merge; ``source_time`` with the newest raw load time a merge has
-    taken in, so rows stamped before the last merge but after that time are still picked up.
+    taken in, so rows stamped before the last merge but after that time are still picked up;
+    ``by_load`` takes in the raw loads that the target has not taken in yet, each once, whatever their rows' times.
     ``quarantine_policy``: ``incremental`` skips rows already quarantined,
     ``append`` writes all bad raw rows on every run.
     ``clock`` gives one time per load step. The merged tables are split into
     ``parts`` folders by natural key, and a merge rewrites only those its rows fall
-    into: choose so many that a folder is a few GB at most.
+    into: choose so many that a folder is a few GB at most. With ``keep_reports`` each merge into the fact notes what it
+    changed, and :meth:`refresh_reports` brings the sums behind the reports up to date from that alone.
+
+    Every step is done as a whole or not at all, with the note of what it took in; a load that died is done again.
     """
 
     def __init__(
@@ -154,9 +196,10 @@ class VisitWarehouse:
         quarantine_policy: str = "incremental",
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
         parts: int = 8,
+        keep_reports: bool = False,
     ):
-        if watermark_policy not in ("merge_time", "source_time"):
-            raise ValueError("watermark_policy is 'merge_time' or 'source_time'")
+        if watermark_policy not in ("merge_time", "source_time", "by_load"):
+            raise ValueError("watermark_policy is 'merge_time', 'source_time' or 'by_load'")
         if quarantine_policy not in ("incremental", "append"):
             raise ValueError("quarantine_policy is 'incremental' or 'append'")
         self.spark = spark
@@ -165,36 +208,55 @@ class VisitWarehouse:
         self.quarantine_policy = quarantine_policy
         self.clock = clock
         self.parts = parts
+        self.keep_reports = keep_reports
 
     # -- tables ----------------------------------------------------------
 
     def create_tables(self, only: Collection[str] | None = None) -> None:
         """Create or replace every table, or the named ones, empty; files load again into a new raw table."""
-        made = [f"{layer}.{table}" for layer, table in DEFINITIONS if layer == RAW and (only is None or table in only)]
-        if made:
-            FileLoader(self.store).forget(made)
-        if not self.store.exists(RAW, REJECTS):
-            self.store.create(RAW, REJECTS, REJECT_SCHEMA)
         for layer, table in DEFINITIONS:
-            if only is not None and table not in only:
-                continue
-            schema = schema_of(layer, table)
-            if layer == RAW:
-                schema = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
-                self.store.create(layer, table, schema, [LOAD_DAY])
-            elif table in MERGE_KEYS:
-                self.store.create(layer, table, schema, parts=self.parts, part_keys=[MERGE_KEYS[table]])
-            else:
-                self.store.create(layer, table, schema)
+            if only is None or table in only:
+                self._create(layer, table)
+        if self.keep_reports and only is None:
+            self._create_reports()
+
+    def _create(self, layer: str, table: str) -> None:
+        schema = schema_of(layer, table)
+        if layer == RAW:
+            schema = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.DateType())])
+            self.store.create(layer, table, schema, [LOAD_DAY])
+        elif table in MERGE_KEYS:
+            self.store.create(layer, table, schema, parts=self.parts, part_keys=[MERGE_KEYS[table]])
+        else:
+            self.store.create(layer, table, schema)
+
+    def _create_reports(self) -> None:
+        """The changes of the fact, and for each kept report its sums."""
+        fact = schema_of(CLEAN, FACT)
+        image = T.StructType([f for f in fact.fields if f.name != "visit_key"])
+        self.store.create(CLEAN, CHANGES, T.StructType().add("visit_id", "string").add("old", image).add("new", image))
+        blank = self.spark.createDataFrame([], fact)
+        for name, (by, sums) in _kept().items():
+            self.store.create(CLEAN, name, blank.groupBy(by).agg(*[F.sum(c).alias(s) for s, c in sums.items()]).schema)
 
     def table(self, layer: str, name: str) -> DataFrame:
         """Current content, without layout columns."""
+        if (layer, name) == (RAW, REJECTS):
+            return self._rejected()
         df = self.store.read(layer, name)
         return df.drop(LOAD_DAY) if layer == RAW else df
 
+    def _rejected(self) -> DataFrame:
+        """Lines that could not be loaded, of all raw tables."""
+        loader = FileLoader(self.store)
+        out = self.spark.createDataFrame([], T.StructType([*REJECT_SCHEMA.fields, T.StructField("target", T.StringType())]))
+        for layer, table in DEFINITIONS:
+            if layer == RAW and self.store.exists(RAW, table):
+                out = out.unionByName(loader.rejected(RAW, table).withColumn("target", F.lit(f"{RAW}.{table}")))
+        return out
+
     def truncate_raw(self, table: str = "raw_patient_visits") -> None:
         """Empty a raw table, so that its files load again. Never part of a load: rows not yet merged would be lost."""
-        FileLoader(self.store).forget([f"{RAW}.{table}"])
         self.store.truncate(RAW, table)
 
     def register_sql(self) -> None:
@@ -203,17 +265,18 @@ class VisitWarehouse:
             self.table(layer, name).createOrReplaceTempView(f"{layer}_{name}")
         register_validation(self.spark, "validate_visit", VISIT_CHECK)
 
-    def _now(self) -> Column:
-        return F.timestamp_micros(F.lit(round(self.clock().timestamp() * 1_000_000)))
+    def _now(self) -> int:
+        """Microseconds."""
+        return round(self.clock().timestamp() * 1_000_000)
 
     # -- files to raw ----------------------------------------------------
 
     def load_files(self, table: str, path: str, force: bool = False, **csv_options) -> int:
         """Load CSV files into a raw table, each once unless forced; returns the number loaded.
 
-        Lines that cannot be loaded are kept in the raw table ``rejected_lines``.
+        Lines that cannot be loaded are kept: the table ``rejected_lines`` of the raw layer shows them.
         """
-        now = self._now()
+        now = _time(self._now())
         columns: dict[str, Column | None] = dict.fromkeys(file_columns(table))
         if table == "raw_billing":
             columns["bill_amount"] = amount("bill_amount")
@@ -221,8 +284,7 @@ class VisitWarehouse:
         schema = physical_schema(file_columns(table), CSV_PADDING[table])
         limits = {f.name: f.metadata["max_length"] for f in schema_of(RAW, table).fields if "max_length" in f.metadata}
         limits = {c: n for c, n in limits.items() if c in file_columns(table)}
-        options = {"limits": limits, "rejects": REJECTS, **csv_options}
-        return FileLoader(self.store).load(RAW, table, path, schema, columns, now, force, **options)
+        return FileLoader(self.store).load(RAW, table, path, schema, columns, now, force, limits=limits, **csv_options)
 
     def load_directory(self, directory: str) -> dict[str, int]:
         """Load the five delivered files; a name without an ending stands for all files that start with it."""
@@ -235,15 +297,22 @@ class VisitWarehouse:
     # -- raw to validated ------------------------------------------------
 
     def _bound(self, target: str) -> Column:
-        if self.watermark_policy == "source_time":
-            seen = self.store.source_watermark(VALIDATED_LAYER, target)
-            return F.timestamp_micros(F.lit(seen)) if seen is not None else F.lit(EPOCH).cast("timestamp")
-        return watermark(self.store.read(VALIDATED_LAYER, target))
-
-    def _new_raw(self, source: str, target: str) -> DataFrame:
-        return incremental_filter(
-            self.store.read(RAW, source), "load_timestamp", self._bound(target), LOAD_DAY
-        )
+        """The raw load time up to which the target has taken rows in."""
+        marks = self.store.marks(VALIDATED_LAYER, target)
+        seen = marks.get("newest" if self.watermark_policy == "source_time" else "merged_at")
+        return F.lit(EPOCH).cast("timestamp") if seen is None else _time(seen)
+
+    def _new_loads(self, source: str, target: str) -> list[str]:
+        """The raw loads that the target has not taken in: those of the one less those of the other."""
+        taken = set(self.store.marks(VALIDATED_LAYER, target).get("taken", ()))
+        return [load for load in self.store.loads(RAW, source) if load not in taken]
+
+    def _new_raw(self, source: str, target: str) -> tuple[DataFrame, dict]:
+        """The raw rows to take in, and the marks that say so."""
+        if self.watermark_policy == "by_load":
+            rows = self.store.read(RAW, source, loads=set(self._new_loads(source, target)))
+            return rows, {"taken": self.store.loads(RAW, source)}
+        return incremental_filter(self.store.read(RAW, source), "load_timestamp", self._bound(target), LOAD_DAY), {}
 
     def _checked(self, raw: DataFrame) -> DataFrame:
         """Raw visits with their amounts read and the validation struct ``__v``, written once for all that reads it."""
@@ -257,10 +326,10 @@ class VisitWarehouse:
         """
         with stage_scope(self.spark):
             feed = _feeds()[feed_name]
-            fresh = self._new_raw(feed.source, feed.target)
-            return self._validate(feed, self._checked(fresh) if feed_name == "visits" else fresh, self._now())
+            fresh, marks = self._new_raw(feed.source, feed.target)
+            return self._validate(feed, self._checked(fresh) if feed_name == "visits" else fresh, self._now(), marks)
 
-    def _validate(self, feed: Feed, fresh: DataFrame, now: Column) -> DataFrame:
+    def _validate(self, feed: Feed, fresh: DataFrame, now: int, marks: Mapping) -> DataFrame:
         rows = require(fresh, feed.required)
         if "__v" in fresh.columns:
             rows = rows.where(F.col("__v.status") != BAD)
@@ -269,24 +338,43 @@ class VisitWarehouse:
             F.col("file_name").alias("source_file_name"),
             F.col("load_timestamp").alias("__loaded"),
         )
-        delta = stage(dedup_latest(shaped, [feed.key], "__loaded"), feed.target)
-        rows, newest = delta.agg(F.count(F.lit(1)), F.unix_micros(F.max("__loaded"))).first()
-        if rows:
-            source = assert_schema(delta.withColumn("load_ts", now), schema_of(VALIDATED_LAYER, feed.target))
-            self.store.merge(VALIDATED_LAYER, feed.target, source, [feed.key], unique_rows=rows, source_watermark=newest, staged=True)
+        schema = schema_of(VALIDATED_LAYER, feed.target)
+        # all that has to be known of the rows is counted while they are written
+        delta, found = stage_observed(
+            dedup_latest(shaped, [feed.key], "__loaded"),
+            feed.target,
+            rows=F.count(F.lit(1)),
+            newest=F.unix_micros(F.max("__loaded")),
+            **violation_measures(schema),
+            **quality_measures(STATUSES[feed.target]),
+            **self.store.touching(VALIDATED_LAYER, feed.target),
+        )
+        if found["rows"]:
+            source = assert_schema(delta.withColumn("load_ts", _time(now)), schema, found)
+            quality = quality_rows(STATUSES[feed.target], found)
+            marks = {**marks, "newest": found["newest"], "merged_at": now, "quality": quality}
+            folders = self.store.touched(found)
+            self.store.merge(VALIDATED_LAYER, feed.target, source, [feed.key], unique_rows=found["rows"], staged=True, touched=folders, marks=marks)
+        elif marks:
+            self.store.mark(VALIDATED_LAYER, feed.target, marks)
         return self.store.read(VALIDATED_LAYER, feed.target)
 
+    def last_quality(self, target: str) -> DataFrame:
+        """Rows per status of the last merge into a validated table, as counted while they were written."""
+        names = list(STATUSES[target])
+        rows = self.store.marks(VALIDATED_LAYER, target).get("quality", [])
+        return self.spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{c} string" for c in names) + ", row_count long")
+
     def quarantine(self, rules: Sequence[Rule] | None = None) -> DataFrame:
         """Copy bad raw visits, ids as delivered, beside what could be read from them."""
         with stage_scope(self.spark):
-            return self._quarantine(self._checked(self._to_quarantine()), self._now(), rules)
-
-    def _to_quarantine(self) -> DataFrame:
-        if self.quarantine_policy == "incremental":
-            return self._new_raw("raw_patient_visits", "bad_patient_data")
-        return self.store.read(RAW, "raw_patient_visits")
+            if self.quarantine_policy == "incremental":
+                raw, marks = self._new_raw("raw_patient_visits", "bad_patient_data")
+            else:
+                raw, marks = self.store.read(RAW, "raw_patient_visits"), {}
+            return self._quarantine(self._checked(raw), self._now(), marks, rules)
 
-    def _quarantine(self, raw: DataFrame, now: Column, rules: Sequence[Rule] | None = None) -> DataFrame:
+    def _quarantine(self, raw: DataFrame, now: int, marks: Mapping, rules: Sequence[Rule] | None = None) -> DataFrame:
         target = "bad_patient_data"
         _, bad = split_bad(raw, rules or [missing_id_rule("patient_id")])
         v = F.col("__v")
@@ -302,28 +390,46 @@ class VisitWarehouse:
             "error_reason",
             F.lit(BAD).alias("record_status"),
             F.col("file_name").alias("source_file_name"),
-            now.alias("load_ts"),
+            _time(now).alias("load_ts"),
         )
-        newest = raw.agg(F.unix_micros(F.max("load_timestamp"))).first()[0]
-        self.store.append(VALIDATED_LAYER, target, conform(rows, schema_of(VALIDATED_LAYER, target)), newest)
+        if self.watermark_policy == "source_time":
+            marks = {**marks, "newest": raw.agg(F.unix_micros(F.max("load_timestamp"))).first()[0]}
+        rows = conform(rows, schema_of(VALIDATED_LAYER, target))
+        self.store.append(VALIDATED_LAYER, target, rows, marks=marks, measures={"merged_at": F.unix_micros(F.max("load_ts"))})
         return self.store.read(VALIDATED_LAYER, target)
 
     def _take_visits(self) -> None:
         """:meth:`quarantine` and :meth:`validate` of the visits, which are read and parsed once for both."""
-        feed = _feeds()["visits"]
+        feed, bad = _feeds()["visits"], "bad_patient_data"
+        if self.watermark_policy == "by_load":
+            if self.quarantine_policy == "append" or self._new_loads(feed.source, feed.target) != self._new_loads(feed.source, bad):
+                self.quarantine()
+                self.validate("visits")
+                return
+            with stage_scope(self.spark):
+                fresh, marks = self._new_raw(feed.source, feed.target)
+                both = self._checked(fresh)
+                self._quarantine(both, self._now(), marks)
+                self._validate(feed, both, self._now(), marks)
+            return
         with stage_scope(self.spark):
-            since_bad = self._bound("bad_patient_data") if self.quarantine_policy == "incremental" else F.lit(EPOCH).cast("timestamp")
+            since_bad = self._bound(bad) if self.quarantine_policy == "incremental" else F.lit(EPOCH).cast("timestamp")
             since_good = self._bound(feed.target)
             raw = self.store.read(RAW, feed.source)
             both = self._checked(incremental_filter(raw, "load_timestamp", F.least(since_bad, since_good), LOAD_DAY))
-            self._quarantine(incremental_filter(both, "load_timestamp", since_bad), self._now())
-            self._validate(feed, incremental_filter(both, "load_timestamp", since_good), self._now())
+            self._quarantine(incremental_filter(both, "load_timestamp", since_bad), self._now(), {})
+            self._validate(feed, incremental_filter(both, "load_timestamp", since_good), self._now(), {})
 
     # -- validated to star -----------------------------------------------
 
-    def _promotable(self, source: str, target: DataFrame, since_last: bool) -> DataFrame:
+    def _promotable(self, source: str, target: str, since_last: bool) -> DataFrame | None:
+        """The validated rows to merge into a table of the star; None if nothing is new."""
         rows = self.store.read(VALIDATED_LAYER, source)
-        return incremental_filter(rows, "load_ts", watermark(target)) if since_last else rows
+        seen = self.store.marks(CLEAN, target).get("merged_at")
+        if not since_last or seen is None:
+            return rows
+        newest = self.store.marks(VALIDATED_LAYER, source).get("merged_at")
+        return incremental_filter(rows, "load_ts", _time(seen)) if newest is not None and newest > seen else None
 
     def load_dim(
         self, dim: str, source: str, natural_key: str, key_col: str, attrs: Sequence[str], since_last: bool = False
@@ -333,20 +439,28 @@ class VisitWarehouse:
         The whole table is merged again on each run; ``since_last`` limits that
         to rows merged since the dimension's own last load.
         """
-        target = self.store.read(CLEAN, dim)
-        with stage_scope(self.spark):
-            rows, n = dimension_rows(
-                target,
-                self._promotable(source, target, since_last),
-                natural_key,
-                key_col,
-                attrs,
-                promote_if=F.col("record_status") == VALID,
-                load_ts=self._now(),
-                trusted=True,
-            )
-            self.store.merge(CLEAN, dim, rows, [natural_key], unique_rows=n)
-            return self.store.read(CLEAN, dim)
+        promoted = self._promotable(source, dim, since_last)
+        if promoted is not None:
+            now = self._now()
+            rows = promoted.where(F.col("record_status") == VALID).select(natural_key, *attrs, _time(now).alias("load_ts"))
+            self._merge_keyed(dim, rows, natural_key, key_col, source, {"merged_at": now}, None if since_last else self._every())
+        return self.store.read(CLEAN, dim)
+
+    def _every(self) -> range:
+        """All folders of a merged table."""
+        return range(self.parts)
+
+    def _merge_keyed(self, table, rows, natural_key, key_col, source, marks, touched, note=None, load=None) -> None:
+        """Merge rows into a table of the star, numbering the new ones; ``note`` gets what was changed."""
+        top = self.store.marks(CLEAN, table).get("top_key", 0)
+
+        def build(held: DataFrame, fresh: DataFrame, held_rows: int):
+            merged = keyed_upsert(held, fresh, natural_key, key_col, held_rows, self.store.rows(VALIDATED_LAYER, source), top)
+            if note is not None:
+                note(merged.changes)
+            return merged.rows, {"top_key": top + merged.new}
+
+        self.store.merge(CLEAN, table, rows, [natural_key], staged=True, touched=touched, build=build, load=load, marks=marks)
 
     def load_dims(self, since_last: bool = False) -> None:
         patient = ["full_name", "city", "source_file_name"]
@@ -358,38 +472,151 @@ class VisitWarehouse:
         """Validated visits with their dimension keys; rows flagged ``INVALID`` go in too.
 
         Pass a stricter ``promote_if`` to keep those out. ``since_last`` merges only
-        visits validated since the last load: cheaper, but an older visit whose
-        patient or doctor arrives later keeps its NULL key until a full run.
+        visits validated since the last load. Visits whose patient or doctor is not known yet are noted as
+        pending; :meth:`resolve_pending` gives them their keys when the dimension row has come.
         """
-        target = self.store.read(CLEAN, "fact_patient_visits")
+        promoted = self._promotable("validated_patient_visits", FACT, since_last)
+        if promoted is None:
+            return self.store.read(CLEAN, FACT)
+        now, load = self._now(), uuid.uuid4().hex
+        promoted = promoted.where(F.col("record_status") == VALIDATED if promote_if is None else promote_if)
+        promoted = promoted.select("visit_id", *[natural for _, natural, _ in DIMENSIONS], "visit_date", "total_charges", "source_file_name")
+        dims = [DimRef(self.store.read(CLEAN, d), natural, key, rows=self.store.rows(CLEAN, d)) for d, natural, key in DIMENSIONS]
         with stage_scope(self.spark):
-            rows, n = fact_rows(
-                target,
-                self._promotable("validated_patient_visits", target, since_last),
-                [
-                    DimRef(self.store.read(CLEAN, "dim_patient"), "patient_id", "patient_key"),
-                    DimRef(self.store.read(CLEAN, "dim_doctor"), "doctor_id", "doctor_key"),
-                ],
-                "visit_id",
-                "visit_key",
-                ["visit_date", "total_charges", "source_file_name"],
-                promote_if=F.col("record_status") == VALIDATED if promote_if is None else promote_if,
-                load_ts=self._now(),
-                trusted=True,
+            resolved, found = stage_observed(
+                resolve_keys(promoted, dims), "resolved", pending=F.count_if(_unresolved()), **self.store.touching(CLEAN, FACT)
             )
-            self.store.merge(CLEAN, "fact_patient_visits", rows, ["visit_id"], unique_rows=n)
-            return self.store.read(CLEAN, "fact_patient_visits")
-
-    def run(self, directory: str) -> None:
-        """Everything from the delivered files to the star schema, in order."""
+            self._note_pending(resolved, found["pending"], since_last)
+            rows = resolved.select("visit_id", *[key for *_, key in DIMENSIONS], "visit_date", "total_charges", "source_file_name", _time(now).alias("load_ts"))
+            self._merge_keyed(
+                FACT, rows, "visit_id", "visit_key", "validated_patient_visits", {"merged_at": now}, self.store.touched(found), self._noting(load), load
+            )
+        return self.store.read(CLEAN, FACT)
+
+    # -- keys that come later ---------------------------------------------
+
+    def _note_pending(self, resolved: DataFrame, pending: int, since_last: bool) -> None:
+        """Replace the pending rows of these visits; before the fact itself, so that none is ever missing."""
+        if not self.store.exists(CLEAN, PENDING):
+            self._create(CLEAN, PENDING)
+        held = self.store.rows(CLEAN, PENDING)
+        if not pending and not held:
+            return
+        rows = resolved.where(_unresolved()).select("visit_id", *[natural for _, natural, _ in DIMENSIONS])
+        if since_last and held:
+            before = self.store.read(CLEAN, PENDING)
+            rows = rows.unionByName(before.join(resolved.select("visit_id"), "visit_id", "left_anti"))
+        self.store.publish(CLEAN, PENDING, rows)
+
+    def resolve_pending(self) -> int:
+        """Give visits their keys whose patient or doctor has come since; returns how many visits changed.
+
+        Only dimension rows that are newer than the last time are joined, with the pending rows alone, and only the
+        folders of the visits found are written.
+        """
+        if not self.store.exists(CLEAN, PENDING):
+            return 0
+        tops = {key: self.store.marks(CLEAN, dim).get("top_key", 0) for dim, _, key in DIMENSIONS}
+        seen = self.store.marks(CLEAN, PENDING)
+        if not self.store.rows(CLEAN, PENDING) or all(tops[k] <= seen.get(k, 0) for k in tops):
+            return 0
+        now, load = self._now(), uuid.uuid4().hex
+        with stage_scope(self.spark):
+            pending = self.store.read(CLEAN, PENDING)
+            hits = pending
+            for dim, natural, key in DIMENSIONS:
+                newer = self.store.read(CLEAN, dim).where(F.col(key) > seen.get(key, 0)).select(natural, F.col(key).alias(f"new_{key}"))
+                small = tops[key] - seen.get(key, 0) <= BROADCAST_ROWS // 4  # keys are dense, and names of 50 characters at most
+                hits = hits.join(F.broadcast(newer) if small else newer, natural, "left")
+            any_found = F.coalesce(*[F.col(f"new_{key}") for *_, key in DIMENSIONS]).isNotNull()
+            hits, found = stage_observed(hits.where(any_found), "late-keys", rows=F.count(F.lit(1)))
+            if found["rows"]:
+                self._set_keys(hits, now, load)
+            # a row leaves when both of its keys are known, now or from before
+            fact = self.store.matching(CLEAN, FACT, pending, ["visit_id"]).select("visit_id", *tops)
+            left = pending.join(fact, "visit_id").where(_unresolved()).select(*pending.columns)
+            self.store.publish(CLEAN, PENDING, left, marks=tops)
+        return found["rows"]
+
+    def _set_keys(self, hits: DataFrame, now: int, load: str) -> None:
+        """Set the keys found on the rows of the fact that lack them."""
+        held = self.store.matching(CLEAN, FACT, hits, ["visit_id"])
+        both = held.join(hits.select("visit_id", *[f"new_{key}" for *_, key in DIMENSIONS]), "visit_id")
+        keys = {key: F.coalesce(F.col(key), F.col(f"new_{key}")) for *_, key in DIMENSIONS}
+        changed = stage(both.withColumns({**{f"old_{c}": F.col(c) for c in keys}, **keys, "load_ts": _time(now)}), "with-keys")
+        old = [F.col(f"old_{c}").alias(c) if c in keys else F.col(c) for c in held.columns if c != "visit_key"]
+        new = [F.col(c) for c in held.columns if c != "visit_key"]
+        if (note := self._noting(load)) is not None:
+            note(changed.select("visit_id", F.struct(*old).alias("old"), F.struct(*new).alias("new")))
+        self.store.merge(CLEAN, FACT, changed.select(*held.columns), ["visit_id"], staged=True, load=load)
+
+    def run(self, directory: str, since_last: bool = False) -> None:
+        """Everything from the delivered files to the star schema, in order.
+
+        With ``since_last`` the star takes only what was validated since its last load; keys that were missing then are set as their
+        dimension rows come.
+        """
         self.load_directory(directory)
         for feed in ("patients", "doctors"):
             self.validate(feed)
         self._take_visits()
         for feed in ("billing", "diagnoses"):
             self.validate(feed)
-        self.load_dims()
-        self.load_visits_fact()
+        self.load_dims(since_last)
+        if since_last:
+            self.resolve_pending()
+        self.load_visits_fact(since_last=since_last)
+        if self.keep_reports:
+            self.refresh_reports()
+
+    # -- reports kept up to date ------------------------------------------
+
+    def _noting(self, load: str) -> Callable[[DataFrame], None] | None:
+        """Notes the changes of a merge under its name, before the merge itself: without it they are never read."""
+        if not self.keep_reports:
+            return None
+        if not self.store.exists(CLEAN, CHANGES):
+            self._create_reports()
+        columns = [f.name for f in self.store.read(CLEAN, CHANGES).schema["new"].dataType.fields]
+
+        def note(changes: DataFrame) -> None:
+            images = [F.when(F.col(i).isNotNull(), F.struct(*[F.col(f"{i}.{c}").alias(c) for c in columns])).alias(i) for i in ("old", "new")]
+            rows = differing(changes.select("visit_id", *images), ["load_ts", "source_file_name"])
+            self.store.append(CLEAN, CHANGES, rows, load)
+
+        return note
+
+    def refresh_reports(self) -> None:
+        """Bring the sums behind the reports up to date: rows that changed are taken off as they were and added as they are."""
+        merges = self.store.loads(CLEAN, FACT)
+        for name, (by, sums) in _kept().items():
+            taken = set(self.store.marks(CLEAN, name).get("taken", ()))
+            fresh = {load for load in merges if load not in taken}
+            if not fresh:
+                continue
+            net = net_changes(self.store.read(CLEAN, CHANGES, loads=fresh), by, sums)
+            held = self.store.read(CLEAN, name)
+            self.store.publish(CLEAN, name, adjust(held, net, by, list(sums), "visits"), marks={"taken": merges})
+
+    def kept_sums(self, by: str) -> DataFrame:
+        """The kept sums per ``by``: ``doctor_key``, ``patient_key`` or ``visit_date``."""
+        return self.store.read(CLEAN, next(name for name, (key, _) in _kept().items() if key == by))
+
+    def kept_doctor_productivity(self) -> DataFrame:
+        """:meth:`doctor_productivity` from the kept sums."""
+        return kpi.group_sums(self.kept_sums("doctor_key"), self._dim("dim_doctor"), "doctor_key", "doctor_name", True, ["total_visits", "total_revenue"])
+
+    def kept_department_performance(self) -> DataFrame:
+        """:meth:`department_performance` from the kept sums."""
+        return kpi.group_sums(self.kept_sums("doctor_key"), self._dim("dim_doctor"), "doctor_key", "department", True, ["total_revenue"])
+
+    def kept_repeat_patients(self) -> DataFrame:
+        """:meth:`repeat_patients` from the kept sums."""
+        return kpi.group_sums(self.kept_sums("patient_key"), self._dim("dim_patient"), "patient_key", "full_name", False, ["total_visits"])
+
+    def kept_daily_trend(self) -> DataFrame:
+        """:meth:`daily_trend` from the kept sums."""
+        return self.kept_sums("visit_date").select("visit_date", F.col("visits").alias("total_visits"))
 
     # -- reports ---------------------------------------------------------
 

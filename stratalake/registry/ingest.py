@@ -9,7 +9,7 @@ from stratalake.functions.values import amount
 from stratalake.registry.roles import MONEY, table
 from stratalake.session import work_dir
 from stratalake.sources.csv_layer import physical_schema, read_csv_layer
-from stratalake.sources.ledger import REJECT_SCHEMA, FileLoader, file_in, list_files
+from stratalake.sources.ledger import FileLoader, file_in, list_files
 from stratalake.sources.store import TableStore
 
 COLUMNS = ["bill_id", "patient_id", "bill_amount", "bill_date", "note"]
@@ -120,10 +120,9 @@ def csv_ingest_every_line(spark, d):
     lines.write.option("header", True).option("quote", "").option("sep", "\t").csv(folder)
     store = TableStore(spark, work_dir(spark, "bills-mixed-store"))
     store.create("raw", "bills", RAW_SCHEMA)
-    store.create("raw", "rejects", REJECT_SCHEMA)
     loader = FileLoader(store)
-    loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp(), rejects="rejects")
-    bills, rejects = store.read("raw", "bills"), store.read("raw", "rejects")
+    loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp())
+    bills, rejects = store.read("raw", "bills"), loader.rejected("raw", "bills")
     loaded = bills.select("bill_id", F.col("note").isNotNull().alias("whole"), F.lit("loaded").alias("outcome"))
     set_aside = rejects.select(F.split("line", ",")[0].alias("bill_id"), F.lit(False).alias("whole"), F.lit("rejected").alias("outcome"))
     return loaded.unionByName(set_aside)
@@ -157,7 +156,6 @@ def csv_truncate_and_reload(spark, d):
     loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp())
     before = store.read("raw", "bills").count()
     store.truncate("raw", "bills")
-    loader.forget(["raw.bills"])
     for _ in range(2):
         loader.load("raw", "bills", f"{folder}/part*", FILE_SCHEMA, loaded_columns(), stamp())
     return store.read("raw", "bills").select("bill_id", F.lit(before).alias("rows_then"))

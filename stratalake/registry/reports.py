@@ -122,9 +122,12 @@ ORACLE = {
     "kpi_department_performance": _ordered(_grouped("department"), "total_revenue DESC, department"),
     "kpi_top3_departments": _grouped("department") + " ORDER BY total_revenue DESC, department LIMIT 3",
     "kpi_doctor_productivity": _ordered(_grouped("doctor_name"), "total_visits DESC, total_revenue DESC, doctor_name"),
-    "kpi_avg_revenue_per_visit": f"""SELECT doctor_name,
-        CAST(sum(total_charges) AS DOUBLE) / count(total_charges) AS avg_revenue_per_visit
-        FROM {FACT_SQL} f JOIN {DOCTOR_SQL} d USING (doctor_key) GROUP BY doctor_name""",
+    # whole numbers, so that the rounding is exact: q is the average in units of 10^-8
+    "kpi_avg_revenue_per_visit": f"""SELECT doctor_name, CAST(CASE WHEN s < 0 THEN '-' ELSE '' END || CAST(q // 100000000 AS VARCHAR)
+            || '.' || lpad(CAST(q % 100000000 AS VARCHAR), 8, '0') AS DECIMAL(30,8)) AS avg_revenue_per_visit
+        FROM (SELECT doctor_name, s, (abs(s) * 2000000 + n) // (2 * n) AS q FROM (
+            SELECT doctor_name, CAST(sum(total_charges) * 100 AS HUGEINT) AS s, CAST(count(total_charges) AS HUGEINT) AS n
+            FROM {FACT_SQL} f JOIN {DOCTOR_SQL} d USING (doctor_key) GROUP BY doctor_name) WHERE n > 0)""",
     "kpi_high_billing_alerts": _ordered(
         f"SELECT * FROM {FACT_SQL} WHERE total_charges > {ALERT_OVER}",
         "total_charges DESC, order_id, line_no, doctor_key, visit_date",

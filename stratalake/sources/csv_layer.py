@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from stratalake.functions.text import NULL_TOKENS, null_tokens
+from stratalake.sources.quoted import quoted_records
 
-CORRUPT = "__corrupt"
-FIELDS = "__fields"
+CORRUPT, FIELDS, FILE, REJECTED = "__corrupt", "__fields", "__file", "__rejected"
 
 
 def physical_schema(columns: Sequence[str], padding: int = 0) -> T.StructType:
@@ -21,39 +22,38 @@ def physical_schema(columns: Sequence[str], padding: int = 0) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _options(reader, schema: T.StructType, multi_line: bool):
-    return (
-        reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # Which lines count as bad must not depend on the columns a query reads.
-        .option("columnPruning", False)
-        .option("multiLine", multi_line)
-    )
-
-
-def _typed(df: DataFrame, columns: Mapping[str, Column | None] | Sequence[str], tokens, load_ts: Column) -> DataFrame:
-    """Wanted columns, lineage, the corrupt-line marker, and the cleaned texts as one struct."""
+_FORMAT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+}
+
+
+def _options(reader, schema: T.StructType):
+    # Which lines count as bad must not depend on the columns a query reads.
+    reader = reader.options(**_FORMAT, header=True, enforceSchema=True, columnPruning=False)
+    return reader.schema(_with_marker(schema))
+
+
+def _with_marker(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _typed(df: DataFrame, columns: Mapping[str, Column | None] | Sequence[str], tokens, load_ts: Column, texts: Sequence[str]) -> DataFrame:
+    """Wanted columns, lineage, the corrupt-line marker, the cleaned texts as one struct, and the file they came from."""
     wanted = columns if isinstance(columns, Mapping) else dict.fromkeys(columns)
-    texts = [c for c in df.columns if c != CORRUPT]
-    cleaned = df.select(
-        *[null_tokens(c, tokens).alias(c) for c in texts],
-        F.col(CORRUPT),
-        F.col("_metadata.file_name").alias("file_name"),
-    )
+    file = F.col("_metadata")
+    source = F.struct(file["file_path"].alias("path"), file["file_size"].alias("length"), file["file_modification_time"].alias("modified"))
+    cleaned = df.select(*[null_tokens(c, tokens).alias(c) for c in texts], F.col(CORRUPT), file["file_name"].alias("file_name"), source.alias(FILE))
     outputs = [(F.col(c) if e is None else e).alias(c) for c, e in wanted.items()]
-    return cleaned.select(
-        *outputs, "file_name", load_ts.alias("load_timestamp"), CORRUPT, F.struct(*texts).alias(FIELDS)
-    )
+    return cleaned.select(*outputs, "file_name", load_ts.alias("load_timestamp"), CORRUPT, F.struct(*texts).alias(FIELDS), FILE)
 
 
-def _split(rows: DataFrame, short_lines: str, limits: Mapping[str, int]) -> tuple[DataFrame, DataFrame]:
+def _with_rejects(rows: DataFrame, short_lines: str, limits: Mapping[str, int]) -> DataFrame:
+    """The rows with ``REJECTED``, the line of each row that cannot be loaded and null for the others."""
     # Always true, but names a data column: Spark refuses to read the marker alone.
     anything = F.coalesce(F.length(F.to_csv(FIELDS)) >= 0, F.lit(True))
     bad = F.col(CORRUPT).isNotNull() & anything
@@ -64,10 +64,44 @@ def _split(rows: DataFrame, short_lines: str, limits: Mapping[str, int]) -> tupl
         raise ValueError("short_lines is 'reject' or 'pad'")
     for col, most in limits.items():
         bad = bad | F.coalesce(F.length(F.col(FIELDS)[col]) > most, F.lit(False))
-    bad = F.coalesce(bad, F.lit(False))
-    good = rows.where(~bad).drop(CORRUPT, FIELDS)
-    line = F.coalesce(CORRUPT, F.to_csv(FIELDS)).alias("line")
-    return good, rows.where(bad).select(line, "file_name", "load_timestamp")
+    line = F.when(F.coalesce(bad, F.lit(False)), F.coalesce(CORRUPT, F.to_csv(FIELDS)))
+    return rows.withColumn(REJECTED, line).drop(CORRUPT, FIELDS)
+
+
+def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    bad = rows.where(F.col(REJECTED).isNotNull())
+    return rows.where(F.col(REJECTED).isNull()).drop(REJECTED, FILE), bad.select(F.col(REJECTED).alias("line"), "file_name", "load_timestamp")
+
+
+def read_csv_rows(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    columns: Mapping[str, Column | None] | Sequence[str],
+    load_ts: Column | None = None,
+    tokens: Sequence[str] = NULL_TOKENS,
+    short_lines: str = "pad",
+    multi_line: bool = False,
+    limits: Mapping[str, int] | None = None,
+    modified_after: datetime | None = None,
+) -> DataFrame:
+    """Every line of the CSV files under ``path``, parsed once: good and rejected rows told apart by ``REJECTED``.
+
+    Takes the same options as :func:`read_csv_layer`. ``FILE`` holds path, length and change time of the row's file;
+    files changed at ``modified_after`` or before are not opened.
+    """
+    stamp = F.current_timestamp() if load_ts is None else load_ts
+    reader = spark.read
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+    paths = [path] if isinstance(path, str) else list(path)
+    if multi_line:
+        records = quoted_records(reader.option("lineSep", "\n").text(paths))
+        parsed = F.from_csv("value", _with_marker(schema).toDDL(), _FORMAT).alias("__row")
+        raw = records.select(parsed, "_metadata").select("__row.*", "_metadata")
+    else:
+        raw = _options(reader, schema).csv(paths)
+    return _with_rejects(_typed(raw, columns, tokens, stamp, schema.names), short_lines, limits or {})
 
 
 def read_csv_layer(
@@ -90,11 +124,9 @@ def read_csv_layer(
     fields is padded with NULL, and fields too many are ignored;
     ``short_lines="reject"`` makes both bad lines. A bad line is set aside and the
     load goes on: one that does not parse, or exceeds a text length in ``limits``.
+    ``multi_line`` allows line ends inside quotes; large files are split all the same.
     """
-    stamp = F.current_timestamp() if load_ts is None else load_ts
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = _options(spark.read, schema, multi_line).csv(paths)
-    return _split(_typed(raw, columns, tokens, stamp), short_lines, limits or {})
+    return _split(read_csv_rows(spark, path, schema, columns, load_ts, tokens, short_lines, multi_line, limits))
 
 
 def stream_csv_layer(
@@ -110,8 +142,8 @@ def stream_csv_layer(
 ) -> tuple[DataFrame, DataFrame]:
     """:func:`read_csv_layer` as two streams, (good rows, rejected lines).
 
-    The checkpoint of a query is its load history: each file is read once.
+    The checkpoint of a query is its load history: each file is read once. With ``multi_line`` a file is one task.
     """
     stamp = F.current_timestamp() if load_ts is None else load_ts
-    raw = _options(reader, schema, multi_line).csv(path)
-    return _split(_typed(raw, columns, tokens, stamp), short_lines, limits or {})
+    raw = _options(reader, schema).option("multiLine", multi_line).csv(path)
+    return _split(_with_rejects(_typed(raw, columns, tokens, stamp, schema.names), short_lines, limits or {}))

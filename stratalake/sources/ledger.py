@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.sources.csv_layer import read_csv_layer
-from stratalake.sources.staging import stage, stage_scope
+from stratalake.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS
+from stratalake.sources.csv_layer import FILE, REJECTED, read_csv_rows
 from stratalake.sources.store import TableStore
 
 _FILE = ["path", "length", "modified"]
@@ -23,13 +24,15 @@ LEDGER_SCHEMA = (
     .add("load_timestamp", "timestamp")
 )
 
-REJECT_SCHEMA = T.StructType().add("line", "string").add("file_name", "string").add("load_timestamp", "timestamp").add("target", "string")
+REJECT_SCHEMA = T.StructType().add("line", "string").add("file_name", "string").add("load_timestamp", "timestamp")
+_ASIDE = "rejected"  # the side of a raw table that holds the lines which could not be loaded
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """path, length and change time of each file under a directory, prefix glob or file.
 
-    The content column is not selected, so no file is opened.
+    The content column is not selected, so no file is opened. Paths are written as Spark's ``_metadata.file_path``, odd
+    characters as in a URL.
     """
     kind = spark.read.format("binaryFile")
     try:
@@ -38,7 +41,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], T.StructType(LEDGER_SCHEMA.fields[:3]))
-    return found.select("path", "length", F.col("modificationTime").alias("modified"))
+    file = F.col("_metadata")
+    return found.select(file["file_path"].alias("path"), file["file_size"].alias("length"), file["file_modification_time"].alias("modified"))
 
 
 def new_files(listing: DataFrame, ledger: DataFrame, force: bool = False) -> DataFrame:
@@ -49,7 +53,12 @@ def new_files(listing: DataFrame, ledger: DataFrame, force: bool = False) -> Dat
 
 
 class FileLoader:
-    """Loads CSV files into raw tables of a store, each file once unless forced."""
+    """Loads CSV files into raw tables of a store, each file once unless forced.
+
+    A load has a name. Its files are noted first, then its rows and rejected lines are written together;
+    the raw table's pointer makes all of it valid at once. What a load that died has left is never read, and the load is
+    simply done again. A raw table that was emptied or made anew has no loads, so its files load again.
+    """
 
     def __init__(self, store: TableStore, ledger: tuple[str, str] = ("raw", "load_ledger")):
         self.store = store
@@ -57,50 +66,44 @@ class FileLoader:
         if not store.exists(*ledger):
             store.create(*ledger, LEDGER_SCHEMA)
 
-    def history(self, target: str) -> DataFrame:
-        return self.store.read(*self.ledger).where(F.col("target") == target)
+    def history(self, layer: str, table: str) -> DataFrame:
+        """The files that the table's present loads took in."""
+        loads = self.store.loads(layer, table) if self.store.exists(layer, table) else []
+        return self.store.read(*self.ledger, loads=set(loads))
 
-    def forget(self, targets: Collection[str]) -> None:
-        """Drop the history of tables that were emptied or made anew, so that their files load again."""
-        held = self.store.read(*self.ledger)
-        if not held.where(F.col("target").isin(*targets)).isEmpty():
-            self.store.publish(*self.ledger, held.where(~F.col("target").isin(*targets)))
+    def rejected(self, layer: str, table: str) -> DataFrame:
+        """The lines of the table's files that could not be loaded (``REJECT_SCHEMA``)."""
+        schema = T.StructType([T.StructField(REJECTED, T.StringType()), *REJECT_SCHEMA.fields[1:]])
+        return self.store.read_side(layer, table, _ASIDE, schema).withColumnRenamed(REJECTED, "line")
 
     def load(
-        self,
-        layer: str,
-        table: str,
-        path: str,
-        schema: T.StructType,
-        columns,
-        load_ts: Column,
-        force: bool = False,
-        rejects: str | None = None,
-        **csv_options,
+        self, layer: str, table: str, path: str, schema: T.StructType, columns, load_ts: Column, force: bool = False, **csv_options
     ) -> int:
         """Append the files' rows to ``layer.table`` and note the files; returns how many.
 
-        ``path`` may be one file or a glob such as ``dir/visits*``. Rejected lines
-        go to the raw table ``rejects`` (``REJECT_SCHEMA``) when one is named. The
-        ledger is written last: a load that dies half way is repeated, and the
-        repeated rows fall to the later dedup.
+        ``path`` may be one file or a glob such as ``dir/visits*``. The files to load stay a table: the reader
+        gets the path as it was given and the oldest change time among them, and rows of other files
+        fall out in a join with that table. Each file is parsed once; the numbers of rows loaded and set aside are counted on the way
+        and kept as marks of the table.
         """
-        with stage_scope(self.store.spark):
-            return self._load(layer, table, path, schema, columns, load_ts, force, rejects, csv_options)
-
-    def _load(self, layer, table, path, schema, columns, load_ts, force, rejects, csv_options) -> int:
-        target = f"{layer}.{table}"
-        fresh = stage(new_files(list_files(self.store.spark, path), self.history(target), force), "files")
-        # the reader takes the names as a list, as its own listing of a folder does
-        paths = [f.path for f in fresh.select("path").collect()]
-        if not paths:
+        load = uuid.uuid4().hex
+        fresh = new_files(list_files(self.store.spark, path), self.history(layer, table), force)
+        fresh = fresh.select("*", F.lit(f"{layer}.{table}").alias("target"), load_ts.alias("load_timestamp"))
+        oldest = F.min(F.unix_micros("modified"))
+        noted = self.store.append(*self.ledger, fresh, load, measures={"oldest": oldest, "text": F.sum(F.octet_length("path").cast("long"))})
+        if not noted["rows"]:
             return 0
-        good, bad = read_csv_layer(self.store.spark, paths, schema, columns, load_ts, **csv_options)
-        self.store.append(layer, table, good)
-        if rejects is not None:
-            self.store.append(layer, rejects, bad.withColumn("target", F.lit(target)))
-        self.store.append(*self.ledger, fresh.select("*", F.lit(target).alias("target"), load_ts.alias("load_timestamp")))
-        return len(paths)
+        files = self.store.read(*self.ledger, loads={load}).select(*_FILE)
+        before = datetime.fromtimestamp(noted["oldest"] // 1_000_000 - 1, timezone.utc)
+        rows = read_csv_rows(self.store.spark, path, schema, columns, load_ts, modified_after=before, **csv_options)
+        small = noted["rows"] <= BROADCAST_ROWS and noted["text"] <= BROADCAST_BYTES
+        on = [F.col(FILE)[c] == files[c] for c in _FILE]
+        rows = rows.join(F.broadcast(files) if small else files, on, "left_semi").drop(FILE)
+        line = F.col(REJECTED)
+        counts = {"set_aside": F.count(line)}
+        marks = {"last_load": load, "files": noted["rows"]}
+        self.store.append(layer, table, rows, load, marks, F.when(line.isNotNull(), _ASIDE), counts)
+        return noted["rows"]
 
 
 def glob_for(directory: str, prefix: str) -> str:

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from stratalake.session import work_dir
+from stratalake.sources.files import delete
 
 _scope: ContextVar[list[str] | None] = ContextVar("stage_scope", default=None)
 
@@ -29,12 +30,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, **measures: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and its aggregates as they are counted while it is written: no pass of their own.
+
+    Only what is written next counts: the measures are taken in the last stage, where
+    each partition is counted once, also if a task runs again.
+    """
+    found = Observation()
+    return df.observe(found, *[c.alias(name) for name, c in measures.items()]), found
+
+
+def stage_observed(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`stage`, and the measures by name."""
+    counted, found = observed(df, **measures)
+    return stage(counted, label), found.get
+
+
 @contextmanager
 def stage_scope(spark: SparkSession) -> Iterator[None]:
     """Release what is staged inside, once the results have been written elsewhere.
 
-    Files are only reached through Spark, so releasing is overwriting by an
-    empty table. An inner scope leaves its stages to the outer one.
+    An inner scope leaves its stages to the outer one.
     """
     if _scope.get() is not None:
         yield
@@ -46,4 +62,4 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(token)
         for path in paths:
-            spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)
+            delete(spark, path)

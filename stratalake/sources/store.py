@@ -1,54 +1,46 @@
 """Tables as parquet files below ``<root>/<layer>/<table>/``: create, read, append, merge, replace.
 
-A table's present files are named by a pointer of two slots, written in turn: a
-writer that dies leaves the other slot, and so the old content, in place. Tables that
-are merged by key are split into folders by a hash of the key, and a merge writes only
-the folders its rows fall into. Files are only reached through Spark, so any file
-system Spark knows will do.
+Every write goes to a folder of its own, and a small JSON pointer then names the folders that are
+the table. The pointer has two slots, written in turn: a writer that dies, before the pointer or in it, leaves the
+old content, so a write is done as a whole or not at all and can be done again. Tables that
+are merged by key are split into folders by a hash of the key; a merge writes only
+the folders its rows fall into, to a new place. What the last pointer no longer names stays for one more write, for
+those still reading, and is then removed.
+
+A write may carry the name of a ``load`` and ``marks``; both become visible with it. Files are only reached through
+Spark and its file system, so any that Spark knows will do.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Collection, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.upsert import upsert
-from stratalake.sources.staging import stage, stage_scope
+from stratalake.sources.files import delete, folders, read_text, write_text
+from stratalake.sources.staging import observed, stage, stage_scope
 
-PART = "__part"
-POINTER_SCHEMA = T.StructType(
-    [
-        T.StructField("turn", T.LongType(), False),
-        T.StructField("files", T.StringType(), False),
-        T.StructField("schema", T.StringType(), False),
-        T.StructField("parts", T.IntegerType()),
-        T.StructField("part_keys", T.StringType()),
-        T.StructField("partition_by", T.StringType()),
-        T.StructField("source_watermark", T.LongType()),  # microseconds
-    ]
-)
-
-
-def _names(text: str | None) -> list[str]:
-    return text.split(",") if text else []
+WRITE, PART, SIDE = "__write", "__part", "__side"
+OWN = "rows"  # the side that is the table itself
+_BITS = 48  # folders noted in one number
 
 
 class TableStore:
     """Create, read and write the tables of a layered warehouse.
 
-    One writer at a time. A store remembers the pointers it has read or
+    One writer at a time per table. A store remembers the pointers it has read or
     written; :meth:`refresh` makes it look again for what another one wrote.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._pointers: dict[tuple[str, str], Row] = {}
+        self._pointers: dict[tuple[str, str], dict] = {}
 
     def refresh(self) -> None:
         self._pointers.clear()
@@ -58,23 +50,39 @@ class TableStore:
     def exists(self, layer: str, table: str) -> bool:
         return self._pointer(layer, table) is not None
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        """The present content."""
+    def read(self, layer: str, table: str, loads: Collection[str] | None = None) -> DataFrame:
+        """The present content, or that of some loads."""
         pointer = self._known(layer, table)
-        return self._files(layer, table, pointer).select(*_schema(pointer).names)
+        wanted = [w for w in _own(pointer) if loads is None or w.get("load") in loads]
+        return self._files(layer, table, pointer, wanted).select(*_schema(pointer).names)
+
+    def read_side(self, layer: str, table: str, side: str, schema: T.StructType) -> DataFrame:
+        """The rows that were set aside under a name when they were appended."""
+        pointer = self._known(layer, table)
+        writes = [w for w in pointer["writes"] if w.get("side") == side]
+        return self._files(layer, table, pointer | {"schema": schema.jsonValue()}, writes).select(*schema.names)
 
     def matching(self, layer: str, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The rows that hold a key of ``source``; of a table split by the keys only their folders are read."""
         pointer = self._known(layer, table)
-        files = self._files(layer, table, pointer)
-        if pointer.parts and _names(pointer.part_keys) == list(keys):
-            files = files.where(F.col(PART).isin(_touched(source, keys, pointer.parts)))
-        return files.select(*_schema(pointer).names).join(source.select(*keys).distinct(), list(keys), "left_semi")
+        writes = _own(pointer)
+        if pointer["parts"] and pointer["part_keys"] == list(keys):
+            touched = _touched(source, keys, pointer["parts"])
+            writes = [w for w in writes if w["part"] in touched]
+        held = self._files(layer, table, pointer, writes).select(*_schema(pointer).names)
+        return held.join(source.select(*keys).distinct(), list(keys), "left_semi").select(*_schema(pointer).names)
 
-    def source_watermark(self, layer: str, table: str) -> int | None:
-        """The newest source time (microseconds) the table has taken in, if it was recorded."""
-        pointer = self._pointer(layer, table)
-        return pointer.source_watermark if pointer else None
+    def rows(self, layer: str, table: str) -> int:
+        """How many rows the table has, as counted when they were written."""
+        return sum(w["rows"] for w in _own(self._known(layer, table)))
+
+    def loads(self, layer: str, table: str) -> list[str]:
+        """The names of the loads that the table has taken in, in order."""
+        return list(self._known(layer, table)["loads"])
+
+    def marks(self, layer: str, table: str) -> dict:
+        """What the writes noted beside the rows."""
+        return dict(self._known(layer, table)["marks"])
 
     def register_view(self, layer: str, table: str, name: str | None = None) -> None:
         """Offer the present content to SQL as a temporary view."""
@@ -96,23 +104,42 @@ class TableStore:
         ``partition_by`` splits the files by columns; ``parts`` into so many
         folders by a hash of ``part_keys``, for a table that is merged by them.
         """
-        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        layout = (parts, ",".join(part_keys) or None, ",".join(partition_by) or None)
-        self._replace(layer, table, self.spark.range(0, 0, 1, 1).select(*blank), layout, None)
+        pointer = {"schema": schema.jsonValue(), "partition_by": list(partition_by), "parts": parts, "part_keys": list(part_keys)}
+        self._point(layer, table, {**pointer, "writes": [], "loads": [], "marks": {}})
 
-    def publish(self, layer: str, table: str, df: DataFrame, source_watermark: int | None = None) -> None:
+    def publish(self, layer: str, table: str, df: DataFrame, load: str | None = None, marks: Mapping | None = None) -> None:
         """Replace the content, and the columns, in the same layout; ``df`` may read the table."""
-        pointer = self._known(layer, table)
-        mark = pointer.source_watermark if source_watermark is None else source_watermark
-        self._replace(layer, table, df, (pointer.parts, pointer.part_keys, pointer.partition_by), mark)
+        pointer = self._known(layer, table) | {"schema": df.schema.jsonValue()}
+        writes, _ = self._write(layer, table, pointer, df)
+        self._point(layer, table, pointer | {"writes": writes}, load, marks)
 
-    def append(self, layer: str, table: str, df: DataFrame, source_watermark: int | None = None) -> None:
-        """Add rows, matched by name; they appear when Spark commits the job's files."""
+    def append(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        load: str | None = None,
+        marks: Mapping | None = None,
+        side: Column | None = None,
+        measures: Mapping[str, Column] | None = None,
+    ) -> dict:
+        """Add rows, matched by name, and return the ``measures`` and the number of ``rows``, taken as they are written.
+
+        Rows for which ``side`` is a name are set aside under it, with all columns of ``df``, in the same write.
+        The measures are kept as marks. Without rows and marks the table stays as it is.
+        """
         pointer = self._known(layer, table)
-        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in _schema(pointer).fields])
-        self._write(rows, self._path(layer, table, pointer.files), pointer.parts, pointer.part_keys, pointer.partition_by, "append")
-        if source_watermark is not None:
-            self._point(layer, table, pointer, pointer.files, pointer.schema, source_watermark)
+        if pointer["parts"]:
+            raise ValueError(f"{layer}.{table} is split by key: merge into it")
+        fields = _schema(pointer).fields
+        more = [c for c in df.columns if side is not None and c not in _schema(pointer).names]
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in fields], *more)
+        load = load or uuid.uuid4().hex
+        writes, found = self._write(layer, table, pointer, rows, load, side, measures)
+        if writes or marks:
+            kept = {**(marks or {}), **{m: found[m] for m in measures or {} if found[m] is not None}}
+            self._point(layer, table, pointer | {"writes": pointer["writes"] + writes}, load, kept)
+        return found
 
     def merge(
         self,
@@ -123,104 +150,165 @@ class TableStore:
         update: Sequence[str] | None = None,
         insert: Sequence[str] | None = None,
         unique_rows: int | None = None,
-        source_watermark: int | None = None,
         staged: bool = False,
+        touched: Collection[int] | None = None,
+        build: Callable[[DataFrame, DataFrame, int], tuple[DataFrame, Mapping]] | None = None,
+        load: str | None = None,
+        marks: Mapping | None = None,
     ) -> None:
         """Upsert ``source`` (see :func:`~stratalake.operators.upsert.upsert`).
 
         It is read several times, and so written out first unless it is ``staged`` already.
 
         In a table split by the same keys only the folders that the source's
-        keys hash to are read and written again. A merge that dies half way has
-        replaced whole folders or none, and doing it again gives the same table.
+        keys hash to are read and written anew; ``touched`` names them if they are known (:meth:`touching`).
+        ``build`` makes another merge than an upsert: from those folders' rows, the source, and how many the former
+        are, it makes the new rows and marks.
         """
         pointer = self._known(layer, table)
         with stage_scope(self.spark):
             source = source if staged else stage(source, f"{table}-source")
-            if not pointer.parts or _names(pointer.part_keys) != list(keys):
-                self.publish(layer, table, upsert(self.read(layer, table), source, keys, update, insert, unique_rows), source_watermark)
-                return
-            touched = _touched(source, keys, pointer.parts)
-            held = self._files(layer, table, pointer).where(F.col(PART).isin(touched)).drop(PART)
-            merged = stage(upsert(held, source, keys, update, insert, unique_rows), f"{table}-merged")
-            path = self._path(layer, table, pointer.files)
-            self._write(merged, path, pointer.parts, pointer.part_keys, None, "overwrite")
-            if source_watermark is not None:
-                self._point(layer, table, pointer, pointer.files, pointer.schema, source_watermark)
+            writes, by_folder = _own(pointer), bool(pointer["parts"] and pointer["part_keys"] == list(keys) and _own(pointer))
+            if by_folder:
+                touched = _touched(source, keys, pointer["parts"]) if touched is None else set(touched)
+                writes = [w for w in writes if w["part"] in touched]
+            held = self._files(layer, table, pointer, writes).select(*_schema(pointer).names)
+            held_rows, more = sum(w["rows"] for w in writes), {}
+            if build is None:
+                merged = upsert(held, source, keys, update, insert, unique_rows, target_rows=held_rows)
+            else:
+                merged, more = build(held, source, held_rows)
+            kept = [w for w in _own(pointer) if by_folder and w["part"] not in touched]
+            writes, _ = self._write(layer, table, pointer, merged)
+            self._point(layer, table, pointer | {"writes": kept + writes}, load, {**(marks or {}), **more})
+
+    def touching(self, layer: str, table: str) -> dict[str, Column]:
+        """Measures of a merge's source from which :meth:`touched` reads the folders it falls into."""
+        pointer = self._known(layer, table)
+        if not pointer["parts"]:
+            return {}
+        part = _part(pointer["part_keys"], pointer["parts"])
+        bit = F.pow(F.lit(2.0), part % _BITS).cast("long")
+        words = range(-(-pointer["parts"] // _BITS))
+        return {f"folders{i}": F.bit_or(F.when(F.floor(part / _BITS) == i, bit).otherwise(0)) for i in words}
+
+    @staticmethod
+    def touched(measured: Mapping) -> set[int] | None:
+        """The folders, from what :meth:`touching` measured; None if it measured nothing."""
+        words = {int(k[7:]): v or 0 for k, v in measured.items() if k.startswith("folders")}
+        return {_BITS * i + b for i, word in words.items() for b in range(_BITS) if word >> b & 1} if words else None
+
+    def mark(self, layer: str, table: str, marks: Mapping) -> None:
+        """Note something beside the rows."""
+        self._point(layer, table, self._known(layer, table), marks=marks)
 
     def truncate(self, layer: str, table: str) -> None:
         """Empty the table; its columns and layout stay."""
-        pointer = self._known(layer, table)
-        self.create(
-            layer, table, _schema(pointer), _names(pointer.partition_by), pointer.parts, _names(pointer.part_keys)
-        )
+        self._point(layer, table, self._known(layer, table) | {"writes": [], "loads": [], "marks": {}})
 
     def drop_column(self, layer: str, table: str, col: str) -> None:
-        """Rewrite the table without one column."""
-        self.publish(layer, table, self.read(layer, table).drop(col))
+        """Take one column out of the table; files written before are not read for it any more."""
+        pointer = self._known(layer, table)
+        schema = T.StructType([f for f in _schema(pointer).fields if f.name != col])
+        self._point(layer, table, pointer | {"schema": schema.jsonValue()})
 
     # -- files -----------------------------------------------------------
 
     def _path(self, layer: str, table: str, name: str) -> str:
         return f"{self.root}/{layer}/{table}/{name}"
 
-    def _known(self, layer: str, table: str) -> Row:
+    def _known(self, layer: str, table: str) -> dict:
         pointer = self._pointer(layer, table)
         if pointer is None:
             raise LookupError(f"no table {layer}.{table} in {self.root}")
         return pointer
 
-    def _pointer(self, layer: str, table: str) -> Row | None:
-        if (layer, table) in self._pointers:
-            return self._pointers[layer, table]
-        found = []
-        for slot in (0, 1):
-            try:
-                found += self.spark.read.schema(POINTER_SCHEMA).parquet(self._path(layer, table, f"pointer-{slot}")).collect()
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        if not found:
-            return None
-        self._pointers[layer, table] = max(found, key=lambda r: r.turn)
+    def _pointer(self, layer: str, table: str) -> dict | None:
+        if (layer, table) not in self._pointers:
+            found = []
+            for slot in (0, 1):
+                try:
+                    found.append(json.loads(read_text(self.spark, self._path(layer, table, f"pointer-{slot}.json")) or "null"))
+                except json.JSONDecodeError:  # a writer died in this slot; the other one holds
+                    pass
+            found = [p for p in found if p]
+            if not found:
+                return None
+            self._pointers[layer, table] = max(found, key=lambda p: p["turn"])
         return self._pointers[layer, table]
 
-    def _point(self, layer: str, table: str, before: Row | None, files: str, schema: str, mark: int | None, layout=None) -> None:
-        turn = before.turn + 1 if before else 0
-        layout = layout or (before.parts, before.part_keys, before.partition_by)
-        pointer = Row(*POINTER_SCHEMA.names)(turn, files, schema, *layout, mark)
-        values = zip(pointer, POINTER_SCHEMA.fields, strict=True)
-        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in values])
-        row.write.mode("overwrite").parquet(self._path(layer, table, f"pointer-{turn % 2}"))
+    def _point(self, layer: str, table: str, pointer: dict, load: str | None = None, marks: Mapping | None = None) -> None:
+        before = self._pointer(layer, table) or {"turn": -1, "writes": [], "left": []}
+        named = {w["path"] for w in pointer["writes"]}
+        pointer = pointer | {
+            "turn": before["turn"] + 1,
+            "left": [w["path"] for w in before["writes"] if w["path"] not in named],
+            "loads": pointer["loads"] + ([load] if load else []),
+            "marks": {**pointer["marks"], **(marks or {})},
+        }
+        write_text(self.spark, self._path(layer, table, f"pointer-{pointer['turn'] % 2}.json"), json.dumps(pointer))
         self._pointers[layer, table] = pointer
+        for path in before["left"]:
+            delete(self.spark, self._path(layer, table, path))
 
-    def _replace(self, layer: str, table: str, df: DataFrame, layout: tuple, mark: int | None) -> None:
-        before = self._pointer(layer, table)
-        files = f"files-{before.turn + 1 if before else 0}"
-        self._write(df, self._path(layer, table, files), *layout, "overwrite")
-        self._point(layer, table, before, files, df.schema.json(), mark, layout)
+    def _write(
+        self,
+        layer: str,
+        table: str,
+        pointer: dict,
+        df: DataFrame,
+        load: str | None = None,
+        side: Column | None = None,
+        measures: Mapping[str, Column] | None = None,
+    ) -> tuple[list[dict], dict]:
+        """Write rows to a new folder: its entries for the pointer (none without rows), and what was measured on the way."""
+        name, note = f"{WRITE}={uuid.uuid4().hex[:12]}", {"load": load} if load else {}
+        path, parts, own = self._path(layer, table, name), pointer["parts"], f"{SIDE}={OWN}"
+        counts = {"rows": F.count(F.lit(1)) if side is None else F.count_if(side.isNull()), "every": F.count(F.lit(1))}
+        if parts:
+            df = df.withColumn(PART, _part(pointer["part_keys"], parts)).repartition(PART)
+        counted, observation = observed(df, **counts, **(measures or {}))
+        if parts:
+            counted.write.partitionBy(PART).parquet(path)
+        elif side is None:
+            counted.write.partitionBy(*pointer["partition_by"]).parquet(f"{path}/{own}")
+        else:
+            counted.withColumn(SIDE, F.coalesce(side, F.lit(OWN))).write.partitionBy(SIDE, *pointer["partition_by"]).parquet(path)
+        found = observation.get
+        if not found["every"]:
+            delete(self.spark, path)
+            return [], found
+        made = [f for f in folders(self.spark, path) if f.startswith((PART, SIDE))]
+        # keys are hashed, so the rows of the parts are even; only their sum is exact
+        sizes = [found["rows"] * (i + 1) // len(made) - found["rows"] * i // len(made) for i in range(len(made))]
+        if parts:
+            return [{"path": f"{name}/{f}", "part": int(f.split("=")[1]), "rows": n, **note} for f, n in zip(made, sizes)], found
+        return [{"path": f"{name}/{f}", "side": f.split("=")[1], "rows": found["rows"], **note} for f in made], found
+
+    def _files(self, layer: str, table: str, pointer: dict, writes: Sequence[Mapping]) -> DataFrame:
+        schema = _schema(pointer)
+        if not writes:
+            return self.spark.createDataFrame([], schema)
+        # columns that only lay out the files, read from their paths
+        layout = [T.StructField(WRITE, T.StringType())]
+        layout.append(T.StructField(PART, T.IntegerType()) if pointer["parts"] else T.StructField(SIDE, T.StringType()))
+        base = self._path(layer, table, "").rstrip("/")
+        reader = self.spark.read.schema(T.StructType([*schema.fields, *layout])).option("basePath", base)
+        return reader.parquet(*[f"{base}/{w['path']}" for w in writes])
 
-    def _write(self, df: DataFrame, path: str, parts: int | None, part_keys: str | None, partition_by: str | None, mode: str) -> None:
-        if not parts:
-            df.write.mode(mode).partitionBy(*_names(partition_by)).parquet(path)
-            return
-        split = df.withColumn(PART, _part(_names(part_keys), parts)).repartition(PART)
-        split.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
 
-    def _files(self, layer: str, table: str, pointer: Row) -> DataFrame:
-        schema = _schema(pointer)
-        if pointer.parts:
-            schema = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self._path(layer, table, pointer.files))
+def _schema(pointer: Mapping) -> T.StructType:
+    return T.StructType.fromJson(pointer["schema"])
 
 
-def _schema(pointer: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(pointer.schema))
+def _own(pointer: Mapping) -> list[dict]:
+    """The writes that are the table itself."""
+    return [w for w in pointer["writes"] if w.get("side", OWN) == OWN]
 
 
-def _touched(source: DataFrame, keys: Sequence[str], parts: int) -> list[int]:
+def _touched(source: DataFrame, keys: Sequence[str], parts: int) -> set[int]:
     """The folders the source's keys fall into: at most ``parts`` numbers."""
-    return [r[0] for r in source.select(_part(keys, parts)).distinct().collect()]
+    return {r[0] for r in source.select(_part(keys, parts)).distinct().collect()}
 
 
 def _part(keys: Sequence[str], parts: int) -> Column:
