@@ -11,33 +11,45 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
 
-from stratalake.functions.text import missing
-from stratalake.functions.values import DATE_FORMATS, any_negative, date_sql, std_date, total
+from stratalake.functions.text import missing_node
+from stratalake.functions.tree import Node, call
+from stratalake.functions.values import DATE_FORMATS, any_negative_node, std_date_node, total_node
 
 # Status words.
 VALID, INVALID, BAD, VALIDATED, LOOKUP_OK = "VALID", "INVALID", "BAD", "VALIDATED", "OK"
 
 
+def negative_node(cols: Iterable[Column | str]) -> Node:
+    return call("if", any_negative_node(cols), INVALID, VALID)
+
+
 def negative_status(cols: Iterable[Column | str]) -> Column:
     """``INVALID`` if a component is negative, else ``VALID`` (also for NULL)."""
-    return F.when(any_negative(cols), INVALID).otherwise(VALID)
+    return negative_node(cols).column()
+
+
+def lookup_node(checks: Sequence[tuple[Column | str, str]]) -> Node:
+    return call("coalesce", *[call("if", missing_node(c), label, None) for c, label in checks], LOOKUP_OK)
 
 
 def lookup_status(checks: Sequence[tuple[Column | str, str]]) -> Column:
     """The label of the first missing column in the given order, else ``OK``."""
-    return F.coalesce(*[F.when(missing(c), label) for c, label in checks], F.lit(LOOKUP_OK))
+    return lookup_node(checks).column()
+
+
+def visit_node(id_col: Column | str, amounts: Iterable[Column | str]) -> Node:
+    return call("if", missing_node(id_col), BAD, negative_node(amounts))
 
 
 def visit_status(id_col: Column | str, amounts: Iterable[Column | str]) -> Column:
     """``BAD`` without an id, else the negative-amount status."""
-    return F.when(missing(id_col), BAD).otherwise(negative_status(amounts))
+    return visit_node(id_col, amounts).column()
 
 
 def text_status(c: Column | str) -> Column:
     """``INVALID`` for a missing text, else ``VALID``."""
-    return F.when(missing(c), INVALID).otherwise(VALID)
+    return call("if", missing_node(c), INVALID, VALID).column()
 
 
 @dataclass(frozen=True)
@@ -56,31 +68,27 @@ class RowCheck:
         return list(dict.fromkeys(named))
 
 
+def validate_node(check: RowCheck) -> Node:
+    """The rules of one row, the only place where they are put together."""
+    fields = {
+        "visit_date": std_date_node(check.date_col, check.date_formats),
+        "lookup_status": lookup_node(check.lookups),
+        "total_charges": total_node(check.amounts),
+        "status": visit_node(check.id_col, check.amounts),
+    }
+    return call("named_struct", *[x for name, part in fields.items() for x in (name, part)])
+
+
 def validate_struct(check: RowCheck) -> Column:
     """``struct<visit_date, lookup_status, total_charges, status>`` for one row."""
-    return F.struct(
-        std_date(check.date_col, check.date_formats).alias("visit_date"),
-        lookup_status(check.lookups).alias("lookup_status"),
-        total(check.amounts).alias("total_charges"),
-        visit_status(check.id_col, check.amounts).alias("status"),
-    )
+    return validate_node(check).column()
 
 
 def register_validation(spark: SparkSession, name: str, check: RowCheck) -> None:
     """Offer the same rules to SQL as ``name(<check.columns()>)``, a SQL-bodied function."""
-    dates = ", ".join(date_sql(check.date_col, f) for f in check.date_formats)
-    labels = "".join(f"if(trim(coalesce({c}, '')) = '', '{label}', NULL), " for c, label in check.lookups)
-    money = [f"try_cast({c} AS DECIMAL(10,2))" for c in check.amounts]
-    summed = " + ".join(f"coalesce({m}, 0BD)" for m in money)
-    least = f"least({', '.join(money)})" if len(money) > 1 else money[0]
     params = ", ".join(f"{c} STRING" for c in check.columns())
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}({params})
         RETURNS STRUCT<visit_date: DATE, lookup_status: STRING, total_charges: DECIMAL(12,2), status: STRING>
-        RETURN named_struct(
-            'visit_date', coalesce({dates}),
-            'lookup_status', coalesce({labels}'{LOOKUP_OK}'),
-            'total_charges', cast({summed} AS DECIMAL(12,2)),
-            'status', if(trim(coalesce({check.id_col}, '')) = '', '{BAD}',
-                         if({least} < 0, '{INVALID}', '{VALID}')))
+        RETURN {validate_node(check).sql()}
     """)

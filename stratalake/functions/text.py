@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.functions.tree import Infix, Node, Value, call, node
+
 # Text that stands for NULL in the delivered files.
 NULL_TOKENS = ("NULL", "null", "")
 
@@ -15,10 +17,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def missing_node(c: Column | str) -> Node:
+    part = node(c)
+    return Infix("OR", call("isnull", part), Infix("=", call("trim", part), Value("")))
+
+
 def missing(c: Column | str) -> Column:
     """True for NULL and for text that is empty after trimming; never NULL itself."""
-    c = _col(c)
-    return c.isNull() | (F.trim(c) == "")
+    return missing_node(c).column()
 
 
 def present(c: Column | str) -> Column:

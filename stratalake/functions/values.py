@@ -8,12 +8,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from stratalake.functions.text import _col
+from stratalake.functions.tree import Cast, Infix, Node, Value, call, node
 
 # Accepted date formats, in the order they are tried.
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd")
@@ -38,6 +36,13 @@ def iso_rewrite(fmt: str) -> tuple[str, str] | None:
     return rf"(?s)\A(?:{wanted}|.*)\z", groups
 
 
+def date_node(c: Column | str, fmt: str) -> Node:
+    rewrite = iso_rewrite(fmt)
+    if rewrite is None:
+        return call("try_to_date", node(c), fmt)
+    return Cast(call("regexp_replace", node(c), *rewrite), "date", attempt=True)
+
+
 def parse_date(c: Column | str, fmt: str) -> Column:
     """The date in ``c`` under one format, NULL if it does not fit it exactly.
 
@@ -45,28 +50,25 @@ def parse_date(c: Column | str, fmt: str) -> Column:
     raises an exception inside for each text that does not fit, which costs far
     more, and texts of another format are the normal case here.
     """
-    rewrite = iso_rewrite(fmt)
-    if rewrite is None:
-        return F.try_to_date(_col(c), fmt)
-    return F.regexp_replace(_col(c), *rewrite).try_cast("date")
+    return date_node(c, fmt).column()
 
 
-def date_sql(c: str, fmt: str) -> str:
-    """:func:`parse_date` as SQL text."""
-    rewrite = iso_rewrite(fmt)
-    if rewrite is None:
-        return f"try_to_date({c}, '{fmt}')"
-    return f"try_cast(regexp_replace({c}, r'{rewrite[0]}', '{rewrite[1]}') AS DATE)"
+def std_date_node(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Node:
+    return call("coalesce", *[date_node(c, f) for f in formats])
 
 
 def std_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
     """The date under the first format that fits, else NULL."""
-    return F.coalesce(*[parse_date(c, f) for f in formats])
+    return std_date_node(c, formats).column()
+
+
+def amount_node(c: Column | str, precision: int = 10, scale: int = 2) -> Node:
+    return Cast(node(c), f"decimal({precision},{scale})", attempt=True)
 
 
 def amount(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     """``decimal(precision, scale)``, rounded half up; NULL if unreadable or too large."""
-    return _col(c).try_cast(f"decimal({precision},{scale})")
+    return amount_node(c, precision, scale).column()
 
 
 def parse_amounts(df: DataFrame, cols: Iterable[str], precision: int = 10, scale: int = 2) -> DataFrame:
@@ -74,15 +76,25 @@ def parse_amounts(df: DataFrame, cols: Iterable[str], precision: int = 10, scale
     return df.withColumns({c: amount(c, precision, scale) for c in cols})
 
 
+def total_node(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Node:
+    zero = Cast(Value(0), f"decimal({precision},{scale})")
+    parts = [call("coalesce", amount_node(c, precision, scale), zero) for c in cols]
+    return Cast(reduce(lambda a, b: Infix("+", a, b), parts), f"decimal({precision + 2},{scale})")
+
+
 def total(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Column:
     """Sum of the readable components; a missing or unreadable one counts as zero.
 
     Two digits wider than the components, so that up to a hundred of them always fit.
     """
-    parts = [F.coalesce(amount(c, precision, scale), F.lit(0).cast(f"decimal({precision},{scale})")) for c in cols]
-    return reduce(add, parts).cast(f"decimal({precision + 2},{scale})")
+    return total_node(cols, precision, scale).column()
+
+
+def any_negative_node(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Node:
+    tests = [call("coalesce", Infix("<", amount_node(c, precision, scale), Value(0)), False) for c in cols]
+    return reduce(lambda a, b: Infix("OR", a, b), tests)
 
 
 def any_negative(cols: Iterable[Column | str], precision: int = 10, scale: int = 2) -> Column:
     """True if a readable component is below zero; unreadable ones do not count."""
-    return reduce(or_, [F.coalesce(amount(c, precision, scale) < 0, F.lit(False)) for c in cols])
+    return any_negative_node(cols, precision, scale).column()

@@ -63,13 +63,8 @@ def upsert(
     merged by one full outer join, which shuffles each side once.
     """
     keys = list(keys)
-    rest = [c for c in target.columns if c not in keys]
+    rest, overwrite, fill = _roles(target, source, keys, update, insert)
     given = [c for c in rest if c in source.columns]
-    for wanted in (update, insert):
-        if wanted is not None and set(wanted) - set(given) - set(keys):
-            raise ValueError(f"source lacks {sorted(set(wanted) - set(given) - set(keys))}")
-    overwrite = set(given if update is None else update)
-    fill = set(given if insert is None else insert)
     rows = check_source(source, keys) if unique_rows is None else unique_rows
     target_rows = target.count() if target_rows is None else target_rows
     if target_rows == 0:  # first load: nothing to match
@@ -169,6 +164,48 @@ def max_key(target: DataFrame, key_col: str) -> int | None:
     return target.agg(F.max(key_col)).first()[0]
 
 
+def fold(target: DataFrame, source: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
+    """Both sides by key, from one shuffle: ``part``, the keys, and the other columns as the structs ``old`` and ``new``.
+
+    ``part`` is a column of both sides that depends on the keys alone. The rows are dealt by it, so what is made
+    of them can be written part by part without another shuffle. Each side holds a key once; a struct is null where its side
+    has no row.
+    """
+    keys = list(keys)
+    sides = []
+    for df, name in ((target, "old"), (source, "new")):
+        rest = [c for c in df.columns if c not in keys and c != part]
+        sides.append(df.select(part, *keys, F.struct(*rest, F.lit(True).alias("__there")).alias(name)))
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True).repartition(part)
+    return both.groupBy(part, *keys).agg(*[F.first(name, ignorenulls=True).alias(name) for name in ("old", "new")])
+
+
+def upsert_parts(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], part: str, update: Sequence[str] | None = None, insert: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`upsert` of rows that are dealt by ``part``, which the result keeps: one shuffle of each side."""
+    rest, overwrite, fill = _roles(target, source, [*keys, part], update, insert)
+    old, new = (lambda c: F.col(f"old.{c}")), (lambda c: F.col(f"new.{c}") if c in source.columns else F.lit(None))
+
+    def value(c: str) -> Column:
+        matched = new(c) if c in overwrite else old(c)
+        added = new(c) if c in fill else F.lit(None)
+        return _typed(target, c, F.when(F.col("new").isNull(), old(c)).when(F.col("old").isNull(), added).otherwise(matched))
+
+    folded = fold(target, source, keys, part)
+    return folded.select(*[value(c) if c in rest else _typed(target, c, F.col(c)) for c in target.columns])
+
+
+def _roles(target: DataFrame, source: DataFrame, keys: Sequence[str], update, insert) -> tuple[list[str], set[str], set[str]]:
+    """The target's columns that are no keys, those a match overwrites, and those a new row fills."""
+    rest = [c for c in target.columns if c not in keys]
+    given = [c for c in rest if c in source.columns]
+    for wanted in (update, insert):
+        if wanted is not None and set(wanted) - set(given) - set(keys):
+            raise ValueError(f"source lacks {sorted(set(wanted) - set(given) - set(keys))}")
+    return rest, set(given if update is None else update), set(given if insert is None else insert)
+
+
 @dataclass(frozen=True)
 class Merged:
     """The rows of a merge, how many of them got a new key, and its ``changes``: old and new image per merged row."""
@@ -179,30 +216,31 @@ class Merged:
 
 
 def keyed_upsert(
-    target: DataFrame, source: DataFrame, natural_key: str, key_col: str, target_rows: int, source_rows: int, top: int = 0
+    target: DataFrame, source: DataFrame, natural_key: str, key_col: str, part: str, target_rows: int, source_rows: int, top: int = 0
 ) -> Merged:
-    """Upsert of rows that hold each natural key once, with surrogate keys.
+    """Upsert of rows that hold each natural key once, with surrogate keys; ``part`` as in :func:`fold`.
 
-    One full outer join gives the keys in use, the merged rows and what was there before; it is staged, and only its new rows are
+    One shuffle of both sides gives the keys in use, the merged rows and what was there before; that is staged, and only its new rows are
     numbered, from ``top + 1``. Columns that the source lacks keep their value. ``target`` may be a part of a table as long as it has all rows of the
     source's keys. ``source_rows`` may be an upper bound. The images of the changes have all columns but the surrogate key.
     """
-    plain = [c for c in target.columns if c != key_col]
+    plain = [c for c in target.columns if c not in (key_col, part)]
     if target_rows == 0:
         numbered = assign_keys(source, natural_key, key_col, top, key_buckets(source_rows))
         numbered, found = stage_observed(conform_to(numbered, target), f"first-{key_col}", rows=F.count(F.lit(1)))
         image = F.struct(*plain)
         return Merged(numbered, found["rows"], numbered.select(natural_key, F.when(F.lit(False), image).alias("old"), image.alias("new")))
-    given = [c for c in source.columns if c != natural_key]
-    new = source.select(natural_key, *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__new"))
-    held = target.withColumn("__old", F.struct(*plain))
-    both = held.join(new, natural_key, "full")
+    folded = fold(target, source, [natural_key], part)
 
     def value(c: str) -> Column:
-        merged = F.when(F.col("__new"), F.col(f"__s_{c}")).otherwise(F.col(c)) if c in given else F.col(c)
+        if c in (natural_key, part):
+            return F.col(c)
+        merged = F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) if c in source.columns else F.col(f"old.{c}")
         return merged.cast(target.schema[c].dataType).alias(c)
 
-    merged = both.select(*map(value, target.columns), "__old", F.coalesce("__new", F.lit(False)).alias("__new"))
+    image = F.struct(*[F.col(c) if c == natural_key else F.col(f"old.{c}").alias(c) for c in plain])
+    before = F.when(F.col("old").isNotNull(), image).alias("__old")
+    merged = folded.select(*map(value, target.columns), before, F.col("new").isNotNull().alias("__new"))
     merged, found = stage_observed(merged, f"keys-{key_col}", new=F.count_if(F.col(key_col).isNull()))
     changes = merged.where("__new").select(natural_key, F.col("__old").alias("old"), F.struct(*plain).alias("new"))
     rows = merged.select(*target.columns)

@@ -28,7 +28,7 @@ from stratalake.plans.tables import file_columns, schema_of
 from stratalake.sources.csv_layer import physical_schema
 from stratalake.sources.ledger import REJECT_SCHEMA, FileLoader, file_in, glob_for
 from stratalake.sources.staging import stage, stage_observed, stage_scope
-from stratalake.sources.store import TableStore
+from stratalake.sources.store import PART, TableStore
 
 # The visit checks, their labels, and the alert limit.
 AMOUNTS = ("consultation_fee", "medicine_cost", "lab_cost")
@@ -233,7 +233,7 @@ class VisitWarehouse:
     def _create_reports(self) -> None:
         """The changes of the fact, and for each kept report its sums."""
         fact = schema_of(CLEAN, FACT)
-        image = T.StructType([f for f in fact.fields if f.name != "visit_key"])
+        image = T.StructType([T.StructField(f.name, f.dataType) for f in fact.fields if f.name != "visit_key"])
         self.store.create(CLEAN, CHANGES, T.StructType().add("visit_id", "string").add("old", image).add("new", image))
         blank = self.spark.createDataFrame([], fact)
         for name, (by, sums) in _kept().items():
@@ -455,7 +455,7 @@ class VisitWarehouse:
         top = self.store.marks(CLEAN, table).get("top_key", 0)
 
         def build(held: DataFrame, fresh: DataFrame, held_rows: int):
-            merged = keyed_upsert(held, fresh, natural_key, key_col, held_rows, self.store.rows(VALIDATED_LAYER, source), top)
+            merged = keyed_upsert(held, fresh, natural_key, key_col, PART, held_rows, self.store.rows(VALIDATED_LAYER, source), top)
             if note is not None:
                 note(merged.changes)
             return merged.rows, {"top_key": top + merged.new}
@@ -503,10 +503,15 @@ class VisitWarehouse:
         if not pending and not held:
             return
         rows = resolved.where(_unresolved()).select("visit_id", *[natural for _, natural, _ in DIMENSIONS])
+        seen = self._top_keys()  # what these rows were looked up in
         if since_last and held:
             before = self.store.read(CLEAN, PENDING)
-            rows = rows.unionByName(before.join(resolved.select("visit_id"), "visit_id", "left_anti"))
-        self.store.publish(CLEAN, PENDING, rows)
+            rows, seen = rows.unionByName(before.join(resolved.select("visit_id"), "visit_id", "left_anti")), {}
+        self.store.publish(CLEAN, PENDING, rows, marks=seen)
+
+    def _top_keys(self) -> dict[str, int]:
+        """The highest key in use of each dimension, by the key's name."""
+        return {key: self.store.marks(CLEAN, dim).get("top_key", 0) for dim, _, key in DIMENSIONS}
 
     def resolve_pending(self) -> int:
         """Give visits their keys whose patient or doctor has come since; returns how many visits changed.
@@ -516,8 +521,7 @@ class VisitWarehouse:
         """
         if not self.store.exists(CLEAN, PENDING):
             return 0
-        tops = {key: self.store.marks(CLEAN, dim).get("top_key", 0) for dim, _, key in DIMENSIONS}
-        seen = self.store.marks(CLEAN, PENDING)
+        tops, seen = self._top_keys(), self.store.marks(CLEAN, PENDING)
         if not self.store.rows(CLEAN, PENDING) or all(tops[k] <= seen.get(k, 0) for k in tops):
             return 0
         now, load = self._now(), uuid.uuid4().hex
@@ -529,18 +533,18 @@ class VisitWarehouse:
                 small = tops[key] - seen.get(key, 0) <= BROADCAST_ROWS // 4  # keys are dense, and names of 50 characters at most
                 hits = hits.join(F.broadcast(newer) if small else newer, natural, "left")
             any_found = F.coalesce(*[F.col(f"new_{key}") for *_, key in DIMENSIONS]).isNotNull()
-            hits, found = stage_observed(hits.where(any_found), "late-keys", rows=F.count(F.lit(1)))
+            hits, found = stage_observed(hits.where(any_found), "late-keys", rows=F.count(F.lit(1)), **self.store.touching(CLEAN, FACT))
             if found["rows"]:
-                self._set_keys(hits, now, load)
+                self._set_keys(hits, now, load, self.store.touched(found))
             # a row leaves when both of its keys are known, now or from before
             fact = self.store.matching(CLEAN, FACT, pending, ["visit_id"]).select("visit_id", *tops)
             left = pending.join(fact, "visit_id").where(_unresolved()).select(*pending.columns)
             self.store.publish(CLEAN, PENDING, left, marks=tops)
         return found["rows"]
 
-    def _set_keys(self, hits: DataFrame, now: int, load: str) -> None:
+    def _set_keys(self, hits: DataFrame, now: int, load: str, touched: Collection[int]) -> None:
         """Set the keys found on the rows of the fact that lack them."""
-        held = self.store.matching(CLEAN, FACT, hits, ["visit_id"])
+        held = self.store.matching(CLEAN, FACT, hits, ["visit_id"], touched)
         both = held.join(hits.select("visit_id", *[f"new_{key}" for *_, key in DIMENSIONS]), "visit_id")
         keys = {key: F.coalesce(F.col(key), F.col(f"new_{key}")) for *_, key in DIMENSIONS}
         changed = stage(both.withColumns({**{f"old_{c}": F.col(c) for c in keys}, **keys, "load_ts": _time(now)}), "with-keys")
@@ -548,7 +552,8 @@ class VisitWarehouse:
         new = [F.col(c) for c in held.columns if c != "visit_key"]
         if (note := self._noting(load)) is not None:
             note(changed.select("visit_id", F.struct(*old).alias("old"), F.struct(*new).alias("new")))
-        self.store.merge(CLEAN, FACT, changed.select(*held.columns), ["visit_id"], staged=True, load=load)
+        rows = changed.select(*held.columns)
+        self.store.merge(CLEAN, FACT, rows, ["visit_id"], unique_rows=1, staged=True, touched=touched, load=load)
 
     def run(self, directory: str, since_last: bool = False) -> None:
         """Everything from the delivered files to the star schema, in order.

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions.values import amount
+from stratalake.operators.bucketed import lookup_bucketed, merge_bucketed, write_bucketed
 from stratalake.registry.roles import MONEY, table
 from stratalake.session import work_dir
 from stratalake.sources.csv_layer import physical_schema, read_csv_layer
 from stratalake.sources.ledger import FileLoader, file_in, list_files
 from stratalake.sources.store import TableStore
 
+BUCKETS = 8
 COLUMNS = ["bill_id", "patient_id", "bill_amount", "bill_date", "note"]
 FILE_SCHEMA = physical_schema(COLUMNS, padding=2)
 RAW_SCHEMA = T.StructType(
@@ -224,6 +228,61 @@ def table_merge(spark, d):
     return store.read("clean", "customer")
 
 
+def csv_quoted_line_breaks(spark, d):
+    """Notes of two lines inside quotes, in files that are read by several tasks each."""
+    folder = work_dir(spark, "bills-quoted")
+    two_lines = F.concat(F.col("o_orderpriority"), F.lit('\n"second", line'))
+    lines = table(spark, d, "orders").select(
+        F.concat(F.lit("B"), F.col("o_orderkey")).alias("bill_id"), F.col("o_custkey").cast("string").alias("patient_id"),
+        F.lit("1").alias("bill_amount"), F.lit("d").alias("bill_date"), F.when(F.col("o_orderstatus") != "F", two_lines).alias("note"),
+        *[F.lit(None).cast("string").alias(c) for c in ("_x1", "_x2")],
+    )
+    lines.write.option("header", True).option("escape", '"').csv(folder)
+    good, _ = read_csv_layer(spark, folder, FILE_SCHEMA, loaded_columns(), stamp(), multi_line=True)
+    return good.select("bill_id", "patient_id", "note")
+
+
+def load_counts(spark, d):
+    """Rows loaded and set aside by status of the order, as the load counted them while it wrote."""
+    folder = work_dir(spark, "bills-counted")
+    orders = table(spark, d, "orders")
+    out = None
+    for status in ("F", "O", "P"):
+        fields = F.concat_ws(",", F.concat(F.lit("B"), F.col("o_orderkey")), F.col("o_custkey"), F.lit("1"), F.lit("d"))
+        broken = F.col("o_orderpriority") == "2-HIGH"
+        line = F.when(broken, F.concat(fields, F.lit(',"open'))).otherwise(F.concat(fields, F.lit(",n,,")))
+        lines = orders.where(F.col("o_orderstatus") == status).select(line.alias(",".join([*COLUMNS, "", ""])))
+        lines.write.option("header", True).option("quote", "").option("sep", "\t").csv(f"{folder}/{status}")
+        store = TableStore(spark, work_dir(spark, "bills-counted-store"))
+        store.create("raw", "bills", RAW_SCHEMA)
+        FileLoader(store).load("raw", "bills", f"{folder}/{status}/part*", FILE_SCHEMA, loaded_columns(), stamp())
+        counted = (status, store.rows("raw", "bills"), store.marks("raw", "bills")["set_aside"])
+        row = spark.createDataFrame([counted], "o_orderstatus string, loaded long, set_aside long")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def table_merge_bucketed(spark, d):
+    """Orders of the later days and changed ones merged onto the earlier ones, both bucketed by key."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast(MONEY).alias("price"))
+    old = orders.where(F.col("o_custkey") % 3 != 0)
+    delta = orders.where(F.col("o_custkey") % 3 < 2).withColumn("o_orderstatus", F.lit("X"))
+    names = [f"bucketed_{uuid.uuid4().hex[:12]}" for _ in range(2)]
+    held = write_bucketed(old, names[0], work_dir(spark, names[0]), ["o_orderkey"], BUCKETS)
+    return merge_bucketed(held, delta, ["o_orderkey"], names[1], work_dir(spark, names[1]), BUCKETS)
+
+
+def resolve_keys_bucketed(spark, d):
+    """Order lines and parts bucketed by the part's key: the lookup shuffles neither."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = table(spark, d, "part").where(F.col("p_size") > 10).select("p_partkey", "p_brand")
+    made = []
+    for rows, key in ((lines, "l_partkey"), (parts, "p_partkey")):
+        name = f"bucketed_{uuid.uuid4().hex[:12]}"
+        made.append(write_bucketed(rows, name, work_dir(spark, name), [key], BUCKETS))
+    return lookup_bucketed(*made, "l_partkey", "p_partkey", "p_brand")
+
+
 _BILLS_SQL = """(SELECT 'B' || CAST(o_orderkey AS VARCHAR) AS bill_id, CAST(o_custkey AS VARCHAR) AS patient_id,
     CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS bill_amount,
     strftime(o_orderdate, '%d-%m-%Y') AS bill_date, CASE o_orderpriority WHEN '1-URGENT' THEN NULL
@@ -244,6 +303,10 @@ QUERIES = {
     "table_drop_column": table_drop_column,
     "table_truncate": table_truncate,
     "table_merge": table_merge,
+    "table_merge_bucketed": table_merge_bucketed,
+    "resolve_keys_bucketed": resolve_keys_bucketed,
+    "csv_quoted_line_breaks": csv_quoted_line_breaks,
+    "csv_load_counts": load_counts,
 }
 
 ORACLE = {
@@ -263,6 +326,14 @@ ORACLE = {
     "csv_truncate_and_reload": "SELECT 'B' || o_orderkey AS bill_id, (SELECT count(*) FROM orders) AS rows_then FROM orders",
     "csv_one_named_file": f"SELECT bill_id, bill_amount FROM {_BILLS_SQL} WHERE o_orderstatus = 'F'",
     "staged_file_list": "SELECT DISTINCT o_orderstatus, true AS has_bytes FROM orders",
+    "csv_quoted_line_breaks": """SELECT 'B' || o_orderkey AS bill_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority || chr(10) || '"second", line' END AS note FROM orders""",
+    "csv_load_counts": """SELECT o_orderstatus, count(*) FILTER (o_orderpriority <> '2-HIGH') AS loaded,
+        count(*) FILTER (o_orderpriority = '2-HIGH') AS set_aside FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 1""",
+    "table_merge_bucketed": """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 < 2 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+        CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders""",
+    "resolve_keys_bucketed": """SELECT l_orderkey, l_linenumber, l_partkey, p_brand
+        FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey""",
     "table_append": "SELECT * FROM customer",
     "table_drop_column": "SELECT * EXCLUDE (c_mktsegment) FROM customer",
     "table_merge": "SELECT * REPLACE (CASE WHEN c_acctbal < 0 THEN c_name ELSE 'old' END AS c_name) FROM customer",

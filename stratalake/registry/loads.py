@@ -7,6 +7,8 @@ some states come again changed, and so on.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from stratalake.functions.rules import BAD, VALIDATED, validate_struct
@@ -303,26 +305,104 @@ def _diagnoses(spark, d):
     )
 
 
-def _two_loads(spark, d) -> VisitWarehouse:
-    """Five feeds delivered as files, all layers; then a second delivery of visits, and all layers again."""
-    work = work_dir(spark, "visit-layers")
-    files = f"{work}/files"
-    parts = table(spark, d, "part").select(
-        F.concat(F.lit("P"), F.col("p_partkey")).alias("patient_id"), F.col("p_name").alias("full_name"), F.col("p_type").alias("city")
-    )
+def _deliver_rest(spark, d, files: str, patients) -> None:
+    """All feeds but the visits; ``patients`` are those delivered."""
     doctors = doctor_dim(spark, d).select(F.concat(F.lit("D"), F.col("doctor_key")).alias("doctor_id"), "doctor_name", "department")
-    _deliver(parts, files, "RAW_DIM_PATIENT.csv", 2)
+    _deliver(patients, files, "RAW_DIM_PATIENT.csv", 2)
     _deliver(doctors, files, "RAW_DIM_DOCTOR.csv", 3)
     _deliver(_bills(spark, d), files, "RAW_BILLING.csv", 2)
     _deliver(_diagnoses(spark, d), files, "RAW_DIAGNOSIS.csv", 2)
+
+
+def _patients(spark, d):
+    return table(spark, d, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey")).alias("patient_id"), F.col("p_name").alias("full_name"), F.col("p_type").alias("city")
+    )
+
+
+def _deliver_visits(visits, files: str, name: str) -> None:
+    _deliver(visits.withColumn("total_bill", F.lit(None).cast("string")), files, f"{name}.csv", 0)
+
+
+def _two_loads(spark, d) -> VisitWarehouse:
+    """Five feeds delivered as files, all layers; then a second delivery of visits, and all layers again."""
+    work = work_dir(spark, "visit-layers")
+    files = f"{work}/files"
+    _deliver_rest(spark, d, files, _patients(spark, d))
     wh = VisitWarehouse(spark, f"{work}/warehouse")
     wh.create_tables()
     for name, visits in (("RAW_PATIENT_VISITS_1", _first_delivery), ("RAW_PATIENT_VISITS_2", _second_delivery)):
-        _deliver(visits(spark, d).withColumn("total_bill", F.lit(None).cast("string")), files, f"{name}.csv", 0)
+        _deliver_visits(visits(spark, d), files, name)
         wh.run(files)
     return wh
 
 
+def _late_and_changed(spark, d) -> VisitWarehouse:
+    """Two deliveries taken in by load, the star by what is new: half of the patients come with the second one only."""
+    work = work_dir(spark, "late-keys")
+    files, late = f"{work}/files", f"{work}/late"
+    patients = _patients(spark, d)
+    odd = F.substring("patient_id", 2, 20).cast("long") % 2 == 1
+    _deliver_rest(spark, d, files, patients.where(odd))
+    _deliver(patients.where(~odd), late, "RAW_DIM_PATIENT.csv", 2)
+    wh = VisitWarehouse(spark, f"{work}/warehouse", watermark_policy="by_load", keep_reports=True)
+    wh.create_tables()
+    _deliver_visits(_first_delivery(spark, d), files, "RAW_PATIENT_VISITS_1")
+    wh.run(files, since_last=True)
+    _deliver_visits(_second_delivery(spark, d), late, "RAW_PATIENT_VISITS_2")
+    wh.run(late, since_last=True)
+    return wh
+
+
+def late_dimension_keys(spark, d):
+    """The fact of :func:`_late_and_changed`: visits of the first load have got the keys of patients of the second."""
+    return _natural_fact(_late_and_changed(spark, d))
+
+
+def kept_reports(spark, d):
+    """Four reports from sums that each merge adjusted by what it changed."""
+    wh = _late_and_changed(spark, d)
+    money = F.col("total_revenue").cast("decimal(18,2)").alias("total_revenue")
+    none = F.lit(None).cast("decimal(18,2)").alias("total_revenue")
+
+    def rows(report, name, label, revenue):
+        return report.select(F.lit(name).alias("report"), F.col(label).cast("string").alias("label"), "total_visits", revenue)
+
+    return (
+        rows(wh.kept_doctor_productivity(), "doctor", "doctor_name", money)
+        .unionByName(rows(wh.kept_department_performance(), "department", "department", money))
+        .unionByName(rows(wh.kept_repeat_patients(), "patient", "full_name", none))
+        .unionByName(rows(wh.kept_daily_trend(), "day", "visit_date", none))
+    )
+
+
+def intake_by_load(spark, d):
+    """A delivery that is stamped before the one already merged: taken in once, rows and quarantine, whatever its time."""
+    work = work_dir(spark, "by-load")
+    visits = raw_visits(spark, d)
+    early = F.trim("visit_id").rlike("-[12]$")
+    wh = VisitWarehouse(spark, f"{work}/warehouse", watermark_policy="by_load")
+    wh.create_tables(["raw_patient_visits", "validated_patient_visits", "bad_patient_data"])
+    for day, rows in ((9, visits.where(early)), (3, visits.where(~early))):
+        wh.clock = lambda day=day: datetime(2024, 6, day, tzinfo=timezone.utc)
+        _deliver_visits(rows, f"{work}/files", f"RAW_PATIENT_VISITS_{day}")
+        wh.load_files("raw_patient_visits", f"{work}/files/RAW_PATIENT_VISITS_{day}.csv")
+        for _ in range(2):
+            wh.quarantine()
+            wh.validate("visits")
+    good = wh.table("validated", "validated_patient_visits").select("visit_id", "total_charges", F.lit("validated").alias("outcome"))
+    bad = wh.table("validated", "bad_patient_data").select(F.trim("visit_id").alias("visit_id"), "total_charges", F.lit("quarantine").alias("outcome"))
+    return good.unionByName(bad)
+
+
+def _natural_fact(wh: VisitWarehouse):
+    """The fact with surrogate keys turned back into natural ones."""
+    fact = wh.table("clean", "fact_patient_visits")
+    for dim, key, natural in (("dim_patient", "patient_key", "patient_id"), ("dim_doctor", "doctor_key", "doctor_id")):
+        fact = fact.join(wh.table("clean", dim).select(key, natural), key, "left")
+    return fact.select("visit_id", "patient_id", "doctor_id", "visit_date", "total_charges")
+
+
 def visit_layers(spark, d):
     """Visits, quarantined rows, bills and diagnoses by group, after two loads."""
     wh = _two_loads(spark, d)
@@ -341,11 +421,7 @@ def visit_layers(spark, d):
 
 def second_load_fact(spark, d):
     """The fact after two loads, surrogate keys turned back into natural ones."""
-    wh = _two_loads(spark, d)
-    fact = wh.table("clean", "fact_patient_visits")
-    for dim, key, natural in (("dim_patient", "patient_key", "patient_id"), ("dim_doctor", "doctor_key", "doctor_id")):
-        fact = fact.join(wh.table("clean", dim).select(key, natural), key, "left")
-    return fact.select("visit_id", "patient_id", "doctor_id", "visit_date", "total_charges")
+    return _natural_fact(_two_loads(spark, d))
 
 
 def _one_feed(spark, d, raw: str, feed: str, rows):
@@ -417,11 +493,11 @@ _MERGED_SQL = _latest_sql(
     _desc("visit_date", "patient_id", *AMOUNTS, "total_charges", "status"),
     f"visit_id, patient_id, visit_date, {', '.join(AMOUNTS)}, total_charges, status AS billing_status",
 )
-_TWICE_SQL = f"""(SELECT *, CASE WHEN regexp_matches(trim(visit_id), '-[12]$') THEN 1 ELSE 2 END AS load_no FROM {RAW_SQL}
-    UNION ALL SELECT * REPLACE ('7' AS lab_cost, 'DEP-X' AS department_id), 2 FROM {RAW_SQL} WHERE regexp_matches(trim(visit_id), '-1$'))"""
+_TWICE_SQL = f"""(SELECT *, CASE WHEN regexp_matches(trim(visit_id), '-[12]$') THEN 1 ELSE 2 END AS load_no, false AS again FROM {RAW_SQL}
+    UNION ALL SELECT * REPLACE ('7' AS lab_cost, 'DEP-X' AS department_id), 2, true FROM {RAW_SQL} WHERE regexp_matches(trim(visit_id), '-1$'))"""
 _LAYERS_SQL = f"""(SELECT trim(visit_id) AS visit_id, trim(patient_id) AS patient_id,
     CASE WHEN NOT {missing_sql('doctor_id')} THEN trim(doctor_id) END AS doctor_id, trim(department_id) AS department_id,
-    {date_sql('visit_date')} AS visit_date, {_MONEY_COLS}, {sum_sql()} AS total_charges, load_no,
+    {date_sql('visit_date')} AS visit_date, {_MONEY_COLS}, {sum_sql()} AS total_charges, load_no, again,
     CASE WHEN {STATUS_SQL} = 'INVALID' THEN 'INVALID' ELSE 'VALID' END AS status
     FROM {_TWICE_SQL} WHERE NOT {missing_sql('patient_id')})"""
 _LAYERS_LATEST_SQL = _latest_sql(
@@ -463,6 +539,9 @@ QUERIES = {
     "lookup_validation_valid_large": lookup_valid_large,
     "visit_layers_end_to_end": visit_layers,
     "second_load_fact": second_load_fact,
+    "late_dimension_keys": late_dimension_keys,
+    "kept_reports": kept_reports,
+    "intake_by_load": intake_by_load,
     "validated_billing": validated_billing,
     "validated_diagnoses": validated_diagnoses,
 }
@@ -519,6 +598,19 @@ ORACLE = {
         UNION ALL SELECT 'bills ' || billing_status, count(*), CAST(sum(bill_amount) AS DECIMAL(18,2)) FROM {_BILLS_SQL} GROUP BY 1
         UNION ALL SELECT 'diagnoses ' || notes, count(*), NULL FROM {_DIAGNOSES_SQL} GROUP BY 1""",
     "second_load_fact": f"""SELECT visit_id, patient_id, doctor_id, visit_date, total_charges FROM ({_LAYERS_LATEST_SQL})""",
+    "late_dimension_keys": f"""SELECT visit_id, patient_id, doctor_id, visit_date, total_charges FROM ({_LAYERS_LATEST_SQL})""",
+    "kept_reports": f"""WITH v AS ({_LAYERS_LATEST_SQL}), d AS (SELECT v.*, doctor_name, department
+            FROM v JOIN {DOCTOR_SQL} d ON v.doctor_id = 'D' || CAST(d.doctor_key AS VARCHAR))
+        SELECT 'doctor' AS report, doctor_name AS label, count(*) AS total_visits,
+            CAST(sum(total_charges) AS DECIMAL(18,2)) AS total_revenue FROM d GROUP BY doctor_name
+        UNION ALL SELECT 'department', department, count(*), CAST(sum(total_charges) AS DECIMAL(18,2)) FROM d GROUP BY department
+        UNION ALL SELECT 'patient', p_name, count(*), NULL FROM v JOIN part ON patient_id = 'P' || p_partkey GROUP BY p_name
+        UNION ALL SELECT 'day', CAST(visit_date AS VARCHAR), count(*), NULL FROM v GROUP BY visit_date""",
+    "intake_by_load": f"""SELECT visit_id, total_charges, 'validated' AS outcome FROM (
+            SELECT *, row_number() OVER (PARTITION BY visit_id ORDER BY
+                {_desc("patient_id", "doctor_id", "department_id", "visit_date", *AMOUNTS, "total_charges", "status")}) AS pos
+            FROM {_LAYERS_SQL} WHERE NOT again) WHERE pos = 1
+        UNION ALL SELECT trim(visit_id), {sum_sql()}, 'quarantine' FROM {RAW_SQL} WHERE {missing_sql('patient_id')}""",
     "validated_billing": f"SELECT * FROM {_BILLS_SQL}",
     "validated_diagnoses": f"SELECT * FROM {_DIAGNOSES_SQL}",
 }

@@ -14,6 +14,7 @@ from stratalake.streaming.streams import (
     stream_alerts,
     stream_daily_counts,
     stream_dedup,
+    stream_orphans,
     stream_upsert,
 )
 
@@ -83,7 +84,24 @@ def csv_once(spark, d):
     return spark.read.schema(RAW_SCHEMA).parquet(f"{work}/raw").select(*COLUMNS)
 
 
+WAIT_HOURS = 6
+
+
+def orphan_purchases(spark, d):
+    """Purchases without a click of the same user within some hours, as far as the watermarks have come."""
+    work = work_dir(spark, "stream-orphans")
+    schema = table(spark, d, "events").schema
+    table(spark, d, "events").repartition(4, "user_id").write.parquet(f"{work}/in")
+    events = spark.readStream.schema(schema).parquet(f"{work}/in").withColumn("ts", as_event_time("ts"))
+    kinds = [events.where(F.col("event_type") == kind) for kind in ("purchase", "click")]
+    stream_orphans(
+        kinds[0], "ts", kinds[1], "ts", "user_id", "user_id", f"{WAIT_HOURS} HOURS", "1 hour", f"{work}/out", f"{work}/checkpoint"
+    ).awaitTermination()
+    return _back(spark.read.schema(events.schema).parquet(f"{work}/out"))
+
+
 QUERIES = {
+    "stream_orphan_rows": orphan_purchases,
     "stream_incremental_upsert": incremental_upsert,
     "stream_high_value_alerts": high_value_alerts,
     "stream_dedup": dedup_copies,
@@ -91,7 +109,13 @@ QUERIES = {
     "stream_csv_load_once": csv_once,
 }
 
+# A row is given out once no match can come any more: the watermark, in whole milliseconds, has passed its span.
+_PASSED_SQL = f"""(SELECT date_trunc('milliseconds', least(max(ts) FILTER (event_type = 'purchase'), max(ts) FILTER (event_type = 'click')))
+    - INTERVAL 1 HOUR - INTERVAL {WAIT_HOURS} HOUR FROM events)"""
 ORACLE = {
+    "stream_orphan_rows": f"""SELECT * FROM events p WHERE event_type = 'purchase' AND ts < {_PASSED_SQL} AND NOT EXISTS (
+        SELECT 1 FROM events c WHERE c.event_type = 'click' AND c.user_id = p.user_id
+        AND c.ts BETWEEN p.ts - INTERVAL {WAIT_HOURS} HOUR AND p.ts + INTERVAL {WAIT_HOURS} HOUR)""",
     "stream_incremental_upsert": """SELECT event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS pos FROM events)
         WHERE pos = 1""",

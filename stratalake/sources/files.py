@@ -37,6 +37,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _at(spark, path)
+    return files.exists(where)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file, or a folder with all that is in it, if it is there."""
     where, files = _at(spark, path)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.upsert import upsert
+from stratalake.operators.upsert import check_source, upsert, upsert_parts
 from stratalake.sources.files import delete, folders, read_text, write_text
 from stratalake.sources.staging import observed, stage, stage_scope
 
@@ -62,12 +62,14 @@ class TableStore:
         writes = [w for w in pointer["writes"] if w.get("side") == side]
         return self._files(layer, table, pointer | {"schema": schema.jsonValue()}, writes).select(*schema.names)
 
-    def matching(self, layer: str, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """The rows that hold a key of ``source``; of a table split by the keys only their folders are read."""
+    def matching(
+        self, layer: str, table: str, source: DataFrame, keys: Sequence[str], touched: Collection[int] | None = None
+    ) -> DataFrame:
+        """The rows that hold a key of ``source``; of a table split by the keys only their folders are read (``touched``, if known)."""
         pointer = self._known(layer, table)
         writes = _own(pointer)
         if pointer["parts"] and pointer["part_keys"] == list(keys):
-            touched = _touched(source, keys, pointer["parts"])
+            touched = _touched(source, keys, pointer["parts"]) if touched is None else touched
             writes = [w for w in writes if w["part"] in touched]
         held = self._files(layer, table, pointer, writes).select(*_schema(pointer).names)
         return held.join(source.select(*keys).distinct(), list(keys), "left_semi").select(*_schema(pointer).names)
@@ -162,24 +164,33 @@ class TableStore:
 
         In a table split by the same keys only the folders that the source's
         keys hash to are read and written anew; ``touched`` names them if they are known (:meth:`touching`).
-        ``build`` makes another merge than an upsert: from those folders' rows, the source, and how many the former
-        are, it makes the new rows and marks.
+        ``build`` makes another merge than an upsert: from those folders' rows, the source, both with their folder in
+        ``PART``, and how many the former are, it makes the new rows and marks; it sees to unique keys itself.
         """
         pointer = self._known(layer, table)
         with stage_scope(self.spark):
             source = source if staged else stage(source, f"{table}-source")
-            writes, by_folder = _own(pointer), bool(pointer["parts"] and pointer["part_keys"] == list(keys) and _own(pointer))
-            if by_folder:
-                touched = _touched(source, keys, pointer["parts"]) if touched is None else set(touched)
-                writes = [w for w in writes if w["part"] in touched]
-            held = self._files(layer, table, pointer, writes).select(*_schema(pointer).names)
-            held_rows, more = sum(w["rows"] for w in writes), {}
-            if build is None:
-                merged = upsert(held, source, keys, update, insert, unique_rows, target_rows=held_rows)
+            if not pointer["parts"] or pointer["part_keys"] != list(keys):
+                merged = upsert(self.read(layer, table), source, keys, update, insert, unique_rows, target_rows=self.rows(layer, table))
+                writes, _ = self._write(layer, table, pointer, merged)
+                self._point(layer, table, pointer | {"writes": writes}, load, marks)
+                return
+            if unique_rows is None and build is None:
+                check_source(source, keys)
+            if touched is None:
+                touched = _touched(source, keys, pointer["parts"]) if pointer["writes"] else ()
+            old, kept = ([w for w in pointer["writes"] if (w["part"] in touched) == is_old] for is_old in (True, False))
+            held = self._files(layer, table, pointer, old).select(*_schema(pointer).names, PART)
+            source = source.withColumn(PART, _part(keys, pointer["parts"]))
+            more: Mapping = {}
+            if build is not None:
+                merged, more = build(held, source, sum(w["rows"] for w in old))
+            elif old:
+                merged = upsert_parts(held, source, keys, PART, update, insert)
             else:
-                merged, more = build(held, source, held_rows)
-            kept = [w for w in _own(pointer) if by_folder and w["part"] not in touched]
-            writes, _ = self._write(layer, table, pointer, merged)
+                merged = upsert(held, source, keys, update, insert, unique_rows or 0, target_rows=0)
+            # what comes from a fold is dealt by part already
+            writes, _ = self._write(layer, table, pointer, merged, dealt=build is None and bool(old))
             self._point(layer, table, pointer | {"writes": kept + writes}, load, {**(marks or {}), **more})
 
     def touching(self, layer: str, table: str) -> dict[str, Column]:
@@ -260,12 +271,13 @@ class TableStore:
         load: str | None = None,
         side: Column | None = None,
         measures: Mapping[str, Column] | None = None,
+        dealt: bool = False,
     ) -> tuple[list[dict], dict]:
         """Write rows to a new folder: its entries for the pointer (none without rows), and what was measured on the way."""
         name, note = f"{WRITE}={uuid.uuid4().hex[:12]}", {"load": load} if load else {}
         path, parts, own = self._path(layer, table, name), pointer["parts"], f"{SIDE}={OWN}"
         counts = {"rows": F.count(F.lit(1)) if side is None else F.count_if(side.isNull()), "every": F.count(F.lit(1))}
-        if parts:
+        if parts and not dealt:
             df = df.withColumn(PART, _part(pointer["part_keys"], parts)).repartition(PART)
         counted, observation = observed(df, **counts, **(measures or {}))
         if parts:
@@ -287,11 +299,11 @@ class TableStore:
 
     def _files(self, layer: str, table: str, pointer: dict, writes: Sequence[Mapping]) -> DataFrame:
         schema = _schema(pointer)
-        if not writes:
-            return self.spark.createDataFrame([], schema)
         # columns that only lay out the files, read from their paths
         layout = [T.StructField(WRITE, T.StringType())]
         layout.append(T.StructField(PART, T.IntegerType()) if pointer["parts"] else T.StructField(SIDE, T.StringType()))
+        if not writes:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *layout]))
         base = self._path(layer, table, "").rstrip("/")
         reader = self.spark.read.schema(T.StructType([*schema.fields, *layout])).option("basePath", base)
         return reader.parquet(*[f"{base}/{w['path']}" for w in writes])

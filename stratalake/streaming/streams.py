@@ -8,6 +8,7 @@ folder holds what has been read, so a restarted query goes on where it stopped.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -15,10 +16,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from stratalake.operators.incremental import dedup_latest
-from stratalake.sources.staging import stage, stage_scope
+from stratalake.sources.files import exists
+from stratalake.sources.staging import stage_observed, stage_scope
 from stratalake.sources.store import TableStore
 
+# Keeps the state of a query on the executors' disks and in the checkpoint, not in their memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@dataclass(frozen=True)
+class Running:
+    """Queries that belong together."""
+
+    queries: Sequence[StreamingQuery]
+
+    def awaitTermination(self) -> None:
+        for query in self.queries:
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
 
 def as_event_time(col: str) -> Column:
     """Watermarks need a ``timestamp``; a zone-less one is read in the session zone."""
@@ -34,6 +54,12 @@ def _to_files(rows: DataFrame, out: str, checkpoint: str, continuous: bool) -> S
     return _start(rows.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint, continuous)
 
 
+def _greatest_row(columns: Sequence[str], order_col: str) -> Column:
+    """The whole row with the greatest ``order_col``, ties by the other columns, NULL above all: as one maximum."""
+    first = [order_col, *[c for c in columns if c != order_col]]
+    return F.max(F.struct(*[x for c in first for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))]))
+
+
 def stream_upsert(
     stream: DataFrame,
     store: TableStore,
@@ -43,33 +69,49 @@ def stream_upsert(
     order_col: str,
     checkpoint: str,
     continuous: bool = False,
-) -> StreamingQuery:
+    state_store: str = ROCKSDB,
+) -> Running:
     """Merge each micro-batch into an existing table; the row with the greatest ``order_col`` stays.
 
-    That holds within a batch, between batches and against what the table held
-    before, ties settled by the other columns; so files may come in any
+    The latest row of each key is the state of the query, an aggregate that is kept in the state store, so no file of
+    the table is read to find it. A batch gives the rows of the keys it held, and only the folders those fall into are written.
+    It holds within a batch, between batches and against what the table held
+    before, whose rows are the state's first ones; ties are settled by the other columns. So files may come in any
     order, and a batch that is replayed after a failure changes nothing. Rows with
-    a NULL in a key go to the table ``<table>_rejected``. In a table split by the
-    keys only the folders the batch falls into are read and written.
+    a NULL in a key go to the table ``<table>_rejected``, by a query of their own, each batch once.
     """
-    columns = store.read(layer, table).columns
-    rejected = f"{table}_rejected"
+    spark = stream.sparkSession
+    columns, schema = store.read(layer, table).columns, store.read(layer, table).schema
+    rejected, rest = f"{table}_rejected", [c for c in columns if c not in keys]
     if not store.exists(layer, rejected):
-        store.create(layer, rejected, store.read(layer, table).schema)
+        store.create(layer, rejected, schema)
+    if not exists(spark, f"{checkpoint}-held"):
+        store.read(layer, table).write.parquet(f"{checkpoint}-held")
     keyless = reduce(or_, [F.col(k).isNull() for k in keys])
+    held = spark.readStream.schema(schema).parquet(f"{checkpoint}-held")
+    rows = stream.select(*columns)
+    latest = held.unionByName(rows.where(~keyless)).groupBy(*keys).agg(_greatest_row(rest, order_col).alias("row"))
+    latest = latest.select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in columns])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        with stage_scope(batch.sparkSession):
-            batch = stage(batch.select(*columns), f"{table}-batch")
-            bad = batch.where(keyless)
-            if not bad.isEmpty():
-                store.append(layer, rejected, bad)
-            delta = stage(dedup_latest(batch.where(~keyless), keys, order_col), f"{table}-delta")
-            held = store.matching(layer, table, delta, keys)
-            latest = dedup_latest(held.select(*columns).unionByName(delta), keys, order_col)
-            store.merge(layer, table, latest, keys)
-
-    return _start(stream.writeStream.foreachBatch(merge), checkpoint, continuous)
+        with stage_scope(spark):
+            changed, found = stage_observed(batch, f"{table}-batch", rows=F.count(F.lit(1)), **store.touching(layer, table))
+            if found["rows"]:
+                store.merge(layer, table, changed, keys, unique_rows=found["rows"], staged=True, touched=store.touched(found))
+
+    def set_aside(batch: DataFrame, batch_id: int) -> None:
+        load = f"{checkpoint}-{batch_id}"
+        if load not in store.loads(layer, rejected):
+            store.append(layer, rejected, batch, load)
+
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, state_store)
+    try:
+        main = _start(latest.writeStream.outputMode("update").foreachBatch(merge), checkpoint, continuous)
+        aside = _start(rows.where(keyless).writeStream.foreachBatch(set_aside), f"{checkpoint}-rejected", continuous)
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+    return Running([main, aside])
 
 
 def stream_alerts(
@@ -111,3 +153,37 @@ def stream_daily_counts(
         .select(F.col("w.start").alias("day"), "total_visits")
     )
     return _to_files(daily, out, checkpoint, continuous)
+
+
+def stream_orphans(
+    rows: DataFrame,
+    row_time: str,
+    lookup: DataFrame,
+    lookup_time: str,
+    key: str,
+    lookup_key: str,
+    wait: str,
+    delay: str,
+    out: str,
+    checkpoint: str,
+    continuous: bool = False,
+    state_store: str = ROCKSDB,
+) -> StreamingQuery:
+    """Rows for which no row of ``lookup`` came within ``wait`` before or after them, among them rows without a key.
+
+    A left outer join of two streams, each with a watermark of ``delay``: a row is kept as state until the watermarks have passed the time
+    in which its match may still come, then it is written. State is what came in during the wait and the delays.
+    """
+    spark = rows.sparkSession
+    names = rows.columns
+    left = rows.withWatermark(row_time, delay).alias("l")
+    right = lookup.select(F.col(lookup_key).alias("__key"), F.col(lookup_time).alias("__time")).withWatermark("__time", delay).alias("r")
+    span = F.expr(f"__time BETWEEN l.{row_time} - INTERVAL {wait} AND l.{row_time} + INTERVAL {wait}")
+    joined = left.join(right, (F.col(f"l.{key}") == F.col("__key")) & span, "left_outer")
+    found = joined.where(F.col("__key").isNull()).select(*[F.col(f"l.{c}").alias(c) for c in names])
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, state_store)
+    try:
+        return _to_files(found, out, checkpoint, continuous)
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)

@@ -84,3 +84,12 @@ def test_validation_struct_and_sql_function_agree(spark):
 
 def test_text_status(spark):
     assert one(spark, [None, " ", "flu"], rules.text_status("s")) == ["INVALID", "INVALID", "VALID"]
+
+
+def test_a_rule_in_sql_needs_names():
+    from stratalake.functions.tree import Given, Value, call, node
+
+    assert node("a b").sql() == "`a b`" and Value("it's \\d").sql() == "'it\\'s \\\\d'" and Value(None).sql() == "NULL"
+    assert call("if", Value(True), 1, False).sql() == "if(TRUE, 1, FALSE)"
+    with pytest.raises(ValueError):
+        Given(None).sql()

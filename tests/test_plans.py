@@ -77,7 +77,7 @@ def test_hot_and_null_keys_scatter(spark, facts, no_broadcast):
 
 
 def test_key_numbering_never_ranks_all_rows_in_one_task(facts):
-    text = plan(assign_keys(facts.select("id"), "id", "sk"))
+    text = plan(assign_keys(facts.select("id"), "id", "sk", buckets=16))
     single = [x for x in text.splitlines() if "SinglePartition" in x]
     assert len(single) == 1  # the bucket sizes
     assert "BroadcastHashJoin" in text
