@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays
+from stratalake.llm.settle import small_batches
 from stratalake.sources.staging import stage
 
 SHINGLE = 5
@@ -227,7 +228,7 @@ def _each_shingle(texts: DataFrame) -> DataFrame:
 
 def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
     """The index of each block of items, as it is needed."""
-    spark = benchmark.sparkSession
+    spark = small_batches(benchmark).sparkSession
     # texts are told apart by their words
     words = F.trim(F.regexp_replace(F.translate("text", string.ascii_uppercase, string.ascii_lowercase), "[ \t-\r]+", " "))
     items = benchmark.where("text is not null and item_id is not null").select("item_id", words.alias("text"))

@@ -19,7 +19,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays
+from stratalake.llm.settle import small_batches
 from stratalake.operators.sizing import fits_broadcast
 from stratalake.sources.staging import stage
 
@@ -116,7 +117,7 @@ def train(docs: DataFrame, bits: int = BITS, sample: int = SAMPLE) -> tuple[list
             columns = [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(one[at])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "feature", "n"])
 
-    counted = training_sample(docs, sample).mapInArrow(emit, "lang string, feature int, n long")
+    counted = training_sample(small_batches(docs), sample).mapInArrow(emit, "lang string, feature int, n long")
     table = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table["lang"].to_pylist()))
     counts = np.ones((1 << bits, len(langs)))
@@ -171,16 +172,26 @@ def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame
     return docs.mapInArrow(emit, schema)
 
 
-def in_known_language(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
-    """The documents, with all their columns, whose language can be told; with nothing learnt, those with a letter."""
+def in_known_language(
+    docs: DataFrame, langs: list[str], matrix: np.ndarray, wanted: Collection[str] | None = None, least_score: float = 0.0
+) -> DataFrame:
+    """The documents, with all their columns, whose language can be told, is a ``wanted`` one and scores ``least_score``.
+
+    By default every language learnt is wanted. With nothing learnt and nothing asked for, those with a letter.
+    """
     model = docs.sparkSession.sparkContext.broadcast(matrix)
+    asked = np.array([wanted is None or lang in wanted for lang in langs] + [False])
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            told = _predict(model.value, batch)[0] < len(langs) if langs else _have_letter(batch)
-            yield batch.filter(pa.array(told))
-
-    return docs.mapInArrow(emit, docs.schema)
+            if langs or wanted is not None or least_score > 0:
+                best, score = _predict(model.value, batch)
+                stays = asked[best] & (score >= least_score)
+            else:
+                stays = _have_letter(batch)
+            yield batch.filter(pa.array(stays))
+
+    return small_batches(docs).mapInArrow(emit, docs.schema)
 
 
 def op9_language_id(spark, sf_dir):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import arrays, membership
 from stratalake.llm.components import components
-from stratalake.llm.settle import settled
+from stratalake.llm.settle import settled, small_batches
 from stratalake.sources.staging import stage
 
 SHINGLE = 5
@@ -287,7 +287,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
 
 
 def _near_copies(docs: DataFrame, shingle: int, percent: int, popular: int) -> DataFrame:
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs.select("doc_id", "text"))
     sketch = stage(sketches(docs, shingle), "sketches")
     known = sketch.where("n > 0 and doc_id is not null")
     classes = known.groupBy("a", "b", "n").agg(F.min(F.struct("doc_id", "signature")).alias("first"))

@@ -39,6 +39,8 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from stratalake.llm.settle import small_batches
+
 CAPACITY = 4096
 END = 2
 GROUP_TOKENS = 1 << 20
@@ -224,7 +226,7 @@ def pack(
         if tokens:
             yield packed()
 
-    return docs.select("doc_id", "text").mapInArrow(emit, SCHEMA)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(emit, SCHEMA)
 
 
 def op10_packing(spark, sf_dir):

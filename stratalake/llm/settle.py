@@ -1,4 +1,4 @@
-"""A result written out, and what was staged on the way to it released."""
+"""A result written out, and what was staged on the way to it released; batches of bounded size."""
 
 from __future__ import annotations
 
@@ -21,3 +21,19 @@ def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) ->
         df = build()
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT, BATCH_BYTES = "67108864b", "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands Python at most ``BATCH_BYTES`` at a time, unless it was set otherwise.
+
+    Rows are whole documents, and each task holds a batch several times: as Spark's buffers, which double as they
+    grow, on their way in and out, and in Python with what is computed from it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        conf.set(_BATCH, BATCH_BYTES)
+    return df

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays, membership
-from stratalake.llm.settle import settled
+from stratalake.llm.settle import settled, small_batches
 from stratalake.sources.staging import stage
 
 WINDOW = 50
@@ -162,7 +162,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
 
     The kept words are joined by one space.
     """
-    spans = settled(docs.sparkSession, "spans", lambda: repeated_spans(docs, window, k))
+    spans = settled(small_batches(docs).sparkSession, "spans", lambda: repeated_spans(docs, window, k))
     per_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     rows = docs.select("doc_id", "text").join(per_doc, "doc_id", "left")
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm import arrays, membership
-from stratalake.llm.settle import settled
+from stratalake.llm.settle import settled, small_batches
 from stratalake.sources.staging import stage
 
 WINDOW = 100
@@ -330,7 +330,7 @@ def _with_spans(docs: DataFrame, settings: dict) -> DataFrame:
     name = "spans"
     while name in docs.columns:
         name += "_"
-    spans = settled(docs.sparkSession, "spans", lambda: repeated_spans(docs, **settings))
+    spans = settled(small_batches(docs).sparkSession, "spans", lambda: repeated_spans(docs, **settings))
     spans = spans.groupBy("doc_id").agg(F.collect_set(F.struct("place", "n")).alias(name))
     return docs.join(spans, "doc_id", "left").select(*docs.columns, name)
 

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.langid import held_out
+from stratalake.llm.settle import small_batches
 from stratalake.operators.sizing import fits_broadcast
 from stratalake.sources.staging import stage
 
@@ -189,7 +190,7 @@ def score(docs: DataFrame, weights: dict[str, float], threshold: float = THRESHO
             more = [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
             yield pa.RecordBatch.from_arrays(batch.columns + more, schema.names)
 
-    return docs.mapInArrow(emit, schema)
+    return small_batches(docs).mapInArrow(emit, schema)
 
 
 def op8_toxicity(spark, sf_dir):

@@ -37,6 +37,10 @@ def test_odd_texts(spark):
     assert got[900] == got[901] == got[902] == ("und", 0.0)
     assert got[None][0] == "bb" and got[903][0] == "bb" and 0.5 < got[903][1] <= 1
     assert langid.in_known_language(docs, *model).count() == docs.count() - 3
+    kept = lambda *asked: {r.doc_id for r in langid.in_known_language(docs, *model, *asked).collect()}
+    assert kept(["aa"]) == {i for i in range(60) if i % 2} and kept([]) == set()
+    assert kept(["bb"]) == {i for i in range(60) if not i % 2} | {None, 903}
+    assert kept(None, got[3][1]) == {i for i, (_, score) in got.items() if score >= got[3][1]}
     assert langid.train(empty(spark))[0] == []
     nothing = langid.train(empty(spark))
     assert {r.lang_pred for r in langid.identify(docs, *nothing).collect()} == {"und"}
