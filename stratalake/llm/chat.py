@@ -16,6 +16,7 @@ conversation and turn, summed within each part, and the few sums of conversation
 that span parts are added up. So one conversation of a third of all turns is
 spread over the tasks. (``digests`` hashes each conversation from its first
 character to the last, which only one task can do; it streams, in constant memory.)
+Long texts have the ids of the whole text, whatever their length.
 
 Null texts and roles read as empty. Turns of one conversation are ordered by
 ``turn`` (null first), then by role and a hash of the text; rows repeated as a whole
@@ -32,17 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.settle import small_batches
 from stratalake.sources.staging import stage
 
 LOSS_ROLE = "assistant"
 # The vocabulary has ids 0 to 50255; these follow.
 TURN, TEXT, END = 50256, 50257, 50258
 MARKS = {TURN: "### ", TEXT: ": ", END: "</turn>\n"}
-# Longer texts are encoded in parts, so that no text is slow beyond its length.
+# Longer texts are encoded in parts, so that no text needs memory beyond its length.
 PART_CHARS = 1 << 16
 _CONTROL = re.compile(r"\\|#|</turn>")
 _ESCAPED = re.compile(r"\\(\\|#|<)")
@@ -68,50 +71,57 @@ def codec(path: str, pattern: str):
     return _codecs[path]
 
 
-def _encode(found, text: str) -> list[int]:
-    return [i for at in range(0, len(text), PART_CHARS) for i in found.encode_ordinary(text[at : at + PART_CHARS])]
+def _parts(text: str, pattern: str) -> Iterator[str]:
+    """A long text in parts of some ``PART_CHARS`` characters, cut only where the tokenizer itself begins a new piece.
+
+    Never after blanks, as how these are split depends on what follows.
+    """
+    start = end = 0
+    for piece in regex.finditer(pattern, text):
+        if end - start >= PART_CHARS and not text[end - 1].isspace():
+            yield text[start:end]
+            start = end
+        end = piece.end()
+    yield text[start:]
+
+
+def encode(found, text: str) -> list[int]:
+    """The ids of a text; of a long one by parts, which gives the same ids."""
+    if len(text) <= PART_CHARS:
+        return found.encode_ordinary(text)
+    return [i for part in _parts(text, found._pat_str) for i in found.encode_ordinary(part)]
 
 
 def format_turns(turns: DataFrame, path: str, pattern: str) -> DataFrame:
     """``(conv_id, place, offset, ids, loss_start, loss_end)``, one row per turn.
 
     ``place`` counts the turns of the conversation, ``offset`` the ids before this
-    turn; the loss bounds are within ``ids`` and equal where there is no loss.
+    turn; the loss bounds are within ``ids`` and equal where there is no loss. The turns are sorted as text, and encoded and
+    numbered where they then lie: what is written is the result alone.
     """
 
-    def encode(batches: Iterator[pa.RecordBatch]):
-        found = codec(path, pattern)
-        for batch in batches:
-            ids, lo, hi = [], [], []
-            for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
-                head, body = _encode(found, escape(role or "")), _encode(found, escape(text or ""))
-                ids.append([TURN, *head, TEXT, *body, END])
-                lo.append(len(head) + 2)
-                hi.append(lo[-1] + (len(body) if role == LOSS_ROLE else 0))
-            columns = [batch.column(c) for c in ("conv_id", "turn", "role", "tie")]
-            columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["conv_id", "turn", "role", "tie", "ids", "loss_start", "loss_end"])
-
     def number(batches: Iterator[pa.RecordBatch]):
-        conv, part, place, offset = object(), TaskContext.get().partitionId(), 0, 0
+        found, part = codec(path, pattern), TaskContext.get().partitionId()
+        conv, place, offset = object(), 0, 0
         for batch in batches:
-            places, offsets = [], []
-            for own, n in zip(batch.column("conv_id").to_pylist(), batch.column("ids").value_lengths().to_pylist()):
+            rows = []
+            for own, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if own != conv:
                     conv, place, offset = own, 0, 0
-                places.append(place)
-                offsets.append(offset)
-                place, offset = place + 1, offset + n
-            columns = [batch.column("conv_id"), pa.array([part] * batch.num_rows, pa.int32()), pa.array(places, pa.int64())]
-            columns += [pa.array(offsets, pa.int64()), *(batch.column(c) for c in ("ids", "loss_start", "loss_end"))]
-            yield pa.RecordBatch.from_arrays(columns, ["conv_id", "part", "place", "offset", "ids", "loss_start", "loss_end"])
+                head, body = encode(found, escape(role or "")), encode(found, escape(text or ""))
+                lo = len(head) + 2
+                ids = [TURN, *head, TEXT, *body, END]
+                rows.append((own, part, place, offset, ids, lo, lo + (len(body) if role == LOSS_ROLE else 0)))
+                place, offset = place + 1, offset + len(ids)
+            if rows:
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32())
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["conv_id", "part", "place", "offset", "ids", "loss_start", "loss_end"])
 
-    bounds = "ids array<int>, loss_start int, loss_end int"
-    rows = turns.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("tie"))
-    rows = rows.mapInArrow(encode, f"conv_id long, turn long, role string, tie long, {bounds}")
-    rows = stage(rows, "encoded")
     order = ["conv_id", "turn", "role", "tie"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = small_batches(turns).select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("tie"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "role", "text")
+    bounds = "ids array<int>, loss_start int, loss_end int"
     rows = stage(rows.mapInArrow(number, f"conv_id long, part int, place long, offset long, {bounds}"), "numbered")
 
     # At most two conversations of a part go on in another one, so these rows are bounded by the parts.

@@ -71,7 +71,13 @@ def test_no_rows(spark):
     assert chat.digests(chat.format_turns(spark.createDataFrame([], SCHEMA), *PATHS), *PATHS).count() == 0
 
 
-def test_long_text_is_encoded_in_parts(spark):
-    found = chat.codec(*PATHS)
-    text = "word " * 60_000 + "é" * 70_000
-    assert found.decode(chat._encode(found, text)) == text
+@pytest.mark.parametrize("size", [1, 7, 100, chat.PART_CHARS])
+def test_parts_of_a_text_have_the_ids_of_the_whole(monkeypatch, size):
+    monkeypatch.setattr(chat, "PART_CHARS", size)
+    found, rng = chat.codec(*PATHS), random.Random(3)
+    signs = ["word", " ", "  ", "\n", "\t", " \n ", "don't", "'ll", "é", "漢字", "1234", "!?", "\u00a0", "x y", "<|", "🙂"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += ["word " * 40_000, " " * 3000 + "a", "".join(rng.choice(signs) for _ in range(300_000))] if size > 99 else []
+    for text in texts:
+        assert chat.encode(found, text) == found.encode_ordinary(text)
+        assert "".join(chat._parts(text, PATHS[1])) == text
