@@ -11,16 +11,17 @@ with all vectors there in double precision.
   partners made at exactly the threshold, the hardest ones. All vectors are indexed,
   all visit.
 - Equal vectors form one class that is compared once and counted with its copies.
-- Cells are dealt out in blocks of a bounded number of vectors, so a cell that
-  holds a large part of all vectors is spread over the tasks. Two blocks meet as two
+- Cells are dealt out in blocks of a bounded number of vectors; a cell that
+  holds a large part of all vectors is dealt to parts, each a key of its own. Two blocks meet as two
   matrices. A pair that is found from both sides counts once.
 - A block pair returns sums of links per vector and the links that hold its
   vectors together (fewer than its vectors), never all pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with
 nothing; so do those with a null ``vec_id``. Vectors of different lengths are compared
-within their length only. A row repeated as a whole counts as one vector. ``label``
-and other columns are ignored.
+within their length only. A row repeated as a whole counts as one vector; an id given with different
+vectors has the links of each, and gets the greatest number of links and the least component among them. ``label``
+and other columns are ignored. Without vectors there are no rows.
 """
 
 from __future__ import annotations
@@ -31,45 +32,60 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.llm import arrays
 from stratalake.llm.components import components
+from stratalake.llm.settle import small_batches
+from stratalake.operators.sizing import fits_broadcast
 from stratalake.sources.staging import stage
 
 COSINE = 0.95
 RECALL = 0.995
 SAMPLE = 8192
-# Vectors a cell holds on average, and the most codes of a half.
+# Vectors a cell holds on average. The codes of a half follow the number of vectors, up to half the sample: cells keep
+# this size up to a billion vectors; beyond, take a larger sample.
 CELL = 64
-MOST_CODES = 512
 BLOCK = 512
 _SEED = 20
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, dim, a, b, vector)``: usable vectors with a 128-bit hash of their components."""
+    """``(vec_id, dim, a, b, vector)``: usable vectors with a 128-bit hash of their components.
+
+    Vectors are packed in the precision they have in the table: all sums are in double precision.
+    """
+    kind = np.float32 if vectors.schema["embedding"].dataType.elementType == T.FloatType() else np.float64
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            rows = []
-            for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding")):
-                if vec_id is None or not vector.is_valid or not len(vector.values) or vector.values.null_count:
+            lists = batch.column("embedding").cast(pa.large_list(pa.float64()))
+            size = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int64)
+            flat = lists.flatten()
+            numbers, start = flat.to_numpy(zero_copy_only=False), np.cumsum(size) - size
+            known = batch.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
+            for dim in np.unique(size[size > 0]):
+                at = np.flatnonzero((size == dim) & known)
+                own = numbers[start[at][:, None] + np.arange(dim)] + 0.0  # null components are NaN here; -0.0 is 0.0
+                usable = np.isfinite(own).all(axis=1) & own.any(axis=1)
+                at, own = at[usable], own[usable]
+                if not len(at):
                     continue
-                own = vector.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
-                if np.isfinite(own).all() and own.any():
-                    code = arrays.mix(own.view(np.uint64))[None, :]
-                    a, b = (arrays.Rolling(code[0], base).of(np.array([0]), np.array([len(own)]))[0] for base in (arrays.BASE_A, arrays.BASE_B))
-                    rows.append((vec_id, len(own), int(a.view(np.int64)), int(b.view(np.int64)), own.tobytes()))
-            if rows:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["vec_id", "dim", "a", "b", "vector"])
+                code = arrays.mix(own.view(np.uint64))
+                steps = (np.array([pow(base, j, 2**64) for j in range(dim)], np.uint64) for base in (arrays.BASE_A, arrays.BASE_B))
+                a, b = (arrays.mix((code * step).sum(axis=1, dtype=np.uint64) + np.uint64(dim)) for step in steps)
+                packed = pa.array([v.tobytes() for v in own.astype(kind)], pa.binary())
+                columns = [batch.column("vec_id").take(pa.array(at)), pa.array(np.full(len(at), dim, np.int32)), pa.array(arrays.signed(a)), pa.array(arrays.signed(b)), packed]
+                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "dim", "a", "b", "vector"])
 
-    return vectors.select("vec_id", "embedding").mapInArrow(emit, "vec_id long, dim int, a long, b long, vector binary")
+    rows = small_batches(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    return rows.mapInArrow(emit, "vec_id long, dim int, a long, b long, vector binary")
 
 
-def _unit(column: pa.Array, dim: int) -> np.ndarray:
-    """Packed vectors as unit rows; scaled first so that no square overflows."""
-    rows = np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
+def _unit(packed: bytes, dim: int, rows: int) -> np.ndarray:
+    """Packed vectors as unit rows in double precision; scaled first so that no square overflows."""
+    kind = np.float64 if len(packed) == 8 * dim * rows else np.float32
+    rows = np.frombuffer(packed, kind).reshape(rows, dim).astype(np.float64)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
@@ -94,7 +110,7 @@ class Grid:
 
     def __init__(self, sample: np.ndarray, rows: int, cosine: float, recall: float):
         rng = np.random.Generator(np.random.PCG64(_SEED))
-        codes = int(np.clip(np.sqrt(rows / CELL), 1, min(MOST_CODES, len(sample))))
+        codes = int(np.clip(np.sqrt(rows / CELL), 1, max(1, len(sample) // 2)))
         self.half = sample.shape[1] // 2
         self.books = [_k_means(part, codes, rng) for part in (sample[:, : self.half], sample[:, self.half :])]
         self.codes, self.visits = codes, codes * codes
@@ -133,35 +149,35 @@ class Grid:
         return int(np.quantile(np.concatenate(ranks), recall, method="higher")) + 1
 
 
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows ``(cell, rep, copies, home, visited, vector)`` of a cell packed into blocks of at most ``size``."""
-    counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("rows_"))
-    parts = counts.where(F.col("rows_") > size).select("cell", F.ceil(F.col("rows_") / size).cast("int").alias("parts"))
-    # there are at most MOST_CODES ** 2 cells
-    dealt = rows.join(F.broadcast(parts), "cell", "left")
-    dealt = dealt.withColumn("part", F.expr("pmod(xxhash64(rep), coalesce(parts, 1))")).drop("parts")
-    dealt = dealt.repartition("cell", "part").sortWithinPartitions("cell", "part", "rep")
+def _parts(residents: DataFrame, size: int) -> DataFrame:
+    """``(cell, parts)`` of the cells that hold more than ``size`` vectors."""
+    counts = residents.groupBy("cell").agg(F.count(F.lit(1)).alias("rows_")).where(F.col("rows_") > size)
+    return stage(counts.select("cell", F.ceil(F.col("rows_") / size).cast("int").alias("parts")), "dense-cells")
+
+
+def _blocks(rows: DataFrame, names: list[str], size: int) -> DataFrame:
+    """Rows of a cell and part packed into blocks of at most ``size``: ``cell``, ``part`` and the other columns as bytes."""
+    dealt = rows.repartition("cell", "part").sortWithinPartitions("cell", "part", "rep").select("cell", "part", *names)
 
     def emit(batches: Iterator[pa.RecordBatch]):
         block, at = [], None
 
         def packed():
-            _, rep, copies, home, visited, vector, _ = zip(*block)
-            columns = [np.array(x, np.int64).tobytes() for x in (rep, copies, home)] + [b"".join(x) for x in (visited, vector)]
-            names = ["cell", "rep", "copies", "home", "visited", "vector"]
-            return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32())] + [pa.array([c], pa.binary()) for c in columns], names)
+            columns = [np.array(c, np.int64).tobytes() if isinstance(c[0], int) else b"".join(c) for c in zip(*block)]
+            fields = [pa.array([at[0]], pa.int64()), pa.array([at[1]], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)]
+            return pa.RecordBatch.from_arrays(fields, ["cell", "part", *names])
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("cell", "rep", "copies", "home", "visited", "vector", "part"))):
-                if (row[0], row[6]) != at or len(block) >= size:
+            for cell, part, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (cell, part) != at or len(block) >= size:
                     if block:
                         yield packed()
-                    block, at = [], (row[0], row[6])
+                    block, at = [], (cell, part)
                 block.append(row)
         if block:
             yield packed()
 
-    return dealt.mapInArrow(emit, "cell int, rep binary, copies binary, home binary, visited binary, vector binary")
+    return dealt.mapInArrow(emit, ", ".join(["cell long", "part long", *(f"{c} binary" for c in names)]))
 
 
 def _holding(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -187,39 +203,51 @@ def _holding(linked: np.ndarray) -> list[tuple[int, int]]:
 def links(classes: DataFrame, dim: int, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """``(x, y, n)`` of classes ``(rep, copies, vector)``: with y null, n more links of x; else a link of x and y."""
     spark, rows = classes.sparkSession, classes.count()
-    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(min(1.0, SAMPLE / max(rows, 1)) * (1 << 20))
-    drawn = classes.where(share).orderBy("rep").select("vector").toArrow().column("vector").combine_chunks()
-    if not len(drawn):
-        drawn = classes.orderBy("rep").limit(SAMPLE).select("vector").toArrow().column("vector").combine_chunks()
-    grid = spark.sparkContext.broadcast(Grid(_unit(drawn, dim), rows, cosine, recall))
+    # a draw by hash, fine enough for any number of rows: about SAMPLE of them
+    share = min(1.0, SAMPLE / max(rows, 1))
+    drawn = classes if share == 1 else classes.where(F.shiftrightunsigned(F.xxhash64("rep"), 1) < int(share * 2**63))
+    drawn = drawn.orderBy("rep").select("vector").toArrow().column("vector").to_pylist()
+    grid = spark.sparkContext.broadcast(Grid(_unit(b"".join(drawn), dim, len(drawn)), rows, cosine, recall))
 
     def place(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                own = _unit(part.column("vector"), dim)
+                own = _unit(b"".join(part.column("vector").to_pylist()), dim, part.num_rows)
                 visited = grid.value.nearest(own).astype(np.int32)
-                columns = [part.column(c) for c in ("rep", "copies", "vector")] + [pa.array(grid.value.cells(own).astype(np.int32))]
-                columns += [pa.array([v.tobytes() for v in visited], pa.binary()), pa.array(list(visited), pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, ["rep", "copies", "vector", "home", "visited", "cells"])
+                columns = [part.column(c) for c in ("rep", "copies", "vector")] + [pa.array(grid.value.cells(own).astype(np.int64))]
+                columns += [pa.array([v.tobytes() for v in visited], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["rep", "copies", "vector", "cell", "visited"])
 
-    placed = stage(classes.mapInArrow(place, "rep long, copies long, vector binary, home int, visited binary, cells array<int>"), "placed")
-    columns = ["cell", "rep", "copies", "home", "visited", "vector"]
-    residents = _blocks(placed.withColumn("cell", F.col("home")).select(columns), BLOCK)
-    visitors = _blocks(placed.withColumn("cell", F.explode("cells")).select(columns), BLOCK)
-    residents = residents.select("cell", *[F.col(c).alias(f"at_{c}") for c in columns[1:]])
+    def visits(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            cells = [np.frombuffer(v, np.int32) for v in batch.column("visited").to_pylist()]
+            of = pa.array(np.repeat(np.arange(len(cells)), [len(c) for c in cells]))
+            columns = [pa.array(np.concatenate(cells).astype(np.int64) if cells else np.zeros(0, np.int64))]
+            columns += [batch.column(c).take(of) for c in ("rep", "copies", "cell", "vector")]
+            yield pa.RecordBatch.from_arrays(columns, ["cell", "rep", "copies", "home", "vector"])
+
+    placed = stage(classes.mapInArrow(place, "rep long, copies long, vector binary, cell long, visited binary"), "placed")
+    parts = _parts(placed, BLOCK)
+    parts = F.broadcast(parts) if fits_broadcast(parts) else parts
+    # a dense cell's vectors are dealt to parts; each visitor goes to all of them, so a part is a key of its own
+    residents = placed.join(parts, "cell", "left").withColumn("part", F.expr("pmod(xxhash64(rep), coalesce(parts, 1))"))
+    visitors = placed.mapInArrow(visits, "cell long, rep long, copies long, home long, vector binary")
+    visitors = visitors.join(parts, "cell", "left").withColumn("part", F.explode(F.expr("sequence(0L, coalesce(parts, 1) - 1L)")))
+    residents = _blocks(residents, ["rep", "copies", "visited", "vector"], BLOCK)
+    visitors = _blocks(visitors, ["rep", "copies", "home", "vector"], BLOCK)
+    residents = residents.withColumnsRenamed({c: f"at_{c}" for c in ("rep", "copies", "visited", "vector")})
 
     def meet(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for row in range(batch.num_rows):
                 x, y = {}, {}
                 for side, prefix in ((x, ""), (y, "at_")):
-                    for c, kind in (("rep", np.int64), ("copies", np.int64), ("home", np.int64), ("visited", np.int32), ("vector", np.float64)):
-                        side[c] = np.frombuffer(batch.column(prefix + c)[row].as_py(), kind)
-                    side["unit"] = side["vector"].reshape(-1, dim)
-                    side["unit"] = side["unit"] / np.abs(side["unit"]).max(axis=1, keepdims=True)
-                    side["unit"] = side["unit"] / np.linalg.norm(side["unit"], axis=1, keepdims=True)
-                    side["visited"] = side["visited"].reshape(len(side["rep"]), -1)
+                    for c in ("rep", "copies"):
+                        side[c] = np.frombuffer(batch.column(prefix + c)[row].as_py(), np.int64)
+                    side["unit"] = _unit(batch.column(f"{prefix}vector")[row].as_py(), dim, len(side["rep"]))
+                x["home"] = np.frombuffer(batch.column("home")[row].as_py(), np.int64)
+                y["visited"] = np.frombuffer(batch.column("at_visited")[row].as_py(), np.int32).reshape(len(y["rep"]), -1)
                 linked = x["unit"] @ y["unit"].T >= cosine
                 i, j = np.nonzero(linked)
                 both = (y["visited"][j] == x["home"][i][:, None]).any(axis=1)
@@ -236,7 +264,7 @@ def links(classes: DataFrame, dim: int, cosine: float = COSINE, recall: float =
                 n = np.concatenate([of_x[of_x > 0], of_y[of_y > 0], np.zeros(len(held), np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ends)), other, pa.array(n)], ["x", "y", "n"])
 
-    met = visitors.join(residents, "cell").drop("cell")
+    met = visitors.join(residents, ["cell", "part"]).drop("cell", "part")
     return met.mapInArrow(meet, "x long, y long, n long")
 
 
@@ -265,7 +293,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
             F.coalesce("component_id", "rep").alias("component_id"),
         )
     of_class = stage(of_class, "of_class")
-    linked = rows.join(of_class, ["dim", "a", "b"]).select("vec_id", "n_links", "component_id").dropDuplicates(["vec_id"])
+    linked = rows.join(of_class, ["dim", "a", "b"])
+    linked = linked.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     rows = vectors.select("vec_id").join(linked, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return rows.select(

@@ -61,3 +61,33 @@ def test_traversal_visits_the_nearest_cells():
     every = (one[:, :, None] + two[:, None, :]).reshape(len(sample), -1)
     for row, cells in zip(every, grid.nearest(sample)):
         assert np.allclose(np.sort(row)[:7], row[cells])
+
+
+def test_one_dense_cell_and_repeated_rows(spark, monkeypatch):
+    """A third of all vectors in one cell, in many parts; rows given twice; an id with two vectors."""
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    center = rng.standard_normal(12)
+    near = [center + 0.1 * np.linalg.norm(center) / np.sqrt(12) * rng.standard_normal(12) for _ in range(150)]
+    own = np.array(near + list(rng.standard_normal((300, 12)))).astype(np.float32)
+    data = [(i, v.tolist(), 0, "x") for i, v in enumerate(own)]
+    data += data[:20] + [(200, own[0].tolist(), 0, "x"), (None, own[0].tolist(), 0, "x")]
+    got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(data, SCHEMA).repartition(4)).collect()}
+    unit = own.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= embeddings.COSINE
+    np.fill_diagonal(linked, False)
+    linked[200, :150] |= linked[0, :150]
+    linked[:150, 200] |= linked[:150, 0]
+    found = sum(r.n_links for i, r in got.items() if i is not None)
+    assert 0.99 * linked.sum() <= found <= linked.sum() + 400
+    assert got[5].component_id == 0 and got[200].component_id == 0 and not got[200].kept
+
+
+def test_vectors_in_double_precision(spark):
+    own = vectors(3, 60, 8).astype(np.float64)
+    data = [(i, v.tolist()) for i, v in enumerate(own)]
+    got = embeddings.near_vectors(spark.createDataFrame(data, "vec_id int, embedding array<double>"))
+    unit = own / np.linalg.norm(own, axis=1, keepdims=True)
+    wanted = (unit @ unit.T >= embeddings.COSINE).sum() - len(own)
+    assert 0.98 * wanted <= sum(r.n_links for r in got.collect()) <= wanted
