@@ -154,14 +154,16 @@ def overlaps(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> Data
 
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                (hx, nx), (hy, ny) = (shingle_sets(*arrays.utf8(part.column(c)), shingle) for c in ("text_x", "text_y"))
-                ex, ey, shared = np.cumsum(nx), np.cumsum(ny), np.zeros(part.num_rows, np.int64)
-                for i in range(part.num_rows):
+            (raw_x, at_x), (raw_y, at_y) = (arrays.utf8(batch.column(c)) for c in ("text_x", "text_y"))
+            # so many pairs at a time as have few bytes together: a hub's text stands in each of its pairs
+            for lo, hi in arrays.slices(at_x + at_y):
+                hx, nx = shingle_sets(raw_x[at_x[lo] : at_x[hi]], at_x[lo : hi + 1] - at_x[lo], shingle)
+                hy, ny = shingle_sets(raw_y[at_y[lo] : at_y[hi]], at_y[lo : hi + 1] - at_y[lo], shingle)
+                ex, ey, shared = np.cumsum(nx), np.cumsum(ny), np.zeros(hi - lo, np.int64)
+                for i in range(hi - lo):
                     both = np.intersect1d(hx[ex[i] - nx[i] : ex[i]], hy[ey[i] - ny[i] : ey[i]], assume_unique=True)
                     shared[i] = len(both)
-                columns = [part.column("x"), part.column("y"), pa.array(shared), pa.array(nx + ny - shared)]
+                columns = [batch.column(c).slice(lo, hi - lo) for c in "xy"] + [pa.array(shared), pa.array(nx + ny - shared)]
                 yield pa.RecordBatch.from_arrays(columns, ["x", "y", "shared", "every"])
 
     rows = pairs.join(of_x, "x").join(of_y, "y").select("x", "y", "text_x", "text_y")
