@@ -65,9 +65,9 @@ def features(raw: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[list[tupl
     letters = _letter_table()[codes]
     solid = letters != 0
     doc = np.repeat(np.arange(n_docs), np.diff(bounds))
-    # runs of blanks become one
+    # runs of blanks become one, leading ones go; what another document ends with does not matter
     use = solid.copy()
-    use[1:] |= solid[:-1]
+    use[1:] |= solid[:-1] & (doc[1:] == doc[:-1])
     letters, doc, solid = letters[use], doc[use], solid[use]
     has_letter = np.bincount(doc[solid], minlength=n_docs) > 0
     out, key = [], np.zeros(len(letters), np.uint32)
