@@ -21,7 +21,7 @@ Each weighs its log ratio. Learning takes a sample (by a hash of the id) of at m
 about ``SAMPLE`` labelled documents of either kind that are not held out, with whole
 texts; the counts are made in Spark. The function words of the grammar are fixed.
 
-Null and empty texts score 0. If nothing can be learnt, only threats score. Rows with
+Null and empty texts score 0. Texts of any length are read whole, in memory of their own size; without documents there are no rows. If nothing can be learnt, only threats score. Rows with
 a null ``doc_id`` are scored but neither learnt from nor held out; repeated rows are
 scored each. A document with several labels is toxic if one says so. Other columns are
 ignored.
@@ -51,6 +51,8 @@ MOST_WEIGHT = 5.0
 RATE = 0.08
 THRESHOLD = 0.3
 STEMS = (4, 5, 6)
+# Words whose class a worker remembers.
+WORDS_KNOWN = 200_000
 # The function words and threats of the grammar, in the languages of the corpus.
 TARGETS = "you your yourself he she they him her them du dich dir ihr euch sie tu te toi vous ils elle lui tú ti usted ustedes él ella".split()
 NEGATIONS = "not never no nobody isn aren wasn don doesn didn nicht kein keine nie pas jamais ni nunca jamás".split()
@@ -150,21 +152,49 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str,
     return {r[0]: min(math.log(r[1]), MOST_WEIGHT) for r in found.select("feature", ratio).collect()}
 
 
+class Reader:
+    """Reads tokens through the composed transducer; remembers the class and weight of words."""
+
+    def __init__(self, weights: dict[str, float], machine: Transducer, fixed: dict[str, int]):
+        self.weights, self.machine, self.fixed = weights, machine, fixed
+        self.known: dict[str, tuple[int, float]] = {}
+        # how a run of words without a class of their own moves each state: no more than the reach of a negation counts
+        self.after = [list(range(machine.states))]
+        for _ in range(NEGATION_REACH):
+            self.after.append([machine.next[s][OTHER] for s in self.after[-1]])
+
+    def classify(self, token: str) -> tuple[int, float]:
+        """The class of a token and what it weighs."""
+        if not token.isalpha():
+            return BREAK, 0.0
+        kind = self.fixed.get(token, OTHER)
+        if kind != OTHER:
+            return kind, THREAT_WEIGHT if kind in (THREAT, TARGET) else 0.0
+        weight = next((self.weights[f] for f in (token, *(token[:n] + "*" for n in reversed(STEMS))) if f in self.weights), 0.0)
+        return (INSULT if weight else OTHER), weight
+
+    def evidence(self, tokens: list[str]) -> float:
+        """Summed weight of the insults and threats of a text, as its clauses make them."""
+        known = self.known
+        if len(known) > WORDS_KNOWN:
+            known.clear()
+        for token in set(tokens).difference(known):
+            known[token] = self.classify(token)
+        state, total, last = 0, 0.0, -1
+        factor, following, after = self.machine.factor, self.machine.next, self.after
+        for i, token in enumerate(tokens):
+            kind, weight = known[token]
+            if kind != OTHER:
+                state = after[min(i - last - 1, NEGATION_REACH)][state]
+                if weight:
+                    total += weight * factor[state][kind]
+                state, last = following[state][kind], i
+        return total
+
+
 def evidence(text: str, weights: dict[str, float], machine: Transducer, fixed: dict[str, int]) -> float:
-    """Summed weight of the insults and threats of a text, as its clauses make them."""
-    state, total = 0, 0.0
-    for token in _TOKENS(text):
-        weight = 0.0
-        kind = fixed.get(token, OTHER) if token.isalpha() else BREAK
-        if kind == OTHER:
-            weight = next((weights[f] for f in (token, *(token[:n] + "*" for n in reversed(STEMS))) if f in weights), 0.0)
-            kind = INSULT if weight else OTHER
-        elif kind in (THREAT, TARGET):
-            weight = THREAT_WEIGHT
-        if weight:
-            total += weight * machine.factor[state][kind]
-        state = machine.next[state][kind]
-    return total
+    """:meth:`Reader.evidence` of one text in lower case."""
+    return Reader(weights, machine, fixed).evidence(_TOKENS(text))
 
 
 def score(docs: DataFrame, weights: dict[str, float], threshold: float = THRESHOLD) -> DataFrame:
@@ -176,15 +206,16 @@ def score(docs: DataFrame, weights: dict[str, float], threshold: float = THRESHO
 
     def emit(batches: Iterator[pa.RecordBatch]):
         weights, machine, fixed = model.value
+        reader = Reader(weights, machine, fixed)
         words = {f for f in weights if f[-1] != "*"} | set(THREATS)
         stems = {f[: STEMS[0]] for f in weights if f[-1] == "*"}
         for batch in batches:
             scores = []
             for text in batch.column("text"):
-                text = (text.as_py() or "").lower()
-                own = set(_WORDS(text))
+                tokens = _TOKENS((text.as_py() or "").lower())
+                own = set(tokens)
                 if not own.isdisjoint(words) or not stems.isdisjoint([w[: STEMS[0]] for w in own]):
-                    scores.append(1 - math.exp(-RATE * evidence(text, weights, machine, fixed)))
+                    scores.append(1 - math.exp(-RATE * reader.evidence(tokens)))
                 else:
                     scores.append(0.0)
             more = [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]

@@ -1,7 +1,11 @@
 """The two classifiers: held-out accuracy, what they may read, odd rows."""
 
+import math
 import os
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -98,3 +102,94 @@ def test_learning_and_scores(spark):
     assert got[1000] == got[1001] == (0.0, 0) and got[None][1] == 1 and got[4][1] == 1 and got[1][1] == 0
     assert toxicity.learn(docs, labels.where("toxic = 0")) == {} == toxicity.learn(empty(spark), labels.limit(0))
     assert toxicity.score(empty(spark), {}).count() == 0
+
+
+def plain_evidence(text, weights, fixed):
+    """Clauses scored by what stands in them, without states that are composed."""
+    total = 0.0
+    for clause in re.split(r"[.!?;:\n]", text):
+        denied, said, aimed, threat = 0, False, False, 0
+        for word in re.findall(r"[^\W\d_]+", clause):
+            kind = fixed.get(word, toxicity.OTHER)
+            weight = 0.0
+            if kind == toxicity.OTHER:
+                names = [word] + [word[:n] + "*" for n in (6, 5, 4)]
+                weight = next((weights[n] for n in names if n in weights), 0.0)
+                kind = toxicity.INSULT if weight else kind
+            lowered = (toxicity.DENIED if denied else 1) * (toxicity.QUOTED if said else 1)
+            if kind == toxicity.INSULT:
+                total += weight * lowered * (toxicity.AIMED if aimed else 1)
+            if kind == toxicity.TARGET and threat == 1 or kind == toxicity.THREAT and threat == 2:
+                total += toxicity.THREAT_WEIGHT * lowered
+            if kind == toxicity.THREAT:
+                threat = 1 if threat == 0 else 0
+            elif kind == toxicity.TARGET:
+                threat, aimed = 2, True
+            said = said or kind == toxicity.REPORT
+            denied = toxicity.NEGATION_REACH if kind == toxicity.NEGATION else max(denied - 1, 0)
+    return total
+
+
+def test_clauses_against_a_plain_reading():
+    rng = random.Random(11)
+    fixed = {"you": toxicity.TARGET, "never": toxicity.NEGATION, "said": toxicity.REPORT, "kill": toxicity.THREAT}
+    weights = {"fool": 3.0, "idio*": 2.0, "idiot*": 2.5, "dullard": 1.0}
+    words = [*fixed, "fool", "fools", "idiom", "idiotic", "dullard", "a", "bee", ".", "!", "\n", "12", "x_y"]
+    machine = toxicity.grammar()
+    reader = toxicity.Reader(weights, machine, fixed)
+    for _ in range(4000):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))
+        want = plain_evidence(text, weights, fixed)
+        assert abs(toxicity.evidence(text, weights, machine, fixed) - want) < 1e-9
+        assert abs(reader.evidence(toxicity._TOKENS(text)) - want) < 1e-9
+
+
+def plain_bayes(texts, langs, text, bits):
+    """Best language and its probability from counts of character n-grams, one at a time."""
+
+    def grams(text):
+        low = lambda c: c.lower() if len(c.lower()) == 1 else c
+        line = "".join(low(c) if c.isalpha() else " " for c in text)
+        keys = []
+        line = re.sub(" +", " ", line)
+        line = line if text and text[0].isalpha() else line.lstrip(" ")
+        for i in range(len(line)):
+            for n in (1, 2, 3):
+                if i + n <= len(line):
+                    keys.append(hashed(line[i : i + n], bits))
+        return keys
+
+    counts = {lang: Counter() for lang in sorted(set(langs))}
+    for own, lang in zip(texts, langs):
+        counts[lang].update(grams(own))
+    logs = {}
+    for lang, own in counts.items():
+        every = sum(own.values()) + (1 << bits)
+        logs[lang] = sum(math.log((own[k] + 1) / every) for k in grams(text))
+    best = max(logs, key=lambda lang: (logs[lang], [-ord(c) for c in lang]))
+    return best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+
+
+def hashed(gram, bits):
+    key, mask = 0, 0xFFFFFFFF
+    for order, c in enumerate(gram):
+        key = (key ^ (0 if c == " " else ord(c))) * int(langid._FACTORS[order]) & mask
+        key ^= key >> 15
+    return (key * 0x2C1B3C6D + len(gram) - 1 & mask) >> 32 - bits
+
+
+def test_language_against_plain_counts(spark):
+    rng = random.Random(12)
+    signs = {"aa": "abcde é", "bb": "abxyz ß", "cc": "dexyü Ç1."}
+    data = [(i, "".join(rng.choice(signs[lang]) for _ in range(rng.randint(1, 30))), lang) for i in range(240) for lang in [rng.choice(sorted(signs))]]
+    data += [(1000, "abé  xy--dd e" * 40, "aa"), (1001, "  12 zß", "bb")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+    learnt = [(t, lang) for i, t, lang in data if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = langid.train(docs, bits=10)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, *model).collect()}
+    for i, text, _ in data[::9] + data[-2:]:
+        if not any(c.isalpha() for c in text):
+            assert got[i] == ("und", 0.0)
+            continue
+        best, share = plain_bayes(*zip(*learnt), text, 10)
+        assert got[i][0] == best and abs(got[i][1] - share) < 1e-3
