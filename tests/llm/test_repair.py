@@ -28,6 +28,7 @@ def conversations(seed=0, n=150):
             data.append((c, None if rng.random() < 0.05 else turn, role, f"Text {rng.random():.4f}." if plain else rng.choice(TEXTS), "x", 1))
             turn += rng.choice([0, 1, 1, 1, 1, 2, 5]) if rng.random() < 0.3 else 1
     data += [(None, t, "user", f"lost {t % 3}.", "x", 1) for t in range(5)]
+    data += [(888, t, ("user", "assistant")[t % 2], "word " * 60_000 + str(t) + "." * (t % 3), "x", 1) for t in range(7)]
     data += [data[0]] * 3
     # rows of one turn have one text, as the order among others is by a hash
     texts = {}
@@ -100,6 +101,7 @@ def by_segments(request, spark, monkeypatch):
     """Once as it comes, once with every longer conversation in many open parts."""
     if request.param:
         monkeypatch.setattr(repair, "SOLVE_ROWS", request.param)
+        monkeypatch.setattr(repair, "PIECE_CHARS", 40)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         spark.conf.set("spark.sql.shuffle.partitions", "30")
     yield

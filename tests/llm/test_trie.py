@@ -27,6 +27,7 @@ def conversations(seed=0, n=160, long=700):
     data += [(42_000, t, "user" if t % 2 else "assistant", rng.choice("ab"), 1, "x") for t in range(long)]
     data += [(42_001, t, "user" if t % 2 else "assistant", "a", 1, "x") for t in range(long // 2)]
     data += [(None, 0, "user", "lost", 1, "x"), (7, None, "user", "first", 1, "x")]
+    data += [(c, t, "user", "long " * 50_000 + str(t * (c % 2)), 1, "x") for c in (900, 901, 902) for t in range(7)]
     return data
 
 
