@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators.sizing import BROADCAST_ROWS, fits_broadcast
-from stratalake.operators.upsert import check_source, upsert, with_surrogate_keys
+from stratalake.operators.upsert import check_source, keyed_upsert
 
 # A key is hot above 1/share of all rows, so there are fewer than ``share`` hot keys. The share is
 # this many times the shuffle partitions: an ordinary key is then a small part of one of them.
 HOT_PER_PARTITION = 4
+_PART = "__dealt"
 
 
 @dataclass(frozen=True)
@@ -45,32 +46,24 @@ def load_dimension(
     ``source`` must hold each natural key once; that is checked unless it is
     ``trusted``. The result is the dimension's new content.
     """
-    rows, n = dimension_rows(dim, source, natural_key, key_col, attrs, promote_if, load_ts, trusted)
-    return upsert(dim, rows, [natural_key], unique_rows=n)
-
-
-def dimension_rows(
-    dim: DataFrame,
-    source: DataFrame,
-    natural_key: str,
-    key_col: str,
-    attrs: Sequence[str],
-    promote_if: Column | None = None,
-    load_ts: Column | None = None,
-    trusted: bool = False,
-) -> tuple[DataFrame, int]:
-    """The rows that :func:`load_dimension` merges, with their surrogate keys, and how many there are."""
     promoted = source if promote_if is None else source.where(promote_if)
     rows = promoted.select(natural_key, *attrs, *([load_ts.alias("load_ts")] if load_ts is not None else []))
-    return _keyed(dim, rows, promoted, natural_key, key_col, trusted)
+    return _merge_keyed(dim, rows, promoted, natural_key, key_col, trusted)
+
 
+def _merge_keyed(target: DataFrame, rows: DataFrame, source: DataFrame, natural_key: str, key_col: str, trusted: bool) -> DataFrame:
+    """The target with ``rows`` merged in and new ones numbered; ``source`` is what they came from, the cheaper one to count.
 
-def _keyed(
-    target: DataFrame, rows: DataFrame, source: DataFrame, natural_key: str, key_col: str, trusted: bool
-) -> tuple[DataFrame, int]:
-    """``source`` is what ``rows`` came from, one for one; it is the cheaper one to count."""
+    Both are dealt by a hash of the key, as many parts as fill the shuffle partitions evenly.
+    """
     n = source.count() if trusted else check_source(source, [natural_key])
-    return with_surrogate_keys(rows, target, natural_key, key_col, n), n
+    top, held = target.agg(F.max(key_col), F.count(F.lit(1))).first()
+    parts = HOT_PER_PARTITION * int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(natural_key), F.lit(parts))
+    merged = keyed_upsert(
+        target.withColumn(_PART, part), rows.withColumn(_PART, part), natural_key, key_col, _PART, held, n, top or 0
+    )
+    return merged.rows.select(*target.columns)
 
 
 def resolve_keys(
@@ -128,22 +121,6 @@ def load_fact(
     trusted: bool = False,
 ) -> DataFrame:
     """Resolve the dimension keys, then upsert on the natural key, keeping surrogate keys."""
-    rows, n = fact_rows(fact, source, dims, natural_key, key_col, measures, promote_if, load_ts, trusted)
-    return upsert(fact, rows, [natural_key], unique_rows=n)
-
-
-def fact_rows(
-    fact: DataFrame,
-    source: DataFrame,
-    dims: Sequence[DimRef],
-    natural_key: str,
-    key_col: str,
-    measures: Sequence[str],
-    promote_if: Column | None = None,
-    load_ts: Column | None = None,
-    trusted: bool = False,
-) -> tuple[DataFrame, int]:
-    """The rows that :func:`load_fact` merges, with all their keys, and how many there are."""
     promoted = source if promote_if is None else source.where(promote_if)
     rows = resolve_keys(promoted, dims).select(
         natural_key,
@@ -151,7 +128,7 @@ def fact_rows(
         *measures,
         *([load_ts.alias("load_ts")] if load_ts is not None else []),
     )
-    return _keyed(fact, rows, promoted, natural_key, key_col, trusted)
+    return _merge_keyed(fact, rows, promoted, natural_key, key_col, trusted)
 
 
 def orphans(

@@ -208,28 +208,37 @@ def _roles(target: DataFrame, source: DataFrame, keys: Sequence[str], update, in
 
 @dataclass(frozen=True)
 class Merged:
-    """The rows of a merge, how many of them got a new key, and its ``changes``: old and new image per merged row."""
+    """The rows of a merge, how many of them got a new key, and its ``changes``, if asked for: old and new image per merged row."""
 
     rows: DataFrame
     new: int
-    changes: DataFrame
+    changes: DataFrame | None
 
 
 def keyed_upsert(
-    target: DataFrame, source: DataFrame, natural_key: str, key_col: str, part: str, target_rows: int, source_rows: int, top: int = 0
+    target: DataFrame,
+    source: DataFrame,
+    natural_key: str,
+    key_col: str,
+    part: str,
+    target_rows: int,
+    source_rows: int,
+    top: int = 0,
+    images: bool = False,
 ) -> Merged:
     """Upsert of rows that hold each natural key once, with surrogate keys; ``part`` as in :func:`fold`.
 
     One shuffle of both sides gives the keys in use, the merged rows and what was there before; that is staged, and only its new rows are
     numbered, from ``top + 1``. Columns that the source lacks keep their value. ``target`` may be a part of a table as long as it has all rows of the
-    source's keys. ``source_rows`` may be an upper bound. The images of the changes have all columns but the surrogate key.
+    source's keys. ``source_rows`` may be an upper bound. The ``images`` of the changes have all columns but the surrogate key.
     """
     plain = [c for c in target.columns if c not in (key_col, part)]
     if target_rows == 0:
         numbered = assign_keys(source, natural_key, key_col, top, key_buckets(source_rows))
         numbered, found = stage_observed(conform_to(numbered, target), f"first-{key_col}", rows=F.count(F.lit(1)))
         image = F.struct(*plain)
-        return Merged(numbered, found["rows"], numbered.select(natural_key, F.when(F.lit(False), image).alias("old"), image.alias("new")))
+        first = numbered.select(natural_key, F.when(F.lit(False), image).alias("old"), image.alias("new"))
+        return Merged(numbered, found["rows"], first if images else None)
     folded = fold(target, source, [natural_key], part)
 
     def value(c: str) -> Column:
@@ -239,11 +248,12 @@ def keyed_upsert(
         return merged.cast(target.schema[c].dataType).alias(c)
 
     image = F.struct(*[F.col(c) if c == natural_key else F.col(f"old.{c}").alias(c) for c in plain])
-    before = F.when(F.col("old").isNotNull(), image).alias("__old")
-    merged = folded.select(*map(value, target.columns), before, F.col("new").isNotNull().alias("__new"))
+    before = [F.when(F.col("old").isNotNull(), image).alias("__old"), F.col("new").isNotNull().alias("__new")]
+    merged = folded.select(*map(value, target.columns), *(before if images else []))
     merged, found = stage_observed(merged, f"keys-{key_col}", new=F.count_if(F.col(key_col).isNull()))
-    changes = merged.where("__new").select(natural_key, F.col("__old").alias("old"), F.struct(*plain).alias("new"))
-    rows = merged.select(*target.columns)
+    rows, changes = merged.select(*target.columns), None
+    if images:
+        changes = merged.where("__new").select(natural_key, F.col("__old").alias("old"), F.struct(*plain).alias("new"))
     if found["new"]:
         fresh = assign_keys(rows.where(F.col(key_col).isNull()).drop(key_col), natural_key, key_col, top, key_buckets(found["new"]))
         rows = rows.where(F.col(key_col).isNotNull()).unionByName(fresh)

@@ -455,7 +455,8 @@ class VisitWarehouse:
         top = self.store.marks(CLEAN, table).get("top_key", 0)
 
         def build(held: DataFrame, fresh: DataFrame, held_rows: int):
-            merged = keyed_upsert(held, fresh, natural_key, key_col, PART, held_rows, self.store.rows(VALIDATED_LAYER, source), top)
+            n = self.store.rows(VALIDATED_LAYER, source)
+            merged = keyed_upsert(held, fresh, natural_key, key_col, PART, held_rows, n, top, images=note is not None)
             if note is not None:
                 note(merged.changes)
             return merged.rows, {"top_key": top + merged.new}
