@@ -213,18 +213,23 @@ def _own_rows(numbered: DataFrame, heads: DataFrame) -> DataFrame:
 # -- subtree sums --------------------------------------------------------
 
 
+def with_children(tree: DataFrame) -> DataFrame:
+    """``tree`` with ``kids``, the number of a node's children, and ``n1, n2``, the exclusive or of their ids; as a written table."""
+    kids = tree.where("p1 is not null").groupBy("p1", "p2").agg(
+        F.count(F.lit(1)).alias("kids"), F.expr("bit_xor(id1)").alias("n1"), F.expr("bit_xor(id2)").alias("n2")
+    )
+    kids = kids.withColumnsRenamed({"p1": "id1", "p2": "id2"})
+    return stage(tree.join(kids, ["id1", "id2"], "left").na.fill(0, ["kids"]), "tree")
+
+
 def subtree_sums(tree: DataFrame, values: Sequence[str]) -> DataFrame:
     """``(id1, id2, *values)`` with each value summed over the subtree of the node, itself included.
 
-    ``tree`` has ``id1, id2`` and the parent's ``p1, p2`` (null for a root); it is read a few times. Any number of roots.
+    ``tree`` has ``id1, id2``, the parent's ``p1, p2`` (null for a root), and what :func:`with_children` adds; it is read a few
+    times. Any number of roots.
     """
     values = list(values)
-    kids = tree.where("p1 is not null").groupBy("p1", "p2").agg(
-        F.count(F.lit(1)).alias("kids"), F.expr("bit_xor(id1)").alias("n1"), F.expr("bit_xor(id2)").alias("n2")
-    )
-    kids = kids.withColumnsRenamed({"p1": "id1", "p2": "id2"})
-    nodes = tree.select("id1", "id2", "p1", "p2", *values).join(kids, ["id1", "id2"], "left").na.fill(0, ["kids"])
-    nodes = stage(nodes, "tree")
+    nodes = tree.select("id1", "id2", "p1", "p2", "kids", "n1", "n2", *values)
     keep = ["id1", "id2", "p1", "p2", *values]
     raked = nodes.where("kids = 0").select(*keep)
     chains = nodes.where("kids = 1").drop("kids")
@@ -326,18 +331,15 @@ def _trie(conversations: DataFrame, group: int, shared: int) -> DataFrame:
     )
     for p in ("p1", "p2"):
         nodes = nodes.withColumn(p, F.when(F.col("depth") > 0, F.col(p)))
-    nodes = stage(nodes, "nodes")
-    kids = nodes.where("depth > 0").groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("n_children"))
-    kids = kids.withColumnsRenamed({"p1": "id1", "p2": "id2"})
-    nodes = stage(nodes.join(kids, ["id1", "id2"], "left").na.fill(0, ["n_children"]), "nodes-with-children")
-    weights = nodes.selectExpr("id1", "id2", "p1", "p2", "if(n_children = 0, 1L, 0L) as n_leaves", "(n_convs - 1) * chars as saved_tokens")
+    nodes = with_children(stage(nodes, "nodes"))
+    weights = nodes.selectExpr("*", "if(kids = 0, 1L, 0L) as n_leaves", "(n_convs - 1) * chars as saved_tokens")
     sums = subtree_sums(weights, ["n_leaves", "saved_tokens"])
-    parents = nodes.where("n_children > 0").selectExpr("id1 as p1", "id2 as p2", "conv_id as parent_conv_id")
+    parents = nodes.where("kids > 0").selectExpr("id1 as p1", "id2 as p2", "conv_id as parent_conv_id")
     out = nodes.join(sums, ["id1", "id2"]).join(end_digests(rows.where("ends = 1")), ["id1", "id2"], "left")
     # written, so that Spark can split the join at a parent with very many children
     out = stage(out, "summed").join(parents, ["p1", "p2"], "left")
     return out.select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "conv_id", "depth", "parent_conv_id", "n_convs", F.col("kids").alias("n_children"), "n_leaves", "saved_tokens",
         F.coalesce("sha", F.lit(EMPTY_SHA)).alias("ends_sha256"),
     )
 

@@ -137,7 +137,7 @@ def test_contraction_against_plain_sums(spark, seed):
         if parent[i] is not None:
             total[parent[i]] += total[i]
             size[parent[i]] += size[i]
-    got = {(r.id1, r.id2): (r.w, r.one) for r in trie.subtree_sums(tree, ["w", "one"]).collect()}
+    got = {(r.id1, r.id2): (r.w, r.one) for r in trie.subtree_sums(trie.with_children(tree), ["w", "one"]).collect()}
     assert got == {name(i): (total[i], size[i]) for i in parent}
 
 
