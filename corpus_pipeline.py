@@ -1,7 +1,8 @@
 """From raw documents to token windows: five stages, each a Spark job over all that its predecessor kept.
 
 1. language_id: documents in which no language can be told (no letter, no text) go, and those whose
-   language is not in ``LANGUAGES`` or scores below ``LEAST_SCORE``.
+   language is not in ``LANGUAGES`` or scores below ``LEAST_SCORE``. The others go on with the language that was told
+   from their text in ``lang``, so the later stages' tables do not hold a wrong or missing label.
 2. near_dedup: of each group of near copies the document with the least id stays, once.
    Of different texts under one id each is a document; the one of the least MD5 counts
    under that id, the others after all ids, in a fixed order. Of rows that repeat id and text

@@ -177,16 +177,20 @@ def in_known_language(
 ) -> DataFrame:
     """The documents, with all their columns, whose language can be told, is a ``wanted`` one and scores ``least_score``.
 
-    By default every language learnt is wanted. With nothing learnt and nothing asked for, those with a letter.
+    By default every language learnt is wanted. ``lang`` of what stays is the language told from the text, the one that was asked for.
+    With nothing learnt and nothing asked for, those with a letter, their ``lang`` as given.
     """
     model = docs.sparkSession.sparkContext.broadcast(matrix)
     asked = np.array([wanted is None or lang in wanted for lang in langs] + [False])
+    at = docs.columns.index("lang")
 
     def emit(batches: Iterator[pa.RecordBatch]):
+        names = np.array([*langs, UNKNOWN], dtype=object)
         for batch in batches:
             if langs or wanted is not None or least_score > 0:
                 best, score = _predict(model.value, batch)
                 stays = asked[best] & (score >= least_score)
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(names[best], batch.schema.field(at).type))
             else:
                 stays = _have_letter(batch)
             yield batch.filter(pa.array(stays))

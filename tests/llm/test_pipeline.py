@@ -94,3 +94,14 @@ def test_different_texts_under_one_id(spark):
     rest = [r for r in got if r not in ((1, b), (2, b + " ka"))]
     assert len(got) == len(rest) + 1 and run(1) == got
     assert rest == sorted([(None, a), (1, a), (3, c), (3, d), (3, None), (3, ""), (4, e)], key=str)
+
+
+def test_language_stage_says_what_it_told(spark):
+    rng = random.Random(5)
+    words = {"aa": ["ka", "lo", "mi"], "bb": ["zu", "xe", "qy"]}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(40))
+    data = [(i, text(lang), lang) for i, lang in enumerate(["aa", "bb"] * 40)]
+    odd = [(100, text("aa"), "bb"), (101, text("bb"), None), (102, "123", "aa")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in data + odd], SCHEMA)
+    got = {r.doc_id: (r.text, r.lang) for r in pipe.language_id(spark, docs, "").collect()}
+    assert got == {**{i: (t, lang) for i, t, lang in data}, 100: (odd[0][1], "aa"), 101: (odd[1][1], "bb")}
