@@ -13,7 +13,7 @@ from stratalake.operators import quality
 from stratalake.operators.incremental import dedup_latest, incremental_filter, watermark
 from stratalake.operators.sizing import fits_broadcast
 from stratalake.operators.star import DimRef, hot_keys, load_dimension, load_fact, orphans, resolve_keys, with_match
-from stratalake.operators.upsert import assign_keys, check_source, upsert, with_surrogate_keys
+from stratalake.operators.upsert import PIECE, assign_keys, check_source, fold, keyed_upsert, upsert, with_surrogate_keys
 from stratalake.plans import kpi
 
 few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -223,3 +223,17 @@ def test_random_second_loads(spark):
         assert all(got[k][1] == sk for k, (_, sk) in held.items())
         assert sorted(sk for _, sk in got.values()) == list(range(1, len(got) + 1))
         state = got
+
+
+def test_one_part_is_dealt_to_many_tasks(spark):
+    """Rows of one folder meet by key in pieces, and new ones are numbered where they are."""
+    side = lambda a, b: spark.range(a, b).select(F.concat(F.lit("n"), "id").alias("nk"), F.lit(0).alias("p"), (F.col("id") % 7).alias("v"))
+    target = side(0, 300).withColumn("sk", F.lit(1000) - F.substring("nk", 2, 9).cast("long"))
+    sizes = [r[0] for r in fold(target, side(200, 900), ["nk"], "p", 1).groupBy(PIECE).count().select("count").collect()]
+    assert len(sizes) >= 16 and max(sizes) < 120 and sum(sizes) == 900
+    merged = keyed_upsert(target, side(200, 900), "nk", "sk", "p", 1, 1000, 1000, images=True)
+    got = {r.nk: r.sk for r in merged.rows.collect()}
+    assert merged.new == 600 and {got[f"n{i}"] for i in range(300, 900)} == set(range(1001, 1601))
+    assert all(got[f"n{i}"] == 1000 - i for i in range(300))
+    assert "hashpartitioning(nk" not in merged.rows._jdf.queryExecution().executedPlan().toString()
+    assert merged.changes.count() == 700 and merged.changes.where("old is null").count() == 600

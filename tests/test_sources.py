@@ -325,3 +325,22 @@ def test_loads_and_marks(spark, root):
 def test_work_root_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or work_root(spark) == shared.rstrip("/")
+
+
+def test_fold_in_is_whole_or_not_at_all(spark, root):
+    store = TableStore(spark, root)
+    rows = lambda a, b, v: spark.range(a, b).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(v).alias("v"))
+    store.create("a", "t", rows(0, 1, "").schema, parts=4, part_keys=["k"])
+    store.fold_in("a", "t", rows(0, 100, "old"), ["k"], set(), lambda: {"n": 1})
+    before = _written(root)
+
+    def broken():
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError):
+        store.fold_in("a", "t", rows(50, 150, "new"), ["k"], range(4), broken)
+    store.fold_in("a", "t", rows(0, 0, "none"), ["k"], range(4), lambda: None)
+    assert _written(root) == before and len(list(Path(f"{root}/a/t").glob("__write=*"))) == 1
+    store.fold_in("a", "t", rows(50, 150, "new"), ["k"], range(4), lambda: {"n": 2})
+    assert store.marks("a", "t") == {"n": 2} and store.rows("a", "t") == 150
+    assert {r.k: r.v for r in store.read("a", "t").collect()} == {f"k{i}": "old" if i < 50 else "new" for i in range(150)}
