@@ -22,6 +22,9 @@ earlier (in a smaller ``doc_id``, or before in the same document) is removed.
    their windows is joined with its first place by a 128-bit hash. This gives
    the same rows, spread over all tasks.
 
+The segments are sorted out by classes of anchors, ``MOST_CLASSES`` for a large table, so that
+a share of them is shuffled at a time.
+
 Texts are UTF-8 bytes, null reads as empty. Matches never cross documents. Rows
 with a null ``doc_id`` are no source and lose nothing. ``doc_id`` is the key of a
 document: a row repeated as a whole counts as one document. Other columns are
@@ -31,6 +34,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +43,14 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import arrays, membership
 from stratalake.llm.settle import settled, small_batches
-from stratalake.sources.staging import stage
+from stratalake.sources.staging import stage, stage_observed
 
 WINDOW = 100
 K = 32
 HOT = 1024
 BLOCK_BYTES = 1 << 19
+CLASS_ROWS = 1 << 22
+MOST_CLASSES = 8
 _SPOT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -294,23 +300,39 @@ def _marked(rows: DataFrame, window: int, block_bytes: int) -> DataFrame:
     return rows.mapInArrow(emit, "doc_id long, place int, n int")
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(doc_id, place, n)``: spans of bytes (they may overlap) that also stand earlier."""
-    docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
+def _copies(segments: DataFrame, hot: int) -> DataFrame:
+    """``(doc_id, place, n)`` of each later copy; with ``n`` 0 and the anchor, the first copies that others under one anchor may share windows with."""
+    first = segments.groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("times"))
+    first = stage(first, "firsts")
+    several = first.where("times > 1").select("anchor", "content", "first")
+    copies = segments.join(several, ["anchor", "content"]).where("struct(doc_id, place) > first")
+    contents = stage(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1"), "contents")
+    shared = first.join(contents, "anchor")
+    none = F.lit(None).cast("long")
+    return copies.select("doc_id", "place", "n", none.alias("anchor"), F.lit(False).alias("hot")).union(
+        shared.select("first.doc_id", "first.place", F.lit(0), "anchor", F.col("contents") > hot)
+    )
+
+
+def _all_copies(docs: DataFrame, window: int, k: int, hot: int, class_rows: int) -> DataFrame:
+    """:func:`_copies` of all segments, class by class of the anchors."""
     repeated = _anchors(docs, window, k).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = membership.bitmap(repeated, "anchor")
-    segments = stage(_segments(docs, repeated, window, k), "segments")
-    first = segments.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc_id", "place")).alias("first"), F.max(F.struct("doc_id", "place")).alias("last")
-    )
-    first = stage(first, "firsts")
-    several = stage(first.where("first < last").select("anchor", "content", "first"), "several")
-    copies = segments.join(several, ["anchor", "content"]).where("struct(doc_id, place) > first").select("doc_id", "place", "n")
+    segments, found = stage_observed(_segments(docs, repeated, window, k), "segments", rows=F.count(F.lit(1)))
+    classes = min(1 + found["rows"] // class_rows, MOST_CLASSES)
+    own = [segments.where(f"(anchor & 65535) % {classes} = {i}") if classes > 1 else segments for i in range(classes)]
+    return reduce(DataFrame.union, [settled(docs.sparkSession, "copies", partial(_copies, s, hot)) for s in own])
 
-    contents = stage(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1"), "contents")
-    shared = first.join(contents, "anchor").select("first.doc_id", "first.place")
+
+def repeated_spans(
+    docs: DataFrame, window: int = WINDOW, k: int = K, hot: int = HOT, block_bytes: int = BLOCK_BYTES, class_rows: int = CLASS_ROWS
+) -> DataFrame:
+    """``(doc_id, place, n)``: spans of bytes (they may overlap) that also stand earlier."""
+    docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
+    found = settled(docs.sparkSession, "copies", lambda: _all_copies(docs, window, k, hot, class_rows))
+    copies, shared = found.where("n > 0").select("doc_id", "place", "n"), found.where("n = 0")
     wanted = membership.bitmap(_with_spot(shared), "spot")
-    too_many = membership.bitmap(contents.where(F.col("contents") > hot), "anchor")
+    too_many = membership.bitmap(shared.where("hot").select("anchor").distinct(), "anchor")
     held = stage(_bytes_of(docs, wanted, too_many, window, k), "bytes")
 
     blocks = held.where("segment is not null").repartition("a").sortWithinPartitions("a", "doc_id", "place")

@@ -6,8 +6,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from cases import corpus, empty, frame, rows
+from pyspark.sql import functions as F
 
-from stratalake.llm import suffix
+from stratalake.llm import membership, suffix
 
 
 def plain(documents, window):
@@ -64,3 +65,22 @@ def test_text_stays_valid(spark):
     assert kept[0].startswith("é") and 2 not in kept and kept[3] == "q" * 99 and kept[4] == "  " and kept[len(texts)] is None
     assert suffix.without_repeats(empty(spark)).count() == 0
     assert suffix.remove_repeats(empty(spark)).count() == 0
+
+
+def test_bitmap_grows_with_its_members(spark):
+    """It lets few other hashes pass, however many members it has, and stays small for few."""
+    n = 6_000_000
+    hashes = spark.range(n).select(F.xxhash64("id").alias("h"))
+    own = hashes.where("h % 100 = 0").toArrow()["h"].to_numpy()
+    other = spark.range(n, n + 200_000).select(F.xxhash64("id").alias("h")).toArrow()["h"].to_numpy()
+    found = membership.bitmap(hashes, "h").value
+    assert membership.contains(found, own).all()
+    assert membership.contains(found, other).mean() < 0.02
+    assert len(membership.bitmap(hashes.limit(1000), "h").value) * 64 == 1 << membership.LEAST_BITS
+
+
+def test_classes_of_anchors(spark):
+    """The same rows, however many classes the segments are taken up in."""
+    texts = corpus(5)
+    got = suffix.remove_repeats(frame(spark, texts), class_rows=300).collect()
+    assert Counter((*r[:4], bytes(r[4])) for r in got) == plain([r[:2] for r in rows(texts)], 100)

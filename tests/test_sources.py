@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 from pathlib import Path
 
 import pytest
@@ -303,6 +304,19 @@ def test_stage_scope_releases_files(spark):
     assert outside.count() == 3
 
 
+def test_staging_leaves_no_shuffle_files(spark):
+    """What was shuffled for a staged table goes when it is written."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {str(x) for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllBlocks()) if "shuffle_" in str(x)}
+    before = shuffles()
+    stage(spark.range(1000).repartition(5, "id"), "dealt")
+    for _ in range(50):  # they are removed in the background
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before
+
+
 def test_loads_and_marks(spark, root):
     store = TableStore(spark, root)
     store.create("a", "t", T.StructType().add("k", "long"))
