@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.operators.quality import quality_summary
-from stratalake.plans import kpi
+from stratalake.plans import kpi, visits
 from stratalake.plans.visits import STATUSES, VisitWarehouse
 
 # Small deliveries: a key twice in a file, blank rows, unnamed columns, keys without a match, unreadable values.
@@ -452,3 +452,18 @@ def test_jobs_of_a_load(spark, tmp_path):
     wh.run(str(files), since_last=True)
     second = jobs(spark) - before
     assert first <= 60 and second <= 60
+
+
+def test_many_rows_are_merged_without_a_look_at_the_folders(spark, tmp_path, monkeypatch):
+    """A large delivery falls into all folders; its keys are not read once more to find that out."""
+    wh, files = warehouse(spark, tmp_path, watermark_policy="by_load")
+    wh.run(str(files), since_last=True)
+    changed = [line.replace("03-01-2023", "02-02-2023") for line in VISITS.split("\n")]
+    put(files, "RAW_PATIENT_VISITS_2.csv", "\n".join([*changed, "B-1,pt-1,dr-1,north,03-02-2023,1,2,3,"]))
+    monkeypatch.setattr(visits, "MANY_ROWS", 0.1, raising=False)
+    monkeypatch.setattr(type(wh.store), "touching", lambda *a: pytest.fail("looked at the keys"))
+    wh.load_files("raw_patient_visits", f"{files}/RAW_PATIENT_VISITS_2.csv")
+    wh._take_visits()
+    wh.load_visits_fact(since_last=True)
+    fact = {r.visit_id: str(r.visit_date) for r in wh.table("clean", "fact_patient_visits").collect()}
+    assert len(fact) == 8 and fact["A-1"] == "2023-02-02" and fact["B-1"] == "2023-02-03"
